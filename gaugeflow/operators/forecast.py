@@ -2,12 +2,13 @@
 
 A fit never gathers a series in one place. The linear model is two built-in
 aggregates. The additive model is ridge least squares, whose normal equations
-are sums over the rows: Spark adds them up with partial aggregation and Python
-only solves one small system per series.
+are sums over the rows: each task adds up its own rows batch by batch, Spark
+adds the parts, and one small system per series is left to solve.
 """
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,17 +161,64 @@ def fit_additive(
     fitted = _with_model(df.select(key, "ds", *ties, "y", "x"), settings, key, crowded)
     fitted = fitted.where(place <= F.col("_cut"))
     terms = design.features("ds", F.col("x"), daily_order)
-    names = [f"_f{i}" for i in range(len(terms))]
-    shaped = fitted.select(key, "y", *[term.alias(name) for term, name in zip(terms, names)])
-    size = len(names)
-    products = [F.sum(F.col(names[i]) * F.col(names[j])) for i in range(size) for j in range(i, size)]
-    products += [F.sum(F.col(name) * F.col("y")) for name in names]
-    sums = shaped.groupBy(key).agg(F.array(*products).alias("_sums"))
+    size = len(terms)
+    shaped = fitted.where(F.col("y").isNotNull()).select(
+        key, *[term.alias(f"_f{i}") for i, term in enumerate(terms)], "y"
+    )
+    # Rows of a series side by side: one partial result per task and series.
+    partial = shaped.sortWithinPartitions(key).mapInArrow(
+        _partial_sums(key, size), f"{key} STRING, sums ARRAY<DOUBLE>"
+    )
+    # One SQL text instead of some hundred Column calls.
+    totals = ", ".join(f"sum(sums[{i}])" for i in range(size * (size + 1) // 2 + size))
+    sums = partial.groupBy(key).agg(F.expr(f"array({totals})").alias("_sums"))
     solve = _solver(design.penalties(daily_order, trend_reg))
     solved = sums.select(key, solve("_sums").alias("coefficients"))
     return cut_lineage(settings.drop("_cut").join(solved, key))
 
 
+def _partial_sums(key, size):
+    """Feature products and feature-target products of each run of equal keys.
+
+    Columns of a batch: key, `size` features, target.
+    """
+    upper = np.triu_indices(size)
+
+    def packed(finished):
+        sums = [np.concatenate([gram[upper], gram[:, size]]) for _, gram in finished]
+        names = pa.array([name for name, _ in finished], pa.string())
+        return pa.RecordBatch.from_arrays([names, pa.array(sums, pa.list_(pa.float64()))], [key, "sums"])
+
+    def run(batches):
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            encoded = batch.column(0).dictionary_encode()
+            names = encoded.dictionary.to_pylist()
+            codes = encoded.indices.to_numpy(zero_copy_only=False)
+            numbers = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
+            matrix = np.column_stack(numbers)
+            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            finished = []
+            for start, end in zip(starts, [*starts[1:], len(codes)]):
+                block = matrix[start:end]
+                gram = block[:, :size].T @ block
+                name = names[codes[start]]
+                if last and last[0] == name:
+                    last = (name, last[1] + gram)
+                    continue
+                if last:
+                    finished.append(last)
+                last = (name, gram)
+            if finished:
+                yield packed(finished)
+        if last:
+            yield packed([last])
+
+    return run
+
+
 def _solver(weights):
     size = len(weights)
     upper = np.triu_indices(size)

@@ -25,6 +25,11 @@ def _bounds(column):
     )
 
 
+def _mean(column):
+    # The sum is rounded first, so the order of addition cannot move the mean.
+    return f"round(round(sum({column}), 6) / count(*), 6)"
+
+
 def _pairs(key_format, seconds):
     return f"""
         WITH e AS (SELECT strftime(ts, {key_format}) AS obs_key, ts, event_type, value FROM events),
@@ -38,7 +43,7 @@ def _pairs(key_format, seconds):
 _PAIR_COLUMNS = f"{_millis('t1')} AS t1, v1, {_millis('t2')} AS t2, v2"
 
 _PAIR_WINDOWS = _pairs(HOUR, 300) + f"""
-    SELECT {_bounds('t1')}, round(avg(v1), 6) AS avg_v1, round(avg(v2), 6) AS avg_v2,
+    SELECT {_bounds('t1')}, {_mean('v1')} AS avg_v1, {_mean('v2')} AS avg_v2,
            count(*) AS record_count, max(obs_key) AS avg_timestamp
     FROM j GROUP BY 1, 2
 """
@@ -100,7 +105,7 @@ def _whole_forecast(origin, history):
 _T = f"{SCORE_THRESHOLD}::DOUBLE"
 _ANALYSIS = _MODEL + _ahead("last_ds") + f"""
     , a AS (SELECT series_key, avg(yhat) AS p, max(yhat) AS q, regr_slope(yhat, step_no) AS r,
-                   string_agg(printf('%.4f', yhat), ',' ORDER BY ds) AS predictions
+                   string_agg(printf('%.6f', yhat), ',' ORDER BY ds) AS predictions
             FROM f GROUP BY 1),
     z AS (SELECT *, least(100.0::DOUBLE, greatest(0.0::DOUBLE,
               CASE WHEN p > {_T} THEN 40.0::DOUBLE WHEN p > {_T} * 0.7::DOUBLE THEN 25.0::DOUBLE
@@ -173,14 +178,14 @@ _CATALOG = {
 }
 
 _MESSAGE_WINDOWS = _pairs(MINUTE, 5) + f"""
-    SELECT {_bounds('t1')}, round(avg(v1), 6) AS avg_temperature,
-           round(avg(v2), 6) AS avg_precipitation,
+    SELECT {_bounds('t1')}, {_mean('v1')} AS avg_temperature,
+           {_mean('v2')} AS avg_precipitation,
            count(*) AS record_count, max(obs_key) AS avg_timestamp
     FROM j GROUP BY 1, 2
 """
 
 _WINDOWS_BY_TYPE = f"""
-    SELECT event_type, {_bounds('ts')}, round(avg(value), 6) AS avg_v1, count(*) AS record_count,
+    SELECT event_type, {_bounds('ts')}, {_mean('value')} AS avg_v1, count(*) AS record_count,
            max(strftime(ts, {MINUTE})) AS avg_timestamp
     FROM events GROUP BY 1, 2, 3
 """
@@ -257,21 +262,20 @@ ORACLES = {
     "stream_message_windows": _MESSAGE_WINDOWS,
     "tumbling_window_by_key": _WINDOWS_BY_TYPE,
     "window_mean_timestamp": f"""
-        SELECT {_bounds('ts')}, round(avg(value), 6) AS avg_v1, count(*) AS record_count,
+        SELECT {_bounds('ts')}, {_mean('value')} AS avg_v1, count(*) AS record_count,
                CAST(sum({_millis('ts')}) // count(*) AS BIGINT) AS mean_obs
         FROM events GROUP BY 1, 2""",
-    "wallclock_window_agg": """
-        SELECT event_type, CAST(count(*) AS BIGINT) AS record_count, round(avg(value), 6) AS avg_value
+    "wallclock_window_agg": f"""
+        SELECT event_type, CAST(count(*) AS BIGINT) AS record_count, {_mean('value')} AS avg_value
         FROM events GROUP BY 1""",
     "gap_detection": _gaps("events", "ts", "user_id", 43_200_000_000),
     "gap_detection_orders": _gaps("orders", "o_orderdate", "o_orderpriority", 86_400_000_000),
-    "group_mean_by_dim": """
-        SELECT o_orderpriority, round(avg(CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE)), 6) AS avg_price,
+    "group_mean_by_dim": f"""
+        SELECT o_orderpriority, {_mean("CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE)")} AS avg_price,
                count(*) AS record_count
         FROM orders GROUP BY 1""",
-    "group_mean_by_segment": """
-        SELECT c_mktsegment, round(avg(CAST(c_acctbal AS DOUBLE)), 6) AS avg_balance,
-               round(avg(CAST(c_nationkey AS DOUBLE)), 6) AS avg_nation, count(*) AS record_count
+    "group_mean_by_segment": f"""
+        SELECT c_mktsegment, {_mean("c_acctbal")} AS avg_balance, {_mean("c_nationkey")} AS avg_nation, count(*) AS record_count
         FROM customer GROUP BY 1""",
     "topk_latest": """
         SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS ordered, o_totalprice

@@ -39,6 +39,13 @@ def rounded(df: DataFrame, *columns) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def rounded_means(df: DataFrame, *columns, rows="record_count") -> DataFrame:
+    """Means of two-decimal values: the sum is rounded first, so that a mean which
+    falls half-way between two results is the same double in any order of addition."""
+    total = {c: F.round(F.round(F.col(c) * F.col(rows), 6) / F.col(rows), 6) for c in columns}
+    return df.withColumns(total)
+
+
 def millis(column):
     return F.unix_millis(column)
 
@@ -182,7 +189,7 @@ def interval_join_by_entity(spark, sf_dir):
 
 def _as_report(windows):
     report = bounds_as_text(windows)
-    return rounded(report, *[c for c in ("avg_v1", "avg_v2") if c in report.columns])
+    return rounded_means(report, *[c for c in ("avg_v1", "avg_v2") if c in report.columns])
 
 
 def flagship(spark, sf_dir):
@@ -292,9 +299,8 @@ def stream_message_windows(spark, sf_dir):
     sink = writers.window_store(store, "window_date")
     jobs.replay(windows, [sink], f"{work}/checkpoint", beat_once)
     stored = writers.read_store(spark, store).drop("batch_id", "processed_at")
-    return rounded(
-        stored.drop("window_start_ts", "window_date"), "avg_temperature", "avg_precipitation"
-    )
+    shown = stored.drop("window_start_ts", "window_date")
+    return rounded_means(shown, "avg_temperature", "avg_precipitation")
 
 
 @query
@@ -315,7 +321,7 @@ def wallclock_window_agg(spark, sf_dir):
         rows.alias("record_count"),
         (F.sum(F.col("avg_value") * F.col("record_count")) / rows).alias("avg_value"),
     )
-    return rounded(totals, "avg_value")
+    return rounded_means(totals, "avg_value")
 
 
 # ---------------------------------------------------------- queries over tables
@@ -324,16 +330,15 @@ def wallclock_window_agg(spark, sf_dir):
 @query
 def group_mean_by_dim(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("price", F.col("o_totalprice").cast("string"))
-    return rounded(
-        extracts.group_means(orders, ["o_orderpriority"], {"avg_price": "price"}), "avg_price"
-    )
+    means = extracts.group_means(orders, ["o_orderpriority"], {"avg_price": "price"})
+    return rounded_means(means, "avg_price")
 
 
 @query
 def group_mean_by_segment(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     metrics = {"avg_balance": "c_acctbal", "avg_nation": "c_nationkey"}
-    return rounded(extracts.group_means(customers, ["c_mktsegment"], metrics), *metrics)
+    return rounded_means(extracts.group_means(customers, ["c_mktsegment"], metrics), *metrics)
 
 
 @query
@@ -391,12 +396,8 @@ def window_store_extract(spark, sf_dir):
         F.lit(RANGE[0]).cast("date"), F.lit(RANGE[1]).cast("date")
     )
     chosen = extracts.typed_range(stored.where(days), "window_start_ts", *RANGE)
-    return rounded(
-        chosen.select(
-            "event_type", "window_start", "window_end", "avg_v1", "record_count", "avg_timestamp"
-        ),
-        "avg_v1",
-    )
+    shown = chosen.drop("batch_id", "processed_at", "window_start_ts", "window_date")
+    return rounded_means(shown, "avg_v1")
 
 
 @query
@@ -577,7 +578,7 @@ def _user_analysis(spark, sf_dir):
 
 @query
 def predictions_array(spark, sf_dir):
-    shown = F.transform("predictions", lambda v: F.format_string("%.4f", v))
+    shown = F.transform("predictions", lambda v: F.format_string("%.6f", v))
     return _user_analysis(spark, sf_dir).select(
         "series_key", F.concat_ws(",", shown).alias("predictions")
     )
