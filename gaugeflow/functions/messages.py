@@ -34,7 +34,9 @@ def metric_lenient(value: Column, field: str, text: Column) -> Column:
     """NULL only if the field is absent; anything that is no number counts as 0,
     and the booleans as 1 and 0."""
     as_boolean = F.try_variant_get(F.try_parse_json(value), f"$.{field}", "double")
-    present = F.array_contains(F.json_object_keys(value), field)
+    # The key list costs a second parse; most messages cannot hold the field.
+    possible = value.contains(f'"{field}"') | value.contains("\\")
+    present = possible & F.array_contains(F.json_object_keys(value), field)
     return F.when(
         text.isNotNull(), F.coalesce(text.try_cast("double"), as_boolean, F.lit(0.0))
     ).when(present, F.lit(0.0))

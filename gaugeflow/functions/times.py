@@ -3,9 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two text shapes of a time, and the length of the shorter one.
+# The two text shapes of a time and their lengths.
 SECOND_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 MINUTE_FORMAT = "yyyy-MM-dd'T'HH:mm"
+SECOND_LENGTH = 19
 MINUTE_LENGTH = 16
 
 MICROS = 1_000_000
@@ -25,10 +26,13 @@ def minute_key(text) -> Column:
 
 
 def parse_time(text) -> Column:
-    """Seconds form first, then minutes form; NULL if neither fits."""
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit(SECOND_FORMAT)),
-        F.try_to_timestamp(text, F.lit(MINUTE_FORMAT)),
+    """The seconds form or the minutes form; NULL if neither fits.
+
+    Each form has one length, so the one to try is known without a failed attempt.
+    """
+    length = F.length(text)
+    return F.when(length == SECOND_LENGTH, F.try_to_timestamp(text, F.lit(SECOND_FORMAT))).when(
+        length == MINUTE_LENGTH, F.try_to_timestamp(text, F.lit(MINUTE_FORMAT))
     )
 
 
@@ -52,7 +56,7 @@ def parse_time_smart(text: Column) -> Column:
     moment = F.when(midnight, moment + F.expr("INTERVAL 1 DAY")).otherwise(moment)
     # A leap second is accepted by make_timestamp but not by the two text patterns.
     legal = text.rlike(shape) & day.between(1, 31) & (second < 60) & (year > 0)
-    return F.when(legal, moment)
+    return F.coalesce(parse_time(text), F.when(legal, moment))
 
 
 def mean_time(ts) -> Column:

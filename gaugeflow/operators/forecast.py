@@ -9,10 +9,11 @@ adds the parts, and one small system per series is left to solve.
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import design
+from gaugeflow.functions.times import micros_of
 from gaugeflow.operators.series import (
     HORIZON,
     STEP_SECONDS,
@@ -32,31 +33,52 @@ DAILY_ORDER = 6
 # ---------------------------------------------------------------- linear trend
 
 
-def fit_linear(df: DataFrame, key="series_key", step=STEP_SECONDS, where=None) -> DataFrame:
-    """One row per series: slope per step and the means of time and target.
+def _linear_terms(step, where=None):
+    """The model as aggregates: slope per step and the means of time and target.
 
-    Kept in centred form, which stays exact at large epoch times. `where`
-    restricts the rows that are fitted; `last_ds`, `n` and the like cover all.
+    Centred, which stays exact at large epoch times. `where` restricts the rows
+    that are fitted.
     """
     t, y = in_steps("ds", step), F.col("y")
     if where is not None:
         t, y = F.when(where, t), F.when(where, y)
-    fitted_time = F.when(where, F.col("ds")) if where is not None else F.col("ds")
-    return df.groupBy(key).agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.regr_slope(y, t), F.lit(0.0)).alias("slope"),
-        F.avg(t).alias("t_mean"),
-        F.avg(y).alias("y_mean"),
-        F.max("ds").alias("last_ds"),
-        F.max(fitted_time).alias("train_end"),
-    )
+    return {"slope": F.regr_slope(y, t), "t_mean": F.avg(t), "y_mean": F.avg(y)}
+
+
+def fit_linear(df: DataFrame, key="series_key", step=STEP_SECONDS, where=None) -> DataFrame:
+    """One row per series: `n`, `slope` (0 if it has one row), `t_mean`, `y_mean`."""
+    terms = [term.alias(name) for name, term in _linear_terms(step, where).items()]
+    model = df.groupBy(key).agg(F.count("*").alias("n"), *terms)
+    return model.fillna(0.0, ["slope"])
 
 
 def linear_value(time="ds", step=STEP_SECONDS):
-    """Prediction of `fit_linear`'s model at `time`."""
+    """Prediction of the linear model in the row at `time`."""
     return F.col("y_mean") + F.col("slope") * (in_steps(time, step) - F.col("t_mean"))
 
 
+def _train_rows():
+    return F.col("idx") < F.col("train_size")
+
+
+def with_linear_model(
+    df: DataFrame, key="series_key", step=STEP_SECONDS, ties=(), crowded=None
+) -> DataFrame:
+    """Every row with its position, its settings and the model of its series' training rows.
+
+    Ordinary series get all of it in the one shuffle and sort that numbers
+    their rows; for a crowded series the model is aggregated and joined.
+    """
+    crowded = is_crowded(df, key) if crowded is None else crowded
+    split = with_config(series_index(df, key, "ds", ties, crowded))
+    if crowded:
+        model = fit_linear(split, key, step, _train_rows()).drop("n")
+        return salted_join(split, model, [key], ["ds", *ties])
+    series = Window.partitionBy(key)
+    terms = {name: term.over(series) for name, term in _linear_terms(step, _train_rows()).items()}
+    return split.withColumns(terms).fillna(0.0, ["slope"])
+
+
 def forecast_linear(
     df: DataFrame, key="series_key", step=STEP_SECONDS, periods=HORIZON, origin="last",
     ties=(), history=True, crowded=None,
@@ -67,39 +89,32 @@ def forecast_linear(
     (`origin="last"`) or after the training rows (`origin="train_end"`), where
     the history ends then as well.
     """
-    crowded = is_crowded(df, key) if crowded is None else crowded
-    split = with_config(series_index(df, key, "ds", ties, crowded))
-    train = F.col("idx") < F.col("train_size")
-    model = fit_linear(split, key, step, where=train)
-    ahead = _future(model, key, step, periods, origin).withColumn("yhat", linear_value(step=step))
-    columns = [key, "ds", "step_no", "yhat", "is_future"]
-    if not history:
-        return ahead.select(columns)
-    past = _with_model(split.select(key, "ds", "idx", "train_size"), model, key, crowded)
-    if origin == "train_end":
-        past = past.where(train)
-    past = past.select(
+    rows = with_linear_model(df, key, step, ties, crowded)
+    end = F.col({"last": "n", "train_end": "train_size"}[origin])
+    rows = rows.where(F.col("idx") < end) if history else rows.where(F.col("idx") == end - 1)
+    # The last row of the history is the one the future grows from.
+    first = F.lit(-1) if history else F.lit(0)
+    last = F.when(F.col("idx") == end - 1, F.lit(periods - 1)).otherwise(F.lit(-1))
+    steps = rows.withColumn("_step", F.explode(F.sequence(first, last)))
+    ahead = (F.col("_step") + 1).cast("long") * F.lit(micros_of(step))
+    moved = steps.withColumn("ds", F.timestamp_micros(F.unix_micros("ds") + ahead))
+    return moved.select(
         key,
         "ds",
-        F.lit(None).cast("int").alias("step_no"),
+        F.when(F.col("_step") >= 0, F.col("_step")).alias("step_no"),
         linear_value(step=step).alias("yhat"),
-        F.lit(False).alias("is_future"),
+        (F.col("_step") >= 0).alias("is_future"),
     )
-    return past.unionByName(ahead.select(columns))
 
 
 def holdout_metrics(
     df: DataFrame, key="series_key", step=STEP_SECONDS, ties=(), crowded=None
 ) -> DataFrame:
     """Mean absolute and root mean squared error of the linear model on the rows not fitted."""
-    crowded = is_crowded(df, key) if crowded is None else crowded
-    split = with_config(series_index(df, key, "ds", ties, crowded))
-    train = F.col("idx") < F.col("train_size")
-    model = fit_linear(split, key, step, where=train)
-    held = split.where(~train).select(key, "ds", "y")
+    rows = with_linear_model(df, key, step, ties, crowded)
     miss = F.col("y") - linear_value(step=step)
     return (
-        _with_model(held, model, key, crowded)
+        rows.where(~_train_rows())
         .groupBy(key)
         .agg(
             F.count("*").alias("held_out"),

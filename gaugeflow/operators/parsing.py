@@ -23,9 +23,7 @@ def classify_messages(
     metrics = metrics or METRIC_FIELDS
     raw = F.col(value).cast("string")
     document = messages.decode(raw, [TIME_FIELD, *metrics.values()])
-    # The one-element generator keeps later filters from copying the JSON
-    # parser into their own condition, so each message is parsed once.
-    decoded = records.withColumn("_doc", F.explode(F.array(document)))
+    decoded = records.withColumn("_doc", _once(document))
     time_text = F.col("_doc")[TIME_FIELD]
     if mode == "strict":
         obs_ts = times.parse_time(time_text)
@@ -43,23 +41,31 @@ def classify_messages(
 
     known = set(metrics) | {"obs_key", "obs_ts", "arrival_ts", "raw", "reason", "_doc"}
     carried = [c for c in records.columns if c not in known and c not in (value, arrival)]
-    parsed = decoded.select(
-        *carried,
+    reading = F.struct(
         times.minute_key(time_text).alias("obs_key"),
         obs_ts.alias("obs_ts"),
-        F.col(arrival).alias("arrival_ts"),
         *[number.alias(name) for name, number in numbers.items()],
-        raw.alias("raw"),
         (F.col("_doc").isNull() | F.col("_doc._broken").isNotNull()).alias("_unreadable"),
-        time_text.isNull().alias("_timeless"),
     )
+    parsed = decoded.select(
+        *carried,
+        F.col(arrival).alias("arrival_ts"),
+        raw.alias("raw"),
+        _once(reading).alias("_reading"),
+    ).select(*carried, "arrival_ts", "_reading.*", "raw")
     reason = (
         F.when(F.col("_unreadable"), "bad_json")
-        .when(F.col("_timeless"), "no_time")
+        .when(F.col("obs_key").isNull(), "no_time")
         .when(F.col("obs_ts").isNull(), "bad_time")
         .when(F.coalesce(*[F.col(name) for name in metrics]).isNull(), "no_metric")
     )
-    return parsed.withColumn("reason", reason).drop("_unreadable", "_timeless")
+    return parsed.withColumn("reason", reason).drop("_unreadable")
+
+
+def _once(column):
+    """The same value through a one-element generator, which keeps later filters
+    from copying the expression into their own condition: it runs once per message."""
+    return F.explode(F.array(column))
 
 
 def parse_messages(records: DataFrame, **options):
