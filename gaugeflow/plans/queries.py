@@ -17,7 +17,7 @@ from gaugeflow.plans.inputs import (
     table,
     user_days,
 )
-from gaugeflow.schemas import EVENTS, TOPIC_RECORD
+from gaugeflow.schemas import EVENTS, TOPIC_RECORD, WINDOW_DOCUMENT
 from gaugeflow.session import scratch_path
 from gaugeflow.sinks import writers
 from gaugeflow.sources import csv_files, tables, topics
@@ -298,7 +298,7 @@ def stream_message_windows(spark, sf_dir):
 
     sink = writers.window_store(store, "window_date")
     jobs.replay(windows, [sink], f"{work}/checkpoint", beat_once)
-    stored = writers.read_store(spark, store).drop("batch_id", "processed_at")
+    stored = writers.read_store(spark, store, WINDOW_DOCUMENT).drop("batch_id", "processed_at")
     shown = stored.drop("window_start_ts", "window_date")
     return rounded_means(shown, "avg_temperature", "avg_precipitation")
 

@@ -36,6 +36,7 @@ def window_store(root: str, partition_by=None):
 
 
 def read_store(spark: SparkSession, root: str, schema=None) -> DataFrame:
+    """Everything stored so far, plus `batch_id`. With a schema, an empty store is no error."""
     reader = spark.read.option("basePath", root)
     if schema is not None:
         reader = reader.schema(schema)

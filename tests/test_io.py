@@ -1,0 +1,171 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeflow import schemas, session
+from gaugeflow.sinks import writers
+from gaugeflow.sources import csv_files, tables, topics
+
+CSV = "window_start,avg_temperature,avg_precipitation,place\n" + "\n".join(
+    f"2025-01-23T22:{m:02d}:00,8.5,0.{m},{place}" for m, place in ((14, "Glasgow"), (16, "Köln"))
+)
+SCHEMA = "window_start STRING, avg_temperature STRING, avg_precipitation STRING, place STRING"
+
+
+@pytest.mark.parametrize(
+    "codec, expected",
+    [
+        ("utf-8", "UTF-8"),
+        ("utf-8-sig", "UTF-8"),
+        ("utf-16", "UTF-16"),
+        ("latin1", "ISO-8859-1"),
+    ],
+)
+def test_csv_encodings(spark, tmp_path, codec, expected):
+    path = tmp_path / "export.csv"
+    path.write_bytes(CSV.encode(codec))
+    assert csv_files.detect_encodings(spark, str(path)).first().encoding == expected
+    rows = csv_files.read_csv(spark, str(path), SCHEMA).orderBy("window_start").collect()
+    assert [r.place for r in rows] == ["Glasgow", "Köln"]
+    assert rows[0].window_start == "2025-01-23T22:14:00"
+    assert rows[1].avg_precipitation == "0.16"
+
+
+def test_csv_folder_with_mixed_encodings(spark, tmp_path):
+    for codec in ("utf-8", "utf-8-sig", "utf-16", "latin1"):
+        (tmp_path / f"{codec}.csv").write_bytes(CSV.encode(codec))
+    rows = csv_files.read_csv(spark, str(tmp_path), SCHEMA)
+    assert rows.count() == 8
+    assert rows.where("place = 'Köln'").count() == 4
+
+
+def test_csv_detection_over_split_files(spark, tmp_path):
+    """The mark is at the file's start and the bad byte at its end, in different splits."""
+    path = tmp_path / "big.csv"
+    path.write_bytes(b"a\n" + b"0123456789\n" * 20_000 + "é\n".encode("latin1"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = csv_files.detect_encodings(spark, str(path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.encoding for r in found] == ["ISO-8859-1"]
+
+
+def test_csv_export_has_a_header(spark, tmp_path):
+    path = str(tmp_path / "out")
+    frame = spark.createDataFrame([(1, "a,b"), (2, 'c"d')], "n INT, t STRING")
+    writers.export_csv(frame, path, single_file=True)
+    files = list((tmp_path / "out").glob("*.csv"))
+    assert len(files) == 1 and files[0].read_text().startswith("n,t\n")
+    back = csv_files.read_csv(spark, path, "n INT, t STRING")
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "a,b"), (2, 'c"d')]
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_path):
+    root = str(tmp_path / "store")
+    first = spark.createDataFrame([("w1", 1), ("w2", 2)], "window_start STRING, n INT")
+    second = spark.createDataFrame([("w3", 3)], "window_start STRING, n INT")
+    for batch, documents in ((0, first), (0, first), (1, second), (1, second)):
+        writers.store_batch(root, documents, batch)
+    stored = writers.read_store(spark, root)
+    assert sorted(r.n for r in stored.collect()) == [1, 2, 3]
+
+
+def test_latest_documents(spark, tmp_path):
+    root = str(tmp_path / "store")
+    for batch, n in enumerate((5, 9)):
+        documents = spark.createDataFrame([("w1", n)], "window_start STRING, n INT")
+        writers.store_batch(root, documents, batch)
+    latest = writers.latest_documents(writers.read_store(spark, root), ["window_start"])
+    assert [tuple(r) for r in latest.collect()] == [("w1", 9)]
+
+
+def test_store_prunes_by_date(spark, tmp_path):
+    root = str(tmp_path / "store")
+    documents = spark.range(10).select("id", F.expr("date_add(DATE'2025-01-01', int(id))").alias("window_date"))
+    writers.store_batch(root, documents, 0, "window_date")
+    day = writers.read_store(spark, root).where("window_date = DATE'2025-01-03'")
+    assert day.count() == 1
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_date" in plan
+
+
+def test_sinks_are_chosen_by_address():
+    assert not writers.is_configured(None)
+    assert not writers.is_configured("")
+    assert not writers.is_configured("db://username:password@host/")
+    assert writers.is_configured("db://host/")
+    assert writers.choose_sinks("tap", "store", "db://username:password@host/") == ["tap"]
+    assert writers.choose_sinks("tap", "store", "db://host/") == ["tap", "store"]
+
+
+def test_fan_out_feeds_every_sink(spark):
+    seen = []
+    sinks = [lambda d, b: seen.append(("one", d.count(), b)), lambda d, b: seen.append(("two", d.count(), b))]
+    writers.fan_out(sinks)(spark.range(3), 7)
+    assert seen == [("one", 3, 7), ("two", 3, 7)]
+
+
+def test_connector_sink_by_format_name(spark, tmp_path):
+    path = str(tmp_path / "out")
+    writers.connector_sink("json", {"path": path})(spark.range(3), 0)
+    assert tables.read_table(spark, path=path, format="json").count() == 3
+
+
+def test_kafka_options():
+    options = topics.kafka_options(["a:1", "b:2"], "readings", "group")
+    assert options == {
+        "kafka.bootstrap.servers": "a:1,b:2",
+        "subscribe": "readings",
+        "startingOffsets": "earliest",
+        "kafka.group.id": "group",
+    }
+    assert topics.kafka_options("a:1", "t", ending="latest")["endingOffsets"] == "latest"
+
+
+def test_record_files_in_batch(spark, tmp_path):
+    path = str(tmp_path / "records")
+    row = ('{"time":"x"}', 0, 1, datetime(2025, 1, 1))
+    spark.createDataFrame([row], schemas.TOPIC_RECORD).write.parquet(path)
+    records = topics.read_record_files(spark, path, streaming=False)
+    assert records.schema.names == ["value", "partition", "offset", "timestamp"]
+    assert records.count() == 1
+
+
+def test_catalog_statements(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS pipeline LOCATION '{tmp_path}/db'")
+    frame = spark.createDataFrame([("2025", 1.0)], "window_start STRING, avg_temperature DOUBLE")
+    writers.save_table(frame, "pipeline.aggregated_2min")
+    assert "spark_catalog" in [r[0] for r in tables.show_catalogs(spark).collect()]
+    tables.use_schema(spark, "spark_catalog.pipeline")
+    try:
+        assert [r.tableName for r in tables.show_tables(spark, "pipeline").collect()] == ["aggregated_2min"]
+        described = tables.describe_table(spark, "aggregated_2min").collect()
+        assert [tuple(r) for r in described] == [
+            ("window_start", "string"), ("avg_temperature", "double")
+        ]
+        assert tables.read_table(spark, "aggregated_2min").count() == 1
+    finally:
+        tables.use_schema(spark, "spark_catalog.default")
+
+
+def test_scratch_paths_are_in_the_shared_folder(spark):
+    shared = spark.conf.get(session.CHECKPOINT_DIR)
+    one, two = (session.scratch_path(spark, "x") for _ in range(2))
+    assert one != two and one.startswith(f"{shared}/x-")
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Cluster:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Cluster())

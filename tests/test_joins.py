@@ -1,0 +1,154 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeflow.operators.joined_windows import joined_window_agg
+from gaugeflow.operators.joins import interval_join, paired_readings
+from gaugeflow.operators.skew import HOT_LIMIT, hot_keys, largest_group, salted_join
+from gaugeflow.operators.windows import tumbling_agg, window_documents
+
+BASE = datetime(2025, 1, 23, 22, 16)
+SCHEMA = "obs_key STRING, obs_ts TIMESTAMP, arrival_ts TIMESTAMP, value DOUBLE"
+
+
+def side(spark, rows):
+    full = [(k, BASE, BASE + timedelta(seconds=s), v) for k, s, v in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+FIXTURE_LEFT = [("22:15", 0, 8.0), ("22:15", 30, 9.0)]
+FIXTURE_RIGHT = [
+    ("22:15", 0.020, 0.1),
+    ("22:15", 35, 0.2),
+    ("22:15", 41, 0.3),
+    ("22:30", 0.030, 0.4),
+]
+
+
+def test_fixture_pairs(spark):
+    pairs = paired_readings(side(spark, FIXTURE_LEFT), side(spark, FIXTURE_RIGHT))
+    assert sorted((r.v1, r.v2) for r in pairs.collect()) == [(8.0, 0.1), (9.0, 0.2)]
+    assert pairs.columns == ["obs_key", "obs_ts", "t1", "v1", "t2", "v2"]
+
+
+def test_fixture_window(spark):
+    pairs = paired_readings(side(spark, FIXTURE_LEFT), side(spark, FIXTURE_RIGHT))
+    metrics = {"avg_temperature": "v1", "avg_precipitation": "v2"}
+    row = window_documents(tumbling_agg(pairs, "t1", metrics, latest="obs_key")).first()
+    assert (row.window_start, row.window_end) == ("2025-01-23T22:16:00", "2025-01-23T22:18:00")
+    assert (row.avg_timestamp, row.avg_temperature, row.record_count) == ("22:15", 8.5, 2)
+    assert row.avg_precipitation == pytest.approx(0.15)
+
+
+def test_window_end_is_open(spark):
+    frame = side(spark, [("k", 119.999999, 1.0), ("k", 120, 5.0)])
+    windows = tumbling_agg(frame, "arrival_ts", {"m": "value"}).orderBy("window_start_ts").collect()
+    assert [w.m for w in windows] == [1.0, 5.0]
+
+
+def brute_pairs(left, right, lower, upper):
+    return sorted(
+        (k1, t1, v1, t2, v2)
+        for k1, t1, v1 in left
+        for k2, t2, v2 in right
+        if k1 == k2 and lower <= round(t2 - t1, 6) <= upper
+    )
+
+
+def random_side(rng, rows, keys, span, step):
+    return [
+        (rng.choice(keys), rng.randrange(0, int(span / step)) * step, rng.randrange(1, 1000) / 10)
+        for _ in range(rows)
+    ]
+
+
+BANDS = [(-5, 5), (0, 10), (1, 4), (-9, -2), (0, 0), (-0.5, 0.25)]
+
+
+@pytest.mark.parametrize("lower, upper", BANDS)
+@pytest.mark.parametrize("salts", [1, 3])
+def test_pairs_equal_brute_force(spark, lower, upper, salts):
+    rng = random.Random(7)
+    keys = ["a"] * 4 + ["b", "c"]
+    left = random_side(rng, 80, keys, 120, 0.25)
+    right = random_side(rng, 90, keys, 120, 0.25)
+    pairs = paired_readings(side(spark, left), side(spark, right), lower, upper, salts=salts)
+    got = sorted(
+        (r.obs_key, (r.t1 - BASE).total_seconds(), r.v1, (r.t2 - BASE).total_seconds(), r.v2)
+        for r in pairs.collect()
+    )
+    assert got == brute_pairs(left, right, lower, upper)
+
+
+@pytest.mark.parametrize("lower, upper", BANDS)
+@pytest.mark.parametrize("step", [0.25, 10, 0.000001])
+def test_running_sums_equal_pairs(spark, lower, upper, step):
+    rng = random.Random(11)
+    keys = ["a"] * 5 + ["b"]
+    span = 600 if step > 0.001 else 0.0005
+    left = side(spark, random_side(rng, 300, keys, span, step))
+    right = side(spark, random_side(rng, 300, keys, span, step))
+    frames = [
+        joined_window_agg(left, right, lower, upper, method=method)
+        for method in ("pairs", "sums", "auto")
+    ]
+    wanted, sums, auto = [
+        {r.window_start_ts: r for r in frame.collect()} for frame in frames
+    ]
+    assert wanted.keys() == sums.keys() == auto.keys()
+    for start, row in wanted.items():
+        for other in (sums[start], auto[start]):
+            assert other.record_count == row.record_count
+            assert other.avg_timestamp == row.avg_timestamp
+            assert other.window_end_ts == row.window_end_ts
+            assert other.avg_v1 == pytest.approx(row.avg_v1, abs=1e-9)
+            assert other.avg_v2 == pytest.approx(row.avg_v2, abs=1e-9)
+
+
+def test_running_sums_on_a_hot_instant(spark):
+    """A pair count no join could enumerate: 20,000 rows of each side in one instant."""
+    many = spark.range(20_000).select(
+        F.lit("k").alias("obs_key"), F.lit(BASE).alias("arrival_ts"), F.lit(2.0).alias("value")
+    )
+    row = joined_window_agg(many, many.withColumn("value", F.lit(3.0)), method="auto").first()
+    assert (row.record_count, row.avg_v1, row.avg_v2) == (400_000_000, 2.0, 3.0)
+
+
+def test_equal_cells_never_repeat_a_pair(spark):
+    left = side(spark, [("k", s / 2, float(s)) for s in range(200)])
+    pairs = paired_readings(left, left.withColumn("value", F.col("value") + 0.0))
+    assert pairs.count() == pairs.distinct().count()
+
+
+def test_null_keys_do_not_match(spark):
+    left = side(spark, [(None, 0, 1.0)])
+    assert paired_readings(left, left).count() == 0
+
+
+def test_column_clash_is_an_error(spark):
+    frame = side(spark, FIXTURE_LEFT)
+    with pytest.raises(ValueError):
+        interval_join(frame, frame, ["obs_key"], "arrival_ts", "arrival_ts")
+
+
+def test_join_is_an_equi_join(spark):
+    pairs = paired_readings(side(spark, FIXTURE_LEFT), side(spark, FIXTURE_RIGHT))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_hot_keys_and_salted_join(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
+    )
+    hot = hot_keys(rows, ["k"], min_rows=100)
+    assert [(r.k, r["_salts"]) for r in hot.collect()] == [("hot", 10)]
+    per_key = rows.groupBy("k").agg(F.count("*").alias("n"))
+    joined = salted_join(rows, per_key, ["k"], ["id"], hot)
+    assert joined.columns == ["k", "id", "n"]
+    plain = rows.join(per_key, ["k"])
+    assert joined.exceptAll(plain).count() == 0 and plain.exceptAll(joined).count() == 0
+    assert largest_group(rows, ["k"]) == 1000
+    assert HOT_LIMIT == 1000

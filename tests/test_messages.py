@@ -1,0 +1,186 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeflow.functions.times import parse_time_smart
+from gaugeflow.operators import parsing
+
+ARRIVAL = datetime(2025, 1, 23, 22, 16)
+
+MESSAGES = [
+    '{"time":"2025-01-23T22:15","temperature_2m":8.5}',
+    '{"time":"2025-01-23T22:15:30","precipitation":0.1}',
+    '{"time":"2025-01-23T22:15","temperature_2m":null}',
+    '{"temperature_2m":1}',
+    '{"time":"2025-01-23T22:15"}',
+    "garbage{",
+    '{"time":"2025-02-30T10:00","temperature_2m":"12.5"}',
+    '{"time":"2025-01-23T22:15:00.5","precipitation":1}',
+    '{"time":null,"precipitation":1}',
+    '{"time":"2025-01-23T22:15","precipitation":"abc"}',
+    '{"time":"2025-01-23T22:15","precipitation":true}',
+    '{"time":"2025-01-23T22:15","temperature_2m":1e3}',
+    '{"time":"2025-01-23T22:15","temperature_2m":{"a":1}}',
+]
+FIRST, SECOND = datetime(2025, 1, 23, 22, 15), datetime(2025, 1, 23, 22, 15, 30)
+KEY = "2025-01-23T22:15"
+
+STRICT = [
+    (KEY, FIRST, 8.5, None, None),
+    (KEY, SECOND, None, 0.1, None),
+    "no_metric",
+    "no_time",
+    "no_metric",
+    "bad_json",
+    "bad_time",
+    "bad_time",
+    "no_time",
+    "no_metric",
+    "no_metric",
+    (KEY, FIRST, 1000.0, None, None),
+    "no_metric",
+]
+LENIENT = {
+    2: (KEY, FIRST, 0.0, None, None),
+    6: ("2025-02-30T10:00", datetime(2025, 2, 28, 10), 12.5, None, None),
+    9: (KEY, FIRST, None, 0.0, None),
+    10: (KEY, FIRST, None, 1.0, None),
+    12: (KEY, FIRST, 0.0, None, None),
+}
+
+
+def classified(spark, texts, mode):
+    rows = [(i, text, ARRIVAL) for i, text in enumerate(texts)]
+    records = spark.createDataFrame(rows, "i INT, value STRING, timestamp TIMESTAMP")
+    frame = parsing.classify_messages(records, mode=mode).orderBy("i")
+    return [
+        (r.obs_key, r.obs_ts, r.temperature, r.precipitation, None) if r.reason is None else r.reason
+        for r in frame.collect()
+    ]
+
+
+def test_strict_vectors(spark):
+    assert classified(spark, MESSAGES, "strict") == STRICT
+
+
+def test_lenient_vectors(spark):
+    expected = [LENIENT.get(i, outcome) for i, outcome in enumerate(STRICT)]
+    assert classified(spark, MESSAGES, "lenient") == expected
+
+
+def test_odd_json(spark):
+    texts = [
+        "",
+        "null",
+        "5",
+        '[{"time":"2025-01-23T22:15","temperature_2m":3}]',
+        '{"time":"2025-01-23T22:15","temperature_2m":',
+        "{'time':\"2025-01-23T22:15\",\"temperature_2m\":1}",
+        '{"time":"2025-01-23T22:15","temperature_2m":NaN}',
+        '{"time":"2025-01-23T22:15","temperature_2m":"NaN"}',
+        '{"time":"2025-01-23T22:15","temperature_2m":1,"temperature_2m":2}',
+        '{"time":"2025-01-23T22:15","temperature_2m":3} trailing',
+        '{"time":"2025-01-23T22:15","temperature_2m":1,"precipitation":2}',
+        None,
+    ]
+    expected = ["bad_json"] * 7 + [
+        "no_metric",
+        (KEY, FIRST, 2.0, None, None),
+        (KEY, FIRST, 3.0, None, None),
+        (KEY, FIRST, 1.0, 2.0, None),
+        "bad_json",
+    ]
+    assert classified(spark, texts, "strict") == expected
+
+
+def test_lenient_booleans_and_escapes(spark):
+    texts = [
+        '{"time":"2025-01-23T22:15","precipitation":"true"}',
+        '{"time":"2025-01-23T22:15","precipitation":false}',
+        '{"time":"2025-01-23T22:15","precipitation":" 7 "}',
+        '{"time":"2025-01-23T22:15","precipit\\u0061tion":null}',
+    ]
+    expected = [(KEY, FIRST, None, v, None) for v in (0.0, 0.0, 7.0, 0.0)]
+    assert classified(spark, texts, "lenient") == expected
+
+
+@pytest.mark.parametrize(
+    "text, moment",
+    [
+        ("2024-02-30T10:00", datetime(2024, 2, 29, 10)),
+        ("2025-04-31T10:00:05", datetime(2025, 4, 30, 10, 0, 5)),
+        ("2025-01-23T24:00", datetime(2025, 1, 24)),
+        ("2025-01-23T24:01", None),
+        ("2025-01-32T10:00", None),
+        ("2025-13-01T10:00", None),
+        ("2025-01-23T10:00:60", None),
+        ("2025-01-23 10:00", None),
+        ("2025-01-23T10:00Z", None),
+    ],
+)
+def test_smart_times(spark, text, moment):
+    frame = spark.createDataFrame([(text,)], "t STRING")
+    assert frame.select(parse_time_smart(F.col("t"))).first()[0] == moment
+
+
+def test_split_keeps_rows_with_both_metrics(spark):
+    records = spark.createDataFrame(
+        [('{"time":"2025-01-23T22:15","temperature_2m":1,"precipitation":2}', ARRIVAL)],
+        "value STRING, timestamp TIMESTAMP",
+    )
+    readings, dead = parsing.parse_messages(records)
+    assert parsing.split_metric(readings, "temperature").first().value == 1.0
+    assert parsing.split_metric(readings, "precipitation").first().value == 2.0
+    assert dead.count() == 0
+
+
+def test_accepted_and_dead_cover_the_input(spark):
+    rows = [(text, ARRIVAL) for text in MESSAGES]
+    records = spark.createDataFrame(rows, "value STRING, timestamp TIMESTAMP")
+    for mode in ("strict", "lenient"):
+        readings, dead = parsing.parse_messages(records, mode=mode)
+        assert readings.count() + dead.count() == len(MESSAGES)
+
+
+def test_binary_values(spark):
+    records = spark.createDataFrame(
+        [(bytearray(MESSAGES[0], "utf-8"), ARRIVAL)], "value BINARY, timestamp TIMESTAMP"
+    )
+    readings, _ = parsing.parse_messages(records)
+    assert readings.first().temperature == 8.5
+
+
+def test_one_json_pass_per_message(spark):
+    records = spark.createDataFrame([("{}", ARRIVAL)], "value STRING, timestamp TIMESTAMP")
+    readings, _ = parsing.parse_messages(records)
+    plan = readings._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert plan.count("gettimestamp(") == 2  # one per text form
+
+
+def test_own_metric_names(spark):
+    records = spark.createDataFrame(
+        [('{"time":"2025-01-23T22:15","load":3}', ARRIVAL)], "value STRING, timestamp TIMESTAMP"
+    )
+    readings, _ = parsing.parse_messages(records, metrics={"cpu": "load", "mem": "rss"})
+    assert (readings.first().cpu, readings.first().mem) == (3.0, None)
+
+
+def test_topic_messages_go_to_their_partitions(spark):
+    wide = spark.createDataFrame(
+        [(KEY, 8.5, None)], "obs_key STRING, temperature DOUBLE, precipitation DOUBLE"
+    )
+    sent = {r.partition: json.loads(r.value) for r in parsing.single_metric_messages(wide).collect()}
+    assert sent == {
+        0: {"time": KEY, "temperature_2m": 8.5},
+        1: {"time": KEY, "precipitation": None},
+    }
+
+
+def test_nested_response(spark):
+    bodies = ['{"current":{"time":"2025-01-23T22:15","temperature_2m":8.5}}', "{}"]
+    frame = spark.createDataFrame([(b,) for b in bodies], "body STRING")
+    rows = [tuple(r) for r in parsing.readings_from_response(frame).collect()]
+    assert rows == [(KEY, 8.5, None), (None, None, None)]
