@@ -59,20 +59,29 @@ def parse_time_smart(text: Column) -> Column:
     return F.coalesce(parse_time(text), F.when(legal, moment))
 
 
-def mean_time(ts) -> Column:
-    """Aggregate: mean of a timestamp in whole milliseconds, rounded down.
+_HALF = 1 << 20
+
+
+def time_sums(ts) -> dict[str, Column]:
+    """Aggregates of a timestamp from which `mean_of_sums` takes the mean.
 
     Epoch milliseconds are summed in two halves, because one sum of them would
     overflow a long after a few million rows.
     """
-    half = 1 << 20
-    millis, rows = F.unix_millis(ts), F.count(ts)
-    high = F.sum(cell(millis, half))
-    low = F.sum(F.pmod(millis, F.lit(half)))
+    millis = F.unix_millis(ts)
+    return {
+        "_high": F.sum(cell(millis, _HALF)),
+        "_low": F.sum(F.pmod(millis, F.lit(_HALF))),
+        "_times": F.count(ts),
+    }
+
+
+def mean_of_sums(high: Column, low: Column, rows: Column) -> Column:
+    """Mean timestamp in whole milliseconds, rounded down."""
     rest = F.pmod(high, rows)
-    whole = _whole(high - rest, rows)
-    part = rest * half + low
-    return F.timestamp_millis(whole * half + _whole(part - F.pmod(part, rows), rows))
+    part = rest * _HALF + low
+    whole = _whole(high - rest, rows) * _HALF
+    return F.timestamp_millis(whole + _whole(part - F.pmod(part, rows), rows))
 
 
 def _whole(multiple: Column, size: Column) -> Column:

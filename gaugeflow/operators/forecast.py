@@ -150,31 +150,31 @@ def fit_additive(
     written to the shared folder, since forecasts read it more than once.
     """
     crowded = is_crowded(df, key) if crowded is None else crowded
-    place = F.struct("ds", *ties)
     split = with_config(series_index(df, key, "ds", ties, crowded))
-    train = F.col("idx") < F.col("train_size")
-    micros = F.unix_micros("ds")
+    micros, cut = F.unix_micros("ds"), F.col("idx") == F.col("train_size") - 1
+    # Fixed-width values only, so that the aggregation needs no sort.
     settings = split.groupBy(key).agg(
-        F.first("n").alias("n"),
+        F.max("n").alias("n"),
         F.min(micros).alias("t0"),
-        F.max(F.when(train, micros)).alias("_t1"),
-        F.max(F.when(train, place)).alias("_cut"),
+        F.max(F.when(cut, F.col("ds"))).alias("train_end"),
+        *[F.max(F.when(cut, F.col(tie))).alias(f"_cut_{tie}") for tie in ties],
         F.stddev_samp("x").alias("x_std"),
-        F.avg(F.when(train, F.col("x"))).alias("x_mean"),
-        F.max_by("x", place).alias("x_last"),
+        F.avg(F.when(_train_rows(), F.col("x"))).alias("x_mean"),
+        F.max_by("x", "idx").alias("x_last"),
         F.max("ds").alias("last_ds"),
     )
+    span = F.unix_micros("train_end") - F.col("t0")
     settings = with_config(settings).withColumns(
         {
-            "t_span": F.greatest(F.col("_t1") - F.col("t0"), F.lit(1)).cast("double"),
-            "train_end": F.timestamp_micros("_t1"),
+            "t_span": F.greatest(span, F.lit(1)).cast("double"),
             "use_regressor": gate(F.col("x_std")),
         }
     )
-    settings = cut_lineage(settings.drop("_t1"))
+    settings = cut_lineage(settings)
 
     fitted = _with_model(df.select(key, "ds", *ties, "y", "x"), settings, key, crowded)
-    fitted = fitted.where(place <= F.col("_cut"))
+    last_fitted = F.struct("train_end", *[f"_cut_{tie}" for tie in ties])
+    fitted = fitted.where(F.struct("ds", *ties) <= last_fitted)
     terms = design.features("ds", F.col("x"), daily_order)
     size = len(terms)
     shaped = fitted.where(F.col("y").isNotNull()).select(
@@ -189,7 +189,7 @@ def fit_additive(
     sums = partial.groupBy(key).agg(F.expr(f"array({totals})").alias("_sums"))
     solve = _solver(design.penalties(daily_order, trend_reg))
     solved = sums.select(key, solve("_sums").alias("coefficients"))
-    return cut_lineage(settings.drop("_cut").join(solved, key))
+    return cut_lineage(settings.drop(*[f"_cut_{tie}" for tie in ties]).join(solved, key))
 
 
 def _partial_sums(key, size):

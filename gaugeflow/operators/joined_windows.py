@@ -15,8 +15,10 @@ from gaugeflow.operators.joins import paired_readings
 from gaugeflow.operators.windows import tumbling_agg
 
 _MARK, _BEFORE, _POINT, _AFTER = -1, 0, 1, 2
-# Up to this many candidate pairs per input row, the plain join is cheaper.
+# Up to this many candidate pairs per input row, and in the busiest cell, the
+# plain join is cheaper.
 PAIRS_PER_ROW = 50
+PAIRS_PER_CELL = 10_000_000
 
 
 def joined_window_agg(
@@ -36,17 +38,18 @@ def joined_window_agg(
     pairs first.
     """
     keys = list(keys)
-    if method == "auto":
+    checked = method == "auto"
+    if checked:
         method = "sums" if _dense(left, right, keys, lower, upper) else "pairs"
     if method == "pairs":
-        pairs = paired_readings(left, right, lower, upper, keys=keys)
+        pairs = paired_readings(left, right, lower, upper, keys=keys, salts=1 if checked else "auto")
         metrics = {names[0]: "v1", names[1]: "v2"}
         return tumbling_agg(pairs, "t1", metrics, size, latest=keys[0])
     return _by_running_sums(left, right, keys, lower, upper, size, names)
 
 
 def _dense(left, right, keys, lower, upper) -> bool:
-    """Whether the join would look at more than PAIRS_PER_ROW pairs per row."""
+    """Whether the join would look at too many pairs, overall or within one cell."""
     width = max(micros_of(upper) - micros_of(lower), 1_000_000)
 
     def side(df, is_left):
@@ -63,8 +66,9 @@ def _dense(left, right, keys, lower, upper) -> bool:
         .groupBy(*keys, "_cell")
         .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     )
-    pairs, rows = cells.agg(F.sum(F.expr("_l * _r")), F.sum(F.expr("_l + _r"))).first()
-    return bool(rows) and pairs > PAIRS_PER_ROW * rows
+    in_cell, rows = F.col("_l") * F.col("_r"), F.col("_l") + F.col("_r")
+    pairs, busiest, total = cells.agg(F.sum(in_cell), F.max(in_cell), F.sum(rows)).first()
+    return bool(total) and (pairs > PAIRS_PER_ROW * total or busiest > PAIRS_PER_CELL)
 
 
 def _by_running_sums(left, right, keys, lower, upper, size, names):

@@ -4,6 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.times import cell, micros_of
+from gaugeflow.operators.skew import hot_keys, salt
+
+HOT_CELL_ROWS = 10_000
 
 
 def interval_join(
@@ -15,7 +18,7 @@ def interval_join(
     lower=-5,
     upper=5,
     max_delay=None,
-    salts=1,
+    salts="auto",
 ) -> DataFrame:
     """Every pair with equal `keys` and `right_time - left_time` in [lower, upper] seconds.
 
@@ -27,13 +30,16 @@ def interval_join(
     band, each right row lies in one cell and each left row is copied to the
     one or two cells its band touches. A right row has one cell, so no pair
     appears twice, and a hot key is spread over as many tasks as it has cells.
-    `salts` > 1 splits each cell further, for rows that share one instant.
+    Crowded cells are split further: batch joins count the left rows per cell
+    and salt those above HOT_CELL_ROWS. A number for `salts` splits every cell
+    that many times instead, without counting (1 for none).
     """
     keys = list(keys)
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    if left.isStreaming or right.isStreaming:
+    streaming = left.isStreaming or right.isStreaming
+    if streaming:
         if max_delay is None:
             raise ValueError("a streaming interval join needs max_delay")
         left = left.withWatermark(left_time, max_delay)
@@ -47,7 +53,11 @@ def interval_join(
     )
     right = right.withColumn("_cell", cell(F.unix_micros(right_time), width))
     join_keys = [*keys, "_cell"]
-    if salts > 1:
+    if salts == "auto" and not streaming:
+        crowded = hot_keys(left, join_keys, HOT_CELL_ROWS)
+        left, right = salt(left, right, join_keys, left.columns, crowded)
+        join_keys.append("_salt")
+    elif salts != "auto" and salts > 1:
         spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
         left = left.withColumn("_salt", spread)
         right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -69,7 +79,8 @@ def interval_join(
 
 
 def paired_readings(
-    left: DataFrame, right: DataFrame, lower=-5, upper=5, max_delay=None, salts=1, keys=("obs_key",)
+    left: DataFrame, right: DataFrame, lower=-5, upper=5, max_delay=None, salts="auto",
+    keys=("obs_key",),
 ) -> DataFrame:
     """Interval join of two single-metric streams.
 

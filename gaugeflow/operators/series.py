@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.times import MICROS, micros_of
-from gaugeflow.operators.skew import largest_group
-from gaugeflow.session import cut_lineage
+from gaugeflow.operators.skew import largest_group, salted_join
+from gaugeflow.session import written
 
 # Fixed values of the batch leg.
 STEP_SECONDS = 120
@@ -61,10 +61,11 @@ def series_index(
         )
     # Range bounds are sampled per execution, so the sorted rows are written
     # once and read twice.
-    placed = cut_lineage(
+    placed = written(
         df.repartitionByRange(key, *order)
         .sortWithinPartitions(key, *order)
-        .withColumns({"_pid": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()})
+        .withColumns({"_pid": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()}),
+        "series-index",
     )
     chunks = placed.groupBy(key, "_pid").agg(
         F.count("*").alias("_rows"), F.min("_pos").alias("_first")
@@ -111,6 +112,17 @@ def train_split(df: DataFrame, key="series_key", time="ds", ties=(), **options)
     return indexed.withColumn("is_train", F.col("idx") < F.col("train_size"))
 
 
+def prepare_series(df: DataFrame, key="series_key", **columns) -> DataFrame:
+    """Cleaned rows with `use_regressor`; `x` is NULL where the gate is closed.
+
+    The deviation is an aggregate joined back, so no series is sorted for it.
+    """
+    cleaned = clean_series(df, keys=(key,), **columns)
+    gated = regressor_gate(cleaned, key).select(key, "use_regressor")
+    joined = salted_join(cleaned, gated, [key], ["ds", "y", "x"])
+    return joined.withColumn("x", F.when(F.col("use_regressor"), F.col("x")))
+
+
 def regressor_gate(
     df: DataFrame, key="series_key", regressor="x", min_std=REGRESSOR_MIN_STD
 ) -> DataFrame:

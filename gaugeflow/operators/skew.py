@@ -22,27 +22,36 @@ def hot_keys(df: DataFrame, keys, min_rows=ROWS_PER_SALT) -> DataFrame:
     return top.where(F.col("_rows") >= min_rows).select(*keys, salts.alias("_salts"))
 
 
-def salted_join(
-    rows: DataFrame, per_key: DataFrame, keys, spread, hot: DataFrame | None = None
-) -> DataFrame:
-    """Inner join of many rows with one (or few) rows per key.
+def salt(rows: DataFrame, copied: DataFrame, keys, spread, hot: DataFrame):
+    """Both sides with a `_salt` column to join on besides `keys`.
 
-    Rows of a hot key are spread over several tasks by a hash of `spread`; the
-    per-key rows of the hot keys are copied once per salt. Salts come from the
-    data, so a re-run task assigns the same ones.
+    Rows of a hot key on the left are spread by a hash of `spread`; the right
+    side's rows of that key are copied once per salt, so every left row still
+    meets all of them, once. Salts come from the data: a re-run task assigns
+    the same ones.
     """
     keys = list(keys)
-    hot = F.broadcast(hot if hot is not None else hot_keys(rows, keys))
+    hot = F.broadcast(hot)
     salted = rows.join(hot, keys, "left").withColumn(
         "_salt",
         F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(*spread), F.col("_salts")).cast("int")
         ),
     )
-    copied = per_key.join(hot, keys, "left").withColumn(
+    copies = copied.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    return salted.drop("_salts").join(copied.drop("_salts"), [*keys, "_salt"]).drop("_salt")
+    return salted.drop("_salts"), copies.drop("_salts")
+
+
+def salted_join(
+    rows: DataFrame, per_key: DataFrame, keys, spread, hot: DataFrame | None = None
+) -> DataFrame:
+    """Inner join of many rows with one (or few) rows per key, hot keys spread over tasks."""
+    keys = list(keys)
+    hot = hot if hot is not None else hot_keys(rows, keys)
+    salted, copies = salt(rows, per_key, keys, spread, hot)
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
 def largest_group(df: DataFrame, keys) -> int:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.functions.times import cell, mean_time, micros_of, second_text
+from gaugeflow.functions.times import cell, mean_of_sums, micros_of, second_text, time_sums
 
 
 def tumbling_agg(
@@ -24,19 +24,42 @@ def tumbling_agg(
     shuffle, so that group is never collected. The count is a long: an int
     would overflow in a busy window.
     """
-    aggregates = [F.avg(column).alias(name) for name, column in metrics.items()]
-    aggregates.append(F.count("*").alias("record_count"))
+    window = F.window(time, size).alias("_window")
+    sums = {"_rows": F.count("*")}
+    for number, column in enumerate(metrics.values()):
+        sums[f"_sum{number}"] = F.sum(column)
+        sums[f"_count{number}"] = F.count(column)
+    if mean_of:
+        sums |= time_sums(mean_of)
+    if latest and not df.isStreaming:
+        # A maximum of text cannot be kept in a hash table and would sort every
+        # row; as a grouping key it leaves a few rows per window to sort.
+        parts = df.groupBy(*keys, window, F.col(latest).alias("_latest")).agg(
+            *[term.alias(name) for name, term in sums.items()]
+        )
+        grouped = parts.groupBy(*keys, "_window").agg(
+            *[F.sum(name).alias(name) for name in sums], F.max("_latest").alias("_latest")
+        )
+    else:
+        newest = [F.max(latest).alias("_latest")] if latest else []
+        grouped = df.groupBy(*keys, window).agg(
+            *[term.alias(name) for name, term in sums.items()], *newest
+        )
+    results = [
+        F.try_divide(f"_sum{number}", f"_count{number}").alias(name)
+        for number, name in enumerate(metrics)
+    ]
+    results.append(F.col("_rows").alias("record_count"))
     if latest:
-        aggregates.append(F.max(latest).alias("avg_timestamp"))
+        results.append(F.col("_latest").alias("avg_timestamp"))
     if mean_of:
-        aggregates.append(mean_time(mean_of).alias("mean_obs"))
-    grouped = df.groupBy(*keys, F.window(time, size).alias("_window")).agg(*aggregates)
-    kept = [c for c in grouped.columns if c not in ("_window", *keys)]
+        mean = mean_of_sums(F.col("_high"), F.col("_low"), F.col("_times"))
+        results.append(mean.alias("mean_obs"))
     return grouped.select(
         *keys,
         F.col("_window.start").alias("window_start_ts"),
         F.col("_window.end").alias("window_end_ts"),
-        *kept,
+        *results,
     )
 
 

@@ -356,6 +356,14 @@ ORACLES = {
     "exceedance_score": _ANALYSIS + """
         SELECT series_key, round(p, 6) AS avg_predicted, round(q, 6) AS max_predicted,
                round(r, 6) AS trend, round(score, 6) AS score FROM y""",
+    "forecast_from_csv": _ANALYSIS + "SELECT series_key, round(score, 6) AS score, decision FROM y",
+    "prepare_series": f"""
+        WITH o AS (SELECT o_orderpriority AS series_key, strftime(o_orderdate, {SECOND}) AS ds, o_totalprice AS y,
+                          CASE WHEN o_orderpriority LIKE '1%' THEN 8.5::DOUBLE ELSE CAST(o_custkey AS DOUBLE) END AS x
+                   FROM orders),
+        g AS (SELECT series_key, coalesce(stddev_samp(x) > 0.01, false) AS use_regressor FROM o GROUP BY 1)
+        SELECT series_key, ds, y, CASE WHEN use_regressor THEN x END AS x, use_regressor
+        FROM o JOIN g USING (series_key)""",
     "decision": _ANALYSIS + "SELECT series_key, decision, trend_label FROM y",
     "forecast_report": _ANALYSIS + f"""
         SELECT series_key, n, {_RELIABILITY} AS reliability, printf('%.1f%%', score) AS probability,

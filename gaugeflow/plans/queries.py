@@ -8,6 +8,7 @@ from gaugeflow.functions.times import minute_key, minute_text, parse_time, secon
 from gaugeflow.operators import extracts, forecast, joined_windows, parsing, reports, series
 from gaugeflow.operators.joins import paired_readings
 from gaugeflow.operators.windows import bounds_as_text, gaps, tumbling_agg, window_documents
+from gaugeflow.plans import batch
 from gaugeflow.plans.inputs import (
     DAY,
     broken_messages,
@@ -606,3 +607,35 @@ def forecast_report(spark, sf_dir):
 @query
 def report_breakdown(spark, sf_dir):
     return rounded(reports.report_breakdown(_user_forecast(spark, sf_dir)), "yhat")
+
+
+@query
+def forecast_from_csv(spark, sf_dir):
+    folder = scratch_path(spark, "forecast-csv")
+    exported = user_days(spark, sf_dir).select(
+        "series_key",
+        second_text("ds").alias("window_start"),
+        F.col("x").alias("avg_temperature"),
+        F.col("y").alias("avg_precipitation"),
+    )
+    writers.export_csv(exported, folder)
+    schema = "series_key STRING, window_start STRING, avg_temperature STRING, avg_precipitation STRING"
+    _, analysis = batch.forecast_from_csv(
+        spark, folder, schema, "series_key", "linear", DAY, threshold=SCORE_THRESHOLD
+    )
+    return rounded(analysis.select("series_key", "score", "decision"), "score")
+
+
+@query
+def prepare_series(spark, sf_dir):
+    """Orders as series per priority; one priority has a constant regressor."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("series_key"),
+        second_text("o_orderdate").alias("window_start"),
+        F.col("o_totalprice").cast("string").alias("avg_precipitation"),
+        F.when(F.col("o_orderpriority").startswith("1"), "8.5")
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("avg_temperature"),
+    )
+    prepared = series.prepare_series(orders)
+    return prepared.withColumn("ds", second_text("ds"))

@@ -16,23 +16,23 @@ def detect_encodings(spark: SparkSession, path) -> DataFrame:
     Reads the files as raw lines, split and aggregated like any text scan; no
     file is loaded whole.
     """
+    first_bytes = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
+    marked = first_bytes.isin(*UTF16_MARKS).cast("int")
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.is_valid_utf8("value").alias("valid"),
+        # Line number and mark in one long: the minimum tells the first line's mark.
         F.when(
             F.col("_metadata.file_block_start") == 0,
-            F.struct(
-                F.monotonically_increasing_id().alias("at"),
-                F.hex(F.substring(F.col("value").cast("binary"), 1, 2)).alias("mark"),
-            ),
-        ).alias("start"),
+            F.monotonically_increasing_id() * 2 + marked,
+        ).alias("first"),
     )
     files = lines.groupBy("file").agg(
-        F.bool_and("valid").alias("valid"), F.min("start").getField("mark").alias("mark")
+        F.bool_and("valid").alias("valid"), F.min("first").alias("first")
     )
     return files.select(
         "file",
-        F.when(F.col("mark").isin(*UTF16_MARKS), "UTF-16")
+        F.when(F.col("first") % 2 == 1, "UTF-16")
         .when(F.col("valid"), "UTF-8")
         .otherwise("ISO-8859-1")
         .alias("encoding"),

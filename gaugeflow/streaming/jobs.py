@@ -10,8 +10,7 @@ from gaugeflow.operators.windows import tumbling_agg, window_documents
 from gaugeflow.session import use_utc
 from gaugeflow.sinks.writers import fan_out
 
-# Seconds between polls, checkpoint interval.
-POLL_SECONDS = 30
+# Fixed value: the checkpoint interval.
 TRIGGER = "60 seconds"
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -87,12 +86,24 @@ def heartbeat(spark: SparkSession, path: str, schema, **values) -> None:
     spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(path)
 
 
-def replay(windows: DataFrame, sinks, checkpoint, heartbeat_writer=None) -> None:
-    """Run a query over everything available, then flush the last windows."""
-    start(windows, sinks, checkpoint, {"availableNow": True}).awaitTermination()
+def replay(windows: DataFrame, sinks, checkpoint, heartbeat_writer=None):
+    """Run a query over everything available, then flush the last windows; gives the last run."""
+    query = start(windows, sinks, checkpoint, {"availableNow": True})
+    query.awaitTermination()
     if heartbeat_writer:
         heartbeat_writer()
-        start(windows, sinks, checkpoint, {"availableNow": True}).awaitTermination()
+        query = start(windows, sinks, checkpoint, {"availableNow": True})
+        query.awaitTermination()
+    return query
+
+
+def late_rows(query) -> int:
+    """Rows a query has dropped for arriving after the watermark, over its recent progress."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
 
 
 def event_pairs(events: DataFrame, left="click", right="view", key=minute_text):
