@@ -139,97 +139,139 @@ def _future(model, key, step, periods, origin):
 # -------------------------------------------------------------- additive model
 
 
+# What a prediction needs to know about its series, besides the coefficients.
+MODEL_COLUMNS = {
+    "n": "BIGINT",
+    "changepoints": "INT",
+    "daily": "BOOLEAN",
+    "t0": "BIGINT",
+    "t_span": "DOUBLE",
+    "use_regressor": "BOOLEAN",
+    "x_mean": "DOUBLE",
+    "x_std": "DOUBLE",
+    "x_last": "DOUBLE",
+    "train_end": "TIMESTAMP",
+    "last_ds": "TIMESTAMP",
+}
+
+
 def fit_additive(
     df: DataFrame, key="series_key", ties=(), daily_order=DAILY_ORDER, trend_reg=1.0,
     crowded=None,
 ) -> DataFrame:
-    """One row per series: the settings, the scales and the coefficients.
+    """One row per series: `MODEL_COLUMNS` and the `coefficients`.
 
     Fits `(key, ds, y, x)` rows: piecewise-linear trend, daily waves for series
-    of 50 rows or more, and the regressor where it varies. The result is
-    written to the shared folder, since forecasts read it more than once.
+    of 50 rows or more, and the regressor where it varies. Ordinary series take
+    one shuffle; the rows of a crowded one are spread over tasks and their sums
+    added up. The result is written to the shared folder, since forecasts read
+    it more than once.
     """
     crowded = is_crowded(df, key) if crowded is None else crowded
-    split = with_config(series_index(df, key, "ds", ties, crowded))
-    micros, cut = F.unix_micros("ds"), F.col("idx") == F.col("train_size") - 1
-    # Fixed-width values only, so that the aggregation needs no sort.
-    settings = split.groupBy(key).agg(
-        F.max("n").alias("n"),
-        F.min(micros).alias("t0"),
-        F.max(F.when(cut, F.col("ds"))).alias("train_end"),
-        *[F.max(F.when(cut, F.col(tie))).alias(f"_cut_{tie}") for tie in ties],
-        F.stddev_samp("x").alias("x_std"),
-        F.avg(F.when(_train_rows(), F.col("x"))).alias("x_mean"),
-        F.max_by("x", "idx").alias("x_last"),
-        F.max("ds").alias("last_ds"),
+    train = _spread_train_rows if crowded else _train_rows_in_order
+    fitted = train(df, key, ties).where(F.col("y").isNotNull())
+    terms = design.features("ds", F.col("x"), daily_order)
+    size, settings = len(terms), list(MODEL_COLUMNS)
+    shaped = fitted.select(
+        key, *settings, *[term.alias(f"_f{i}") for i, term in enumerate(terms)], "y"
+    )
+    # Rows of a series side by side: one result per task and series.
+    schema = ", ".join(f"{name} {kind}" for name, kind in MODEL_COLUMNS.items())
+    sums = shaped.sortWithinPartitions(key).mapInArrow(
+        _sums_per_series(len(settings), size), f"{key} STRING, {schema}, sums ARRAY<DOUBLE>"
     )
-    span = F.unix_micros("train_end") - F.col("t0")
-    settings = with_config(settings).withColumns(
+    if crowded:
+        totals = ", ".join(f"sum(sums[{i}])" for i in range(size * (size + 1) // 2 + size))
+        sums = sums.groupBy(key, *settings).agg(F.expr(f"array({totals})").alias("sums"))
+    solve = _solver(design.penalties(daily_order, trend_reg))
+    return cut_lineage(sums.select(key, *settings, solve("sums").alias("coefficients")))
+
+
+def _settings(split, ties, aggregate):
+    """Model columns of numbered rows; `aggregate` says over what an aggregate runs.
+
+    Only fixed-width values, so that an aggregation needs no sort.
+    """
+    micros, cut = F.unix_micros("ds"), F.col("idx") == F.col("train_size") - 1
+    terms = {
+        "t0": F.min(micros),
+        "train_end": F.max(F.when(cut, F.col("ds"))),
+        "x_std": F.stddev_samp("x"),
+        "x_mean": F.avg(F.when(_train_rows(), F.col("x"))),
+        "x_last": F.max(F.when(F.col("idx") == F.col("n") - 1, F.col("x"))),
+        "last_ds": F.max("ds"),
+        **{f"_cut_{tie}": F.max(F.when(cut, F.col(tie))) for tie in ties},
+    }
+    return aggregate(split, terms).withColumns(
         {
-            "t_span": F.greatest(span, F.lit(1)).cast("double"),
+            "t_span": F.greatest(F.unix_micros("train_end") - F.col("t0"), F.lit(1)).cast("double"),
             "use_regressor": gate(F.col("x_std")),
         }
     )
-    settings = cut_lineage(settings)
 
-    fitted = _with_model(df.select(key, "ds", *ties, "y", "x"), settings, key, crowded)
-    last_fitted = F.struct("train_end", *[f"_cut_{tie}" for tie in ties])
-    fitted = fitted.where(F.struct("ds", *ties) <= last_fitted)
-    terms = design.features("ds", F.col("x"), daily_order)
-    size = len(terms)
-    shaped = fitted.where(F.col("y").isNotNull()).select(
-        key, *[term.alias(f"_f{i}") for i, term in enumerate(terms)], "y"
-    )
-    # Rows of a series side by side: one partial result per task and series.
-    partial = shaped.sortWithinPartitions(key).mapInArrow(
-        _partial_sums(key, size), f"{key} STRING, sums ARRAY<DOUBLE>"
-    )
-    # One SQL text instead of some hundred Column calls.
-    totals = ", ".join(f"sum(sums[{i}])" for i in range(size * (size + 1) // 2 + size))
-    sums = partial.groupBy(key).agg(F.expr(f"array({totals})").alias("_sums"))
-    solve = _solver(design.penalties(daily_order, trend_reg))
-    solved = sums.select(key, solve("_sums").alias("coefficients"))
-    return cut_lineage(settings.drop(*[f"_cut_{tie}" for tie in ties]).join(solved, key))
+
+def _train_rows_in_order(df, key, ties):
+    """Training rows with their model columns; the window keeps a series in one task."""
+    whole = Window.partitionBy(key)
+    split = with_config(series_index(df, key, "ds", ties, crowded=False))
+
+    def over_series(rows, terms):
+        return rows.withColumns({name: term.over(whole) for name, term in terms.items()})
+
+    return _settings(split, (), over_series).where(_train_rows())
+
+
+def _spread_train_rows(df, key, ties):
+    """Training rows with their model columns, crowded series spread over several tasks."""
+    split = with_config(series_index(df, key, "ds", ties, crowded=True))
+
+    def per_series(rows, terms):
+        aggregates = [term.alias(name) for name, term in terms.items()]
+        return with_config(rows.groupBy(key).agg(F.max("n").alias("n"), *aggregates))
+
+    settings = cut_lineage(_settings(split, ties, per_series))
+    rows = salted_join(df.select(key, "ds", *ties, "y", "x"), settings, [key], ["ds", *ties])
+    last = F.struct("train_end", *[f"_cut_{tie}" for tie in ties])
+    return rows.where(F.struct("ds", *ties) <= last)
 
 
-def _partial_sums(key, size):
+def _sums_per_series(settings, size):
     """Feature products and feature-target products of each run of equal keys.
 
-    Columns of a batch: key, `size` features, target.
+    Columns of a batch: key, `settings` columns to keep, `size` features, target.
     """
     upper = np.triu_indices(size)
 
-    def packed(finished):
-        sums = [np.concatenate([gram[upper], gram[:, size]]) for _, gram in finished]
-        names = pa.array([name for name, _ in finished], pa.string())
-        return pa.RecordBatch.from_arrays([names, pa.array(sums, pa.list_(pa.float64()))], [key, "sums"])
+    def result(labels, grams):
+        sums = [np.concatenate([gram[upper], gram[:, size]]) for gram in grams]
+        columns = [*labels.columns, pa.array(sums, pa.list_(pa.float64()))]
+        return pa.RecordBatch.from_arrays(columns, [*labels.schema.names, "sums"])
 
     def run(batches):
-        last = None
+        pending = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            encoded = batch.column(0).dictionary_encode()
-            names = encoded.dictionary.to_pylist()
-            codes = encoded.indices.to_numpy(zero_copy_only=False)
-            numbers = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
-            matrix = np.column_stack(numbers)
+            codes = batch.column(0).dictionary_encode().indices.to_numpy(zero_copy_only=False)
             starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-            finished = []
+            columns = batch.columns[settings + 1 :]
+            matrix = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
+            grams = []
             for start, end in zip(starts, [*starts[1:], len(codes)]):
                 block = matrix[start:end]
-                gram = block[:, :size].T @ block
-                name = names[codes[start]]
-                if last and last[0] == name:
-                    last = (name, last[1] + gram)
-                    continue
-                if last:
-                    finished.append(last)
-                last = (name, gram)
-            if finished:
-                yield packed(finished)
-        if last:
-            yield packed([last])
+                grams.append(block[:, :size].T @ block)
+            names = batch.schema.names[: settings + 1]
+            labels = batch.select(names).take(pa.array(starts))
+            if pending and pending[0].column(0)[0] == labels.column(0)[0]:
+                grams[0] += pending[1]
+            elif pending:
+                yield result(pending[0], [pending[1]])
+            # The last series may go on in the next batch.
+            if len(grams) > 1:
+                yield result(labels.slice(0, len(grams) - 1), grams[:-1])
+            pending = (labels.slice(len(grams) - 1), grams[-1])
+        if pending:
+            yield result(pending[0], [pending[1]])
 
     return run
 

@@ -533,29 +533,33 @@ def future_frame(spark, sf_dir):
 # -------------------------------------------------------------------- forecasts
 
 
+# A daily series has one row per day, so none is too long for one task.
+DAILY = {"step": DAY, "crowded": False}
+
+
 def _forecast_report(frame):
     return rounded(frame.withColumn("ds", second_text("ds")).drop("step_no"), "yhat")
 
 
 @query
 def forecast_linear(spark, sf_dir):
-    return _forecast_report(forecast.forecast_linear(user_days(spark, sf_dir), step=DAY))
+    return _forecast_report(forecast.forecast_linear(user_days(spark, sf_dir), **DAILY))
 
 
 @query
 def forecast_linear_train_end(spark, sf_dir):
     days = user_days(spark, sf_dir)
-    return _forecast_report(forecast.forecast_linear(days, step=DAY, origin="train_end"))
+    return _forecast_report(forecast.forecast_linear(days, origin="train_end", **DAILY))
 
 
 @query
 def forecast_additive(spark, sf_dir):
-    return _forecast_report(forecast.forecast_additive(user_days(spark, sf_dir), step=DAY))
+    return _forecast_report(forecast.forecast_additive(user_days(spark, sf_dir), **DAILY))
 
 
 @query
 def holdout_metrics(spark, sf_dir):
-    return rounded(forecast.holdout_metrics(user_days(spark, sf_dir), step=DAY), "mae", "rmse")
+    return rounded(forecast.holdout_metrics(user_days(spark, sf_dir), **DAILY), "mae", "rmse")
 
 
 @query
@@ -570,7 +574,7 @@ def trend_slope(spark, sf_dir):
 
 
 def _user_forecast(spark, sf_dir):
-    return forecast.forecast_linear(user_days(spark, sf_dir), step=DAY, history=False)
+    return forecast.forecast_linear(user_days(spark, sf_dir), history=False, **DAILY)
 
 
 def _user_analysis(spark, sf_dir):

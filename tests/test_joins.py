@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeflow.operators import joins
 from gaugeflow.operators.joined_windows import joined_window_agg
 from gaugeflow.operators.joins import interval_join, paired_readings
 from gaugeflow.operators.skew import HOT_LIMIT, hot_keys, largest_group, salted_join
@@ -68,7 +69,7 @@ BANDS = [(-5, 5), (0, 10), (1, 4), (-9, -2), (0, 0), (-0.5, 0.25)]
 
 
 @pytest.mark.parametrize("lower, upper", BANDS)
-@pytest.mark.parametrize("salts", [1, 3])
+@pytest.mark.parametrize("salts", ["auto", 3])
 def test_pairs_equal_brute_force(spark, lower, upper, salts):
     rng = random.Random(7)
     keys = ["a"] * 4 + ["b", "c"]
@@ -82,9 +83,13 @@ def test_pairs_equal_brute_force(spark, lower, upper, salts):
     assert got == brute_pairs(left, right, lower, upper)
 
 
-@pytest.mark.parametrize("lower, upper", BANDS)
-@pytest.mark.parametrize("step", [0.25, 10, 0.000001])
+@pytest.mark.parametrize(
+    "lower, upper, step",
+    [(-5, 5, 0.25), (-5, 5, 10), (0, 10, 0.25), (1, 4, 0.25), (-9, -2, 0.25), (0, 0, 10)]
+    + [(-0.5, 0.25, 0.25), (-5, 5, 0.000001), (0, 0, 0.000001)],
+)
 def test_running_sums_equal_pairs(spark, lower, upper, step):
+    """Several densities; the last ones put all rows into one slice of one cell."""
     rng = random.Random(11)
     keys = ["a"] * 5 + ["b"]
     span = 600 if step > 0.001 else 0.0005
@@ -92,19 +97,31 @@ def test_running_sums_equal_pairs(spark, lower, upper, step):
     right = side(spark, random_side(rng, 300, keys, span, step))
     frames = [
         joined_window_agg(left, right, lower, upper, method=method)
-        for method in ("pairs", "sums", "auto")
-    ]
-    wanted, sums, auto = [
-        {r.window_start_ts: r for r in frame.collect()} for frame in frames
+        for method in ("pairs", "sums")
     ]
-    assert wanted.keys() == sums.keys() == auto.keys()
+    wanted, sums = [{r.window_start_ts: r for r in frame.collect()} for frame in frames]
+    assert wanted.keys() == sums.keys()
     for start, row in wanted.items():
-        for other in (sums[start], auto[start]):
-            assert other.record_count == row.record_count
-            assert other.avg_timestamp == row.avg_timestamp
-            assert other.window_end_ts == row.window_end_ts
-            assert other.avg_v1 == pytest.approx(row.avg_v1, abs=1e-9)
-            assert other.avg_v2 == pytest.approx(row.avg_v2, abs=1e-9)
+        other = sums[start]
+        assert other.record_count == row.record_count
+        assert other.avg_timestamp == row.avg_timestamp
+        assert other.window_end_ts == row.window_end_ts
+        assert other.avg_v1 == pytest.approx(row.avg_v1, abs=1e-9)
+        assert other.avg_v2 == pytest.approx(row.avg_v2, abs=1e-9)
+
+
+def test_crowded_cells_are_salted(spark, monkeypatch):
+    """The same pairs, with every cell above five rows split."""
+    rng = random.Random(5)
+    left = random_side(rng, 200, ["a"] * 9 + ["b"], 20, 0.25)
+    right = random_side(rng, 200, ["a"] * 9 + ["b"], 20, 0.25)
+    monkeypatch.setattr(joins, "HOT_CELL_ROWS", 5)
+    pairs = paired_readings(side(spark, left), side(spark, right), -1, 1)
+    got = sorted(
+        (r.obs_key, (r.t1 - BASE).total_seconds(), r.v1, (r.t2 - BASE).total_seconds(), r.v2)
+        for r in pairs.collect()
+    )
+    assert got == brute_pairs(left, right, -1, 1)
 
 
 def test_running_sums_on_a_hot_instant(spark):
