@@ -19,6 +19,8 @@ _MARK, _BEFORE, _POINT, _AFTER = -1, 0, 1, 2
 # plain join is cheaper.
 PAIRS_PER_ROW = 50
 PAIRS_PER_CELL = 10_000_000
+ROWS_PER_SLICE = 1_000_000
+MAX_SLICES = 16_384
 
 
 def joined_window_agg(
@@ -38,19 +40,26 @@ def joined_window_agg(
     pairs first.
     """
     keys = list(keys)
-    checked = method == "auto"
-    if checked:
-        method = "sums" if _dense(left, right, keys, lower, upper) else "pairs"
-    if method == "pairs":
-        pairs = paired_readings(left, right, lower, upper, keys=keys, salts=1 if checked else "auto")
-        metrics = {names[0]: "v1", names[1]: "v2"}
-        return tumbling_agg(pairs, "t1", metrics, size, latest=keys[0])
-    return _by_running_sums(left, right, keys, lower, upper, size, names)
+    salts = "auto"
+    if method != "pairs":
+        pairs, total, busiest_pairs, busiest_rows = _density(left, right, keys, lower, upper)
+        if method == "sums" or pairs > PAIRS_PER_ROW * total or busiest_pairs > PAIRS_PER_CELL:
+            slices = min(-(-busiest_rows // ROWS_PER_SLICE), MAX_SLICES)
+            return _by_running_sums(left, right, keys, lower, upper, size, names, slices)
+        salts = 1  # no crowded cell
+    joined = paired_readings(left, right, lower, upper, keys=keys, salts=salts)
+    metrics = {names[0]: "v1", names[1]: "v2"}
+    return tumbling_agg(joined, "t1", metrics, size, latest=keys[0])
 
 
-def _dense(left, right, keys, lower, upper) -> bool:
-    """Whether the join would look at too many pairs, overall or within one cell."""
-    width = max(micros_of(upper) - micros_of(lower), 1_000_000)
+def _cell_width(low, high):
+    """A band is shorter than one cell, so it touches at most two neighbours."""
+    return max(high - low + 1, 1_000_000)
+
+
+def _density(left, right, keys, lower, upper):
+    """Candidate pairs, rows, and pairs and rows of the busiest cell."""
+    width = _cell_width(micros_of(lower), micros_of(upper))
 
     def side(df, is_left):
         return df.select(
@@ -66,18 +75,14 @@ def _dense(left, right, keys, lower, upper) -> bool:
         .groupBy(*keys, "_cell")
         .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     )
-    in_cell, rows = F.col("_l") * F.col("_r"), F.col("_l") + F.col("_r")
-    pairs, busiest, total = cells.agg(F.sum(in_cell), F.max(in_cell), F.sum(rows)).first()
-    return bool(total) and (pairs > PAIRS_PER_ROW * total or busiest > PAIRS_PER_CELL)
+    pairs, rows = F.col("_l") * F.col("_r"), F.col("_l") + F.col("_r")
+    found = cells.agg(F.sum(pairs), F.sum(rows), F.max(pairs), F.max(rows)).first()
+    return [int(number or 0) for number in found]
 
 
-def _by_running_sums(left, right, keys, lower, upper, size, names):
+def _by_running_sums(left, right, keys, lower, upper, size, names, slices):
     low, high = micros_of(lower), micros_of(upper)
-    # A band is shorter than one cell, so it touches at most two neighbours.
-    width = max(high - low + 1, 1_000_000)
-    # Cells are sorted in slices, so a crowded cell is still many tasks; equal
-    # instants are merged first, so a slice has at most one row per microsecond.
-    slice_width = min(max(width // 1024, 1_000), 1_000_000)
+    width = _cell_width(low, high)
 
     # Aggregating before the shuffle also merges groups of equal arrival times.
     ones = left.groupBy(*keys, F.unix_micros("arrival_ts").alias("_t")).agg(
@@ -112,53 +117,11 @@ def _by_running_sums(left, right, keys, lower, upper, size, names):
         ),
     )
     points = twos.select(*keys, "_at", F.lit(_POINT).alias("_kind"), "_n2", "_s2")
-    rows = points.unionByName(probes, allowMissingColumns=True).withColumns(
-        {"_cell": cell(F.col("_at"), width), "_slice": cell(F.col("_at"), slice_width)}
-    )
-
-    # Per slice one mark row: what lies before it in its cell, and the cell's total.
-    # The kinds of rows have no NULL sums except the probes, which add nothing.
-    slices = rows.groupBy(*keys, "_cell", "_slice").agg(
-        F.coalesce(F.sum("_n2"), F.lit(0)).alias("_n"),
-        F.coalesce(F.sum("_s2"), F.lit(0.0)).alias("_s"),
-    )
-    in_cell = Window.partitionBy(*keys, "_cell")
-    earlier = in_cell.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    marks = slices.select(
-        *keys,
-        "_cell",
-        "_slice",
-        # A cell may begin inside a slice; its mark must not lie before the cell.
-        F.greatest(F.col("_slice") * slice_width, F.col("_cell") * width).alias("_at"),
-        F.lit(_MARK).alias("_kind"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n2"),
-        F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s2"),
-        F.sum("_n").over(in_cell).alias("_total_n"),
-        F.sum("_s").over(in_cell).alias("_total_s"),
-    )
-
-    running = (
-        Window.partitionBy(*keys, "_cell", "_slice")
-        .orderBy("_at", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    seen = (
-        rows.unionByName(marks, allowMissingColumns=True)
-        .select(
-            *keys,
-            "_kind",
-            "_t",
-            "_n1",
-            "_s1",
-            F.expr("_sign").alias("_sign"),
-            "_whole",
-            F.sum("_n2").over(running).alias("_n"),
-            F.sum("_s2").over(running).alias("_s"),
-            F.sum("_total_n").over(running).alias("_cell_n"),
-            F.sum("_total_s").over(running).alias("_cell_s"),
-        )
-        .where(F.col("_t").isNotNull())
+    rows = points.unionByName(probes, allowMissingColumns=True).withColumn(
+        "_cell", cell(F.col("_at"), width)
     )
+    seen = _sliced_sums(rows, keys, width, slices) if slices > 1 else _cell_sums(rows, keys)
+    seen = seen.where(F.col("_t").isNotNull())
     in_band_n = F.expr("_sign * _n + _whole * _cell_n")
     in_band_s = F.expr("_sign * _s + _whole * _cell_s")
     per_key = (
@@ -187,3 +150,65 @@ def _by_running_sums(left, right, keys, lower, upper, size, names):
             "avg_timestamp",
         )
     )
+
+
+def _cell_sums(rows, keys):
+    """Adds to each row the sums up to it in its cell (`_n`, `_s`) and the cell's totals."""
+    whole = Window.partitionBy(*keys, "_cell")
+    running = whole.orderBy("_at", "_kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+
+    def over(column, window):
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+    return rows.withColumns(
+        {
+            "_n": over("_n2", running),
+            "_s": over("_s2", running),
+            "_cell_n": over("_n2", whole),
+            "_cell_s": over("_s2", whole),
+        }
+    )
+
+
+def _sliced_sums(rows, keys, width, slices):
+    """`_cell_sums` with every cell sorted in slices, so a crowded cell is many tasks.
+
+    Each slice begins with a mark row that holds the sums of the slices before
+    it in the cell and the cell's totals. Equal instants are merged already, so
+    a slice has at most a few rows per microsecond, however many came in.
+    """
+    slice_width = max(width // slices, 1_000)
+    rows = rows.withColumn("_slice", cell(F.col("_at"), slice_width))
+    totals = rows.groupBy(*keys, "_cell", "_slice").agg(
+        F.coalesce(F.sum("_n2"), F.lit(0)).alias("_n"),
+        F.coalesce(F.sum("_s2"), F.lit(0.0)).alias("_s"),
+    )
+    in_cell = Window.partitionBy(*keys, "_cell")
+    earlier = in_cell.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    marks = totals.select(
+        *keys,
+        "_cell",
+        "_slice",
+        # A cell may begin inside a slice; its mark must not lie before the cell.
+        F.greatest(F.col("_slice") * slice_width, F.col("_cell") * width).alias("_at"),
+        F.lit(_MARK).alias("_kind"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n2"),
+        F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s2"),
+        F.sum("_n").over(in_cell).alias("_total_n"),
+        F.sum("_s").over(in_cell).alias("_total_s"),
+    )
+    running = (
+        Window.partitionBy(*keys, "_cell", "_slice")
+        .orderBy("_at", "_kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return rows.unionByName(marks, allowMissingColumns=True).withColumns(
+        {
+            "_n": F.sum("_n2").over(running),
+            "_s": F.sum("_s2").over(running),
+            "_cell_n": F.sum("_total_n").over(running),
+            "_cell_s": F.sum("_total_s").over(running),
+        }
+    )

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeflow.operators import joins
+from gaugeflow.operators import joined_windows, joins
 from gaugeflow.operators.joined_windows import joined_window_agg
 from gaugeflow.operators.joins import interval_join, paired_readings
 from gaugeflow.operators.skew import HOT_LIMIT, hot_keys, largest_group, salted_join
@@ -88,8 +88,10 @@ def test_pairs_equal_brute_force(spark, lower, upper, salts):
     [(-5, 5, 0.25), (-5, 5, 10), (0, 10, 0.25), (1, 4, 0.25), (-9, -2, 0.25), (0, 0, 10)]
     + [(-0.5, 0.25, 0.25), (-5, 5, 0.000001), (0, 0, 0.000001)],
 )
-def test_running_sums_equal_pairs(spark, lower, upper, step):
-    """Several densities; the last ones put all rows into one slice of one cell."""
+@pytest.mark.parametrize("rows_per_slice", [7, 1_000_000])
+def test_running_sums_equal_pairs(spark, monkeypatch, lower, upper, step, rows_per_slice):
+    """Several densities, in whole cells and in slices; the last ones fill one slice only."""
+    monkeypatch.setattr(joined_windows, "ROWS_PER_SLICE", rows_per_slice)
     rng = random.Random(11)
     keys = ["a"] * 5 + ["b"]
     span = 600 if step > 0.001 else 0.0005
