@@ -253,9 +253,15 @@ def _gap_report(found):
 # -------------------------------------------------------------------- streaming
 
 
+def _events_stream(session, sf_dir):
+    # As a pattern, because a stream does not take the plain path of a single
+    # file; it fits a folder of that name as well.
+    return topics.read_record_files(session, f"{sf_dir}/events.parque[t]", EVENTS)
+
+
 def _typed_events_stream(session, sf_dir, beat):
     """The events files and a heartbeat folder as one stream."""
-    data = topics.read_record_files(session, sf_dir, EVENTS, name_filter="events.parquet")
+    data = _events_stream(session, sf_dir)
     beats = topics.read_record_files(session, beat, EVENTS)
     return data.unionByName(beats).withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -309,7 +315,7 @@ def wallclock_window_agg(spark, sf_dir):
     """The windows depend on the clock; their totals per key do not."""
     session = jobs.state_session(spark, _table_bytes(spark, sf_dir, "events"))
     work = scratch_path(spark, "wallclock")
-    stream = topics.read_record_files(session, sf_dir, EVENTS, name_filter="events.parquet")
+    stream = _events_stream(session, sf_dir)
     windows = wallclock.running_windows(stream, {"avg_value": "value"}, keys=("event_type",))
     sink = writers.window_store(f"{work}/store")
     jobs.start(

@@ -40,7 +40,7 @@ def shared_dir(spark):
     temporary folder; on a cluster a missing setting is an error, because a
     machine-local folder would be lost with its executor.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

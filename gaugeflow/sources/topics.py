@@ -30,13 +30,14 @@ def read_topic(spark: SparkSession, options: dict, streaming=True) -> DataFrame:
 
 
 def read_record_files(
-    spark: SparkSession, path, schema=TOPIC_RECORD, streaming=True, name_filter=None,
-    files_per_batch=None, format="parquet",
+    spark: SparkSession, path, schema=TOPIC_RECORD, streaming=True, files_per_batch=None,
+    format="parquet",
 ) -> DataFrame:
-    """Records landed as files, with the same downstream contract as a topic."""
+    """Records landed as files, with the same downstream contract as a topic.
+
+    `path` is a folder or a pattern.
+    """
     reader = (spark.readStream if streaming else spark.read).format(format).schema(schema)
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
     if streaming and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)

@@ -164,6 +164,9 @@ def test_cluster_without_shared_folder_is_an_error():
     class Context:
         master = "yarn"
 
+        def getCheckpointDir(self):
+            return None
+
     class Cluster:
         conf, sparkContext = Conf(), Context()
 

@@ -38,3 +38,10 @@ def test_additive_forecast_covers_history_and_future(spark, small):
 def test_no_cross_joins(spark, small, name):
     plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["stream_window_agg", "wallclock_window_agg"])
+def test_streams_read_tables_of_many_files(spark, small, tmp_path, name):
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    assert differences(QUERIES[name](spark, str(tmp_path)), connect(small), ORACLES[name]) == ""
