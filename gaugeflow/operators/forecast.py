@@ -24,7 +24,7 @@ from gaugeflow.operators.series import (
     series_index,
     with_config,
 )
-from gaugeflow.operators.skew import salted_join
+from gaugeflow.operators.skew import per_key_join
 from gaugeflow.session import cut_lineage
 
 DAILY_ORDER = 6
@@ -73,7 +73,7 @@ def with_linear_model(
     split = with_config(series_index(df, key, "ds", ties, crowded))
     if crowded:
         model = fit_linear(split, key, step, _train_rows()).drop("n")
-        return salted_join(split, model, [key], ["ds", *ties])
+        return per_key_join(split, model, [key])
     series = Window.partitionBy(key)
     terms = {name: term.over(series) for name, term in _linear_terms(step, _train_rows()).items()}
     return split.withColumns(terms).fillna(0.0, ["slope"])
@@ -125,9 +125,9 @@ def holdout_metrics(
 
 
 def _with_model(rows, model, key, crowded):
-    """Rows with their series' model; a crowded series is spread over several tasks."""
+    """Rows with their series' model; a crowded series is not moved to one task."""
     if crowded:
-        return salted_join(rows, model, [key], ["ds"])
+        return per_key_join(rows, model, [key])
     return rows.join(model, key)
 
 
@@ -187,24 +187,24 @@ def fit_additive(
     return cut_lineage(sums.select(key, *settings, solve("sums").alias("coefficients")))
 
 
-def _settings(split, ties, aggregate):
+def _settings(split, aggregate):
     """Model columns of numbered rows; `aggregate` says over what an aggregate runs.
 
     Only fixed-width values, so that an aggregation needs no sort.
     """
-    micros, cut = F.unix_micros("ds"), F.col("idx") == F.col("train_size") - 1
+    last, cut = F.col("n") - 1, F.col("train_size") - 1
     terms = {
-        "t0": F.min(micros),
-        "train_end": F.max(F.when(cut, F.col("ds"))),
+        "t0": F.min(F.unix_micros("ds")),
+        "train_end": F.max(F.when(F.col("idx") == cut, F.col("ds"))),
         "x_std": F.stddev_samp("x"),
         "x_mean": F.avg(F.when(_train_rows(), F.col("x"))),
-        "x_last": F.max(F.when(F.col("idx") == F.col("n") - 1, F.col("x"))),
+        "x_last": F.max(F.when(F.col("idx") == last, F.col("x"))),
         "last_ds": F.max("ds"),
-        **{f"_cut_{tie}": F.max(F.when(cut, F.col(tie))) for tie in ties},
     }
+    span = F.unix_micros("train_end") - F.col("t0")
     return aggregate(split, terms).withColumns(
         {
-            "t_span": F.greatest(F.unix_micros("train_end") - F.col("t0"), F.lit(1)).cast("double"),
+            "t_span": F.greatest(span, F.lit(1)).cast("double"),
             "use_regressor": gate(F.col("x_std")),
         }
     )
@@ -218,7 +218,7 @@ def _train_rows_in_order(df, key, ties):
     def over_series(rows, terms):
         return rows.withColumns({name: term.over(whole) for name, term in terms.items()})
 
-    return _settings(split, (), over_series).where(_train_rows())
+    return _settings(split, over_series).where(_train_rows())
 
 
 def _spread_train_rows(df, key, ties):
@@ -229,10 +229,9 @@ def _spread_train_rows(df, key, ties):
         aggregates = [term.alias(name) for name, term in terms.items()]
         return with_config(rows.groupBy(key).agg(F.max("n").alias("n"), *aggregates))
 
-    settings = cut_lineage(_settings(split, ties, per_series))
-    rows = salted_join(df.select(key, "ds", *ties, "y", "x"), settings, [key], ["ds", *ties])
-    last = F.struct("train_end", *[f"_cut_{tie}" for tie in ties])
-    return rows.where(F.struct("ds", *ties) <= last)
+    settings = cut_lineage(_settings(split, per_series))
+    rows = split.where(_train_rows()).select(key, "ds", "y", "x")
+    return per_key_join(rows, settings, [key])
 
 
 def _sums_per_series(settings, size):

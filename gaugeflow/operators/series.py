@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.times import MICROS, micros_of
-from gaugeflow.operators.skew import largest_group, salted_join
+from gaugeflow.operators.skew import largest_group, per_key_join
 from gaugeflow.session import written
 
 # Fixed values of the batch leg.
@@ -119,7 +119,7 @@ def prepare_series(df: DataFrame, key="series_key", **columns) -> DataFrame:
     """
     cleaned = clean_series(df, keys=(key,), **columns)
     gated = regressor_gate(cleaned, key).select(key, "use_regressor")
-    joined = salted_join(cleaned, gated, [key], ["ds", "y", "x"])
+    joined = per_key_join(cleaned, gated, [key])
     return joined.withColumn("x", F.when(F.col("use_regressor"), F.col("x")))
 
 

@@ -44,14 +44,19 @@ def salt(rows: DataFrame, copied: DataFrame, keys, spread, hot: DataFrame):
     return salted.drop("_salts"), copies.drop("_salts")
 
 
-def salted_join(
-    rows: DataFrame, per_key: DataFrame, keys, spread, hot: DataFrame | None = None
-) -> DataFrame:
-    """Inner join of many rows with one (or few) rows per key, hot keys spread over tasks."""
+def per_key_join(rows: DataFrame, per_key: DataFrame, keys, hot: DataFrame | None = None) -> DataFrame:
+    """Inner join of many rows with a table of one row per key.
+
+    Rows of hot keys stay where they are and meet the broadcast rows of those
+    keys, HOT_LIMIT at most, so neither a hot key nor a mass of equal rows ends
+    up in one task. The others are joined by shuffle.
+    """
     keys = list(keys)
-    hot = hot if hot is not None else hot_keys(rows, keys)
-    salted, copies = salt(rows, per_key, keys, spread, hot)
-    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+    hot = (hot if hot is not None else hot_keys(rows, keys)).select(*keys)
+    hot_rows = per_key.join(F.broadcast(hot), keys, "left_semi")
+    in_place = rows.join(F.broadcast(hot_rows), keys)
+    shuffled = rows.join(F.broadcast(hot), keys, "left_anti").join(per_key, keys)
+    return in_place.unionByName(shuffled)
 
 
 def largest_group(df: DataFrame, keys) -> int:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gaugeflow.operators import joined_windows, joins
 from gaugeflow.operators.joined_windows import joined_window_agg
 from gaugeflow.operators.joins import interval_join, paired_readings
-from gaugeflow.operators.skew import HOT_LIMIT, hot_keys, largest_group, salted_join
+from gaugeflow.operators.skew import HOT_LIMIT, hot_keys, largest_group, per_key_join
 from gaugeflow.operators.windows import tumbling_agg, window_documents
 
 BASE = datetime(2025, 1, 23, 22, 16)
@@ -158,14 +158,14 @@ def test_join_is_an_equi_join(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-def test_hot_keys_and_salted_join(spark):
+def test_hot_keys_and_per_key_join(spark):
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
     )
     hot = hot_keys(rows, ["k"], min_rows=100)
     assert [(r.k, r["_salts"]) for r in hot.collect()] == [("hot", 10)]
     per_key = rows.groupBy("k").agg(F.count("*").alias("n"))
-    joined = salted_join(rows, per_key, ["k"], ["id"], hot)
+    joined = per_key_join(rows, per_key, ["k"], hot)
     assert joined.columns == ["k", "id", "n"]
     plain = rows.join(per_key, ["k"])
     assert joined.exceptAll(plain).count() == 0 and plain.exceptAll(joined).count() == 0
