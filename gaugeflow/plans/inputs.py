@@ -28,18 +28,18 @@ def broken_messages(spark, sf_dir) -> DataFrame:
     minute, second = minute_text("ts"), second_text("ts")
     number = F.col("value").cast("string")
 
-    def text(template, *parts):
-        return F.format_string(template, *parts)
+    def text(*parts):
+        return F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
 
     shapes = [
-        text('{"time":"%s","temperature_2m":%s}', minute, number),
-        text('{"time":"%s","precipitation":%s}', second, number),
-        text('{"time":"%s","temperature_2m":null}', minute),
-        text('{"temperature_2m":%s}', number),
-        text('{"time":"%s","temperature_2m":', minute),
-        text('{"time":"%s.5","precipitation":%s}', second, number),
-        text('{"time":"%s","temperature_2m":"%s"}', minute, number),
-        text('{"time":"%s","precipitation":true}', minute),
+        text('{"time":"', minute, '","temperature_2m":', number, "}"),
+        text('{"time":"', second, '","precipitation":', number, "}"),
+        text('{"time":"', minute, '","temperature_2m":null}'),
+        text('{"temperature_2m":', number, "}"),
+        text('{"time":"', minute, '","temperature_2m":'),
+        text('{"time":"', second, '.5","precipitation":', number, "}"),
+        text('{"time":"', minute, '","temperature_2m":"', number, '"}'),
+        text('{"time":"', minute, '","precipitation":true}'),
     ]
     value = F.lit(None).cast("string")
     for number_, shape in enumerate(shapes):
@@ -51,15 +51,14 @@ def broken_messages(spark, sf_dir) -> DataFrame:
 
 def metric_messages(spark, sf_dir) -> DataFrame:
     """Clicks as temperature messages and views as precipitation messages."""
-    template = '{"time":"%s","%s":%s}'
     field = F.when(F.col("event_type") == "click", "temperature_2m").otherwise("precipitation")
+    start, colon = F.lit('{"time":"'), F.lit('":')
+    head = F.concat(start, minute_text("ts"), F.lit('","'), field, colon)
     return (
         events(spark, sf_dir)
         .where(F.col("event_type").isin("click", "view"))
         .select(
-            F.format_string(template, minute_text("ts"), field, F.col("value").cast("string")).alias(
-                "value"
-            ),
+            F.concat(head, F.col("value").cast("string"), F.lit("}")).alias("value"),
             (F.col("event_type") == "view").cast("int").alias("partition"),
             F.col("event_id").alias("offset"),
             F.col("ts").alias("timestamp"),

@@ -88,8 +88,15 @@ def heartbeat(spark: SparkSession, path: str, schema, **values) -> None:
 
 def replay(windows: DataFrame, sinks, checkpoint, heartbeat_writer=None):
     """Run a query over everything available, then flush the last windows; gives the last run."""
+    conf = windows.sparkSession.conf
+    extra_batches = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(extra_batches)
+    if heartbeat_writer:
+        # The heartbeat's run closes the windows this run would close in an extra batch.
+        conf.set(extra_batches, "false")
     query = start(windows, sinks, checkpoint, {"availableNow": True})
     query.awaitTermination()
+    conf.set(extra_batches, before)
     if heartbeat_writer:
         heartbeat_writer()
         query = start(windows, sinks, checkpoint, {"availableNow": True})
