@@ -5,6 +5,8 @@ Each reads its whole tables. The digest columns come from the operators' results
 
 import public_tokenizers
 
+from gaugeflow.llm.oracles import ORACLES  # noqa: F401
+from gaugeflow.llm.quality_rules import quality_rules
 from gaugeflow.llm.secrets import secret_digest
 from gaugeflow.llm.token_counts import token_counts
 from gaugeflow.plans.inputs import table
@@ -15,13 +17,16 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_quality_rules(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op8_quality_rules": op8_quality_rules,
     "op10_secret_scan": op10_secret_scan,
 }
-
-ORACLES = {}
