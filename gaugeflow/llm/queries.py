@@ -5,6 +5,7 @@ Each reads its whole tables. The digest columns come from the operators' results
 
 import public_tokenizers
 
+from gaugeflow.llm import language_id, quality_classifier
 from gaugeflow.llm.oracles import ORACLES  # noqa: F401
 from gaugeflow.llm.quality_rules import quality_rules
 from gaugeflow.llm.secrets import secret_digest
@@ -17,16 +18,27 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.score(docs, table(spark, sf_dir, "labels"))
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op5_quality_classifier": op5_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
 }
