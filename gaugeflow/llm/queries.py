@@ -7,6 +7,7 @@ import public_tokenizers
 
 from gaugeflow.llm import language_id, quality_classifier
 from gaugeflow.llm.oracles import ORACLES  # noqa: F401
+from gaugeflow.llm.packing import pack_documents
 from gaugeflow.llm.quality_rules import quality_rules
 from gaugeflow.llm.secrets import secret_digest
 from gaugeflow.llm.token_counts import token_counts
@@ -23,6 +24,11 @@ def op5_quality_classifier(spark, sf_dir):
     return quality_classifier.score(docs, table(spark, sf_dir, "labels"))
 
 
+def op7_best_fit_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -38,6 +44,7 @@ def op10_secret_scan(spark, sf_dir):
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
