@@ -114,6 +114,15 @@ def word_hashes(data, starts, ends, seed=0):
     return out
 
 
+def range_hashes(values, first, last):
+    """Hash of the sequence values[first:last] for each pair of positions."""
+    _grow(len(values) + 1)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * _UP[: len(values)], out=sums[1:])
+    lengths = (last - first).astype(np.uint64)
+    return mix((sums[last] - sums[first]) * _DOWN[first] + lengths * _STEP)
+
+
 def gram_hashes(hashes, n):
     """Hash of every n consecutive words, regardless of text ends; len(hashes) - n + 1 of them."""
     count = max(0, len(hashes) - n + 1)

@@ -4,12 +4,14 @@ Each reads its whole tables. The digest columns come from the operators' results
 """
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from gaugeflow.llm import language_id, quality_classifier
 from gaugeflow.llm.oracles import ORACLES  # noqa: F401
 from gaugeflow.llm.packing import pack_documents
 from gaugeflow.llm.quality_rules import quality_rules
 from gaugeflow.llm.secrets import secret_digest
+from gaugeflow.llm.substring_dedup import drop_repeats
 from gaugeflow.llm.token_counts import token_counts
 from gaugeflow.plans.inputs import table
 
@@ -19,6 +21,12 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    kept = drop_repeats(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_words", "n_removed", digest)
+
+
 def op5_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.score(docs, table(spark, sf_dir, "labels"))
@@ -43,6 +51,7 @@ def op10_secret_scan(spark, sf_dir):
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_substring_dedup": op2_substring_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
