@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import language_id, quality_classifier
+from gaugeflow.llm.decontamination import leaked_items
 from gaugeflow.llm.near_dedup import near_duplicates
 from gaugeflow.llm.oracles import ORACLES  # noqa: F401
 from gaugeflow.llm.packing import pack_documents
@@ -32,6 +33,10 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark, sf_dir):
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.score(docs, table(spark, sf_dir, "labels"))
@@ -58,6 +63,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
