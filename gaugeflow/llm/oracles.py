@@ -46,4 +46,19 @@ SELECT *, NOT base_failed
 FROM b
 """
 
-ORACLES = {"op8_quality_rules": OP8}
+OP6 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY ALL
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM coalesce(first_id, page_id) THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM coalesce(first_id, page_id) THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+ORACLES = {"op6_warc": OP6, "op8_quality_rules": OP8}

@@ -15,7 +15,9 @@ from gaugeflow.llm.quality_rules import quality_rules
 from gaugeflow.llm.secrets import secret_digest
 from gaugeflow.llm.substring_dedup import drop_repeats
 from gaugeflow.llm.token_counts import token_counts
+from gaugeflow.llm.warc import page_id_of, read_archives, write_archives
 from gaugeflow.plans.inputs import table
+from gaugeflow.session import scratch_path
 
 
 def op1_token_counts(spark, sf_dir):
@@ -42,6 +44,19 @@ def op5_quality_classifier(spark, sf_dir):
     return quality_classifier.score(docs, table(spark, sf_dir, "labels"))
 
 
+def op6_warc(spark, sf_dir):
+    archives = scratch_path(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), archives)
+    read = read_archives(spark, archives, keep_payload=False).where("reason IS NULL")
+    return read.select(
+        page_id_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page_id_of("refers_to").alias("refers_to"),
+    )
+
+
 def op7_best_fit_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -65,6 +80,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_warc": op6_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
