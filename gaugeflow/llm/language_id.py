@@ -134,14 +134,16 @@ def probabilities(model: Model, texts, grams=GRAMS):
     return softmax((total / positions[:, None] + model.bias) / model.temperature)
 
 
-def predict(docs: DataFrame, model: Model | None, id_col="doc_id", text_col="text") -> DataFrame:
-    """All columns of `docs` with lang_pred and score; `und` and 0.0 without a letter or a model.
+def predict(
+    docs: DataFrame, model: Model | None, text_col="text", added=("lang_pred", "score")
+) -> DataFrame:
+    """All columns of `docs` with the language and its score; `und` and 0.0 without a letter or a model.
 
-    Columns of `docs` with those names are replaced. Ties go to the first language
-    in alphabetical order.
+    `added` names the two columns; those of `docs` with such names are replaced. Ties go
+    to the first language in alphabetical order.
     """
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*names)
+    names = [c for c in docs.columns if c not in added]
+    rows = docs.select(*[F.col(f"`{c}`") for c in names])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = names.index(text_col)
 
@@ -157,11 +159,22 @@ def predict(docs: DataFrame, model: Model | None, id_col="doc_id", text_col="tex
                 scores[known] = p.max(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [*block.columns, pa.array(labels, pa.string()), pa.array(scores)],
-                names=[*names, "lang_pred", "score"],
+                names=[*names, *added],
             )
 
-    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return rows.mapInArrow(score, T.StructType([*rows.schema.fields, *added]))
+    kinds = [T.StructField(c, k) for c, k in zip(added, (T.StringType(), T.DoubleType()))]
+    return rows.mapInArrow(score, T.StructType([*rows.schema.fields, *kinds]))
+
+
+def accepted(docs: DataFrame, least_score=0.5, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
+    """The rows of `docs`, all columns, with a language that scores at least `least_score`.
+
+    The model is learned from the same rows; without any label nothing is accepted.
+    """
+    model = fit(learnable(docs, id_col, text_col, lang_col))
+    scored = predict(docs, model, text_col, ("_lang_pred", "_lang_score"))
+    good = (F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least_score)
+    return scored.where(good).drop("_lang_pred", "_lang_score")
 
 
 def identify(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
@@ -173,7 +186,7 @@ def identify(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang")
     """
     model = fit(learnable(docs, id_col, text_col, lang_col))
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    scored = predict(own, model, "id", "text")
+    scored = predict(own, model)
     return scored.select(
         F.col("id").alias(id_col), held_out("id").alias("held_out"), "lang_pred", "score"
     )

@@ -304,21 +304,16 @@ def confirmed_links(rows: DataFrame, nodes: DataFrame, groups: DataFrame) -> Dat
     return grouped(copies, "component", "low", "high").mapInArrow(exact_edges, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """id, n_shingles, component_id (least id reachable over links) and kept of every row.
-
-    Sets are the distinct 5-word shingles of the text with A-Z lowered, or the whole
-    sequence if it has fewer words; rows are linked from a similarity of 0.85. Null and
-    empty texts have no set and are their own component. A null id counts as larger than
-    any other; a component of null ids has a null id, and its rows are kept. Rows that
-    repeat an id are all kept if it names the component. Other columns are ignored.
-    """
+def with_keys(docs: DataFrame, id_col, text_col):
+    """The key of a row: its id, or the largest long for null, and the hash of its text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("owner"),
-        F.xxhash64(text).alias("row"),
-        text.alias("text"),
-    )
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), F.xxhash64(text), text
+
+
+def placements(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """(owner, row, n, node, least) of every row: its set's size and its component's least owner."""
+    owner, row, text = with_keys(docs, id_col, text_col)
+    rows = docs.select(owner.alias("owner"), row.alias("row"), text.alias("text"))
     sketched = written(sketches(rows), "sketches")
     nodes = sketched.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("owner", "row")).alias("pick"),
@@ -328,13 +323,27 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
     nodes = written(nodes, "nodes")
     groups = written(candidate_groups(nodes), "groups")
     linked = components(written(confirmed_links(rows, nodes, groups), "links"))
-    joined = nodes.select("node", "pick.owner").join(linked, "node")
-    least = joined.groupBy("component").agg(F.min("owner").alias("least"))
+    joined = nodes.select("node", "pick").join(linked, "node")
+    least = joined.groupBy("component").agg(F.min("pick").alias("least"))
     named = linked.join(least, "component").select("node", "least")
-    of_node = nodes.select("node", F.col("pick.owner").alias("own")).join(named, "node", "left")
+    of_node = nodes.select("node", F.col("pick").alias("own")).join(named, "node", "left")
     of_node = of_node.select("node", F.coalesce("least", "own").alias("least"))
-    placed = sketched.select("owner", "n", "node").join(of_node, "node", "left")
-    component = F.coalesce("least", "owner")
+    placed = sketched.select("owner", "row", "n", "node").join(of_node, "node", "left")
+    alone = F.struct("owner", "row")
+    return placed.select("owner", "row", "n", "node", F.coalesce("least", alone).alias("least"))
+
+
+def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """id, n_shingles, component_id (least id reachable over links) and kept of every row.
+
+    Sets are the distinct 5-word shingles of the text with A-Z lowered, or the whole
+    sequence if it has fewer words; rows are linked from a similarity of 0.85. Null and
+    empty texts have no set and are their own component. A null id counts as larger than
+    any other; a component of null ids has a null id, and its rows are kept. Rows that
+    repeat an id are all kept if it names the component. Other columns are ignored.
+    """
+    placed = placements(docs, id_col, text_col)
+    component = F.col("least.owner")
 
     def id_of(column):
         return F.when(column < LAST_ID, column)
@@ -345,3 +354,27 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
         id_of(component).alias("component_id"),
         (F.col("owner") == component).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """The rows of `docs`, all columns, with one row of each component; wordless rows all stay.
+
+    The row with the least id stays, among equal ids that with the least text hash, and
+    of rows equal in both any one.
+    """
+    placed = written(placements(docs, id_col, text_col), "placements")
+    stays = placed.where((F.col("least.owner") == F.col("owner")) & (F.col("least.row") == F.col("row")))
+    stays = stays.groupBy("owner", "row").agg(
+        F.count("*").alias("copies"), F.first("node").isNotNull().alias("worded")
+    )
+    stays = counted_broadcast(written(stays, "stays"))
+    owner, row, _ = with_keys(docs, id_col, text_col)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*names, owner.alias("_owner"), row.alias("_row"))
+    found = keyed.join(
+        stays, (F.col("_owner") == stays["owner"]) & (F.col("_row") == stays["row"])
+    )
+    twice = (F.col("copies") > 1) & F.col("worded")
+    once = found.where(~twice).select(*names)
+    # Only rows that repeat both id and text are shuffled.
+    return once.unionAll(found.where(twice).dropDuplicates(["_owner", "_row"]).select(*names))

@@ -231,6 +231,32 @@ def find_secrets(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
     return rows.mapInArrow(scan, schema).withColumnRenamed("id", id_col)
 
 
+def mask_secrets(docs: DataFrame, text_col="text", length_col="n_chars") -> DataFrame:
+    """All columns of `docs`, with the secrets in the text masked and its length renewed.
+
+    `length_col` is renewed only where the text changes, and only if there is such a column.
+    """
+    at = docs.columns.index(text_col)
+
+    def mask(batches):
+        for block in blocks(batches, text_col):
+            texts = block.column(at).to_pylist()
+            for number, text in enumerate(texts):
+                spans = (base_spans(text) + confirmed_spans(text)) if text else []
+                if spans:
+                    texts[number] = masked(text, spans)
+            yield block.set_column(at, block.schema.field(at), pa.array(texts, block.schema.field(at).type))
+
+    if length_col not in docs.columns:
+        return docs.mapInArrow(mask, docs.schema)
+    before = docs.withColumn("_length_before", F.length(text_col))
+    out = before.mapInArrow(mask, before.schema)
+    now = F.length(text_col)
+    kind = docs.schema[length_col].dataType
+    length = F.when(now != F.col("_length_before"), now.cast(kind)).otherwise(F.col(length_col))
+    return out.withColumn(length_col, length).drop("_length_before")
+
+
 def secret_digest(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """Counts and span texts of `find_secrets`, one row per row."""
     found = find_secrets(docs, id_col, text_col)
