@@ -210,7 +210,8 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", item_co
     """id, item id, similarity, start and n_words (in words) of every item found in a document.
 
     One row for each pair of a contaminated document and an item; equal items are one,
-    under their smallest id. Null, empty and wordless texts and items match nothing;
+    under their smallest id. Of equally similar windows it is the first that starts with
+    a shingle of an item of that size, or the last window of the document. Null, empty and wordless texts and items match nothing;
     texts of fewer than five words match only items with the same words. Null ids of
     documents stay null; repeated rows are reported once.
     """
@@ -227,7 +228,8 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", item_co
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **columns) -> DataFrame:
     """The rows of `docs`, all columns, in which no item is found."""
     found = contaminations(docs, benchmark, id_col, text_col, **columns).select("owner", "row").distinct()
-    found = counted_broadcast(written(found, "leaks"))
-    owner = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    row = F.xxhash64(F.col(text_col).cast("string"))
-    return docs.join(found, (owner == found["owner"]) & (row == found["row"]), "left_anti")
+    found = counted_broadcast(written(found.toDF("_owner", "_row"), "leaks"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    owner = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_owner")
+    row = F.xxhash64(F.col(text_col).cast("string")).alias("_row")
+    return docs.select(*names, owner, row).join(found, ["_owner", "_row"], "left_anti").select(*names)

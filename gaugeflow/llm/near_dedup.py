@@ -364,17 +364,14 @@ def one_of_each(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """
     placed = written(placements(docs, id_col, text_col), "placements")
     stays = placed.where((F.col("least.owner") == F.col("owner")) & (F.col("least.row") == F.col("row")))
-    stays = stays.groupBy("owner", "row").agg(
-        F.count("*").alias("copies"), F.first("node").isNotNull().alias("worded")
+    stays = stays.groupBy(F.col("owner").alias("_owner"), F.col("row").alias("_row")).agg(
+        F.count("*").alias("_copies"), F.first("node").isNotNull().alias("_worded")
     )
     stays = counted_broadcast(written(stays, "stays"))
     owner, row, _ = with_keys(docs, id_col, text_col)
     names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*names, owner.alias("_owner"), row.alias("_row"))
-    found = keyed.join(
-        stays, (F.col("_owner") == stays["owner"]) & (F.col("_row") == stays["row"])
-    )
-    twice = (F.col("copies") > 1) & F.col("worded")
+    found = docs.select(*names, owner.alias("_owner"), row.alias("_row")).join(stays, ["_owner", "_row"])
+    twice = (F.col("_copies") > 1) & F.col("_worded")
     once = found.where(~twice).select(*names)
     # Only rows that repeat both id and text are shuffled.
     return once.unionAll(found.where(twice).dropDuplicates(["_owner", "_row"]).select(*names))

@@ -39,7 +39,9 @@ KEY_HINT = re.compile(r"(?ai:password|passwd|secret|token|api_?key)")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,4}")
 # A DER sequence starts with byte 30, an OpenSSH container with "openssh-key-v1".
 _LINES = r"(?:\r?\n[A-Za-z0-9+/]{16,})*(?:\r?\n[A-Za-z0-9+/]{1,15})?={0,2}"
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])M(?:[A-Za-z0-9_-]{15,}={0,2}(?![A-Za-z0-9+/])|[A-Za-z0-9+/]{15,}" + _LINES + ")")
+ENCODED = re.compile(
+    rf"(?<![A-Za-z0-9+/_-])M(?:[A-Za-z0-9+/]{{15,}}{_LINES}(?![A-Za-z0-9+/_-])|[A-Za-z0-9_-]{{15,}}={{0,2}})"
+)
 OPENSSH = re.compile(r"b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/]+" + _LINES)
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{30,}")
 
