@@ -28,6 +28,8 @@ from gaugeflow.operators.skew import per_key_join
 from gaugeflow.session import cut_lineage
 
 DAILY_ORDER = 6
+# What a report says about the size of a series.
+SIZE_COLUMNS = ("n", "reliability")
 
 
 # ---------------------------------------------------------------- linear trend
@@ -104,6 +106,7 @@ def forecast_linear(
         F.when(F.col("_step") >= 0, F.col("_step")).alias("step_no"),
         linear_value(step=step).alias("yhat"),
         (F.col("_step") >= 0).alias("is_future"),
+        *SIZE_COLUMNS,
     )
 
 
@@ -124,13 +127,6 @@ def holdout_metrics(
     )
 
 
-def _with_model(rows, model, key, crowded):
-    """Rows with their series' model; a crowded series is not moved to one task."""
-    if crowded:
-        return per_key_join(rows, model, [key])
-    return rows.join(model, key)
-
-
 def _future(model, key, step, periods, origin):
     start = {"last": "last_ds", "train_end": "train_end"}[origin]
     return future_frame(model, start, step, periods).withColumn("is_future", F.lit(True))
@@ -251,7 +247,8 @@ def _sums_per_series(settings, size):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            codes = batch.column(0).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            # A NULL key is a series like any other.
+            codes = batch.column(0).dictionary_encode().indices.fill_null(-1).to_numpy()
             starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
             columns = batch.columns[settings + 1 :]
             matrix = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
@@ -314,19 +311,20 @@ def forecast_additive(
     """
     crowded = is_crowded(df, key) if crowded is None else crowded
     model = fit_additive(df, key, ties, daily_order, trend_reg, crowded)
-    ahead = _future(model, key, step, periods, origin)
+    ahead = with_config(_future(model, key, step, periods, origin))
     ahead = ahead.withColumn("yhat", additive_value(F.col("x_last"), daily_order))
-    columns = [key, "ds", "step_no", "yhat", "is_future"]
+    columns = [key, "ds", "step_no", "yhat", "is_future", *SIZE_COLUMNS]
     if not history:
         return ahead.select(columns)
-    past = _with_model(df.select(key, "ds", "x"), model, key, crowded)
+    past = per_key_join(df.select(key, "ds", "x"), model, [key])
     if origin == "train_end":
         past = past.where(F.col("ds") <= F.col("train_end"))
-    past = past.select(
+    past = with_config(past).select(
         key,
         "ds",
         F.lit(None).cast("int").alias("step_no"),
         additive_value(F.col("x"), daily_order).alias("yhat"),
         F.lit(False).alias("is_future"),
+        *SIZE_COLUMNS,
     )
     return past.unionByName(ahead.select(columns))

@@ -2,9 +2,11 @@
 
 A join followed by a window mean needs work in proportion to the number of
 pairs, which grows with the square of the arrival rate. The mean only needs,
-for each left row, how many right rows its band holds and what they sum to;
-both are differences of running sums. Here the pairs never exist: the work is
-one sort of the distinct arrival instants.
+for each left row, how many right rows its band holds and what they sum to.
+Time is cut into cells as long as the band, so a band is the end of one cell and
+the beginning of the next: two running sums, one backwards, one forwards. Nothing
+is subtracted, so values outside a band cannot touch its sum. The pairs never
+exist: the work is one sort of the distinct arrival instants.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -14,11 +16,9 @@ from gaugeflow.functions.times import cell, micros_of
 from gaugeflow.operators.joins import paired_readings
 from gaugeflow.operators.windows import tumbling_agg
 
-_MARK, _BEFORE, _POINT, _AFTER = -1, 0, 1, 2
-# Up to this many candidate pairs per input row, and in the busiest cell, the
-# plain join is cheaper.
-PAIRS_PER_ROW = 50
-PAIRS_PER_CELL = 10_000_000
+_MARK, _POINT, _PROBE = -1, 0, 1
+_COUNTS = ("_rows2", "_values2", "_sum2")
+# Rows of a cell that one task sorts; more are sorted in slices. The result is the same.
 ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 16_384
 
@@ -31,117 +31,109 @@ def joined_window_agg(
     size="2 minutes",
     keys=("obs_key",),
     names=("avg_v1", "avg_v2"),
-    method="auto",
+    method="sums",
+    slices=None,
 ) -> DataFrame:
     """Same result as `paired_readings` followed by `tumbling_agg` on the left arrival time.
 
-    Inputs are single-metric frames `(keys, arrival_ts, value)`; values must be
-    finite. `method` is "pairs", "sums" or "auto", which counts the candidate
-    pairs first.
+    Inputs are single-metric frames `(keys, arrival_ts, value)`. Rows with a NULL key
+    or time pair with nothing; a NULL value counts as a row but not in the mean; NaN and
+    infinities spread over the windows of their pairs only. `method="pairs"` forms the
+    pairs instead. `slices` per cell are chosen by the busiest cell unless given.
     """
     keys = list(keys)
-    salts = "auto"
-    if method != "pairs":
-        pairs, total, busiest_pairs, busiest_rows = _density(left, right, keys, lower, upper)
-        if method == "sums" or pairs > PAIRS_PER_ROW * total or busiest_pairs > PAIRS_PER_CELL:
-            slices = min(-(-busiest_rows // ROWS_PER_SLICE), MAX_SLICES)
-            return _by_running_sums(left, right, keys, lower, upper, size, names, slices)
-        salts = 1  # no crowded cell
-    joined = paired_readings(left, right, lower, upper, keys=keys, salts=salts)
-    metrics = {names[0]: "v1", names[1]: "v2"}
-    return tumbling_agg(joined, "t1", metrics, size, latest=keys[0])
-
-
-def _cell_width(low, high):
-    """A band is shorter than one cell, so it touches at most two neighbours."""
-    return max(high - low + 1, 1_000_000)
-
-
-def _density(left, right, keys, lower, upper):
-    """Candidate pairs, rows, and pairs and rows of the busiest cell."""
-    width = _cell_width(micros_of(lower), micros_of(upper))
-
-    def side(df, is_left):
-        return df.select(
-            *keys,
-            cell(F.unix_micros("arrival_ts"), width).alias("_cell"),
-            F.lit(1.0 if is_left else 0.0).alias("_l"),
-            F.lit(0.0 if is_left else 1.0).alias("_r"),
-        )
-
-    cells = (
-        side(left, True)
-        .unionByName(side(right, False))
-        .groupBy(*keys, "_cell")
-        .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    )
-    pairs, rows = F.col("_l") * F.col("_r"), F.col("_l") + F.col("_r")
-    found = cells.agg(F.sum(pairs), F.sum(rows), F.max(pairs), F.max(rows)).first()
-    return [int(number or 0) for number in found]
-
-
-def _by_running_sums(left, right, keys, lower, upper, size, names, slices):
+    if method == "pairs":
+        joined = paired_readings(left, right, lower, upper, keys=keys)
+        metrics = {names[0]: "v1", names[1]: "v2"}
+        return tumbling_agg(joined, "t1", metrics, size, latest=keys[0])
+    left, right = (side.na.drop(subset=[*keys, "arrival_ts"]) for side in (left, right))
     low, high = micros_of(lower), micros_of(upper)
-    width = _cell_width(low, high)
+    width = high - low + 1
 
     # Aggregating before the shuffle also merges groups of equal arrival times.
     ones = left.groupBy(*keys, F.unix_micros("arrival_ts").alias("_t")).agg(
-        F.count("value").alias("_n1"), F.sum("value").alias("_s1")
+        F.count("*").alias("_rows1"), F.count("value").alias("_values1"), F.sum("value").alias("_sum1")
     )
     twos = right.groupBy(*keys, F.unix_micros("arrival_ts").alias("_at")).agg(
-        F.count("value").alias("_n2"), F.sum("value").alias("_s2")
+        F.count("*").alias("_rows2"), F.count("value").alias("_values2"), F.sum("value").alias("_sum2")
     )
+    if slices is None:
+        slices = min(-(-_busiest_cell(left, right, keys, width) // ROWS_PER_SLICE), MAX_SLICES)
+    rows = _both_directions(ones, twos, keys, low, high, width)
+    seen = _sliced_sums(rows, keys, width, slices) if slices > 1 else _cell_sums(rows, keys)
+    return _window_means(seen.where(F.col("_t").isNotNull()), keys, size, names)
 
-    start, end = F.col("_t") + low, F.col("_t") + high
-    crosses = cell(start, width) != cell(end, width)
-    probes = ones.select(
+
+def _busiest_cell(left, right, keys, width):
+    cells = left.select(*keys, "arrival_ts").unionByName(right.select(*keys, "arrival_ts"))
+    counted = cells.groupBy(*keys, cell(F.unix_micros("arrival_ts"), width).alias("_c")).count()
+    return counted.agg(F.max("count")).first()[0] or 0
+
+
+def _both_directions(ones, twos, keys, low, high, width):
+    """Points and probes by `_pos`, forwards (`_way` 1) and backwards (-1, times negated).
+
+    A probe is to see the points of its cell up to its own position. Backwards it stands at
+    the start of the band, forwards at the end, unless the band is exactly one cell.
+    """
+    at = F.col("_at")
+    points = twos.select(
         *keys,
-        "_t",
-        "_n1",
-        "_s1",
+        F.lit(_POINT).alias("_kind"),
+        cell(at, width).alias("_cell"),
         F.inline(
             F.array(
-                F.struct(
-                    start.alias("_at"),
-                    F.lit(_BEFORE).alias("_kind"),
-                    F.lit(-1).alias("_sign"),
-                    crosses.cast("int").alias("_whole"),
-                ),
-                F.struct(
-                    end.alias("_at"),
-                    F.lit(_AFTER).alias("_kind"),
-                    F.lit(1).alias("_sign"),
-                    F.lit(0).alias("_whole"),
-                ),
+                F.struct(F.lit(1).alias("_way"), at.alias("_pos")),
+                F.struct(F.lit(-1).alias("_way"), (-at).alias("_pos")),
             )
         ),
+        *_COUNTS,
     )
-    points = twos.select(*keys, "_at", F.lit(_POINT).alias("_kind"), "_n2", "_s2")
-    rows = points.unionByName(probes, allowMissingColumns=True).withColumn(
-        "_cell", cell(F.col("_at"), width)
+    start, end = F.col("_t") + low, F.col("_t") + high
+    backwards = F.struct(
+        F.lit(-1).alias("_way"), (-start).alias("_pos"), cell(start, width).alias("_cell")
     )
-    seen = _sliced_sums(rows, keys, width, slices) if slices > 1 else _cell_sums(rows, keys)
-    seen = seen.where(F.col("_t").isNotNull())
-    in_band_n = F.expr("_sign * _n + _whole * _cell_n")
-    in_band_s = F.expr("_sign * _s + _whole * _cell_s")
+    forwards = F.struct(F.lit(1).alias("_way"), end.alias("_pos"), cell(end, width).alias("_cell"))
+    one_cell = cell(start, width) == cell(end, width)
+    probes = ones.select(
+        *keys,
+        F.lit(_PROBE).alias("_kind"),
+        F.inline(F.when(one_cell, F.array(backwards)).otherwise(F.array(backwards, forwards))),
+        "_t",
+        "_rows1",
+        "_values1",
+        "_sum1",
+    )
+    return points.unionByName(probes, allowMissingColumns=True)
+
+
+def _window_means(seen, keys, size, names):
+    """Sums over the pairs of each window out of what every probe has seen."""
+    met = F.col("_seen_rows2") > 0
+
+    def over_pairs(*factors):
+        product = factors[0] * factors[1]
+        return F.coalesce(F.sum(F.when(met, product)), F.lit(0))
+
+    rows1, rows2 = F.col("_rows1"), F.col("_seen_rows2")
     per_key = (
         seen.groupBy(*keys, F.window(F.timestamp_micros("_t"), size).alias("_window"))
         .agg(
-            F.sum(F.col("_n1") * in_band_n).alias("_pairs"),
-            F.sum(F.col("_s1") * in_band_n).alias("_sum1"),
-            F.sum(F.col("_n1") * in_band_s).alias("_sum2"),
+            over_pairs(rows1, rows2).alias("_pairs"),
+            over_pairs(F.col("_values1"), rows2).alias("_count1"),
+            over_pairs(F.coalesce("_sum1", F.lit(0.0)), rows2).alias("_total1"),
+            over_pairs(rows1, F.col("_seen_values2")).alias("_count2"),
+            over_pairs(rows1, F.col("_seen_sum2")).alias("_total2"),
         )
         .where("_pairs > 0")
     )
-    total = F.sum("_pairs")
+    means = [
+        F.try_divide(F.sum(f"_total{n}"), F.sum(f"_count{n}")).alias(name)
+        for n, name in enumerate(names, 1)
+    ]
     return (
         per_key.groupBy("_window")
-        .agg(
-            (F.sum("_sum1") / total).alias(names[0]),
-            (F.sum("_sum2") / total).alias(names[1]),
-            total.alias("record_count"),
-            F.max(keys[0]).alias("avg_timestamp"),
-        )
+        .agg(*means, F.sum("_pairs").alias("record_count"), F.max(keys[0]).alias("avg_timestamp"))
         .select(
             F.col("_window.start").alias("window_start_ts"),
             F.col("_window.end").alias("window_end_ts"),
@@ -152,63 +144,39 @@ def _by_running_sums(left, right, keys, lower, upper, size, names, slices):
     )
 
 
-def _cell_sums(rows, keys):
-    """Adds to each row the sums up to it in its cell (`_n`, `_s`) and the cell's totals."""
-    whole = Window.partitionBy(*keys, "_cell")
-    running = whole.orderBy("_at", "_kind").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+def _running(rows, partition):
+    """Adds the sums of the points up to each row (`_seen...`)."""
+    upto = Window.partitionBy(*partition).orderBy("_pos", "_kind")
+    upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumns(
+        {f"_seen{c}": F.coalesce(F.sum(c).over(upto), F.lit(0)) for c in _COUNTS}
     )
 
-    def over(column, window):
-        return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    return rows.withColumns(
-        {
-            "_n": over("_n2", running),
-            "_s": over("_s2", running),
-            "_cell_n": over("_n2", whole),
-            "_cell_s": over("_s2", whole),
-        }
-    )
+def _cell_sums(rows, keys):
+    return _running(rows, [*keys, "_way", "_cell"])
 
 
 def _sliced_sums(rows, keys, width, slices):
     """`_cell_sums` with every cell sorted in slices, so a crowded cell is many tasks.
 
-    Each slice begins with a mark row that holds the sums of the slices before
-    it in the cell and the cell's totals. Equal instants are merged already, so
-    a slice has at most a few rows per microsecond, however many came in.
+    Each slice begins with a mark row that holds the sums of the slices before it in the
+    cell. Equal instants are merged already, so a slice has at most a few rows per
+    microsecond, however many came in.
     """
     slice_width = max(width // slices, 1_000)
-    rows = rows.withColumn("_slice", cell(F.col("_at"), slice_width))
-    totals = rows.groupBy(*keys, "_cell", "_slice").agg(
-        F.coalesce(F.sum("_n2"), F.lit(0)).alias("_n"),
-        F.coalesce(F.sum("_s2"), F.lit(0.0)).alias("_s"),
+    whole = [*keys, "_way", "_cell"]
+    rows = rows.withColumn("_slice", cell(F.col("_pos"), slice_width))
+    totals = rows.groupBy(*whole, "_slice").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS]
     )
-    in_cell = Window.partitionBy(*keys, "_cell")
-    earlier = in_cell.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*whole).orderBy("_slice")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     marks = totals.select(
-        *keys,
-        "_cell",
+        *whole,
         "_slice",
-        # A cell may begin inside a slice; its mark must not lie before the cell.
-        F.greatest(F.col("_slice") * slice_width, F.col("_cell") * width).alias("_at"),
+        (F.col("_slice") * slice_width).alias("_pos"),
         F.lit(_MARK).alias("_kind"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n2"),
-        F.coalesce(F.sum("_s").over(earlier), F.lit(0.0)).alias("_s2"),
-        F.sum("_n").over(in_cell).alias("_total_n"),
-        F.sum("_s").over(in_cell).alias("_total_s"),
-    )
-    running = (
-        Window.partitionBy(*keys, "_cell", "_slice")
-        .orderBy("_at", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return rows.unionByName(marks, allowMissingColumns=True).withColumns(
-        {
-            "_n": F.sum("_n2").over(running),
-            "_s": F.sum("_s2").over(running),
-            "_cell_n": F.sum("_total_n").over(running),
-            "_cell_s": F.sum("_total_s").over(running),
-        }
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in _COUNTS],
     )
+    return _running(rows.unionByName(marks, allowMissingColumns=True), [*whole, "_slice"])

@@ -4,20 +4,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import scoring
+from gaugeflow.operators.forecast import SIZE_COLUMNS
 from gaugeflow.operators.series import HORIZON, every_kth, last_n
 
 
 def forecast_statistics(forecast: DataFrame, key="series_key", periods=HORIZON) -> DataFrame:
     """Mean, maximum and slope of each series' last `periods` predictions, and their array."""
-    recent = last_n(forecast, periods, key) if "is_future" not in forecast.columns else (
-        forecast.where("is_future")
-    )
+    future = forecast.where("is_future") if "is_future" in forecast.columns else forecast
+    recent = last_n(future, periods, key)
     ordered = F.array_sort(F.collect_list(F.struct("ds", "yhat")))
     return recent.groupBy(key).agg(
         F.avg("yhat").alias("avg_predicted"),
         F.max("yhat").alias("max_predicted"),
         F.coalesce(F.regr_slope("yhat", "step_no"), F.lit(0.0)).alias("trend"),
         F.transform(ordered, lambda row: row["yhat"]).alias("predictions"),
+        *[F.max(c).alias(c) for c in SIZE_COLUMNS if c in forecast.columns],
     )
 
 
@@ -38,9 +39,9 @@ def score_forecast(
     )
 
 
-def report_summary(analysis: DataFrame, sizes: DataFrame, key="series_key") -> DataFrame:
-    """Formatted report row per series; `sizes` brings `n` and `reliability`."""
-    return analysis.join(sizes, key).select(
+def report_summary(analysis: DataFrame, key="series_key") -> DataFrame:
+    """Formatted report row per series out of `score_forecast`."""
+    return analysis.select(
         key,
         "n",
         "reliability",

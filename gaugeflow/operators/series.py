@@ -11,7 +11,7 @@ from gaugeflow.session import written
 STEP_SECONDS = 120
 HORIZON = 30
 REGRESSOR_MIN_STD = 0.01
-# Up to this many rows, one task sorts a whole series.
+# Up to this many rows, one task sorts a whole series. Either way the result is the same.
 GROUP_LIMIT = 2_000_000
 
 
@@ -47,6 +47,7 @@ def series_index(
     `crowded` (counted here unless the caller knows), the rows are
     range-partitioned by (series, time) instead, and each position is its place
     in the partition plus the rows of the same series in the partitions before.
+    Rows with a NULL key are a series of their own.
     """
     order = [time, *ties]
     if crowded is None:
@@ -78,7 +79,7 @@ def series_index(
         (before - F.col("_first")).alias("_shift"),
         F.sum("_rows").over(series).alias("n"),
     )
-    joined = placed.join(offsets, [key, "_pid"])
+    joined = per_key_join(placed, offsets, [key, "_pid"])
     return joined.withColumn("idx", F.col("_pos") + F.col("_shift")).select(*df.columns, "idx", "n")
 
 
@@ -136,15 +137,14 @@ def gate(std, min_std=REGRESSOR_MIN_STD):
 
 
 def last_values(df: DataFrame, values, key="series_key", time="ds", ties=()) -> DataFrame:
-    """Latest value of each column per series."""
-    order = F.struct(time, *ties)
-    newest = df.groupBy(key).agg(F.max_by(F.struct(time, *values), order).alias("_last"))
-    return newest.select(key, "_last.*")
+    """Latest value of each column per series. Each task sends one row per series."""
+    return last_n(df, 1, key, time, ties).select(key, time, *values)
 
 
 def last_n(df: DataFrame, n=HORIZON, key="series_key", time="ds", ties=()) -> DataFrame:
-    """The newest `n` rows per series. Each task keeps only its own newest `n` before the shuffle."""
-    newest_first = Window.partitionBy(key).orderBy(F.desc(time), *[F.desc(t) for t in ties])
+    """The newest `n` rows per series (`key` may be several columns). Each task keeps only its own newest `n` before the shuffle."""
+    keys = [key] if isinstance(key, str) else key
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc(time), *[F.desc(t) for t in ties])
     ranked = df.withColumn("_rank", F.row_number().over(newest_first))
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 

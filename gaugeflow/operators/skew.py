@@ -1,62 +1,44 @@
 """Hot-key handling shared by the joins."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key that holds at least 1/HOT_LIMIT of all rows is always among the
-# HOT_LIMIT most frequent ones, so the list of hot keys has a fixed size.
-HOT_LIMIT = 1000
-ROWS_PER_SALT = 1_000_000
-MAX_SALTS = 4096
-
-
-def hot_keys(df: DataFrame, keys, min_rows=ROWS_PER_SALT) -> DataFrame:
-    """Keys with at least `min_rows` rows and the number of salts each one gets.
+def salt(left: DataFrame, right: DataFrame, keys, left_spread, right_spread, crowds: DataFrame):
+    """Both sides with `_salt1` and `_salt2` to join on besides `keys`.
 
-    At most HOT_LIMIT rows, whatever the data. A key beyond that limit holds
-    less than 0.1 % of the rows and needs no salt.
+    `crowds` has the keys to split and their `_salts1` and `_salts2`. A left row gets one
+    first salt by a hash of `left_spread` and a copy per second salt, a right row the other
+    way round, so every pair still meets once, and a key that is crowded on either side is
+    cut there. Salts come from the data: a re-run task assigns the same ones.
     """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    top = counted.orderBy(F.desc("_rows"), *keys).limit(HOT_LIMIT)
-    salts = F.least(F.ceil(F.col("_rows") / min_rows), F.lit(MAX_SALTS)).cast("int")
-    return top.where(F.col("_rows") >= min_rows).select(*keys, salts.alias("_salts"))
 
+    def own(count, spread):
+        return F.pmod(F.xxhash64(*spread), F.coalesce(count, F.lit(1))).cast("int")
 
-def salt(rows: DataFrame, copied: DataFrame, keys, spread, hot: DataFrame):
-    """Both sides with a `_salt` column to join on besides `keys`.
+    def copies(count):
+        return F.explode(F.sequence(F.lit(0), (F.coalesce(count, F.lit(1)) - 1).cast("int")))
 
-    Rows of a hot key on the left are spread by a hash of `spread`; the right
-    side's rows of that key are copied once per salt, so every left row still
-    meets all of them, once. Salts come from the data: a re-run task assigns
-    the same ones.
-    """
-    keys = list(keys)
-    hot = F.broadcast(hot)
-    salted = rows.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*spread), F.col("_salts")).cast("int")
-        ),
-    )
-    copies = copied.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    )
-    return salted.drop("_salts"), copies.drop("_salts")
+    one, two = F.col("_salts1"), F.col("_salts2")
+    salted = left.join(crowds, keys, "left").withColumn("_salt1", own(one, left_spread))
+    salted = salted.withColumn("_salt2", copies(two)).drop("_salts1", "_salts2")
+    copied = right.join(crowds, keys, "left").withColumn("_salt2", own(two, right_spread))
+    copied = copied.withColumn("_salt1", copies(one)).drop("_salts1", "_salts2")
+    return salted, copied
 
 
-def per_key_join(rows: DataFrame, per_key: DataFrame, keys, hot: DataFrame | None = None) -> DataFrame:
-    """Inner join of many rows with a table of one row per key.
+def per_key_join(rows: DataFrame, per_key: DataFrame, keys) -> DataFrame:
+    """Inner join of many rows with a table of one row per key; NULL keys are equal.
 
-    Rows of hot keys stay where they are and meet the broadcast rows of those
-    keys, HOT_LIMIT at most, so neither a hot key nor a mass of equal rows ends
-    up in one task. The others are joined by shuffle.
+    The larger side of a skewed key is split by adaptive execution, which can do so
+    because the other side has one row for it; a small table is broadcast by it.
     """
     keys = list(keys)
-    hot = (hot if hot is not None else hot_keys(rows, keys)).select(*keys)
-    hot_rows = per_key.join(F.broadcast(hot), keys, "left_semi")
-    in_place = rows.join(F.broadcast(hot_rows), keys)
-    shuffled = rows.join(F.broadcast(hot), keys, "left_anti").join(per_key, keys)
-    return in_place.unionByName(shuffled)
+    other = per_key.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return rows.join(other, same).drop(*[f"_{k}" for k in keys])
 
 
 def largest_group(df: DataFrame, keys) -> int:

@@ -72,3 +72,24 @@ def user_days(spark, sf_dir) -> DataFrame:
         "k", F.get_json_object("props", "$.k").try_cast("double")
     )
     return regular_series(prepared, "user_id", "ts", "value", "1 day", "k")
+
+
+def type_hours(spark, sf_dir) -> DataFrame:
+    """Hourly mean value per event type, long enough for daily waves and all bends."""
+    prepared = events(spark, sf_dir).withColumn(
+        "k", F.get_json_object("props", "$.k").try_cast("double")
+    )
+    return regular_series(prepared, "event_type", "ts", "value", "1 hour", "k")
+
+
+def with_nulls(spark, sf_dir) -> DataFrame:
+    """Events of an hour key with NULL keys, NULL values and a NULL type here and there."""
+    number = F.col("event_id")
+    return events(spark, sf_dir).select(
+        "event_id",
+        "event_type",
+        F.when(number % 5 != 0, hour_key("ts")).alias("obs_key"),
+        F.col("ts").alias("arrival_ts"),
+        F.when(number % 7 != 0, F.col("value")).alias("value"),
+        F.when(number % 3 != 0, F.col("event_type")).alias("series_key"),
+    )

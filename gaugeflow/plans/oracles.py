@@ -1,5 +1,6 @@
 """The registered queries as plain SQL over the same tables."""
 
+from gaugeflow.plans.additive_sql import additive_sql
 from gaugeflow.plans.queries import RANGE, SCORE_THRESHOLD
 
 SECOND = "'%Y-%m-%dT%H:%M:%S'"
@@ -374,3 +375,67 @@ ORACLES = {
         SELECT series_key, CAST((step_no + 1) * 2 AS INTEGER) AS minutes, round(yhat, 6) AS yhat
         FROM f WHERE step_no % 5 = 0""",
 }
+
+
+def _series(key, unit):
+    return f"""
+        SELECT CAST({key} AS VARCHAR) AS series_key, date_trunc('{unit}', ts)::TIMESTAMP AS ds, avg(value) AS y,
+               avg(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS x
+        FROM events GROUP BY 1, 2"""
+
+
+def _null_windows(way):
+    return f"""
+        SELECT {_bounds("t1")}, '{way}' AS way,
+               round(round(sum(v1), 6) / count(v1), 6) AS avg_v1, round(round(sum(v2), 6) / count(v2), 6) AS avg_v2,
+               count(*) AS record_count, max(obs_key) AS avg_timestamp
+        FROM j GROUP BY ALL"""
+
+
+_HOURS = additive_sql(_series("event_type", "hour"), 3_600_000_000)
+_INDEXED = """
+    SELECT event_id, series_key, row_number() OVER (PARTITION BY series_key ORDER BY ts, event_id) - 1 AS idx,
+           count(*) OVER (PARTITION BY series_key) AS n
+    FROM (SELECT event_id, ts, CASE WHEN event_id % 3 <> 0 THEN event_type END AS series_key FROM events)"""
+
+ORACLES |= {
+    "forecast_additive": additive_sql(_series("user_id", "day"), 86_400_000_000),
+    "forecast_additive_hours": _HOURS,
+    "forecast_from_csv_additive": f"""
+        WITH h AS ({_HOURS}), c AS (SELECT event_type AS series_key, count(DISTINCT date_trunc('hour', ts)) AS n
+                                    FROM events GROUP BY 1)
+        SELECT series_key, ds, yhat, is_future, n, {_RELIABILITY} AS reliability
+        FROM h JOIN c USING (series_key) WHERE is_future""",
+    "tumbling_window_nulls": """
+        WITH e AS (SELECT CASE WHEN event_id % 5 <> 0 THEN strftime(ts, """ + HOUR + """) END AS obs_key, ts, event_type,
+                          CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events),
+        j AS (SELECT a.obs_key, a.ts AS t1, a.value AS v1, b.value AS v2 FROM e a JOIN e b
+              ON a.event_type = 'click' AND b.event_type = 'view' AND a.obs_key = b.obs_key
+             AND b.ts BETWEEN a.ts - INTERVAL 300 SECOND AND a.ts + INTERVAL 300 SECOND)
+        """ + " UNION ALL ".join(_null_windows(way) for way in ("pairs", "sums", "slices")),
+    "series_index_nulls": f"SELECT i.*, c.crowded FROM ({_INDEXED}) AS i, (VALUES (true), (false)) AS c(crowded)",
+    "wallclock_join_windows": _pairs(HOUR, 300) + f"""
+        , w AS (SELECT *, greatest(t1, t2) AS formed FROM j)
+        SELECT {_bounds("formed")}, {_mean("v1")} AS avg_v1, {_mean("v2")} AS avg_v2,
+               count(*) AS record_count, max(obs_key) AS avg_timestamp
+        FROM w GROUP BY ALL""",
+    "store_of_two_runs": """
+        SELECT event_id, event_type, value, strftime(ts, '%Y-%m-%d') AS window_date FROM events
+        WHERE event_type IN ('click', 'view', 'error', 'purchase', 'signup')""",
+    "csv_mixed_files": """
+        SELECT event_id, ' say "é", ' || event_type || chr(10) || 'next "' || event_id AS note, value FROM events""",
+    "dead_letters_raw": f"""
+        SELECT CASE {_SHAPE} WHEN 3 THEN 'no_time' WHEN 4 THEN 'bad_json' WHEN 5 THEN 'bad_time'
+                    ELSE 'no_metric' END AS reason,
+               CASE {_SHAPE} WHEN 2 THEN '{{"time":"' || strftime(ts, {MINUTE}) || '","temperature_2m":null}}'
+                    WHEN 3 THEN '{{"temperature_2m":' || CAST(value AS VARCHAR) || '}}'
+                    WHEN 4 THEN '{{"time":"' || strftime(ts, {MINUTE}) || '","temperature_2m":'
+                    WHEN 5 THEN '{{"time":"' || strftime(ts, {SECOND}) || '.5","precipitation":' || CAST(value AS VARCHAR) || '}}'
+                    ELSE '{{"time":"' || strftime(ts, {MINUTE}) || '","precipitation":true}}' END AS raw
+        FROM events WHERE {_SHAPE} IN (2, 3, 4, 5, 7)""",
+    "catalog_tables": """
+        SELECT 'nation' AS table_name, count(*) AS rows FROM nation UNION ALL
+        SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'supplier', count(*) FROM supplier""",
+    "fan_out_sinks": """
+        SELECT event_id, value, 'store' AS sink FROM events UNION ALL SELECT event_id, value, 'plain' FROM events""",
+}

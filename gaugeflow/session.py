@@ -1,5 +1,7 @@
 """Session set-up, scratch folders and lineage cuts."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,6 +48,8 @@ def shared_dir(spark):
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="gaugeflow-")
+    # Nobody else knows this folder; it goes with the process.
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set(CHECKPOINT_DIR, folder)
     return folder
 

@@ -1,10 +1,11 @@
 """Sinks for topics, stored windows and CSV exports."""
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeflow.operators.series import last_n
+from gaugeflow.sources.csv_files import DIALECT
+
 PLACEHOLDER = "username:password"
 
 
@@ -21,33 +22,57 @@ def write_topic(messages: DataFrame, brokers, topic, streaming=False, checkpoint
     return shaped.write.format("kafka").options(**options).save()
 
 
-def store_batch(root: str, documents: DataFrame, batch_id: int, partition_by=None) -> None:
-    """Write one micro-batch to its own folder. A replayed batch replaces its
-    earlier attempt, so a restart leaves neither gaps nor duplicates."""
-    writer = documents.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{root}/batch_id={batch_id}")
+def store_batch(root: str, documents: DataFrame, batch_id: int, partition_by=None, run="batch") -> None:
+    """Write one micro-batch of a run to its own folders, date first if `partition_by` is one.
 
+    A replayed batch replaces its earlier attempt, so a restart leaves neither gaps nor
+    duplicates. Batch numbers begin anew with every checkpoint; `run` keeps them apart.
+    """
+    stamped = documents.withColumns({"run": F.lit(f"run-{run}"), "batch_id": F.lit(batch_id)})
+    folders = [*([partition_by] if partition_by else []), "run", "batch_id"]
+    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*folders).parquet(root)
 
-def window_store(root: str, partition_by=None):
-    """`store_batch` for `foreachBatch`."""
-    return partial(store_batch, root, partition_by=partition_by)
+
+def window_store(root: str, partition_by=None, run=None):
+    """`store_batch` for `foreachBatch`; the run is the query's id, which its checkpoint keeps."""
+
+    def write(documents, batch_id):
+        context = documents.sparkSession.sparkContext
+        own = run or context.getLocalProperty("sql.streaming.queryId")
+        if not own:
+            raise RuntimeError("no streaming query here: name the run")
+        store_batch(root, documents, batch_id, partition_by, own)
+
+    return write
 
 
 def read_store(spark: SparkSession, root: str, schema=None) -> DataFrame:
-    """Everything stored so far, plus `batch_id`. With a schema, an empty store is no error."""
-    reader = spark.read.option("basePath", root)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(f"{root}/batch_id=*")
+    """Everything stored so far, plus `run` and `batch_id`. With a schema, an empty store is no error."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(root)
+
+
+def stored_documents(spark: SparkSession, root: str, schema=None) -> DataFrame:
+    return read_store(spark, root, schema).drop("run", "batch_id")
+
+
+def compact_store(spark: SparkSession, root: str, target: str, partition_by, schema=None) -> None:
+    """The whole store written to the folder `target` in few files per date, as one run.
+
+    Readers and writers of `root` are not touched; switch readers over when it is done.
+    """
+    documents = stored_documents(spark, root, schema).hint("rebalance", partition_by)
+    store_batch(target, documents, 0, partition_by, "compacted")
 
 
 def latest_documents(stored: DataFrame, keys) -> DataFrame:
-    """The newest version of each document, for stores fed by an update-mode stream."""
-    others = [c for c in stored.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*others), "batch_id").alias("_d")
-    return stored.groupBy(*keys).agg(newest).select(*keys, "_d.*")
+    """The newest version of each document, for stores fed by an update-mode stream.
+
+    Newest by `processed_at` if there is one, then by batch.
+    """
+    order = [c for c in ("processed_at", "batch_id", "run") if c in stored.columns]
+    return last_n(stored, 1, list(keys), order[0], order[1:]).drop("run", "batch_id")
 
 
 def connector_sink(format: str, options: dict):
@@ -59,11 +84,12 @@ def connector_sink(format: str, options: dict):
     return write
 
 
-def console_sink(rows=20):
-    """Prints the newest windows of each micro-batch."""
+def console_sink(order="window_start"):
+    """Prints every window of each micro-batch, a partition at a time."""
 
     def write(documents, batch_id):
-        documents.orderBy(F.desc("window_start")).show(rows, truncate=False)
+        for row in documents.orderBy(order).toLocalIterator():
+            print(" | ".join(f"{name}={value}" for name, value in row.asDict().items()), flush=True)
 
     return write
 
@@ -99,9 +125,9 @@ def fan_out(sinks):
 
 
 def export_csv(df: DataFrame, path: str, single_file=False, encoding="UTF-8") -> None:
-    """CSV with a header row; `single_file` is for small extracts only."""
+    """CSV with a header row, quotes doubled; `single_file` is for small extracts only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("encoding", encoding).csv(path)
+    out.write.mode("overwrite").options(**DIALECT).option("encoding", encoding).csv(path)
 
 
 def save_table(df: DataFrame, name: str, partition_by=None) -> None:

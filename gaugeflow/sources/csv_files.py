@@ -1,63 +1,103 @@
-"""CSV files with a header row, in whichever encoding each file has."""
+"""CSV files with a header row: columns by name, whatever order and encoding each file has."""
 
+import csv
+from collections import defaultdict
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Byte order marks at the start of a file.
 UTF16_MARKS = ("FFFE", "FEFF")
+# What SQL engines write: quotes inside a value are doubled, blanks are kept.
+DIALECT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
-def detect_encodings(spark: SparkSession, path) -> DataFrame:
-    """(file, encoding) per file: UTF-16 by its mark, else UTF-8 if every line is
-    valid UTF-8, else ISO-8859-1 (which any bytes satisfy).
+def describe_files(spark: SparkSession, path) -> DataFrame:
+    """(file, encoding, header, multi_line) per file.
 
-    Reads the files as raw lines, split and aggregated like any text scan; no
-    file is loaded whole.
+    UTF-16 by its mark, else UTF-8 if every line is valid UTF-8, else ISO-8859-1 (which
+    any bytes satisfy). `header` is the first line's bytes; `multi_line` tells that some
+    line has an odd number of quotes, so that a value goes on in the next. Reads the files
+    as raw lines, split and aggregated like any text scan; no file is loaded whole.
     """
-    first_bytes = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
-    marked = first_bytes.isin(*UTF16_MARKS).cast("int")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    first = F.col("_metadata.file_block_start") == 0
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.is_valid_utf8("value").alias("valid"),
-        # Line number and mark in one long: the minimum tells the first line's mark.
-        F.when(
-            F.col("_metadata.file_block_start") == 0,
-            F.monotonically_increasing_id() * 2 + marked,
-        ).alias("first"),
+        (quotes % 2 == 1).alias("odd"),
+        F.when(first, F.monotonically_increasing_id()).alias("number"),
+        F.col("value").cast("binary").alias("line"),
     )
     files = lines.groupBy("file").agg(
-        F.bool_and("valid").alias("valid"), F.min("first").alias("first")
-    )
-    return files.select(
-        "file",
-        F.when(F.col("first") % 2 == 1, "UTF-16")
-        .when(F.col("valid"), "UTF-8")
-        .otherwise("ISO-8859-1")
-        .alias("encoding"),
+        F.bool_and("valid").alias("valid"),
+        F.bool_or("odd").alias("odd"),
+        F.min_by("line", "number").alias("header"),
     )
+    marked = F.hex(F.substring("header", 1, 2)).isin(*UTF16_MARKS)
+    encoding = F.when(marked, "UTF-16").when(F.col("valid"), "UTF-8").otherwise("ISO-8859-1")
+    return files.select("file", encoding.alias("encoding"), "header", F.col("odd").alias("multi_line"))
+
+
+def header_names(header, encoding):
+    """Column names of a first line."""
+    if encoding.upper().startswith("UTF-16"):
+        # Cut at the byte of the line end, whose other byte may be left.
+        text = header[: len(header) // 2 * 2].decode(encoding)
+    else:
+        text = header.decode("utf-8-sig" if encoding.upper() == "UTF-8" else encoding)
+    return next(csv.reader([text.rstrip("\r")]), [])
 
 
 def read_csv(spark: SparkSession, path, schema, encoding=None) -> DataFrame:
-    """CSV rows with a given schema. Pass `encoding` to skip the detection scan.
+    """The columns of `schema` (DDL text or a type) by name; other columns are ignored.
 
-    The encoding list that reaches the driver has one row per file.
+    A file without one of the columns is an error. Files that agree in encoding, header
+    and line ends are read together; if all do, by `path` itself, otherwise by their
+    names, which Spark lists on the driver as well. A file with line ends inside values
+    is read in one task. `encoding` overrides what the files look like.
     """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    described = describe_files(spark, path)
     if encoding:
-        return _read(spark, path, schema, encoding)
-    by_encoding = {}
-    for row in detect_encodings(spark, path).collect():
-        by_encoding.setdefault(row["encoding"], []).append(row["file"])
-    if not by_encoding:
-        return _read(spark, path, schema, "UTF-8")
-    parts = [_read(spark, files, schema, name) for name, files in sorted(by_encoding.items())]
+        described = described.withColumn("encoding", F.lit(encoding))
+    kinds = described.groupBy("encoding", "header", "multi_line").count().limit(2).collect()
+    if not kinds:
+        return spark.createDataFrame([], wanted)
+    if len(kinds) == 1:
+        groups = {tuple(kinds[0])[:3]: path}
+    else:
+        groups = defaultdict(list)
+        for row in described.collect():
+            # Spark reports names in their escaped form.
+            groups[row["encoding"], bytes(row["header"]), row["multi_line"]].append(unquote(row["file"]))
+    order = sorted(groups, key=lambda g: (g[0], bytes(g[1]), g[2]))
+    parts = [_read(spark, groups[group], wanted, *group) for group in order]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _read(spark, path, schema, encoding):
-    reader = spark.read.schema(schema).option("header", True).option("encoding", encoding)
+def _read(spark, paths, wanted, encoding, header, multi_line):
+    names = header_names(bytes(header), encoding)
+    missing = [f.name for f in wanted.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"no column {missing} among {names}")
+    kinds = {f.name: f.dataType for f in wanted.fields}
+    # Columns that are not wanted may repeat a name.
+    inside = [
+        T.StructField(name if name in kinds and names.index(name) == i else f"_{i}", kinds.get(name, T.StringType()))
+        for i, name in enumerate(names)
+    ]
+    reader = spark.read.schema(T.StructType(inside)).options(**DIALECT).option("encoding", encoding)
     # Only the multi-line reader finds line ends in two-byte text.
-    if encoding.upper().startswith("UTF-16"):
+    if multi_line or encoding.upper().startswith("UTF-16"):
         reader = reader.option("multiLine", True)
-    return reader.csv(path)
+    return reader.csv(paths).select(*[f.name for f in wanted.fields])

@@ -1,7 +1,10 @@
 """The streaming job: records, readings, interval join, windows, sinks."""
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from gaugeflow.functions.times import minute_text
 from gaugeflow.operators.joins import paired_readings
@@ -19,20 +22,19 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.join.stateFormatVersion": "3",
 }
-BYTES_PER_STATE_PARTITION = 128 * 1024 * 1024
 
 
-def state_session(spark: SparkSession, input_bytes=None, partitions=None) -> SparkSession:
+def state_session(spark: SparkSession, partitions=None) -> SparkSession:
     """A session of the same application for stateful queries.
 
-    The number of state partitions is fixed for the life of a checkpoint, so it
-    is chosen up front: given, or by the bytes a run holds in state. State
-    lives in RocksDB, off the heap, one store per partition for both join
-    sides, and each micro-batch uploads only what changed.
+    The number of state partitions is fixed for the life of a checkpoint, so it is chosen
+    up front: given, or as many as the application has cores, 8 at least. Every trigger
+    commits each of them, so they follow the throughput, not the size of the history.
+    State lives in RocksDB, off the heap, one store per partition for both join sides, and
+    each micro-batch uploads only what changed.
     """
-    if partitions is None:
-        partitions = 8 if input_bytes is None else max(8, -(-input_bytes // BYTES_PER_STATE_PARTITION))
     session = use_utc(spark.newSession())
+    partitions = partitions or max(8, spark.sparkContext.defaultParallelism)
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     for key, value in STATE_SETTINGS.items():
         session.conf.set(key, value)
@@ -40,9 +42,13 @@ def state_session(spark: SparkSession, input_bytes=None, partitions=None) -> Spa
 
 
 def message_windows(
-    records: DataFrame, max_delay="10 minutes", lower=-5, upper=5, size="2 minutes", mode="strict"
+    records: DataFrame, max_delay="10 minutes", lower=-5, upper=5, size="2 minutes", mode="strict",
+    salts="auto",
 ) -> DataFrame:
-    """Window documents of a topic carrying temperature and precipitation messages."""
+    """Window documents of a topic carrying temperature and precipitation messages.
+
+    `salts` cuts the traffic of one minute into as many state keys (see `interval_join`).
+    """
     readings, _ = parse_messages(records, mode=mode)
     pairs = paired_readings(
         split_metric(readings, "temperature"),
@@ -50,6 +56,7 @@ def message_windows(
         lower,
         upper,
         max_delay if records.isStreaming else None,
+        salts,
     )
     metrics = {"avg_temperature": "v1", "avg_precipitation": "v2"}
     return window_documents(tumbling_agg(pairs, "t1", metrics, size, latest="obs_key"))
@@ -80,7 +87,9 @@ def heartbeat(spark: SparkSession, path: str, schema, **values) -> None:
     """Write one record with a far later time into `path`, a folder the query also reads.
 
     Append mode holds a window back until the watermark passes it. A bounded
-    replay is run once over its data and once more after the heartbeat.
+    replay is run once over its data and once more after the heartbeat; its checkpoint is
+    finished then, as any further record would be late. Give the heartbeat a folder of its
+    own, so that nobody else reads it as data.
     """
     columns = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
     spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(path)
@@ -94,9 +103,11 @@ def replay(windows: DataFrame, sinks, checkpoint, heartbeat_writer=None):
     if heartbeat_writer:
         # The heartbeat's run closes the windows this run would close in an extra batch.
         conf.set(extra_batches, "false")
-    query = start(windows, sinks, checkpoint, {"availableNow": True})
-    query.awaitTermination()
-    conf.set(extra_batches, before)
+    try:
+        query = start(windows, sinks, checkpoint, {"availableNow": True})
+        query.awaitTermination()
+    finally:
+        conf.set(extra_batches, before)
     if heartbeat_writer:
         heartbeat_writer()
         query = start(windows, sinks, checkpoint, {"availableNow": True})
@@ -104,13 +115,32 @@ def replay(windows: DataFrame, sinks, checkpoint, heartbeat_writer=None):
     return query
 
 
-def late_rows(query) -> int:
-    """Rows a query has dropped for arriving after the watermark, over its recent progress."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class Totals(StreamingQueryListener):
+    """Adds up what queries report per trigger, from the moment it is added to a session.
+
+    `late` has the rows dropped behind the watermark by query id, `observed` the rows of
+    every observation (`observed_pairs`) by query id and name. Recent progress alone
+    would forget all but the last hundred triggers.
+    """
+
+    def __init__(self):
+        self.late, self.observed = Counter(), Counter()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        query = str(event.progress.id)
+        for operator in event.progress.stateOperators:
+            self.late[query] += operator.numRowsDroppedByWatermark
+        for name, row in event.progress.observedMetrics.items():
+            self.observed[query, name] += row["rows"] or 0
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
 
 
 def event_pairs(events: DataFrame, left="click", right="view", key=minute_text):

@@ -17,27 +17,34 @@ def running_windows(df: DataFrame, metrics, size="2 minutes", keys=()) -> DataFr
     one task's work.
     """
     stamped = df.withColumn("_now", F.current_timestamp())
+    if df.isStreaming:
+        # The clock is its own watermark: a window's state goes once it is over.
+        stamped = stamped.withWatermark("_now", "0 seconds")
     return tumbling_agg(stamped, "_now", metrics, size, keys)
 
 
 CLOSED_SCHEMA = (
     "series_key STRING, salt INT, window_start STRING, window_end STRING, "
-    "metric_sum DOUBLE, record_count BIGINT, latest STRING"
+    "sums ARRAY<DOUBLE>, counts ARRAY<BIGINT>, record_count BIGINT, latest STRING"
 )
 
 
 def closed_windows(
-    df: DataFrame, key, metric, latest, size_seconds=120, salts=8
+    df: DataFrame, key, metrics, latest, size_seconds=120, salts=8, output_mode="update"
 ) -> DataFrame:
     """Windows emitted once, when the wall clock passes their end, also without new input.
 
-    Rows of a key are spread over `salts` states, each holding one running sum
-    per open window; `merge_closed` adds the parts up.
+    `metrics` are one column or several. Rows of a key are spread over `salts` states, each
+    holding running sums per open window; `merge_closed` adds the parts up. A missing
+    metric is left out of its sum and its count. Behind a streaming join, which appends,
+    use `output_mode="append"`.
     """
+    metrics = [metrics] if isinstance(metrics, str) else list(metrics)
+    width, count = size_seconds * 1000, len(metrics)
     spread = df.select(
-        F.col(key).cast("string").alias("series_key"),
+        (F.col(key) if isinstance(key, str) else key).cast("string").alias("series_key"),
         F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int").alias("salt"),
-        F.col(metric).alias("metric"),
+        *[F.col(m).cast("double").alias(f"m{i}") for i, m in enumerate(metrics)],
         F.col(latest).cast("string").alias("latest"),
     )
 
@@ -45,32 +52,37 @@ def closed_windows(
         def init(self, handle):
             self.handle = handle
             self.open = handle.getMapState(
-                "open", "start BIGINT", "metric_sum DOUBLE, record_count BIGINT, latest STRING"
+                "open",
+                "start BIGINT",
+                "sums ARRAY<DOUBLE>, counts ARRAY<BIGINT>, record_count BIGINT, latest STRING",
             )
 
         def handleInputRows(self, key, rows, timerValues):
-            width = size_seconds * 1000
             start = timerValues.getCurrentProcessingTimeInMs() // width * width
-            total, count, newest = 0.0, 0, None
+            sums, counts, total, newest = [0.0] * count, [0] * count, 0, None
             if self.open.containsKey((start,)):
-                total, count, newest = self.open.getValue((start,))
+                sums, counts, total, newest = self.open.getValue((start,))
+                sums, counts = list(sums), list(counts)
             else:
                 self.handle.registerTimer(start + width)
             for part in rows:
-                total += float(part["metric"].sum())
-                count += len(part)
+                total += len(part)
+                for i in range(count):
+                    there = part[f"m{i}"].dropna()
+                    sums[i] += float(there.sum())
+                    counts[i] += len(there)
                 top = part["latest"].dropna()
                 if len(top):
                     newest = max(filter(None, (newest, top.max())))
-            self.open.updateValue((start,), (total, count, newest))
+            self.open.updateValue((start,), (sums, counts, total, newest))
             return iter([])
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             end = expiredTimerInfo.getExpiryTimeInMs()
-            start = end - size_seconds * 1000
+            start = end - width
             if not self.open.containsKey((start,)):
                 return
-            total, count, newest = self.open.getValue((start,))
+            sums, counts, total, newest = self.open.getValue((start,))
             self.open.removeKey((start,))
             bounds = [
                 pd.Timestamp(moment, unit="ms").strftime("%Y-%m-%dT%H:%M:%S")
@@ -82,8 +94,9 @@ def closed_windows(
                     "salt": [key[1]],
                     "window_start": [bounds[0]],
                     "window_end": [bounds[1]],
-                    "metric_sum": [total],
-                    "record_count": [count],
+                    "sums": [list(sums)],
+                    "counts": [list(counts)],
+                    "record_count": [total],
                     "latest": [newest],
                 }
             )
@@ -92,15 +105,28 @@ def closed_windows(
             pass
 
     return spread.groupBy("series_key", "salt").transformWithStateInPandas(
-        Closer(), CLOSED_SCHEMA, "update", "processingTime"
+        Closer(), CLOSED_SCHEMA, output_mode, "processingTime"
     )
 
 
-def merge_closed(parts: DataFrame) -> DataFrame:
-    """One row per key and window out of the salted parts."""
-    rows = F.sum("record_count")
+def closed_pair_windows(pairs: DataFrame, size_seconds=120, salts=8) -> DataFrame:
+    """Closed windows of joined pairs `(keys, t1, v1, t2, v2)`, all pairs as one series.
+
+    A pair belongs to the window in which it is formed, whichever half came last.
+    """
+    return closed_windows(
+        pairs, F.lit("all"), ["v1", "v2"], "obs_key", size_seconds, salts, "append"
+    )
+
+
+def merge_closed(parts: DataFrame, names=("avg_metric",)) -> DataFrame:
+    """One row per key and window out of the salted parts, a mean per metric."""
+    means = [
+        F.try_divide(
+            F.sum(F.element_at("sums", i + 1)), F.sum(F.element_at("counts", i + 1))
+        ).alias(name)
+        for i, name in enumerate(names)
+    ]
     return parts.groupBy("series_key", "window_start", "window_end").agg(
-        (F.sum("metric_sum") / rows).alias("avg_metric"),
-        rows.alias("record_count"),
-        F.max("latest").alias("avg_timestamp"),
+        *means, F.sum("record_count").alias("record_count"), F.max("latest").alias("avg_timestamp")
     )

@@ -168,17 +168,41 @@ def test_score_rises_with_the_slope(spark):
 
 def test_statistics_and_report(spark):
     values = [0.10, 0.12, 0.11, 0.15, 0.14]
-    rows = [("a", BASE + timedelta(minutes=2 * i), i, v, True) for i, v in enumerate(values)]
+    rows = [("a", BASE + timedelta(minutes=2 * i), i, v, True, 25) for i, v in enumerate(values)]
     frame = spark.createDataFrame(
-        rows, "series_key STRING, ds TIMESTAMP, step_no INT, yhat DOUBLE, is_future BOOLEAN"
+        rows, "series_key STRING, ds TIMESTAMP, step_no INT, yhat DOUBLE, is_future BOOLEAN, n BIGINT"
     )
+    frame = series.with_config(frame)
     analysis = reports.score_forecast(frame)
     row = analysis.first()
     assert row.trend == pytest.approx(0.011) and row.predictions == values
     assert row.trend_label == "Rising"
-    sizes = series.with_config(spark.createDataFrame([("a", 25)], "series_key STRING, n BIGINT"))
-    report = reports.report_summary(analysis, sizes.select("series_key", "n", "reliability")).first()
+    report = reports.report_summary(analysis).first()
     assert (report.reliability, report.avg_predicted, report.trend) == (
         "limited", "0.1240", "Rising (0.011000)"
     )
     assert [r.minutes for r in reports.report_breakdown(frame).collect()] == [2]
+
+
+def test_statistics_take_the_last_periods(spark):
+    """Also of a longer future, as the reference frame has thirty steps."""
+    rows = [("a", BASE + timedelta(minutes=2 * i), i, float(i), True) for i in range(60)]
+    frame = spark.createDataFrame(
+        rows, "series_key STRING, ds TIMESTAMP, step_no INT, yhat DOUBLE, is_future BOOLEAN"
+    )
+    row = reports.forecast_statistics(frame).first()
+    assert row.avg_predicted == pytest.approx(44.5) and len(row.predictions) == 30
+
+
+@pytest.mark.parametrize("model", [forecast.forecast_linear, forecast.forecast_additive])
+def test_null_keys_are_one_series(spark, model):
+    """The rows of a NULL key are forecast alike, however many rows a task may sort."""
+    frame = make(spark, {"long": 60}).withColumn("series_key", F.lit(None).cast("string"))
+    frame = frame.unionByName(make(spark, {"medium": 40}))
+    one, two = (
+        sorted(
+            ((r.series_key or "", r.is_future, r.ds, round(r.yhat, 6)) for r in model(frame, crowded=c).collect())
+        )
+        for c in (False, True)
+    )
+    assert len(one) == 60 + 40 + 2 * 30 and one == two

@@ -25,7 +25,7 @@ SCHEMA = "window_start STRING, avg_temperature STRING, avg_precipitation STRING,
 def test_csv_encodings(spark, tmp_path, codec, expected):
     path = tmp_path / "export.csv"
     path.write_bytes(CSV.encode(codec))
-    assert csv_files.detect_encodings(spark, str(path)).first().encoding == expected
+    assert csv_files.describe_files(spark, str(path)).first().encoding == expected
     rows = csv_files.read_csv(spark, str(path), SCHEMA).orderBy("window_start").collect()
     assert [r.place for r in rows] == ["Glasgow", "Köln"]
     assert rows[0].window_start == "2025-01-23T22:14:00"
@@ -46,12 +46,52 @@ def test_csv_detection_over_split_files(spark, tmp_path):
     path.write_bytes(b"a\n" + b"0123456789\n" * 20_000 + "é\n".encode("latin1"))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        found = csv_files.detect_encodings(spark, str(path)).collect()
+        found = csv_files.describe_files(spark, str(path)).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [r.encoding for r in found] == ["ISO-8859-1"]
 
 
+NAMED = "window_start STRING, avg_temperature DOUBLE, avg_precipitation DOUBLE"
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    """Files of one folder differ in order, extra columns and quotes around the names."""
+    (tmp_path / "a.csv").write_text("window_start,avg_precipitation,avg_temperature\nw1,0.1,8.5\n")
+    (tmp_path / "b.csv").write_text('x,"avg_temperature",x,window_start,avg_precipitation\n1,9.5,2,w2,0.2\n')
+    (tmp_path / "with space+plus.csv").write_text("avg_temperature,avg_precipitation,window_start\r\n7.5,0.3,w3\r\n")
+    rows = csv_files.read_csv(spark, str(tmp_path), NAMED).orderBy("window_start").collect()
+    assert [tuple(r) for r in rows] == [("w1", 8.5, 0.1), ("w2", 9.5, 0.2), ("w3", 7.5, 0.3)]
+    one = csv_files.read_csv(spark, str(tmp_path / "with space+plus.csv"), NAMED)
+    assert [tuple(r) for r in one.collect()] == [("w3", 7.5, 0.3)]
+
+
+def test_csv_without_a_column_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("window_start,avg_temperature\nw1,8.5\n")
+    with pytest.raises(ValueError, match="avg_precipitation"):
+        csv_files.read_csv(spark, str(tmp_path), NAMED)
+
+
+@pytest.mark.parametrize("encoding", ["UTF-8", "ISO-8859-1"])
+def test_csv_values_survive(spark, tmp_path, encoding):
+    path = str(tmp_path / "out dir")
+    texts = ['a\nb', 'c"d', 'x",y', '"', '""', " blank ", "", None, "é,\r\n;", "\\", 'e\\"f', "last"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n INT, t STRING").coalesce(2)
+    writers.export_csv(frame, path, encoding=encoding)
+    back = csv_files.read_csv(spark, path, "t STRING, n INT")
+    # An empty text comes back as NULL.
+    assert [(r.n, r.t) for r in back.orderBy("n").collect()] == [
+        (n, t or None) for n, t in enumerate(texts)
+    ]
+
+
+def test_console_prints_every_window(spark, capsys):
+    frame = spark.range(75).select(F.format_string("w%03d", "id").alias("window_start"), "id")
+    writers.console_sink()(frame, 0)
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[0] == "window_start=w000 | id=0" and len(lines) == 75
+
+
 def test_csv_export_has_a_header(spark, tmp_path):
     path = str(tmp_path / "out")
     frame = spark.createDataFrame([(1, "a,b"), (2, 'c"d')], "n INT, t STRING")
@@ -140,7 +180,8 @@ def test_catalog_statements(spark, tmp_path):
     assert "spark_catalog" in [r[0] for r in tables.show_catalogs(spark).collect()]
     tables.use_schema(spark, "spark_catalog.pipeline")
     try:
-        assert [r.tableName for r in tables.show_tables(spark, "pipeline").collect()] == ["aggregated_2min"]
+        listed = tables.show_tables(spark, "pipeline").where("NOT isTemporary").collect()
+        assert [r.tableName for r in listed] == ["aggregated_2min"]
         described = tables.describe_table(spark, "aggregated_2min").collect()
         assert [tuple(r) for r in described] == [
             ("window_start", "string"), ("avg_temperature", "double")

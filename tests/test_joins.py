@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gaugeflow.operators import joined_windows, joins
 from gaugeflow.operators.joined_windows import joined_window_agg
 from gaugeflow.operators.joins import interval_join, paired_readings
-from gaugeflow.operators.skew import HOT_LIMIT, hot_keys, largest_group, per_key_join
+from gaugeflow.operators.skew import largest_group, per_key_join
 from gaugeflow.operators.windows import tumbling_agg, window_documents
 
 BASE = datetime(2025, 1, 23, 22, 16)
@@ -131,7 +131,7 @@ def test_running_sums_on_a_hot_instant(spark):
     many = spark.range(20_000).select(
         F.lit("k").alias("obs_key"), F.lit(BASE).alias("arrival_ts"), F.lit(2.0).alias("value")
     )
-    row = joined_window_agg(many, many.withColumn("value", F.lit(3.0)), method="auto").first()
+    row = joined_window_agg(many, many.withColumn("value", F.lit(3.0))).first()
     assert (row.record_count, row.avg_v1, row.avg_v2) == (400_000_000, 2.0, 3.0)
 
 
@@ -158,16 +158,62 @@ def test_join_is_an_equi_join(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-def test_hot_keys_and_per_key_join(spark):
+def test_per_key_join_keeps_null_keys(spark):
     rows = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
+        F.when(F.col("id") % 3 != 0, (F.col("id") % 50).cast("string")).alias("k"), "id"
     )
-    hot = hot_keys(rows, ["k"], min_rows=100)
-    assert [(r.k, r["_salts"]) for r in hot.collect()] == [("hot", 10)]
     per_key = rows.groupBy("k").agg(F.count("*").alias("n"))
-    joined = per_key_join(rows, per_key, ["k"], hot)
+    joined = per_key_join(rows, per_key, ["k"])
     assert joined.columns == ["k", "id", "n"]
-    plain = rows.join(per_key, ["k"])
-    assert joined.exceptAll(plain).count() == 0 and plain.exceptAll(joined).count() == 0
+    assert joined.count() == 3000 and joined.where("k IS NULL AND n = 1000").count() == 1000
     assert largest_group(rows, ["k"]) == 1000
-    assert HOT_LIMIT == 1000
+
+
+def test_crowds_on_either_side_are_cut(spark, monkeypatch):
+    """One left row against many right rows: the right side is split, the left row copied."""
+    monkeypatch.setattr(joins, "HOT_CELL_ROWS", 5)
+    few, many = [("k", 0, 1.0)], [("k", s / 100, float(s)) for s in range(-40, 41)]
+    for left, right in ((few, many), (many, few), (many, many)):
+        pairs = paired_readings(side(spark, left), side(spark, right), -1, 1)
+        got = sorted(
+            (r.obs_key, (r.t1 - BASE).total_seconds(), r.v1, (r.t2 - BASE).total_seconds(), r.v2)
+            for r in pairs.collect()
+        )
+        assert got == brute_pairs(left, right, -1, 1)
+        crowds = joins._crowded_cells(
+            *(side(spark, x).select("obs_key", F.lit(0).alias("_cell")) for x in (left, right)),
+            ["obs_key", "_cell"],
+        ).first()
+        assert (crowds["_salts1"], crowds["_salts2"]) == tuple(-(-len(x) // 5) for x in (left, right))
+
+
+NAN = float("nan")
+HARD = {
+    "null keys": ([(None, 0, 1.0), ("k", 0, 2.0)], [(None, 0, 3.0), ("k", 0, 4.0)]),
+    "null values": (
+        [("k", 0, None), ("k", 0, 1.0), ("k", 1, None)],
+        [("k", 0, None), ("k", 1, 5.0), ("k", 2, None)],
+    ),
+    "only null values": ([("k", 0, None)], [("k", 0, None)]),
+    "nan outside": ([("k", 0, 1.0), ("k", 40, NAN)], [("k", 0, 0.1), ("k", 9, NAN), ("k", -9, NAN)]),
+    "nan inside": ([("k", 0, 1.0)], [("k", 0, 0.1), ("k", 3, NAN)]),
+    "infinity outside": ([("k", 0, 1.0)], [("k", 0, 0.1), ("k", 6, float("inf")), ("k", -6, float("-inf"))]),
+    "huge outside": ([("k", s / 10, 1.0) for s in range(50)], [("k", -7, 1e17), ("k", 0, 0.1), ("k", 12, -1e17)]),
+    "whole cells": ([("k", s, 1.0) for s in range(-30, 30)], [("k", s + 0.000001 * d, 1.0) for s in range(-30, 30) for d in (-1, 0, 1)]),
+}
+
+
+@pytest.mark.parametrize("case", sorted(HARD))
+@pytest.mark.parametrize("band", [(-5, 5), (0, 0), (2, 5), (-1, 0)])
+def test_all_ways_agree_on_hard_values(spark, case, band):
+    left, right = (side(spark, rows) for rows in HARD[case])
+    ways = [{"method": "pairs"}, {"slices": 1}, {"slices": 7}]
+    found = []
+    for way in ways:
+        rows = joined_window_agg(left, right, *band, **way).orderBy("window_start_ts").collect()
+        found.append([(r.window_start_ts, r.record_count, r.avg_timestamp, r.avg_v1, r.avg_v2) for r in rows])
+    for other in found[1:]:
+        assert [r[:3] for r in other] == [r[:3] for r in found[0]]
+        for one, two in zip(found[0], other):
+            for x, y in zip(one[3:], two[3:]):
+                assert x is y is None or x == pytest.approx(y, rel=1e-12, nan_ok=True)

@@ -1,6 +1,8 @@
+import os
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,12 +104,115 @@ def test_streaming_join_needs_a_delay(spark, tmp_path):
         jobs.message_windows(topics.read_record_files(spark, landed), max_delay=None)
 
 
-def test_state_partitions_follow_the_input(spark):
-    def partitions(size):
-        return jobs.state_session(spark, size).conf.get("spark.sql.shuffle.partitions")
+def test_state_partitions_follow_the_cores(spark):
+    def partitions(**options):
+        return jobs.state_session(spark, **options).conf.get("spark.sql.shuffle.partitions")
 
-    assert partitions(1) == "8"
-    assert partitions(100 << 40) == str(100 << 13)
+    assert partitions() == str(max(8, spark.sparkContext.defaultParallelism))
+    assert partitions(partitions=300) == "300"
+
+
+def test_one_minute_fills_many_state_keys(spark):
+    """All traffic under one minute key: salts spread it over the state partitions."""
+    rows = [(f'{{"time":"2025-01-23T22:00","{f}":1}}', 0, n, BASE + timedelta(milliseconds=20 * n))
+            for n in range(200) for f in ("temperature_2m", "precipitation")]
+    readings, _ = parse_messages(spark.createDataFrame(rows, TOPIC_RECORD))
+    one = readings.where("temperature IS NOT NULL").withColumn("value", F.col("temperature"))
+    two = readings.where("precipitation IS NOT NULL").withColumn("value", F.col("precipitation"))
+    keys = {}
+    for salts in (1, 8):
+        plan = paired_readings(one, two, salts=salts)
+        spread = plan.select(F.pmod(F.xxhash64("obs_key", "obs_ts", "t1", "v1"), F.lit(salts)).alias("s"))
+        keys[salts] = spread.distinct().count()
+        assert plan.count() == paired_readings(one, two).count()
+    assert keys == {1: 1, 8: 8}
+
+
+def test_totals_over_many_triggers(spark, tmp_path):
+    """More triggers than a query remembers: every late row and every observed row is counted."""
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    schema = "ts TIMESTAMP, v DOUBLE"
+
+    def land(number, moment, count):
+        frame = pd.DataFrame({"ts": pd.to_datetime([moment] * count).astype("datetime64[us]"), "v": [1.0] * count})
+        frame.to_parquet(landed / f"{number:03d}.parquet", index=False)
+        os.utime(landed / f"{number:03d}.parquet", (1_700_000_000 + number,) * 2)
+
+    land(0, datetime(2025, 1, 2), 1)
+    land(1, datetime(2025, 1, 2), 1)
+    for number in range(2, 112):
+        land(number, datetime(2025, 1, 1), 2)
+    session = jobs.state_session(spark, partitions=1)
+    totals = jobs.Totals()
+    session.streams.addListener(totals)
+    try:
+        stream = session.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(landed))
+        seen = jobs.observed_pairs(stream.withColumn("v1", F.col("v")).withColumn("v2", F.col("v")), "seen")
+        windows = seen.withWatermark("ts", "1 minute").groupBy(F.window("ts", "2 minutes")).agg(F.count("*").alias("n"))
+        query = jobs.start(windows, [lambda d, b: d.count()], str(tmp_path / "checkpoint"), {"availableNow": True})
+        query.awaitTermination()
+        deadline = time.time() + 30
+        while totals.observed[str(query.id), "seen"] < 222 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        session.streams.removeListener(totals)
+    assert totals.observed[str(query.id), "seen"] == 222
+    # Spark counts late groups after the partial sum: one per trigger and window.
+    assert totals.late[str(query.id)] in (110, 220)
+
+
+def test_runs_do_not_overwrite_each_other(spark, tmp_path):
+    """Two checkpoints on one store, both with a batch 0; then a replay of the second."""
+    store = str(tmp_path / "store")
+    session = jobs.state_session(spark, partitions=2)
+    for run, part in (("one", range(0, 50)), ("two", range(50, 80))):
+        landed = str(tmp_path / run)
+        rows = [(i, datetime(2025, 1, 1 + i % 3)) for i in part]
+        spark.createDataFrame(rows, "id BIGINT, ts TIMESTAMP").coalesce(1).write.parquet(landed)
+        stream = session.readStream.schema("id BIGINT, ts TIMESTAMP").parquet(landed)
+        dated = stream.withColumn("window_date", F.to_date("ts"))
+        jobs.replay(dated, [writers.window_store(store, "window_date")], str(tmp_path / f"{run}-checkpoint"))
+    stored = writers.read_store(spark, store)
+    assert sorted(r.id for r in stored.collect()) == list(range(80))
+    assert stored.select("run").distinct().count() == 2
+    assert sorted(p.name for p in (tmp_path / "store").glob("window_date=*")) == [
+        f"window_date=2025-01-0{d}" for d in (1, 2, 3)
+    ]
+    compact = str(tmp_path / "compact")
+    writers.compact_store(spark, store, compact, "window_date")
+    assert sorted(r.id for r in writers.stored_documents(spark, compact).collect()) == list(range(80))
+    assert len(list((tmp_path / "compact").glob("*/*/*/*.parquet"))) == 3
+
+
+def test_pairs_close_on_the_wall_clock(spark, tmp_path):
+    """Join, then windows that close without further input; missing metrics count as rows only."""
+    landed, store = str(tmp_path / "landed"), str(tmp_path / "store")
+    rows = [("k", i % 2, BASE + timedelta(milliseconds=i), None if i % 10 == 1 else float(i)) for i in range(100)]
+    spark.createDataFrame(rows, "obs_key STRING, kind INT, ts TIMESTAMP, value DOUBLE").coalesce(1).write.parquet(landed)
+    session = jobs.state_session(spark, partitions=2)
+
+    def one(kind):
+        stream = session.readStream.schema("obs_key STRING, kind INT, ts TIMESTAMP, value DOUBLE").parquet(landed)
+        return stream.where(F.col("kind") == kind).select("obs_key", F.col("ts").alias("arrival_ts"), "value")
+
+    pairs = paired_readings(one(0), one(1), 0, 0.001, max_delay="1 minute", salts=2)
+    closed = wallclock.closed_pair_windows(pairs, size_seconds=2, salts=2)
+    query = jobs.start(closed, [writers.window_store(store)], str(tmp_path / "checkpoint"), {"processingTime": "1 second"})
+    try:
+        deadline, got = time.time() + 60, []
+        while time.time() < deadline and sum(r.record_count for r in got) < 50:
+            time.sleep(1)
+            assert query.exception() is None
+            if list((tmp_path / "store").glob("*/*/*.parquet")):
+                got = wallclock.merge_closed(writers.read_store(spark, store), ("a", "b")).collect()
+    finally:
+        query.stop()
+    assert sum(r.record_count for r in got) == 50
+    (row,) = got
+    assert row.a == pytest.approx(sum(range(0, 100, 2)) / 50)
+    kept = [i for i in range(1, 100, 2) if i % 10 != 1]
+    assert row.b == pytest.approx(sum(kept) / len(kept)) and row.avg_timestamp == "k"
 
 
 def test_closed_windows_need_no_further_input(spark, tmp_path):
@@ -127,7 +232,7 @@ def test_closed_windows_need_no_further_input(spark, tmp_path):
         while time.time() < deadline:
             time.sleep(1)
             assert query.exception() is None
-            if not list((tmp_path / "store").glob("*/*.parquet")):
+            if not list((tmp_path / "store").glob("*/*/*.parquet")):
                 continue
             rows = wallclock.merge_closed(writers.read_store(spark, store)).collect()
             if sum(r.record_count for r in rows) == 200:
