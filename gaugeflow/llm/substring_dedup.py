@@ -7,14 +7,19 @@ minimisers, so they meet in one bucket, where sorting brings them side by side.
 
 Each task first settles what it can see itself: of equal packed strings only those with
 the smallest id travel, the others are known to repeat. So a passage that millions of
-documents share reaches its bucket about once per task. Within a bucket rows come in the
-order of their ids, so memory holds its distinct windows, not their occurrences.
+documents share reaches its bucket about once per task. While a bucket is compared,
+memory holds its distinct windows, not their occurrences. The strings that a task has
+for the same part of the buckets are compressed together.
 
 Words are compared by two independent 64-bit hashes of the window's words.
 """
 
+from collections import defaultdict
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,19 +32,23 @@ from gaugeflow.llm.blocks import (
     word_hashes,
     words,
 )
-from gaugeflow.llm.scale import counted_broadcast
 from gaugeflow.session import written
 
 WINDOW = 13
 MINIMISER = 4
 # Strings a task remembers as already on their way.
-REMEMBERED = 200_000
-CHUNK_BYTES = 4 << 20
+REMEMBERED = 50_000
+SEND_BYTES = 1 << 20
+# What a task gathers before it sends; larger loads compress better.
+FLUSH_BYTES = 32 << 20
+# Sub-buckets are a fraction of a shuffle partition; a task looks at one at a time.
+SUBS_PER_PARTITION = 8
+CHUNK_WINDOWS = 1 << 19
 LAST_ID = (1 << 63) - 1
+_ZSTD = zstandard.ZstdCompressor(level=3)
 
-_COLUMNS = ("bucket", "owner", "row", "first", "windows", "packed")
-_DDL = "bucket bigint, owner bigint, row bigint, first bigint, windows bigint, packed binary"
-_RANGES = "owner bigint, row bigint, first bigint, windows bigint"
+_SENT = "sub int, settled boolean, load binary"
+_RANGES = "owner bigint, row int, first int, windows int"
 
 
 def super_kmers(hashes, before, n, m):
@@ -74,8 +83,13 @@ def runs(owner, row, first, windows):
 
 
 def groups(keys, owner):
-    """Order by keys then owner, and for each place in that order its group's least owner."""
-    order = np.lexsort((owner, *keys[::-1]))
+    """Order by keys then owner, where groups begin in it, and each place's group's least owner."""
+    order = np.argsort(keys[0])
+    same = keys[0][order][1:] == keys[0][order][:-1]
+    # Most keys are unique; only the others need the full order.
+    shared = np.flatnonzero(np.r_[False, same] | np.r_[same, False]) if len(order) > 1 else order[:0]
+    rows = order[shared]
+    order[shared] = rows[np.lexsort((owner[rows], *[key[rows] for key in keys[::-1]]))]
     head = np.zeros(len(order), dtype=bool)
     head[:1] = True
     for key in keys:
@@ -83,18 +97,70 @@ def groups(keys, owner):
     return order, head, owner[order][head][np.cumsum(head) - 1]
 
 
-def _batch(bucket, owner, row, first, windows, packed):
-    numbers = [np.asarray(x).astype(np.int64) for x in (owner, row, first, windows)]
-    bucket = np.asarray(bucket, dtype=np.uint64).view(np.int64)
+def _packed(parts):
+    """One compressed load of (owner, row, first, windows, sizes, strings) parts, column by column."""
+    columns = [np.concatenate(x) for x in list(zip(*parts))[:5]]
+    head = np.array([len(columns[0]), len(columns[4])], dtype=np.int64)
+    strings = [p[5] for p in parts]
+    return _ZSTD.compress(b"".join([head.tobytes(), *(c.tobytes() for c in columns), *strings]))
+
+
+def _unpacked(load):
+    """owner, row, first, windows, and the strings' bytes and offsets."""
+    data = zstandard.ZstdDecompressor().decompress(load)
+    count, strings = np.frombuffer(data, np.int64, 2).tolist()
+    owner = np.frombuffer(data, np.int64, count, 16)
+    at, out = 16 + 8 * count, [owner]
+    for size in (count, count, count, strings):
+        out.append(np.frombuffer(data, np.int32, size, at))
+        at += 4 * size
+    offsets = np.r_[0, np.cumsum(out.pop(), dtype=np.int64)]
+    return *out, np.frombuffer(data, np.uint8, offset=at), offsets
+
+
+def _settled(sent, keys, owner):
+    """Which strings repeat one with a smaller id, in this block or sent before by the task."""
+    order, head, least = groups(keys, owner)
+    leads, ids = order[head], np.diff(np.r_[np.flatnonzero(head), len(order)])
+    known = least[head].copy()
+    if len(sent) > REMEMBERED:
+        sent.clear()
+    for g, key in enumerate(zip(keys[0][leads].tolist(), keys[1][leads].tolist())):
+        earlier = sent.get(key)
+        if earlier is not None and earlier < known[g]:
+            known[g] = earlier
+        elif earlier is not None or ids[g] > 1:
+            sent[key] = int(known[g])
+    repeats = np.zeros(len(order), dtype=bool)
+    repeats[order] = owner[order] > known[np.cumsum(head) - 1]
+    return repeats
+
+
+def _part(owner, row, first, windows, strings=()):
+    sizes = np.array([len(x) + 1 for x in strings], dtype=np.int32)
+    columns = [owner.astype(np.int64), *(x.astype(np.int32) for x in (row, first, windows)), sizes]
+    return *columns, b"".join([x for string in strings for x in (string, b" ")])
+
+
+def _loads(pending, settled):
+    """Everything gathered, a row for each sub-bucket, and one for the settled ranges."""
+    loads = [(sub, False, _packed(parts)) for sub, parts in pending.items()]
+    if settled:
+        loads.append((next(iter(pending), 0), True, _packed(settled)))
+    columns = list(zip(*loads)) or [(), (), ()]
     return pa.RecordBatch.from_arrays(
-        [*map(pa.array, (bucket, *numbers)), packed], names=list(_COLUMNS)
+        [pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.bool_(), pa.binary()))],
+        names=["sub", "settled", "load"],
     )
 
 
-def send(batches, n, m):
-    """Rows for the buckets, and ranges already known to repeat (`packed` is null)."""
-    sent = {}
-    for block in blocks(batches, "text"):
+def send(batches, n, m, subs):
+    """(sub, settled, load): super-k-mers for the buckets, and ranges already known to repeat.
+
+    Buckets are dealt to `subs` sub-buckets; what a task has gathered for one goes as one load.
+    """
+    sent, pending, ranges, size = {}, defaultdict(list), [], 0
+    for block in blocks(batches, "text", SEND_BYTES):
         data, offsets = flat(block.column("text"))
         starts, ends, before = words(data, offsets)
         hashes = word_hashes(data, starts, ends)
@@ -104,66 +170,75 @@ def send(batches, n, m):
         owner, row = (block.column(c).to_numpy()[text] for c in ("owner", "row"))
         last = first + windows + n - 1
         other = word_hashes(data, starts, ends, seed=1)
-        keys = [range_hashes(h, first, last) for h in (hashes, other)]
-        order, head, least = groups(keys, owner)
-        # Strings of several ids in this block, or remembered from an earlier one.
-        leads = order[head]
-        ids = np.diff(np.r_[np.flatnonzero(head), len(order)])
-        known = least[head].copy()
-        if len(sent) > REMEMBERED:
-            sent.clear()
-        for g, key in enumerate(zip(keys[0][leads].tolist(), keys[1][leads].tolist())):
-            earlier = sent.get(key)
-            if earlier is not None and earlier < known[g]:
-                known[g] = earlier
-            elif earlier is not None or ids[g] > 1:
-                sent[key] = int(known[g])
-        repeats = np.zeros(len(order), dtype=bool)
-        repeats[order] = owner[order] > known[np.cumsum(head) - 1]
+        repeats = _settled(sent, [range_hashes(h, first, last) for h in (hashes, other)], owner)
         word = first - before[text]
         go = np.flatnonzero(~repeats)
-        packed = [data[a:b].tobytes() for a, b in zip(starts[first[go]], ends[last[go] - 1])]
-        yield _batch(
-            bucket[go], owner[go], row[go], word[go], windows[go], pa.array(packed, pa.binary())
-        )
+        sub = (bucket[go] % np.uint64(subs)).astype(np.int64)
+        order = np.argsort(sub, kind="stable")
+        go, sub = go[order], sub[order]
+        heads = np.flatnonzero(np.r_[True, sub[1:] != sub[:-1]]) if len(go) else go
+        low, high = starts[first], ends[last - 1]
+        for a, b in pairwise([*heads.tolist(), len(go)]):
+            own = go[a:b]
+            strings = [data[x:y].tobytes() for x, y in zip(low[own].tolist(), high[own].tolist())]
+            pending[int(sub[a])].append(_part(owner[own], row[own], word[own], windows[own], strings))
+        size += int((high - low)[go].sum()) + 24 * len(go)
         found = runs(owner[repeats], row[repeats], word[repeats], windows[repeats])
-        spread = found[1].astype(np.int64).view(np.uint64)
-        yield _batch(spread, *found, pa.nulls(len(spread), pa.binary()))
+        if len(found[0]):
+            ranges.append(_part(*found))
+        if size > FLUSH_BYTES:
+            yield _loads(pending, ranges)
+            pending, ranges, size = defaultdict(list), [], 0
+    yield _loads(pending, ranges)
+
+
+def _ranges(owner, row, first, windows):
+    found = runs(owner, row, first, windows)
+    kinds = (np.int64, np.int32, np.int32, np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x.astype(k)) for x, k in zip(found, kinds)],
+        names=["owner", "row", "first", "windows"],
+    )
 
 
 def compare(batches, n):
-    """Ranges of windows that also start in a text with a smaller id, bucket by bucket.
+    """Ranges of windows that also start in a text with a smaller id, sub-bucket by sub-bucket.
 
-    Rows are sorted by bucket and id; windows of a bucket that goes on are carried over.
+    Loads come sorted by sub-bucket. Of every distinct window the places with the least id
+    so far are kept while the sub-bucket lasts; all others are known to repeat.
     """
-    carried = [np.zeros(0, dtype=np.uint64)] * 2 + [np.zeros(0, dtype=np.int64)] * 2
-    for block in blocks(batches, "packed", CHUNK_BYTES):
-        bucket, owner, row, first, windows = (block.column(c).to_numpy() for c in _COLUMNS[:5])
-        settled = block.column("packed").is_null().to_numpy(zero_copy_only=False)
-        found = [[x[settled] for x in (owner, row, first, windows)]]
-        part = block.filter(pa.array(~settled))
-        if part.num_rows:
-            bucket, owner, row, first, windows = (x[~settled] for x in (bucket, owner, row, first, windows))
-            data, offsets = flat(part.column("packed"))
+    nothing = [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 3
+    kept, current, held, size = nothing, None, [], 0
+
+    def settle(kept, held):
+        """Sorted by window then id: places beyond the least id repeat."""
+        own = [np.concatenate(x) for x in zip(kept, *held)]
+        order, _, least = groups(own[:2], own[2])
+        later = own[2][order] > least
+        out = [x[order[later]] for x in own[2:]]
+        return [x[order[~later]] for x in own], _ranges(*out, np.ones(len(out[0]), np.int64))
+
+    for batch in batches:
+        for sub, settled, load in zip(*(batch.column(i) for i in range(3))):
+            owner, row, first, windows, data, offsets = _unpacked(load.as_py())
+            if settled.as_py():
+                yield _ranges(owner, row, first, windows)
+                continue
+            if sub.as_py() != current or size > CHUNK_WINDOWS:
+                if held:
+                    kept, found = settle(kept, held)
+                    yield found
+                kept = kept if sub.as_py() == current else nothing
+                current, held, size = sub.as_py(), [], 0
             starts, ends, before = words(data, offsets)
             at = ragged(before[:-1], windows)
             of = np.repeat(np.arange(len(windows)), windows)
             keys = [gram_hashes(word_hashes(data, starts, ends, seed), n)[at] for seed in (0, 1)]
-            own = len(carried[2])
-            keys = [np.concatenate([c, k]) for c, k in zip(carried[:2], keys)]
-            ids = np.concatenate([carried[2], owner[of]])
-            order, head, least = groups(keys, ids)
-            later = order[(ids[order] > least) & (order >= own)] - own
-            found.append([owner[of[later]], row[of[later]], (first[of] + at - before[of])[later],
-                          np.ones(len(later), dtype=np.int64)])
-            leads = order[head]
-            homes = np.concatenate([carried[3], bucket[of]])
-            stay = leads[homes[leads] == bucket[-1]]
-            carried = [keys[0][stay], keys[1][stay], ids[stay], homes[stay]]
-        out = runs(*(np.concatenate(x) for x in zip(*found)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x.astype(np.int64)) for x in out], names=["owner", "row", "first", "windows"]
-        )
+            place = (first - before[:-1])[of] + at
+            held.append([*keys, owner[of], row[of].astype(np.int64), place])
+            size += len(at)
+    if held:
+        yield settle(kept, held)[1]
 
 
 def keep_words(text, found, n):
@@ -180,9 +255,11 @@ def keep_words(text, found, n):
 
 def repeated_ranges(rows: DataFrame, n=WINDOW, m=MINIMISER) -> DataFrame:
     """(owner, row, found) of rows (owner, row, text): the runs of repeating windows, as an array."""
-    sent = rows.mapInArrow(lambda batches: send(batches, n, m), _DDL)
-    sorted_ = sent.repartition("bucket").sortWithinPartitions("bucket", "owner")
-    found = sorted_.mapInArrow(lambda batches: compare(batches, n), _RANGES)
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    subs = SUBS_PER_PARTITION * partitions
+    sent = rows.mapInArrow(lambda batches: send(batches, n, m, subs), _SENT)
+    dealt = sent.repartition(partitions, "sub").sortWithinPartitions("sub")
+    found = dealt.mapInArrow(lambda batches: compare(batches, n), _RANGES)
     # A text's ranges are fewer than its words.
     return found.groupBy("owner", "row").agg(
         F.collect_set(F.struct("first", "windows")).alias("found")
@@ -202,11 +279,12 @@ def drop_repeats(docs: DataFrame, id_col="doc_id", text_col="text", n=WINDOW, m=
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("owner"),
-        F.xxhash64(text).alias("row"),
+        # Tells rows with the same id apart.
+        F.hash(text).alias("row"),
         text.alias("text"),
     )
+    # As large as the repeats in the corpus, so it is joined by shuffle at any size.
     ranges = written(repeated_ranges(rows.select("owner", "row", "text"), n, m), "ranges")
-    ranges = counted_broadcast(ranges, 16 * F.size("found"))
 
     def keep(batches):
         for block in blocks(batches, "text"):

@@ -28,6 +28,7 @@ def test_many_repeats_in_small_chunks(spark, monkeypatch, seed):
     """Few words, so windows repeat within and across texts, ids and blocks."""
     monkeypatch.setattr(substring_dedup, "SEND_BYTES", 300)
     monkeypatch.setattr(substring_dedup, "CHUNK_WINDOWS", 20)
+    monkeypatch.setattr(substring_dedup, "FLUSH_BYTES", 2000 * seed)
     monkeypatch.setattr(substring_dedup, "REMEMBERED", 5)
     rng = random.Random(seed)
     rows = [
