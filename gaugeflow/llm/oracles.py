@@ -29,7 +29,8 @@ WITH d AS (
     len(lines) AS n_lines,
     len(list_filter(lines, lambda x: len(regexp_extract_all(x, '{_WORD}')) < 3)) AS n_short_lines,
     len(list_filter(words, lambda x: x IN ({_STOP}))) AS n_stop_words,
-    len(list_filter(words, lambda x: regexp_matches(x, '\pL'))) AS n_alphabetic
+    len(list_filter(words, lambda x: regexp_matches(x, '\pL'))) AS n_alphabetic,
+    len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS n_same_as_before
   FROM w LEFT JOIN covered USING (rid)
 ), b AS (
   SELECT CAST(COLUMNS(*) AS BIGINT),
@@ -42,7 +43,8 @@ SELECT *, NOT base_failed
     AND 20 * n_stop_words >= n_words
     AND 10 * n_alphabetic >= 7 * n_words
     AND 10 * n_short_lines <= 9 * n_lines
-    AND 10 * n_dup_lines <= 3 * n_lines AS kept
+    AND 2 * n_dup_lines <= n_lines
+    AND 10 * n_same_as_before <= 3 * n_words AS kept
 FROM b
 """
 

@@ -32,7 +32,8 @@ RULES = (
     ("stop_words", "n_stop_words", "n_words", 50, None),
     ("alphabetic_words", "n_alphabetic", "n_words", 700, None),
     ("short_lines", "n_short_lines", "n_lines", None, 900),
-    ("duplicate_lines", "n_dup_lines", "n_lines", None, 300),
+    ("duplicate_lines", "n_dup_lines", "n_lines", None, 500),
+    ("stuttering", "n_same_as_before", "n_words", None, 300),
 )
 SHORT_LINE_WORDS = 3
 
@@ -105,6 +106,11 @@ def quality_rules(docs: DataFrame, id_col="doc_id", text_col="text", rules=RULES
     def number(column):
         return column.cast("long")
 
+    def measured(*columns):
+        # Through a one-element generator, so that a filter on the verdict is not pushed
+        # below it, where it would repeat every measure.
+        return F.explode(F.array(F.struct(*columns)))
+
     return (
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
         .withColumns(
@@ -115,23 +121,29 @@ def quality_rules(docs: DataFrame, id_col="doc_id", text_col="text", rules=RULES
         )
         .select(
             "_id",
-            number(F.size(words)).alias("n_words"),
-            number(F.length(F.array_join(words, ""))).alias("word_chars"),
-            number(F.regexp_count(text, F.lit(SYMBOLS))).alias("n_symbols"),
-            number(F.size(lines)).alias("n_lines"),
-            number(F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
-            number(
-                F.size(
-                    F.filter(
-                        lines,
-                        lambda x: F.size(F.array_remove(F.split(x, BLANK), "")) < SHORT_LINE_WORDS,
+            measured(
+                number(F.size(words)).alias("n_words"),
+                number(F.length(F.array_join(words, ""))).alias("word_chars"),
+                number(F.regexp_count(text, F.lit(SYMBOLS))).alias("n_symbols"),
+                number(F.size(lines)).alias("n_lines"),
+                number(F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
+                number(
+                    F.size(
+                        F.filter(
+                            lines,
+                            lambda x: F.size(F.array_remove(F.split(x, BLANK), "")) < SHORT_LINE_WORDS,
+                        )
                     )
-                )
-            ).alias("n_short_lines"),
-            number(repeated_words(words)).alias("n_repeat_words"),
-            number(F.size(F.filter(words, lambda w: w.isin(stop)))).alias("n_stop_words"),
-            number(F.size(F.filter(words, lambda w: w.rlike(r"\p{L}")))).alias("n_alphabetic"),
+                ).alias("n_short_lines"),
+                number(repeated_words(words)).alias("n_repeat_words"),
+                number(F.size(F.filter(words, lambda w: w.isin(stop)))).alias("n_stop_words"),
+                number(F.size(F.filter(words, lambda w: w.rlike(r"\p{L}")))).alias("n_alphabetic"),
+                number(
+                    F.size(F.filter(words, lambda w, i: (i > 0) & (w == F.get(words, i - 1))))
+                ).alias("n_same_as_before"),
+            ).alias("_m"),
         )
+        .select("_id", "_m.*")
         .withColumn(
             "base_failed",
             (F.col("n_words") < MIN_WORDS)
@@ -150,5 +162,6 @@ def quality_rules(docs: DataFrame, id_col="doc_id", text_col="text", rules=RULES
             "n_short_lines",
             "n_stop_words",
             "n_alphabetic",
+            "n_same_as_before",
         )
     )
