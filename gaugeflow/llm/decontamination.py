@@ -165,15 +165,22 @@ def contaminations(
     known = fingerprints(items, ["item", "size"])
     near = F.array(
         *[
-            F.struct(F.lit(b).alias("block"), block(F.col("print"), b).bitwiseXOR(F.lit(m)).alias("value"))
+            F.struct(
+                F.lit(b).alias("block"),
+                block(F.col("print"), b).bitwiseXOR(F.lit(m)).alias("value"),
+            )
             for b in range(BLOCKS)
             for m in _NEIGHBOURS
         ]
     )
     own = F.array(
-        *[F.struct(F.lit(b).alias("block"), block(F.col("print"), b).alias("value")) for b in range(BLOCKS)]
+        *[
+            F.struct(F.lit(b).alias("block"), block(F.col("print"), b).alias("value"))
+            for b in range(BLOCKS)
+        ]
     )
-    index = written(known.select("item", "size", F.col("print").alias("other"), F.explode(near).alias("k")), "index")
+    index = known.select("item", "size", F.col("print").alias("other"), F.explode(near).alias("k"))
+    index = written(index, "index")
     index = counted_broadcast(index.select("item", "size", "other", "k.block", "k.value"))
     looked_up = prints.select(*window, "print", F.explode(own).alias("k")).select(
         *window, "print", "k.block", "k.value"
@@ -206,7 +213,9 @@ def contaminations(
     )
 
 
-def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", item_col="item_id", **columns) -> DataFrame:
+def leaked_items(
+    docs: DataFrame, benchmark: DataFrame, id_col="doc_id", item_col="item_id", **columns
+) -> DataFrame:
     """id, item id, similarity, start and n_words (in words) of every item found in a document.
 
     One row for each pair of a contaminated document and an item; equal items are one,
@@ -225,10 +234,13 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", item_co
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **columns) -> DataFrame:
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **columns
+) -> DataFrame:
     """The rows of `docs`, all columns, in which no item is found."""
-    found = contaminations(docs, benchmark, id_col, text_col, **columns).select("owner", "row").distinct()
-    found = counted_broadcast(written(found.toDF("_owner", "_row"), "leaks"))
+    found = contaminations(docs, benchmark, id_col, text_col, **columns)
+    found = found.select("owner", "row").distinct().toDF("_owner", "_row")
+    found = counted_broadcast(written(found, "leaks"))
     names = [F.col(f"`{c}`") for c in docs.columns]
     owner = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_owner")
     row = F.xxhash64(F.col(text_col).cast("string")).alias("_row")

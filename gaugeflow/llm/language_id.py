@@ -166,7 +166,9 @@ def predict(
     return rows.mapInArrow(score, T.StructType([*rows.schema.fields, *kinds]))
 
 
-def accepted(docs: DataFrame, least_score=0.5, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
+def accepted(
+    docs: DataFrame, least_score=0.5, id_col="doc_id", text_col="text", lang_col="lang"
+) -> DataFrame:
     """The rows of `docs`, all columns, with a language that scores at least `least_score`.
 
     The model is learned from the same rows; without any label nothing is accepted.

@@ -2,7 +2,8 @@
 
 Texts become latent-semantic vectors: hashed character n-grams, sublinear TF-IDF
 with document frequencies of the whole corpus, and two terms for words and lines
-that repeat, projected on the leading singular directions of a bounded labelled sample. The sample's vectors are broadcast; every
+that repeat, projected on the leading singular directions of a bounded labelled
+sample. The sample's vectors are broadcast; every
 document meets all of them in blocked products, and its nearest ones vote with
 their similarity.
 """

@@ -33,7 +33,9 @@ _GZIP = b"\x1f\x8b\x08"
 _DIGESTS = {"sha256": hashlib.sha256, "sha1": hashlib.sha1, "md5": hashlib.md5}
 
 
-def archive_records(pages: DataFrame, id_col="page_id", url_col="url", payload_col="html", date=DATE) -> DataFrame:
+def archive_records(
+    pages: DataFrame, id_col="page_id", url_col="url", payload_col="html", date=DATE
+) -> DataFrame:
     """One `record` text per row: a response, or a revisit of the response with the same payload.
 
     Of equal payloads of at least 100 bytes the rows with the smallest id are responses.
@@ -67,6 +69,9 @@ def archive_records(pages: DataFrame, id_col="page_id", url_col="url", payload_c
         F.lit(RECORD_END),
     )
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("payload").cast("string")))
+    refers = F.concat(
+        header("WARC-Profile", F.lit(PROFILE)), header("WARC-Refers-To", name(F.col("first")))
+    )
     head = F.concat(
         F.lit(VERSION),
         header("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
@@ -75,7 +80,7 @@ def archive_records(pages: DataFrame, id_col="page_id", url_col="url", payload_c
         header("WARC-Target-URI", F.col("url")),
         header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")),
         header("WARC-Block-Digest", F.concat(F.lit("sha256:"), F.sha2(F.col("block").cast("binary"), 256))),
-        F.when(revisit, F.concat(header("WARC-Profile", F.lit(PROFILE)), header("WARC-Refers-To", name(F.col("first"))))).otherwise(""),
+        F.when(revisit, refers).otherwise(""),
         header("Content-Type", F.lit("application/http; msgtype=response")),
         header("Content-Length", F.octet_length("block").cast("string")),
         F.lit("\r\n"),
@@ -231,10 +236,9 @@ def read_archives(spark: SparkSession, path, keep_payload=True) -> DataFrame:
             )
 
     def read(batches):
-        schema = pa.schema(
-            [(n, pa.int64() if n in ("offset", "length", "payload_bytes") else pa.string()) for n in names[:-1]]
-            + [("payload", pa.binary())]
-        )
+        numbers = ("offset", "length", "payload_bytes")
+        fields = [(n, pa.int64() if n in numbers else pa.string()) for n in names[:-1]]
+        schema = pa.schema([*fields, ("payload", pa.binary())])
         for batch in batches:
             for file, content in zip(batch.column(0), batch.column(1)):
                 held, size = [], 0
