@@ -6,6 +6,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def salt(left: DataFrame, right: DataFrame, keys, left_spread, right_spread, crowds: DataFrame):
     """Both sides with `_salt1` and `_salt2` to join on besides `keys`.
 

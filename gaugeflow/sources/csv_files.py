@@ -93,7 +93,9 @@ def _read(spark, paths, wanted, encoding, header, multi_line):
     kinds = {f.name: f.dataType for f in wanted.fields}
     # Columns that are not wanted may repeat a name.
     inside = [
-        T.StructField(name if name in kinds and names.index(name) == i else f"_{i}", kinds.get(name, T.StringType()))
+        T.StructField(name, kinds[name])
+        if name in kinds and names.index(name) == i
+        else T.StructField(f"_{i}", T.StringType())
         for i, name in enumerate(names)
     ]
     reader = spark.read.schema(T.StructType(inside)).options(**DIALECT).option("encoding", encoding)
