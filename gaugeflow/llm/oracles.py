@@ -48,6 +48,102 @@ SELECT *, NOT base_failed
 FROM b
 """
 
+_LAST = "9223372036854775807"
+
+OP2 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, {_LAST}) AS owner,
+    regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
+  FROM documents
+), g AS (
+  SELECT rid, owner, i, array_to_string(list_slice(w, i, i + 12), ' ') AS gram
+  FROM d, unnest(range(1, len(w) - 11)) AS u(i)
+), f AS (
+  SELECT gram, min(owner) AS first_owner FROM g GROUP BY gram
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 13)) AS p
+  FROM g JOIN f USING (gram) WHERE owner > first_owner
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS words
+  FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d)
+  ANTI JOIN gone USING (rid, p)
+  GROUP BY rid
+), counted AS (
+  SELECT rid, count(*) AS n FROM gone GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid) LEFT JOIN counted USING (rid)
+"""
+
+OP3 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '{_WORD}') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT rid, array_to_string(list_slice(w, i, i + 4), ' ') AS gram
+  FROM d, unnest(range(1, greatest(len(w) - 3, least(len(w) + 1, 2)))) AS u(i)
+), n AS (
+  SELECT rid, count(*) AS n FROM s GROUP BY rid
+), pairs AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS shared
+  FROM s AS a JOIN s AS b USING (gram) WHERE a.rid <> b.rid GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN n AS p ON p.rid = x JOIN n AS q ON q.rid = y
+  WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+), reach AS (
+  SELECT rid, rid AS root FROM d
+  UNION
+  SELECT y, root FROM reach JOIN links ON x = rid
+), c AS (
+  SELECT reach.root AS rid, min(d.doc_id) AS component_id
+  FROM reach JOIN d USING (rid) GROUP BY ALL
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id,
+  coalesce(doc_id = component_id, component_id IS NULL) AS kept
+FROM d JOIN c USING (rid) LEFT JOIN n USING (rid)
+"""
+
+OP4 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(text), '[\pL\pN]+') AS w
+  FROM documents WHERE text IS NOT NULL
+), items AS (
+  SELECT w, len(w) AS size, min(item_id) AS item_id
+  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\pL\pN]+') AS w FROM benchmark WHERE text IS NOT NULL)
+  WHERE len(w) > 0 GROUP BY w
+), dg AS (
+  SELECT rid, i, array_to_string(list_slice(w, i, i + 4), ' ') AS gram
+  FROM d, unnest(range(1, greatest(len(w) - 3, least(len(w) + 1, 2)))) AS u(i)
+), ig AS (
+  SELECT item_id, size, gram, count(*) AS n
+  FROM (SELECT item_id, size, array_to_string(list_slice(w, i, i + 4), ' ') AS gram
+        FROM items, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i))
+  GROUP BY ALL
+), total AS (
+  SELECT item_id, size, sum(n) AS n FROM ig GROUP BY ALL
+), starts AS (
+  SELECT DISTINCT rid, item_id, size,
+    greatest(least(i - 1, len(w) - size), 0) AS s, greatest(least(size, len(w)) - 4, 1) AS grams
+  FROM dg JOIN (SELECT DISTINCT gram, size FROM ig) USING (gram) JOIN d USING (rid)
+    JOIN total USING (size)
+), shared AS (
+  SELECT rid, item_id, size, s, grams, sum(least(k, ig.n)) AS shared
+  FROM (SELECT rid, item_id, size, s, grams, gram, count(*) AS k
+        FROM starts JOIN dg USING (rid) WHERE i BETWEEN s + 1 AND s + grams GROUP BY ALL)
+    JOIN ig USING (item_id, size, gram)
+  GROUP BY ALL
+), scored AS (
+  SELECT rid, item_id, size, s, CAST(shared AS DOUBLE) / CAST(grams + total.n - shared AS DOUBLE) AS similarity
+  FROM shared JOIN total USING (item_id, size)
+)
+SELECT doc_id, item_id, max(similarity) AS similarity,
+  CAST(arg_min(s, (-similarity, s)) AS BIGINT) AS start, CAST(size AS BIGINT) AS n_words
+FROM scored JOIN d USING (rid) WHERE similarity >= 0.8 GROUP BY rid, doc_id, item_id, size
+"""
+
 OP6 = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
@@ -63,4 +159,10 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
-ORACLES = {"op6_warc": OP6, "op8_quality_rules": OP8}
+ORACLES = {
+    "op2_substring_dedup": OP2,
+    "op3_minhash_near_dedup": OP3,
+    "op4_benchmark_decontamination": OP4,
+    "op6_warc": OP6,
+    "op8_quality_rules": OP8,
+}
