@@ -1,5 +1,6 @@
 """The registered queries as plain SQL over the same tables."""
 
+from gaugeflow.functions.scoring import FALLING, NEGATIVE_DECISION, POSITIVE_DECISION, RISING
 from gaugeflow.plans.additive_sql import additive_sql
 from gaugeflow.plans.queries import RANGE, SCORE_THRESHOLD
 
@@ -115,9 +116,9 @@ _ANALYSIS = _MODEL + _ahead("last_ds") + f"""
                    ELSE q / {_T} * 15 END
             + CASE WHEN r > 0.001::DOUBLE THEN 30.0::DOUBLE WHEN r > 0 THEN 15.0::DOUBLE
                    ELSE 0.0::DOUBLE END)) AS score,
-          CASE WHEN r > 0 THEN 'Rising' ELSE 'Falling' END AS trend_label FROM a),
-    y AS (SELECT *, CASE WHEN score >= 55 THEN 'Sorry no making reels today, grab an umbrella!'
-                         ELSE 'Make reels for the next hour, princess!!' END AS decision FROM z)
+          CASE WHEN r > 0 THEN '{RISING}' ELSE '{FALLING}' END AS trend_label FROM a),
+    y AS (SELECT *, CASE WHEN score >= 55 THEN '{POSITIVE_DECISION}'
+                         ELSE '{NEGATIVE_DECISION}' END AS decision FROM z)
 """
 
 
