@@ -34,7 +34,7 @@ from gaugeflow.llm.blocks import (
     words,
 )
 from gaugeflow.llm.components import components
-from gaugeflow.llm.scale import counted_broadcast
+from gaugeflow.llm.scale import counted_broadcast, mapped
 from gaugeflow.session import written
 
 SHINGLE = 5
@@ -45,8 +45,10 @@ BAND = 4
 ESTIMATE = 0.62
 # Sets of five shingles or fewer have no partner at 0.85 but themselves.
 LEAST_LINKED = 6
-# Sizes of a chunk: nodes of a bucket, shingles of a candidate group.
-CHUNK_NODES = 2048
+# Sizes of a chunk. Nodes of a bucket: small chunks spread a bucket over more tasks, large ones
+# copy a node less often, so they grow with the root of the bucket between two bounds.
+CHUNK_NODES, MAX_CHUNK_NODES = 512, 8192
+# Shingles of a candidate group.
 CHUNK_SHINGLES = 1 << 20
 LAST_ID = (1 << 63) - 1
 
@@ -255,7 +257,8 @@ def sketches(rows: DataFrame) -> DataFrame:
                 names=["owner", "row", "n", "node", "registers"],
             )
 
-    return rows.mapInArrow(
+    return mapped(
+        rows,
         sketch, "owner bigint, row bigint, n bigint, node binary, registers binary"
     )
 
@@ -270,10 +273,11 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
     members = known.select("node", F.explode(F.array(*bands)).alias("key"))
     crowds = members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     members = members.join(crowds, "key")
-    chunks = F.ceil(F.col("members") / CHUNK_NODES)
+    size = F.greatest(F.lit(float(CHUNK_NODES)), 4 * F.sqrt("members"))
+    chunks = F.ceil(F.col("members") / F.least(size, F.lit(float(MAX_CHUNK_NODES))))
     copies = dealt(members, chunks, "node").select("key", "low", "high", "node")
     sketched = copies.join(known.select("node", "n", "registers"), "node")
-    edges = grouped(sketched, "key", "low", "high").mapInArrow(likely_edges, "a binary, b binary")
+    edges = mapped(grouped(sketched, "key", "low", "high"), likely_edges, "a binary, b binary")
     return components(edges)
 
 
@@ -297,11 +301,11 @@ def confirmed_links(rows: DataFrame, nodes: DataFrame, groups: DataFrame) -> Dat
                 names=["component", "chunks", "node", "shingles"],
             )
 
-    full = texts.mapInArrow(
-        sets, "component binary, chunks bigint, node binary, shingles binary"
+    full = mapped(
+        texts, sets, "component binary, chunks bigint, node binary, shingles binary"
     )
     copies = dealt(full, F.col("chunks"), "node").drop("chunks")
-    return grouped(copies, "component", "low", "high").mapInArrow(exact_edges, "a binary, b binary")
+    return mapped(grouped(copies, "component", "low", "high"), exact_edges, "a binary, b binary")
 
 
 def with_keys(docs: DataFrame, id_col, text_col):
