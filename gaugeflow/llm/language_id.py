@@ -25,6 +25,7 @@ from gaugeflow.llm.ngrams import (
     inverse_frequencies,
     sparse_counts,
 )
+from gaugeflow.llm.scale import mapped
 
 GRAMS = Grams(orders=(2, 3), bits=16, lower=True)
 # Documents per language that the weights are fitted on, in expectation.
@@ -163,7 +164,7 @@ def predict(
             )
 
     kinds = [T.StructField(c, k) for c, k in zip(added, (T.StringType(), T.DoubleType()))]
-    return rows.mapInArrow(score, T.StructType([*rows.schema.fields, *kinds]))
+    return mapped(rows, score, T.StructType([*rows.schema.fields, *kinds]))
 
 
 def accepted(

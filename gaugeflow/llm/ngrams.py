@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.blocks import blocks
+from gaugeflow.llm.scale import mapped
 
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 19
 
 
 class Grams:
@@ -75,7 +76,7 @@ def document_frequencies(docs: DataFrame, grams: Grams, text_col="text"):
             [pa.array(features), pa.array(total[features])], names=["feature", "docs"]
         )
 
-    sums = rows.mapInArrow(count, "feature bigint, docs bigint").groupBy("feature")
+    sums = mapped(rows, count, "feature bigint, docs bigint").groupBy("feature")
     table = sums.agg(F.sum("docs").alias("docs")).toArrow()
     out = np.zeros(grams.size + 1, dtype=np.int64)
     out[table["feature"].to_numpy()] = table["docs"].to_numpy()
@@ -132,7 +133,8 @@ def sparse_counts(
                 names=["id", "label", "features", "counts", "extra"],
             )
 
-    return picked.mapInArrow(
+    return mapped(
+        picked,
         count,
         f"id {kinds[id_col]}, label {kinds[label_col]}, "
         "features array<bigint>, counts array<bigint>, extra array<double>",

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.blocks import blocks
+from gaugeflow.llm.scale import mapped
 from gaugeflow.llm.token_ids import encoder
 from gaugeflow.session import written
 
@@ -70,7 +71,7 @@ def token_pieces(docs: DataFrame, model, end_id, capacity=CAPACITY, id_col="doc_
         f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
         "task int, rank bigint, ids binary"
     )
-    made = rows.mapInArrow(pieces, schema).withColumnRenamed("id", id_col)
+    made = mapped(rows, pieces, schema).withColumnRenamed("id", id_col)
     return written(made if keep_ids else made.drop("ids"), "pieces")
 
 

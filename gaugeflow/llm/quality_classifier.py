@@ -26,6 +26,7 @@ from gaugeflow.llm.ngrams import (
     inverse_frequencies,
     sparse_counts,
 )
+from gaugeflow.llm.scale import mapped
 
 GRAMS = Grams(orders=(1, 2, 3), bits=12, lower=False)
 # Labelled documents per class that the space and the votes are taken from, in expectation.
@@ -158,7 +159,7 @@ def score(
                 [block.column("id"), pa.array(scores)], names=["id", "score"]
             )
 
-    return own.mapInArrow(scored, f"id {kind}, score double").select(
+    return mapped(own, scored, f"id {kind}, score double").select(
         F.col("id").alias(id_col),
         held_out("id").alias("held_out"),
         "score",

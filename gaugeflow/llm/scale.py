@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A table is broadcast by hand only if it was counted and holds no more than this.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 24 << 20
 
 
 def counted_broadcast(table: DataFrame, bytes_of=None, limit=BROADCAST_BYTES) -> DataFrame:
@@ -18,3 +18,13 @@ def counted_broadcast(table: DataFrame, bytes_of=None, limit=BROADCAST_BYTES) ->
     variable = F.sum(bytes_of) if bytes_of is not None else F.lit(0)
     rows, extra = table.agg(F.count("*"), F.coalesce(variable, F.lit(0))).first()
     return F.broadcast(table) if rows * width + extra <= limit else table
+
+
+# Texts are long: Arrow's usual batches of 64 MB would be held several times over by a worker.
+BATCH_BYTES = 4 << 20
+
+
+def mapped(df: DataFrame, function, schema) -> DataFrame:
+    """`mapInArrow` with batches of BATCH_BYTES at most, which is set for the session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return df.mapInArrow(function, schema)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.blocks import blocks
+from gaugeflow.llm.scale import mapped
 
 # The base patterns, in the order that breaks ties.
 ASSIGN = re.compile(
@@ -230,7 +231,7 @@ def find_secrets(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
         f"id {kind}, masked string, "
         "found array<struct<kind:string,start:bigint,end:bigint>>, base string"
     )
-    return rows.mapInArrow(scan, schema).withColumnRenamed("id", id_col)
+    return mapped(rows, scan, schema).withColumnRenamed("id", id_col)
 
 
 def mask_secrets(docs: DataFrame, text_col="text", length_col="n_chars") -> DataFrame:
@@ -250,9 +251,9 @@ def mask_secrets(docs: DataFrame, text_col="text", length_col="n_chars") -> Data
             yield block.set_column(at, block.schema.field(at), pa.array(texts, block.schema.field(at).type))
 
     if length_col not in docs.columns:
-        return docs.mapInArrow(mask, docs.schema)
+        return mapped(docs, mask, docs.schema)
     before = docs.withColumn("_length_before", F.length(text_col))
-    out = before.mapInArrow(mask, before.schema)
+    out = mapped(before, mask, before.schema)
     now = F.length(text_col)
     kind = docs.schema[length_col].dataType
     length = F.when(now != F.col("_length_before"), now.cast(kind)).otherwise(F.col(length_col))

@@ -32,6 +32,7 @@ from gaugeflow.llm.blocks import (
     word_hashes,
     words,
 )
+from gaugeflow.llm.scale import mapped
 from gaugeflow.session import written
 
 WINDOW = 13
@@ -257,9 +258,9 @@ def repeated_ranges(rows: DataFrame, n=WINDOW, m=MINIMISER) -> DataFrame:
     """(owner, row, found) of rows (owner, row, text): the runs of repeating windows, as an array."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     subs = SUBS_PER_PARTITION * partitions
-    sent = rows.mapInArrow(lambda batches: send(batches, n, m, subs), _SENT)
+    sent = mapped(rows, lambda batches: send(batches, n, m, subs), _SENT)
     dealt = sent.repartition(partitions, "sub").sortWithinPartitions("sub")
-    found = dealt.mapInArrow(lambda batches: compare(batches, n), _RANGES)
+    found = mapped(dealt, lambda batches: compare(batches, n), _RANGES)
     # A text's ranges are fewer than its words.
     return found.groupBy("owner", "row").agg(
         F.collect_set(F.struct("first", "windows")).alias("found")
@@ -299,5 +300,5 @@ def drop_repeats(docs: DataFrame, id_col="doc_id", text_col="text", n=WINDOW, m=
             )
 
     joined = rows.join(ranges, ["owner", "row"], "left").select("id", "text", "found")
-    out = joined.mapInArrow(keep, f"id {kind}, n_words bigint, n_removed bigint, kept string")
+    out = mapped(joined, keep, f"id {kind}, n_words bigint, n_removed bigint, kept string")
     return out.withColumnRenamed("id", id_col)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.blocks import blocks
+from gaugeflow.llm.scale import mapped
 
 META = "▁"
 # Parts remembered by a task besides the proved ones; a full memory starts afresh.
@@ -117,7 +118,7 @@ def token_counts(docs: DataFrame, model, id_col="doc_id", text_col="text", limit
                 names=["id", "n_bytes", "n_tokens"],
             )
 
-    counted = rows.mapInArrow(count, f"id {kind}, n_bytes bigint, n_tokens bigint")
+    counted = mapped(rows, count, f"id {kind}, n_bytes bigint, n_tokens bigint")
     return counted.select(
         F.col("id").alias(id_col),
         "n_bytes",

@@ -56,17 +56,16 @@ def merge_ranks(spec):
 
 
 class Encoder:
-    """`ids(text)`: what the library gives without added special tokens, as an array."""
+    """`ids(text)`: what the library gives without added special tokens, as an array.
 
-    def __init__(self, path):
-        from tokenizers import Tokenizer
+    The library itself is opened when a text needs it, which most tasks never see.
+    """
 
+    def __init__(self, path):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.path, self.opened = path, None
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
         ranks = merge_ranks(spec)
         self.fast = None
         if ranks is not None:
@@ -76,6 +75,16 @@ class Encoder:
                 "ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}
             )
 
+    @property
+    def library(self):
+        if self.opened is None:
+            from tokenizers import Tokenizer
+
+            self.opened = Tokenizer.from_file(self.path)
+            self.opened.no_truncation()
+            self.opened.no_padding()
+        return self.opened
+
     def ids(self, text):
         if not text:
             return np.zeros(0, dtype=np.uint32)

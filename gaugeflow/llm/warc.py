@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.scale import counted_broadcast
+from gaugeflow.llm.scale import counted_broadcast, mapped
 from gaugeflow.session import written
 
 # The record layout of WARC 1.0 and the profile of equal payloads.
@@ -252,7 +252,7 @@ def read_archives(spark: SparkSession, path, keep_payload=True) -> DataFrame:
                     yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in held], schema)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "content").mapInArrow(read, kinds)
+    return mapped(files.select("path", "content"), read, kinds)
 
 
 def page_id_of(record_id):
