@@ -21,6 +21,7 @@ from gaugeflow.llm.ngrams import (
     Grams,
     bounded_sample,
     document_frequencies,
+    gathered,
     held_out,
     inverse_frequencies,
     sparse_counts,
@@ -98,17 +99,16 @@ def fit(rows: DataFrame, grams=GRAMS, per_language=SAMPLE_PER_LANGUAGE) -> Model
     if not n_docs:
         return None
     idf = inverse_frequencies(n_docs, frequencies)
-    sample = sparse_counts(bounded_sample(rows, "id", "lang", per_language), grams, "id", "lang")
-    found = sorted(sample.collect(), key=lambda r: (r.label, r.id))
+    sample = bounded_sample(rows, "id", "lang", per_language)
+    found = gathered(sparse_counts(sample, grams, "id", "lang"))
     languages = sorted({r.label for r in found})
     if not languages:
         return None
     parts = ([], [])
     for number, r in enumerate(found):
-        features, counts = np.array(r.features), np.array(r.counts, dtype=float)
-        values = SCALE * counts / counts.sum() * idf[features]
+        values = SCALE * r.counts / r.counts.sum() * idf[r.features]
         # Every fifth row of the sorted sample only calibrates.
-        parts[number % 5 == 4].append((features, values, languages.index(r.label)))
+        parts[number % 5 == 4].append((r.features, values, languages.index(r.label)))
     weights, bias = fit_ftrl(parts[0], grams.size, len(languages))
     logits = np.array([v @ weights[f] + bias for f, v, _ in parts[1]]).reshape(-1, len(languages))
     temperature = fit_temperature(logits, [label for *_, label in parts[1]])

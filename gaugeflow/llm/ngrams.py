@@ -1,7 +1,10 @@
 """Hashed character n-grams of whole texts, document frequencies and bounded label samples."""
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,3 +142,24 @@ def sparse_counts(
         f"id {kinds[id_col]}, label {kinds[label_col]}, "
         "features array<bigint>, counts array<bigint>, extra array<double>",
     )
+
+
+class Sampled(NamedTuple):
+    id: object
+    label: object
+    features: np.ndarray
+    counts: np.ndarray
+    extra: np.ndarray
+
+
+def gathered(sample: DataFrame) -> list[Sampled]:
+    """The rows of `sparse_counts` on the driver, by label, id and features; for bounded samples."""
+    found = []
+    for batch in sample.toArrow().to_batches():
+        columns = [
+            np.split(column.flatten().to_numpy(), np.cumsum(pc.list_value_length(column).to_numpy())[:-1])
+            for column in map(batch.column, ("features", "counts", "extra"))
+        ]
+        ids, labels = (batch.column(c).to_pylist() for c in ("id", "label"))
+        found += map(Sampled, ids, labels, *columns)
+    return sorted(found, key=lambda r: (r.label, r.id, r.features.tobytes()))

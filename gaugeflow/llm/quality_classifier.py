@@ -22,6 +22,7 @@ from gaugeflow.llm.ngrams import (
     Grams,
     bounded_sample,
     document_frequencies,
+    gathered,
     held_out,
     inverse_frequencies,
     sparse_counts,
@@ -88,8 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, grams=GRAMS, per_class=SAMPLE_PER_CL
     known = known.groupBy("id").agg(F.min("label").alias("label"))
     sample = bounded_sample(known, "id", "label", per_class)
     texts = docs.where("id IS NOT NULL AND text IS NOT NULL").join(F.broadcast(sample), "id")
-    found = sparse_counts(texts, grams, "id", "label", extra=repetition).collect()
-    found.sort(key=lambda r: (r.id, r.features))
+    found = gathered(sparse_counts(texts, grams, "id", "label", extra=repetition))
     if not found:
         return None
     idf = inverse_frequencies(*document_frequencies(docs, grams)).astype(np.float32)
