@@ -41,12 +41,12 @@ MINIMISER = 4
 REMEMBERED = 50_000
 SEND_BYTES = 1 << 20
 # What a task gathers before it sends; larger loads compress better.
-FLUSH_BYTES = 32 << 20
+FLUSH_BYTES = 48 << 20
 # Sub-buckets are a fraction of a shuffle partition; a task looks at one at a time.
-SUBS_PER_PARTITION = 8
+SUBS_PER_PARTITION = 4
 CHUNK_WINDOWS = 1 << 19
 LAST_ID = (1 << 63) - 1
-_ZSTD = zstandard.ZstdCompressor(level=3)
+_ZSTD = zstandard.ZstdCompressor(level=6)
 
 _SENT = "sub int, settled boolean, load binary"
 _RANGES = "owner bigint, row int, first int, windows int"
