@@ -10,6 +10,7 @@ from gaugeflow.plans.inputs import table
 from gaugeflow.session import scratch_path
 
 LEAST_LANGUAGE_SCORE = 0.5
+NEAR_THRESHOLD = 0.8
 END_ID = 2
 
 
@@ -20,7 +21,7 @@ def known_language(spark, docs, sf_dir):
 
 def one_per_group(spark, docs, sf_dir):
     """One document of each group of near duplicates."""
-    return near_dedup.one_of_each(docs)
+    return near_dedup.one_of_each(docs, threshold=NEAR_THRESHOLD)
 
 
 def without_benchmark(spark, docs, sf_dir):

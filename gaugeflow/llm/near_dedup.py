@@ -14,10 +14,13 @@ reached yet, and hand on at most one edge per node: neither the pairs nor the fa
 ever become rows. A bucket or group above a bound is dealt out in chunks, and each pair
 of chunks is a piece of work, so no task gathers more than two chunks.
 
-A pair at the threshold is missed by banding with probability (1 - 0.85**4)**32 = 6e-11,
-by the estimate with less than 1e-8.
+A pair at a threshold t is missed by banding with probability (1 - t**4)**32, 6e-11 at
+0.85 and 5e-8 at 0.8, by the estimate with less than 1e-10.
 """
 
+from fractions import Fraction
+from math import ceil, comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,13 +41,13 @@ from gaugeflow.llm.scale import counted_broadcast, mapped
 from gaugeflow.session import written
 
 SHINGLE = 5
-SHARED, OF_UNION = 85, 100
+THRESHOLD = 0.85
+# Below it, banding would miss too many pairs.
+LEAST_THRESHOLD = 0.8
 BUCKETS, MANTISSA_BITS = 128, 10
 BAND = 4
-# Matches of 128 registers at similarity 0.85 fall below 0.62 with probability below 1e-8.
-ESTIMATE = 0.62
-# Sets of five shingles or fewer have no partner at 0.85 but themselves.
-LEAST_LINKED = 6
+# A pair at the threshold may be missed by its estimate with this probability.
+MISSED = 1e-10
 # Sizes of a chunk. Nodes of a bucket: small chunks spread a bucket over more tasks, large ones
 # copy a node less often, so they grow with the root of the bucket between two bounds.
 CHUNK_NODES, MAX_CHUNK_NODES = 512, 8192
@@ -56,6 +59,29 @@ _EDGES = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(57)
 _OTHER = mix(np.arange(1, BUCKETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def as_fraction(threshold):
+    """The threshold as the exact decimal that it is written as."""
+    if not LEAST_THRESHOLD <= threshold < 1:
+        raise ValueError(f"threshold {threshold} is not in [{LEAST_THRESHOLD}, 1)")
+    return Fraction(str(threshold))
+
+
+def least_estimate(threshold):
+    """What the estimate of a pair at the threshold falls below with probability below MISSED."""
+    t, below = float(as_fraction(threshold)), 0.0
+    for count in range(BUCKETS + 1):
+        below += comb(BUCKETS, count) * t**count * (1 - t) ** (BUCKETS - count)
+        if below >= MISSED:
+            # Half a register less, for the correction of chance matches.
+            return (count - 0.5) / BUCKETS
+
+
+def least_linked(threshold):
+    """Size of the smallest set that another set can be similar to: n of n + 1 shingles shared."""
+    t = as_fraction(threshold)
+    return ceil(t / (1 - t))
+
+
 def shingle_sets(texts, n=SHINGLE):
     """Sorted shingle hashes of each text of an Arrow array."""
     data, offsets = flat(texts)
@@ -165,8 +191,8 @@ def _pairs(nodes, found):
     )
 
 
-def likely_edges(batches):
-    """At most one edge per member of a bucket, between nodes whose estimate may reach the threshold."""
+def likely_edges(batches, least):
+    """At most one edge per member of a bucket, between nodes whose estimate is `least` or more."""
     for table, heads in keyed_groups(batches, ("key", "low", "high"), 4 << 20):
         nodes = table.column("node").combine_chunks()
         n = table.column("n").to_numpy()
@@ -174,7 +200,7 @@ def likely_edges(batches):
         sketch = sketch.view(np.uint16).reshape(-1, BUCKETS)
         sizes = np.diff(np.r_[heads, len(nodes)])
         lead = np.repeat(heads, sizes)
-        near = estimated((sketch == sketch[lead]).sum(axis=1), n[lead], n) >= ESTIMATE
+        near = estimated((sketch == sketch[lead]).sum(axis=1), n[lead], n) >= least
         group = np.repeat(np.arange(len(heads)), sizes)
         all_near = np.logical_and.reduceat(near, heads)
         star = np.flatnonzero(all_near[group] & (lead != np.arange(len(nodes))))
@@ -186,14 +212,15 @@ def likely_edges(batches):
                 (heads[g] + a, heads[g] + b)
                 for a, b in spread(
                     sizes[g],
-                    lambda x, rest: estimated((s[rest] == s[x]).sum(axis=1), m[x], m[rest]) >= ESTIMATE,
+                    lambda x, rest: estimated((s[rest] == s[x]).sum(axis=1), m[x], m[rest]) >= least,
                 )
             ]
         yield _pairs(nodes, found)
 
 
-def exact_edges(batches):
+def exact_edges(batches, threshold):
     """At most one confirmed edge per member of a candidate group."""
+    part, whole = as_fraction(threshold).as_integer_ratio()
     for table, heads in keyed_groups(batches, ("component", "low", "high"), 8 << 20):
         nodes = table.column("node").combine_chunks()
         data, offsets = flat(table.column("shingles"))
@@ -216,7 +243,7 @@ def exact_edges(batches):
                 else:
                     shared = np.array([np.count_nonzero(mark[numbers[at[r] : at[r + 1]]]) for r in rest])
                 mark[own] = False
-                return OF_UNION * shared >= SHARED * (sizes[x] + sizes[rest] - shared)
+                return whole * shared >= part * (sizes[x] + sizes[rest] - shared)
 
             found += [(first + a, first + b) for a, b in spread(last - first, linked)]
         yield _pairs(nodes, found)
@@ -237,8 +264,9 @@ def grouped(rows: DataFrame, *keys) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def sketches(rows: DataFrame) -> DataFrame:
+def sketches(rows: DataFrame, threshold) -> DataFrame:
     """(owner, row, n, node, registers) of rows (owner, row, text); null node without words."""
+    smallest = least_linked(threshold)
 
     def sketch(batches):
         for block in blocks(batches, "text"):
@@ -250,7 +278,7 @@ def sketches(rows: DataFrame) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([node_key(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array(
-                        [registers(s).tobytes() if len(s) >= LEAST_LINKED else None for s in sets],
+                        [registers(s).tobytes() if len(s) >= smallest else None for s in sets],
                         pa.binary(),
                     ),
                 ],
@@ -263,7 +291,7 @@ def sketches(rows: DataFrame) -> DataFrame:
     )
 
 
-def candidate_groups(nodes: DataFrame) -> DataFrame:
+def candidate_groups(nodes: DataFrame, threshold) -> DataFrame:
     """(node, component) of nodes that some bucket and its estimates join to another."""
     known = nodes.where("registers IS NOT NULL")
     bands = [
@@ -277,11 +305,13 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
     chunks = F.ceil(F.col("members") / F.least(size, F.lit(float(MAX_CHUNK_NODES))))
     copies = dealt(members, chunks, "node").select("key", "low", "high", "node")
     sketched = copies.join(known.select("node", "n", "registers"), "node")
-    edges = mapped(grouped(sketched, "key", "low", "high"), likely_edges, "a binary, b binary")
+    least = least_estimate(threshold)
+    sketched = grouped(sketched, "key", "low", "high")
+    edges = mapped(sketched, lambda batches: likely_edges(batches, least), "a binary, b binary")
     return components(edges)
 
 
-def confirmed_links(rows: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+def confirmed_links(rows: DataFrame, nodes: DataFrame, groups: DataFrame, threshold) -> DataFrame:
     """Edges (a, b) between nodes whose full sets are similar, enough to connect all that are."""
     members = groups.join(nodes.select("node", "n", "pick"), "node")
     weight = members.groupBy("component").agg(F.sum("n").alias("weight"))
@@ -305,7 +335,8 @@ def confirmed_links(rows: DataFrame, nodes: DataFrame, groups: DataFrame) -> Dat
         texts, sets, "component binary, chunks bigint, node binary, shingles binary"
     )
     copies = dealt(full, F.col("chunks"), "node").drop("chunks")
-    return mapped(grouped(copies, "component", "low", "high"), exact_edges, "a binary, b binary")
+    copies = grouped(copies, "component", "low", "high")
+    return mapped(copies, lambda batches: exact_edges(batches, threshold), "a binary, b binary")
 
 
 def with_keys(docs: DataFrame, id_col, text_col):
@@ -314,19 +345,21 @@ def with_keys(docs: DataFrame, id_col, text_col):
     return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), F.xxhash64(text), text
 
 
-def placements(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+def placements(
+    docs: DataFrame, id_col="doc_id", text_col="text", threshold=THRESHOLD
+) -> DataFrame:
     """(owner, row, n, node, least) of every row: its set's size and its component's least owner."""
     owner, row, text = with_keys(docs, id_col, text_col)
     rows = docs.select(owner.alias("owner"), row.alias("row"), text.alias("text"))
-    sketched = written(sketches(rows), "sketches")
+    sketched = written(sketches(rows, threshold), "sketches")
     nodes = sketched.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("owner", "row")).alias("pick"),
         F.max("n").alias("n"),
         F.max("registers").alias("registers"),
     )
     nodes = written(nodes, "nodes")
-    groups = written(candidate_groups(nodes), "groups")
-    linked = components(written(confirmed_links(rows, nodes, groups), "links"))
+    groups = written(candidate_groups(nodes, threshold), "groups")
+    linked = components(written(confirmed_links(rows, nodes, groups, threshold), "links"))
     joined = nodes.select("node", "pick").join(linked, "node")
     least = joined.groupBy("component").agg(F.min("pick").alias("least"))
     named = linked.join(least, "component").select("node", "least")
@@ -337,16 +370,18 @@ def placements(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     return placed.select("owner", "row", "n", "node", F.coalesce("least", alone).alias("least"))
 
 
-def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col="doc_id", text_col="text", threshold=THRESHOLD
+) -> DataFrame:
     """id, n_shingles, component_id (least id reachable over links) and kept of every row.
 
     Sets are the distinct 5-word shingles of the text with A-Z lowered, or the whole
-    sequence if it has fewer words; rows are linked from a similarity of 0.85. Null and
+    sequence if it has fewer words; rows are linked from a similarity of `threshold`. Null and
     empty texts have no set and are their own component. A null id counts as larger than
     any other; a component of null ids has a null id, and its rows are kept. Rows that
     repeat an id are all kept if it names the component. Other columns are ignored.
     """
-    placed = placements(docs, id_col, text_col)
+    placed = placements(docs, id_col, text_col, threshold)
     component = F.col("least.owner")
 
     def id_of(column):
@@ -360,13 +395,17 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
     )
 
 
-def one_of_each(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, id_col="doc_id", text_col="text", threshold=THRESHOLD
+) -> DataFrame:
     """The rows of `docs`, all columns, with one row of each component; wordless rows all stay.
 
+    Components are those of `near_duplicates` at the same threshold.
+
     The row with the least id stays, among equal ids that with the least text hash, and
     of rows equal in both any one.
     """
-    placed = written(placements(docs, id_col, text_col), "placements")
+    placed = written(placements(docs, id_col, text_col, threshold), "placements")
     stays = placed.where((F.col("least.owner") == F.col("owner")) & (F.col("least.row") == F.col("row")))
     stays = stays.groupBy(F.col("owner").alias("_owner"), F.col("row").alias("_row")).agg(
         F.count("*").alias("_copies"), F.first("node").isNotNull().alias("_worded")

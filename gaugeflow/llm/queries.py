@@ -32,7 +32,7 @@ def op2_substring_dedup(spark, sf_dir):
 
 
 def op3_minhash_near_dedup(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=0.85)
 
 
 def op4_benchmark_decontamination(spark, sf_dir):

@@ -94,3 +94,37 @@ def test_components_of_paths_stars_and_loops(spark):
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, **{200 + i: 100 for i in range(50)}, 299: 299, 300: 299}
     assert components(df.limit(0)).count() == 0
+
+
+def test_constants_follow_the_threshold():
+    assert [near_dedup.least_linked(t) for t in (0.8, 0.85, 0.9)] == [4, 6, 9]
+    assert 0.54 < near_dedup.least_estimate(0.8) < 0.57 and 0.6 < near_dedup.least_estimate(0.85) <= 0.63
+    for threshold in (0.79, 1):
+        with pytest.raises(ValueError):
+            near_dedup.least_estimate(threshold)
+
+
+def linked_from(rows, threshold):
+    """Least id of each row's component; every pair is compared."""
+    sets = [brute.shingles(t) for _, t in rows]
+    name = list(range(len(rows)))
+    for x in range(len(rows)):
+        for y in range(x):
+            if len(sets[x] & sets[y]) >= threshold * len(sets[x] | sets[y]) and name[x] != name[y]:
+                name = [name[y] if n == name[x] else n for n in name]
+    return [min(rows[k][0] for k in range(len(rows)) if name[k] == n) for n in name]
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.85])
+def test_links_from_the_threshold_on(spark, threshold):
+    words = [f"w{k}" for k in range(100)]
+    two_changed = [f"z{k}" if k in (30, 60) else w for k, w in enumerate(words)]
+    short = [f"s{k}" for k in range(9)]
+    # 86 of 106 shingles and 4 of 5.
+    rows = [(1, " ".join(words)), (2, " ".join(two_changed)), (3, " ".join(short)), (4, " ".join(short[:8]))]
+    rows += [(10 + i, t) for i, (_, t) in enumerate(near_rows(5, 150))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = near_dedup.near_duplicates(df, threshold=threshold)
+    got = {r.doc_id: r.component_id for r in out.collect()}
+    assert got == dict(zip([i for i, _ in rows], linked_from(rows, threshold)))
+    assert (got[2], got[4]) == ((1, 3) if threshold == 0.8 else (2, 4))

@@ -54,3 +54,10 @@ def test_stages_on_hard_rows(spark, small, hard, empty):
         none = stage(spark, empty, small)
         assert none.columns == hard.columns and none.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, empty, small).count() == 0
+
+
+def test_near_stage_drops_copies_from_four_fifths_on(spark, small):
+    words = [f"w{k}" for k in range(100)]
+    changed = [f"z{k}" if k in (30, 60) else w for k, w in enumerate(words)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed))], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.one_per_group(spark, df, small).collect()] == [1]
