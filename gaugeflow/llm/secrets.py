@@ -126,15 +126,35 @@ def _json_object(part):
     return found if isinstance(found, dict) else None
 
 
-def is_signed_token(run):
+def token_length(run):
+    """Length of the signed token that the dotted run starts with; 0 if it starts with none.
+
+    Parts beyond the token's own, such as the empty one after a full stop, do not belong to it.
+    """
     parts = run.split(".")
     header = _json_object(parts[0])
     if header is None or not isinstance(header.get("alg"), str):
-        return False
+        return 0
+    count = 5 if "enc" in header else 3
+    parts = parts[:count]
+    if len(parts) < count:
+        return 0
     if "enc" in header:
-        return len(parts) == 5 and all(unbase64(p) is not None for p in parts[1:])
-    signed = header["alg"].lower() == "none" or bool(parts[2] and unbase64(parts[2]))
-    return len(parts) == 3 and _json_object(parts[1]) is not None and signed
+        valid = all(unbase64(p) is not None for p in parts[1:])
+    else:
+        signed = header["alg"].lower() == "none" or bool(parts[2] and unbase64(parts[2]))
+        valid = signed and _json_object(parts[1]) is not None
+    return len(".".join(parts)) if valid else 0
+
+
+def token_spans(text):
+    """Spans of signed tokens; the search goes on behind a token, or behind a first part that begins none."""
+    at = 0
+    while m := JWT.search(text, at):
+        size = token_length(m[0])
+        if size:
+            yield "jwt", m.start(), m.start() + size
+        at = m.start() + (size or m[0].index("."))
 
 
 def base_spans(text):
@@ -159,7 +179,7 @@ def confirmed_spans(text):
     """Spans whose decoded bytes parse as a token or a private key."""
     found = []
     if "eyJ" in text:
-        found += [("jwt", m.start(), m.end()) for m in JWT.finditer(text) if is_signed_token(m[0])]
+        found += token_spans(text)
     for kind, pattern, check in (("der", ENCODED, is_private_key), ("ssh", OPENSSH, is_openssh_key)):
         if kind == "ssh" and "b3BlbnNzaC1rZXktdjE" not in text:
             continue

@@ -121,3 +121,15 @@ def test_masked_rows_keep_their_columns(spark, hard):
     assert found[77].text == "my [SECRET] and é" and found[77].n_chars == len(found[77].text)
     rest = as_sorted(r for r in df.collect() if r.doc_id != 77)
     assert as_sorted(r for r in out.collect() if r.doc_id != 77) == rest
+
+
+SIGNED = token({"alg": "HS256", "typ": "JWT"}, {"sub": 1})
+ENCRYPTED = ".".join([url64(b'{"alg":"dir","enc":"A128GCM"}'), "", url64(b"i" * 12), url64(b"c" * 20), url64(b"t" * 16)])
+
+
+@pytest.mark.parametrize("secret", [SIGNED, ENCRYPTED, token({"alg": "none"}, {"sub": 1}, b"")])
+@pytest.mark.parametrize("frame", ["Bearer {}. Next", "{}.", "see {}...", "{}.\nx", "eyJunk.{}. x", "{0}.{0}."])
+def test_tokens_before_full_stops(secret, frame):
+    text = frame.format(secret)
+    found = secrets.confirmed_spans(text)
+    assert [text[a:b] for _, a, b in found] == [secret] * text.count(secret)
