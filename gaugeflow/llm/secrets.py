@@ -92,7 +92,13 @@ def is_private_key(data):
     if version is None or version[0] != 0x02 or version[2] - version[1] != 1 or data[version[1]] > 1:
         return False
     body = _element(data, version[2], outer[2])
-    return body is not None and body[0] in (0x02, 0x04, 0x30) and body[2] - body[1] >= 8
+    if body is not None and body[0] == 0x30:
+        # An algorithm, which may be as short as its identifier, and the key in an octet string.
+        name, key = _element(data, body[1], body[2]), _element(data, body[2], outer[2])
+        if name is None or name[0] != 0x06 or key is None or key[0] != 0x04:
+            return False
+        body = key
+    return body is not None and body[0] in (0x02, 0x04) and body[2] - body[1] >= 8
 
 
 def is_openssh_key(data):

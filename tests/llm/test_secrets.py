@@ -133,3 +133,24 @@ def test_tokens_before_full_stops(secret, frame):
     text = frame.format(secret)
     found = secrets.confirmed_spans(text)
     assert [text[a:b] for _, a, b in found] == [secret] * text.count(secret)
+
+
+def wrapped_key(identifier, key):
+    algorithm = der(0x30, der(6, identifier))
+    return der(0x30, der(2, b"\x00") + algorithm + der(4, der(4, key)))
+
+
+@pytest.mark.parametrize("number, size", [(110, 32), (111, 56), (112, 32), (113, 57)])
+@pytest.mark.parametrize("write", [lambda d: base64.b64encode(d).decode(), url64, lambda d: d.hex().upper(), wrapped])
+@pytest.mark.parametrize("frame", ["{}", "-----BEGIN PRIVATE KEY-----\n{}\n-----END PRIVATE KEY-----\n"])
+def test_keys_of_short_algorithms(number, size, write, frame):
+    secret = write(wrapped_key(bytes([0x2B, 0x65, number]), bytes(range(size))))
+    text = frame.format(secret)
+    found = [s for s in secrets.confirmed_spans(text) if s[0] == "der"]
+    assert [text[a:b].rstrip("=") for _, a, b in found] == [secret.rstrip("=")]
+
+
+def test_sequences_without_algorithm_or_key_are_not():
+    algorithm, rest = der(0x30, der(6, b"\x2b\x65\x70")), der(4, bytes(34))
+    for body in (der(0x30, der(2, b"\x01" * 9)) + rest, algorithm, algorithm + der(2, b"\x01" * 34)):
+        assert not secrets.is_private_key(der(0x30, der(2, b"\x00") + body))
