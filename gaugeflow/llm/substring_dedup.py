@@ -11,6 +11,11 @@ documents share reaches its bucket about once per task. While a bucket is compar
 memory holds its distinct windows, not their occurrences. The strings that a task has
 for the same part of the buckets are compressed together.
 
+Windows that only touch a passage or phrase that very many documents share differ from
+document to document, and yet have one minimiser. Such minimisers are counted in a sample
+of the texts first; their windows travel singly, each dealt by the hash of its own words.
+Equal windows still meet, whatever the sample says.
+
 Words are compared by two independent 64-bit hashes of the window's words.
 """
 
@@ -27,6 +32,7 @@ from gaugeflow.llm.blocks import (
     blocks,
     flat,
     gram_hashes,
+    mix,
     ragged,
     range_hashes,
     word_hashes,
@@ -45,6 +51,9 @@ FLUSH_BYTES = 48 << 20
 # Sub-buckets are a fraction of a shuffle partition; a task looks at one at a time.
 SUBS_PER_PARTITION = 4
 CHUNK_WINDOWS = 1 << 19
+# A minimiser is hot from this many windows on, estimated from one in SAMPLE texts.
+HOT_WINDOWS = 1 << 18
+SAMPLE = 64
 LAST_ID = (1 << 63) - 1
 _ZSTD = zstandard.ZstdCompressor(level=6)
 
@@ -155,11 +164,37 @@ def _loads(pending, settled):
     )
 
 
-def send(batches, n, m, subs):
+def minimiser_counts(batches, n, m):
+    """(minimiser, windows) of the texts, added up for each block."""
+    for block in blocks(batches, "text", SEND_BYTES):
+        data, offsets = flat(block.column("text"))
+        starts, ends, before = words(data, offsets)
+        _, windows, bucket, _ = super_kmers(word_hashes(data, starts, ends), before, n, m)
+        keys, of = np.unique(bucket, return_inverse=True)
+        total = np.bincount(of, windows, len(keys)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(total)], names=["minimiser", "windows"]
+        )
+
+
+def hot_minimisers(rows: DataFrame, n, m):
+    """Sorted minimisers of about HOT_WINDOWS windows or more; at most one for each so many windows."""
+    some = rows.where(F.pmod(F.xxhash64("owner", "row"), F.lit(SAMPLE)) == 0)
+    counts = mapped(
+        some.select("text"), lambda batches: minimiser_counts(batches, n, m), "minimiser bigint, windows bigint"
+    )
+    hot = counts.groupBy("minimiser").agg(F.sum("windows").alias("windows"))
+    hot = hot.where(F.col("windows") * SAMPLE >= HOT_WINDOWS).select("minimiser").collect()
+    return np.sort(np.array([r.minimiser for r in hot], dtype=np.int64).view(np.uint64))
+
+
+def send(batches, n, m, subs, hot=()):
     """(sub, settled, load): super-k-mers for the buckets, and ranges already known to repeat.
 
     Buckets are dealt to `subs` sub-buckets; what a task has gathered for one goes as one load.
+    Windows of `hot` minimisers are buckets of their own.
     """
+    hot = np.asarray(hot, dtype=np.uint64)
     sent, pending, ranges, size = {}, defaultdict(list), [], 0
     for block in blocks(batches, "text", SEND_BYTES):
         data, offsets = flat(block.column("text"))
@@ -168,10 +203,20 @@ def send(batches, n, m, subs):
         first, windows, bucket, text = super_kmers(hashes, before, n, m)
         if not len(first):
             continue
-        owner, row = (block.column(c).to_numpy()[text] for c in ("owner", "row"))
+        owners, rows = (block.column(c).to_numpy() for c in ("owner", "row"))
         last = first + windows + n - 1
-        other = word_hashes(data, starts, ends, seed=1)
-        repeats = _settled(sent, [range_hashes(h, first, last) for h in (hashes, other)], owner)
+        both = hashes, word_hashes(data, starts, ends, seed=1)
+        repeats = _settled(sent, [range_hashes(h, first, last) for h in both], owners[text])
+        split = ~repeats & np.isin(bucket, hot)
+        if split.any():
+            single, of = ragged(first[split], windows[split]), np.repeat(text[split], windows[split])
+            keys = [range_hashes(h, single, single + n) for h in both]
+            repeats = np.r_[repeats[~split], _settled(sent, keys, owners[of])]
+            first, text = np.r_[first[~split], single], np.r_[text[~split], of]
+            windows = np.r_[windows[~split], np.ones_like(single)]
+            bucket = np.r_[bucket[~split], mix(keys[0])]
+            last = first + windows + n - 1
+        owner, row = owners[text], rows[text]
         word = first - before[text]
         go = np.flatnonzero(~repeats)
         sub = (bucket[go] % np.uint64(subs)).astype(np.int64)
@@ -258,7 +303,8 @@ def repeated_ranges(rows: DataFrame, n=WINDOW, m=MINIMISER) -> DataFrame:
     """(owner, row, found) of rows (owner, row, text): the runs of repeating windows, as an array."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     subs = SUBS_PER_PARTITION * partitions
-    sent = mapped(rows, lambda batches: send(batches, n, m, subs), _SENT)
+    hot = hot_minimisers(rows, n, m)
+    sent = mapped(rows, lambda batches: send(batches, n, m, subs, hot), _SENT)
     dealt = sent.repartition(partitions, "sub").sortWithinPartitions("sub")
     found = mapped(dealt, lambda batches: compare(batches, n), _RANGES)
     # A text's ranges are fewer than its words.

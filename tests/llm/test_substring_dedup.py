@@ -78,3 +78,44 @@ def test_equal_runs_travel_once_per_task():
             if not r["settled"]:
                 owners += substring_dedup._unpacked(r["load"])[0].tolist()
     assert set(owners) == {1}
+
+
+def around_a_phrase(count=400):
+    """Texts that share four words, each amid words of its own; every tenth text is an edge of the one before."""
+    rng, rows = random.Random(9), []
+    for i in range(count):
+        text = [f"u{rng.randrange(10**9)}" for _ in range(12)] + ["a", "very", "common", "phrase"]
+        text += [f"u{rng.randrange(10**9)}" for _ in range(12)]
+        if i % 10 == 9:
+            text = rows[-1][1].split()[:20] + text[20:]
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_windows_of_a_hot_minimiser_are_dealt_by_their_own_words():
+    rows = around_a_phrase()
+    counts = {}
+    for b in substring_dedup.minimiser_counts([_batch(rows)], 13, 4):
+        for r in b.to_pylist():
+            counts[r["minimiser"]] = counts.get(r["minimiser"], 0) + r["windows"]
+    top = max(counts, key=counts.get)
+    assert counts[top] > 300 and sorted(counts.values())[-2] < 100
+    shares, removed = [], []
+    for hot in ([], [top % 2**64]):
+        loads = [r for b in substring_dedup.send([_batch(rows)], 13, 4, 16, hot) for r in b.to_pylist()]
+        sizes = {r["sub"]: int(substring_dedup._unpacked(r["load"])[3].sum()) for r in loads if not r["settled"]}
+        shares.append(max(sizes.values()) / (sum(sizes.values()) / 16))
+        found = substring_dedup.compare([_loads(sorted(loads, key=lambda r: r["sub"]))], 13)
+        removed.append({(r["owner"], k) for b in found for r in b.to_pylist() for k in range(r["first"], r["first"] + r["windows"])})
+    assert shares[1] < 1.3 < shares[0]
+    assert removed[0] == removed[1] and removed[0]
+
+
+def test_hot_minimisers_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", 100)
+    monkeypatch.setattr(substring_dedup, "SAMPLE", 1)
+    rows = around_a_phrase() + [(1000 + k, " ".join(f"p{j}" for j in range(30 + k % 3))) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = df.select(F.col("doc_id").alias("owner"), F.hash("text").alias("row"), "text")
+    assert len(substring_dedup.hot_minimisers(keyed, 13, 4)) > 1
+    assert as_sorted(result(df).collect()) == as_sorted(expected(rows))
