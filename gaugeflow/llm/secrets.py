@@ -11,7 +11,8 @@ decoded besides; they are reported only if the bytes are what they seem to be:
   or an octet string);
 * `ssh`: an OpenSSH private key container whose length fields add up.
 
-A PEM frame needs no pattern of its own: its body is a run with line ends.
+A PEM frame needs no pattern of its own: its body is a run with line ends. Line ends
+may be written as escapes, as in JSON, and lines may be indented, as in YAML.
 """
 
 import binascii
@@ -37,11 +38,15 @@ LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "jwt", "der", "ssh")
 KEY_HINT = re.compile(r"(?ai:password|passwd|secret|token|api_?key)")
 
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,4}")
+# An opening brace, then a quote, a blank or a line end.
+JWT = re.compile(r"e(?:y[A-DI-L]|w[k-r0-3])[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,4}")
 # A DER sequence starts with byte 30, an OpenSSH container with "openssh-key-v1".
-_LINES = r"(?:\r?\n[A-Za-z0-9+/]{16,})*(?:\r?\n[A-Za-z0-9+/]{1,15})?={0,2}"
+_ESCAPED = r"(?:\\+r)?\\+n"
+_BREAK = rf"(?:\r?\n|{_ESCAPED})[ \t]*"
+_LINES = rf"(?:{_BREAK}[A-Za-z0-9+/]{{16,}})*(?:{_BREAK}[A-Za-z0-9+/]{{1,15}})?={{0,2}}"
+ESCAPED, BREAK = re.compile(_ESCAPED), re.compile(_BREAK)
 ENCODED = re.compile(
-    rf"(?<![A-Za-z0-9+/_-])M(?:[A-Za-z0-9+/]{{15,}}{_LINES}(?![A-Za-z0-9+/_-])|[A-Za-z0-9_-]{{15,}}={{0,2}})"
+    rf"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n))M(?:[A-Za-z0-9+/]{{15,}}{_LINES}(?![A-Za-z0-9+/_-])|[A-Za-z0-9_-]{{15,}}={{0,2}})"
 )
 OPENSSH = re.compile(r"b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/]+" + _LINES)
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{30,}")
@@ -49,6 +54,8 @@ HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{30,}")
 
 def unbase64(run):
     """Bytes of a base64 or base64url run with line ends, padded or not; None if it is neither."""
+    if "\\" in run:
+        run = ESCAPED.sub("", run)
     body = "".join(run.split()).rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return None
@@ -154,13 +161,13 @@ def token_length(run):
 
 
 def token_spans(text):
-    """Spans of signed tokens; the search goes on behind a token, or behind a first part that begins none."""
+    """Spans of signed tokens; a run that starts with none may hold one further on."""
     at = 0
     while m := JWT.search(text, at):
         size = token_length(m[0])
         if size:
             yield "jwt", m.start(), m.start() + size
-        at = m.start() + (size or m[0].index("."))
+        at = m.start() + (size or 1)
 
 
 def base_spans(text):
@@ -184,15 +191,16 @@ def base_spans(text):
 def confirmed_spans(text):
     """Spans whose decoded bytes parse as a token or a private key."""
     found = []
-    if "eyJ" in text:
+    if "." in text:
         found += token_spans(text)
     for kind, pattern, check in (("der", ENCODED, is_private_key), ("ssh", OPENSSH, is_openssh_key)):
         if kind == "ssh" and "b3BlbnNzaC1rZXktdjE" not in text:
             continue
         for m in pattern.finditer(text):
             # The last line may be the text that follows the key.
-            for run in dict.fromkeys((m[0], m[0].rpartition("\n")[0].rstrip("\r"))):
-                data = unbase64(run) if run else None
+            breaks = [b.start() for b in BREAK.finditer(m[0])]
+            for run in (m[0], *(m[0][:b] for b in breaks[-1:])):
+                data = unbase64(run)
                 if data and check(data):
                     found.append((kind, m.start(), m.start() + len(run)))
                     break

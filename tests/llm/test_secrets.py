@@ -154,3 +154,23 @@ def test_sequences_without_algorithm_or_key_are_not():
     algorithm, rest = der(0x30, der(6, b"\x2b\x65\x70")), der(4, bytes(34))
     for body in (der(0x30, der(2, b"\x01" * 9)) + rest, algorithm, algorithm + der(2, b"\x01" * 34)):
         assert not secrets.is_private_key(der(0x30, der(2, b"\x00") + body))
+
+
+@pytest.mark.parametrize("kind, data, width", [("der", RSA, 64), ("der", EC, 64), ("ssh", SSH, 70)])
+@pytest.mark.parametrize("end", ["\\n", "\\r\\n", "\\\\n", "\n    ", "\r\n\t", "\n"])
+def test_bodies_with_escaped_or_indented_lines(kind, data, width, end):
+    body = wrapped(data, width).replace("\n", end)
+    after = "next: 1" if kind == "der" else "- b"
+    for text in (f"-----BEGIN KEY-----{end}{body}{end}-----END KEY-----{end}", f"a: |{end}{body}{end}{after}", f'"{body}"'):
+        found = [s for s in secrets.confirmed_spans(text) if s[0] == kind]
+        assert [text[a:b].rstrip("=") for _, a, b in found] == [body.rstrip("=")]
+        assert body not in secrets.masked(text, found)
+
+
+@pytest.mark.parametrize("space", ["", " ", "\n", "\r\n", "\t", "\n  "])
+@pytest.mark.parametrize("frame", ["{}", "newkey_{}.", "newly. {}"])
+def test_token_headers_with_blanks(space, frame):
+    header = "{" + space + '"alg":"HS256"}'
+    secret = ".".join([url64(header.encode()), url64(b'{"sub":1}'), url64(b"s" * 32)])
+    text = frame.format(secret)
+    assert [text[a:b] for _, a, b in secrets.confirmed_spans(text)] == [secret]
