@@ -44,7 +44,7 @@ def shingles(text, n=5):
     return frozenset(tuple(w[j : j + n]) for j in range(max(1, len(w) - n + 1)))
 
 
-def near_components(docs):
+def near_components(docs, percent):
     """(set size, component id, kept) of each (id, text); every pair is compared."""
     sets = [shingles(t) for _, t in docs]
     parent = list(range(len(docs)))
@@ -57,7 +57,7 @@ def near_components(docs):
     for x in range(len(docs)):
         for y in range(x):
             shared = len(sets[x] & sets[y])
-            if sets[x] and 100 * shared >= 85 * (len(sets[x]) + len(sets[y]) - shared) and sets[y]:
+            if sets[x] and 100 * shared >= percent * (len(sets[x]) + len(sets[y]) - shared) and sets[y]:
                 parent[find(x)] = find(y)
     least = {}
     for x, (i, _) in enumerate(docs):

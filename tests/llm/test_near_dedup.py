@@ -10,16 +10,17 @@ from tests.llm import brute
 from tests.llm.conftest import as_sorted, make_words, pairs
 
 
-def expected(rows):
-    return [(i, *found) for (i, _), found in zip(rows, brute.near_components(rows))]
+def expected(rows, percent=85):
+    return [(i, *found) for (i, _), found in zip(rows, brute.near_components(rows, percent))]
 
 
+@pytest.mark.parametrize("percent", [80, 85])
 @pytest.mark.parametrize("name", ["docs", "hard", "empty"])
-def test_equals_brute_force(request, name):
+def test_equals_brute_force(request, name, percent):
     df = request.getfixturevalue(name)
-    out = near_dedup.near_duplicates(df)
+    out = near_dedup.near_duplicates(df, threshold=percent / 100)
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"]
-    assert as_sorted(out.collect()) == as_sorted(expected(pairs(df)))
+    assert as_sorted(out.collect()) == as_sorted(expected(pairs(df), percent))
 
 
 def near_rows(seed, count=300):
@@ -48,7 +49,7 @@ def test_one_of_each_keeps_columns_and_one_row(hard):
     out = near_dedup.one_of_each(hard)
     assert out.columns == hard.columns
     rows = pairs(hard)
-    groups = {c for (i, t), (n, c, _) in zip(rows, brute.near_components(rows)) if n}
+    groups = {c for (i, t), (n, c, _) in zip(rows, brute.near_components(rows, 85)) if n}
     left = pairs(out)
     assert len([t for _, t in left if brute.shingles(t)]) == len(groups)
     blank = [r for r in rows if not brute.shingles(r[1])]

@@ -14,7 +14,7 @@ from tests.llm.conftest import as_sorted, pairs
 
 def test_everything_is_registered():
     found = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES}
     assert set(QUERIES) <= set(found) and "pipeline" in found
     assert set(ORACLES) <= set(entry.oracle_sql())
 
@@ -27,7 +27,7 @@ def test_equals_sql(spark, medium, name):
 def brute_stages(rows, items):
     """Ids that stay and their texts; languages all stay where every text has letters."""
     rows = [(i, t) for i, t in rows if t and any(map(str.isalpha, t))]
-    rows = [r for r, (_, name, kept) in zip(rows, brute.near_components(rows)) if kept]
+    rows = [r for r, (_, name, kept) in zip(rows, brute.near_components(rows, 80)) if kept]
     dirty = {d for d, _ in brute.leaks(rows, items)}
     rows = [(i, t) for i, t in rows if i not in dirty]
     return [(i, masked(t, base_spans(t) + confirmed_spans(t))) for i, t in rows]
