@@ -15,6 +15,7 @@ from gaugeflow.llm.quality_rules import quality_rules
 from gaugeflow.llm.secrets import secret_digest
 from gaugeflow.llm.substring_dedup import drop_repeats
 from gaugeflow.llm.token_counts import token_counts
+from gaugeflow.llm.token_files import read_token_files, write_token_files
 from gaugeflow.llm.warc import page_id_of, read_archives, write_archives
 from gaugeflow.plans.inputs import table
 from gaugeflow.session import scratch_path
@@ -74,6 +75,13 @@ def op10_secret_scan(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_token_files(spark, sf_dir):
+    files = scratch_path(spark, "token-files")
+    docs, model = table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    write_token_files(docs, files, model, end_id=1)
+    return read_token_files(spark, files, keep_ids=False)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
@@ -85,4 +93,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op13_token_files": op13_token_files,
 }
