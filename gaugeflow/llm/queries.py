@@ -17,6 +17,7 @@ from gaugeflow.llm.substring_dedup import drop_repeats
 from gaugeflow.llm.token_counts import token_counts
 from gaugeflow.llm.token_files import read_token_files, write_token_files
 from gaugeflow.llm.warc import page_id_of, read_archives, write_archives
+from gaugeflow.llm.whitening import quantised, whiten
 from gaugeflow.plans.inputs import table
 from gaugeflow.session import scratch_path
 
@@ -75,6 +76,11 @@ def op10_secret_scan(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return whiten(quantised(vectors, "embedding", scale=1024, shift=100_000), components=8)
+
+
 def op13_token_files(spark, sf_dir):
     files = scratch_path(spark, "token-files")
     docs, model = table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -93,5 +99,6 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_token_files": op13_token_files,
 }
