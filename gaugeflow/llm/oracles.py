@@ -159,7 +159,51 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+OP11 = """
+WITH t AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')}
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), ops AS (
+  SELECT conv_id, turns, list_prepend(4294967295, flatten(list_transform(
+      string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))) AS steps
+  FROM t
+), h AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(steps, lambda crc, step: CASE
+      WHEN step >= 0 THEN xor(crc, step)
+      ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END)) % 6 AS h
+  FROM ops
+), b AS (
+  SELECT h.conv_id, list_concat(
+      coalesce(list_slice(base.turns, 1, h.h), []), coalesce(list_slice(h.turns, h.h + 1, len(h.turns)), [])) AS seq
+  FROM h LEFT JOIN h AS base ON base.conv_id = h.conv_id - h.conv_id % 100
+), p AS (
+  SELECT conv_id, d, list_slice(seq, 1, d) AS node, len(seq) = d AS ends
+  FROM b, unnest(range(0, len(seq) + 1)) AS u(d)
+), n AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE length(node[d].x) END AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY node, d
+), c AS (
+  SELECT list_slice(node, 1, d - 1) AS node, d - 1 AS d, count(*) AS n_children
+  FROM n WHERE d > 0 GROUP BY ALL
+), m AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (node, d)
+), s AS (
+  SELECT list_slice(node, 1, u.a) AS node, u.a AS d,
+    CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+    CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM m, unnest(range(0, d + 1)) AS u(a) GROUP BY ALL
+)
+SELECT m.conv_id, m.d AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves,
+  s.saved_tokens, m.ends_sha256
+FROM m JOIN s USING (node, d) LEFT JOIN m AS up ON m.d > 0 AND up.d = m.d - 1 AND up.node = list_slice(m.node, 1, m.d - 1)
+"""
+
 ORACLES = {
+    "op11_prefix_trie": OP11,
     "op2_substring_dedup": OP2,
     "op3_minhash_near_dedup": OP3,
     "op4_benchmark_decontamination": OP4,

@@ -11,6 +11,7 @@ from gaugeflow.llm.decontamination import leaked_items
 from gaugeflow.llm.near_dedup import near_duplicates
 from gaugeflow.llm.oracles import ORACLES  # noqa: F401
 from gaugeflow.llm.packing import pack_documents
+from gaugeflow.llm.prefix_trie import prefix_trie
 from gaugeflow.llm.quality_rules import quality_rules
 from gaugeflow.llm.secrets import secret_digest
 from gaugeflow.llm.substring_dedup import drop_repeats
@@ -76,6 +77,10 @@ def op10_secret_scan(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_embedding_whitening(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return whiten(quantised(vectors, "embedding", scale=1024, shift=100_000), components=8)
@@ -99,6 +104,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_token_files": op13_token_files,
 }
