@@ -20,7 +20,7 @@ from gaugeflow.llm.scale import mapped
 from gaugeflow.llm.wavelet import Wavelet, encode, read_head
 from gaugeflow.llm.word_ids import word_encoder
 
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 
 
 def write_token_files(docs: DataFrame, path, model, end_id, id_col="doc_id", text_col="text",

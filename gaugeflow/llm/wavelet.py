@@ -7,9 +7,9 @@ before it; rank and select open only the blocks that they need. From the planes
 the id at a position, the number of times that an id occurs in a range, and the
 positions at which it occurs, without unpacking the rest.
 
-Layout: magic, length of the head (32 bits), head (compressed JSON), blocks in order of
-plane and place, names and lengths of the documents (compressed JSON, 64-bit numbers).
-The head has the sizes and check sums of all of these.
+Layout: magic, length and check sum of the head (32 bits each), head (JSON), blocks in
+order of plane and place, names (JSON) and lengths (64-bit numbers) of the documents, all
+compressed. The head has the sizes and check sums of the others.
 """
 
 import json
@@ -17,18 +17,32 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 
 MAGIC = b"WAVELET1"
 BLOCK_BITS = 1 << 19
 _LENGTH = struct.Struct("<I")
+_PACK, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 class Damaged(ValueError):
     """The bytes are not a whole wavelet file."""
 
 
-def packed(data):
-    return zlib.compress(data, 1)
+def narrow(most):
+    """The smallest kind of number that holds ids up to `most`."""
+    return np.uint16 if most < 1 << 16 else np.uint32
+
+
+def filtered(values, mask):
+    """The values whose bit is set in `mask`, a bitmap."""
+    bits = pa.Array.from_buffers(pa.bool_(), len(values), [None, pa.py_buffer(mask)])
+    return pa.array(values).filter(bits).to_numpy()
+
+
+def unpacked(data, size):
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=size, bitorder="little").view(bool)
 
 
 def encode(ids, names, lengths, **extra):
@@ -36,22 +50,23 @@ def encode(ids, names, lengths, **extra):
 
     `names` are texts or None; `extra` goes into the head. No ids, no planes.
     """
-    level = np.ascontiguousarray(ids, dtype=np.uint32)
-    planes, body = [], []
-    for bit in reversed(range(int(level.max(initial=0)).bit_length())):
-        ones = (level >> np.uint32(bit) & np.uint32(1)).astype(bool)
+    most = int(np.max(ids, initial=0))
+    level = np.ascontiguousarray(ids, dtype=narrow(most))
+    planes, body, size = [], [], len(level)
+    for bit in reversed(range(most.bit_length())):
+        ones = np.packbits((level & level.dtype.type(1 << bit)) != 0, bitorder="little")
         blocks, before = [], 0
-        for first in range(0, len(ones), BLOCK_BITS):
-            part = ones[first : first + BLOCK_BITS]
-            data = packed(np.packbits(part).tobytes())
+        for first in range(0, len(ones), BLOCK_BITS // 8):
+            part = ones[first : first + BLOCK_BITS // 8]
+            data = _PACK.compress(part.tobytes())
             blocks.append((len(data), zlib.crc32(data), before))
             body.append(data)
-            before += int(np.count_nonzero(part))
-        planes.append({"zeros": len(ones) - before, "blocks": blocks})
-        level = np.concatenate([level[~ones], level[ones]])
-    tail = [packed(json.dumps(names).encode()), packed(np.asarray(lengths, "<i8").tobytes())]
-    head = packed(json.dumps({
-        **extra, "tokens": len(level), "docs": len(names), "planes": planes,
+            before += int(np.bitwise_count(part).sum())
+        planes.append({"zeros": size - before, "blocks": blocks})
+        level = np.concatenate([filtered(level, ~ones), filtered(level, ones)])
+    tail = [_PACK.compress(json.dumps(names).encode()), _PACK.compress(np.asarray(lengths, "<i8").tobytes())]
+    head = _PACK.compress(json.dumps({
+        **extra, "tokens": size, "docs": len(names), "planes": planes,
         "tail": [(len(t), zlib.crc32(t)) for t in tail],
     }).encode())
     check = _LENGTH.pack(zlib.crc32(head))
@@ -67,7 +82,7 @@ def read_head(data):
     head = data[first : first + size]
     if len(head) != size or zlib.crc32(head) != check:
         raise Damaged("damaged head")
-    return json.loads(zlib.decompress(head)), first + size
+    return json.loads(_UNPACK.decompress(head)), first + size
 
 
 class Plane:
@@ -80,19 +95,20 @@ class Plane:
         self.ones = np.array([*(b[2] for b in blocks), size - zeros], dtype=np.int64)
         self.opened = {}
 
+    def stored(self, k):
+        data = self.data[self.at[k] : self.at[k + 1]]
+        if zlib.crc32(data) != self.checks[k]:
+            raise Damaged(f"damaged block {k}")
+        return _UNPACK.decompress(data)
+
     def block(self, k):
         """The bits of block k; the last one opened is kept."""
         if k not in self.opened:
-            data = self.data[self.at[k] : self.at[k + 1]]
-            if zlib.crc32(data) != self.checks[k]:
-                raise Damaged(f"damaged block {k}")
-            bits = np.unpackbits(np.frombuffer(zlib.decompress(data), np.uint8))
-            self.opened = {k: bits[: min(BLOCK_BITS, self.size - k * BLOCK_BITS)].astype(bool)}
+            self.opened = {k: unpacked(self.stored(k), min(BLOCK_BITS, self.size - k * BLOCK_BITS))}
         return self.opened[k]
 
     def bits(self):
-        parts = [self.block(k) for k in range(len(self.checks))]
-        return np.concatenate(parts) if parts else np.zeros(0, bool)
+        return unpacked(b"".join(map(self.stored, range(len(self.checks)))), self.size)
 
     def bits_and_ranks(self, positions):
         """The bit at each position below the size, and the number of ones before each."""
@@ -138,7 +154,7 @@ class Wavelet:
             part = self.data[at : at + size]
             if zlib.crc32(part) != check:
                 raise Damaged("damaged documents")
-            parts.append(zlib.decompress(part))
+            parts.append(_UNPACK.decompress(part))
             at += size
         self.end = at
         self.names = json.loads(parts[0])
@@ -183,10 +199,13 @@ class Wavelet:
 
     def ids(self):
         """All ids in their order: the planes are put together from the last to the first."""
-        out = np.zeros(self.size, dtype=np.uint32)
+        out = np.zeros(self.size, dtype=narrow((1 << len(self.planes)) - 1))
         for k, plane in reversed(list(enumerate(self.planes))):
-            bits, level = plane.bits(), np.empty(self.size, dtype=np.uint32)
-            level[~bits] = out[: plane.zeros]
-            level[bits] = out[plane.zeros :] | np.uint32(1 << (len(self.planes) - 1 - k))
+            bits, level = plane.bits(), np.empty_like(out)
+            ones = out[plane.zeros :]
+            ones |= out.dtype.type(1 << (len(self.planes) - 1 - k))
+            for mask, values in ((~bits, out[: plane.zeros]), (bits, ones)):
+                if len(values):
+                    np.place(level, mask, values)
             out = level
-        return out
+        return out.astype(np.uint32)

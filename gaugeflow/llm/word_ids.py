@@ -1,26 +1,39 @@
 """Token ids of whole texts for a word-level BPE file of the tokenizers library.
 
 Where the file's normalizer and text splitting never look across white space, the ids
-of a text are those of its words put together, and each different word is merged once
-per worker. Words of ASCII letters, digits and signs are split further by the file's
-own pattern; any other word goes to the library as it is. Texts that hold a special
-token's string, and files that are not known to split at white space, go to the library whole.
+of a text are those of its words put together, and each different word is looked at once
+per worker. Words of characters below PLAIN are split further by the file's own pattern,
+and the library's model merges each different part once; any other word goes to the
+library as it is. Texts that hold a special token's string, and files that are not known
+to split at white space, go to the library whole.
 """
 
 import json
-import re
+import struct
+from functools import lru_cache
 
 import numpy as np
+import regex
 
-# The splitting pattern of lower-case word vocabularies, and its ASCII part.
+from gaugeflow.llm.token_ids import byte_letters
+
+# Fixed value: the splitting pattern of lower-case word vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\s0-9a-z]+")
+_PARTS = regex.compile(PATTERN)
+# Latin letters up to here stay as they are in normal form, and lower-casing looks at one
+# at a time, but for the dotted capital I, which becomes two characters.
+PLAIN, DOTTED = "\u0250", "\u0130"
 # Words and parts that a worker remembers; both tables start again beyond it.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 LONGEST = 64
 _OPEN = {}
 
 
+@lru_cache(maxsize=64)
+def numbers(size):
+    return struct.Struct(f"<{size}I")
+
+
 def splits_at_white_space(spec):
     """Whether the file lower-cases, folds white space, drops it and splits by PATTERN."""
     steps = (spec.get("normalizer") or {}).get("normalizers") or []
@@ -42,8 +55,13 @@ def splits_at_white_space(spec):
     )
 
 
+def packed(ids):
+    """Ids as little-endian 32-bit numbers."""
+    return numbers(len(ids)).pack(*ids)
+
+
 class Remembered(dict):
-    """Ids (little-endian 32-bit numbers) of byte strings, made on first use."""
+    """Ids (little-endian 32-bit numbers) of words or parts, made on first use."""
 
     def __init__(self, make):
         super().__init__()
@@ -71,16 +89,29 @@ class WordEncoder:
         self.library.no_padding()
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.by_words = splits_at_white_space(spec)
-        self.parts = Remembered(lambda part: self.whole(part.decode()))
+        self.letters = {b: letter for b, letter in byte_letters().items() if letter != chr(b)}
+        self.model = self.library.model
+        self.parts = Remembered(self.of_part)
         self.words = Remembered(self.of_word)
 
     def whole(self, text):
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(self.library.encode(text, add_special_tokens=False).ids)
+
+    def of_part(self, part):
+        """A part is one word to the model, which knows bytes by their letters."""
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return packed([t.id for t in self.model.tokenize(letters)])
 
     def of_word(self, word):
-        if not word.isascii():
-            return self.whole(word.decode())
-        return b"".join(map(self.parts.__getitem__, ASCII_PARTS.findall(word.lower())))
+        text = word.decode()
+        if not text.isprintable() or not (word.isascii() or max(text) < PLAIN and DOTTED not in text):
+            return self.whole(text)
+        text = text.lower()
+        if text.isalpha():
+            return self.parts[text]
+        if text[:-1].isalpha():
+            return self.parts[text[:-1]] + self.parts[text[-1]]
+        return b"".join(map(self.parts.__getitem__, _PARTS.findall(text)))
 
     def ids(self, text):
         if not text:

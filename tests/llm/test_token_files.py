@@ -101,7 +101,7 @@ def test_query_equals_brute_force(spark, small, docs):
     assert as_sorted(out.collect()) == as_sorted(expected(pairs(docs)))
 
 
-@pytest.mark.parametrize("shard_tokens", [1, 200, 1 << 22])
+@pytest.mark.parametrize("shard_tokens", [1, 200, 1 << 21])
 def test_hard_rows(spark, tmp_path, hard, shard_tokens):
     path = f"{tmp_path}/files"
     token_files.write_token_files(hard, path, MODEL, 1, shard_tokens=shard_tokens)
