@@ -12,7 +12,8 @@ decoded besides; they are reported only if the bytes are what they seem to be:
 * `ssh`: an OpenSSH private key container whose length fields add up.
 
 A PEM frame needs no pattern of its own: its body is a run with line ends. Line ends
-may be written as escapes, as in JSON, and lines may be indented, as in YAML.
+may be written as escapes, as in JSON, and lines may be indented, as in YAML. Where a key
+ends is what its own lengths say, whatever the lines before and behind it look like.
 """
 
 import binascii
@@ -38,17 +39,19 @@ LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "jwt", "der", "ssh")
 KEY_HINT = re.compile(r"(?ai:password|passwd|secret|token|api_?key)")
 
-# An opening brace, then a quote, a blank or a line end.
-JWT = re.compile(r"e(?:y[A-DI-L]|w[k-r0-3])[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,4}")
-# A DER sequence starts with byte 30, an OpenSSH container with "openssh-key-v1".
+# Dotted runs, and where a header may begin: an opening brace, then a quote, a blank or a line end.
+DOTTED = re.compile(r"[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,}")
+HEADER = re.compile(r"e(?:y[A-DI-L]|w[k-r0-3])")
+# Encoded lines, and what may stand between two of them.
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+# What a JSON object begins with.
+OBJECT = re.compile(r'\{[ \t\r\n]*(?:"(?:[^"\\]|\\.)*"[ \t\r\n]*:|\})', re.DOTALL)
 _ESCAPED = r"(?:\\+r)?\\+n"
-_BREAK = rf"(?:\r?\n|{_ESCAPED})[ \t]*"
-_LINES = rf"(?:{_BREAK}[A-Za-z0-9+/]{{16,}})*(?:{_BREAK}[A-Za-z0-9+/]{{1,15}})?={{0,2}}"
-ESCAPED, BREAK = re.compile(_ESCAPED), re.compile(_BREAK)
-ENCODED = re.compile(
-    rf"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n))M(?:[A-Za-z0-9+/]{{15,}}{_LINES}(?![A-Za-z0-9+/_-])|[A-Za-z0-9_-]{{15,}}={{0,2}})"
-)
-OPENSSH = re.compile(r"b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/]+" + _LINES)
+ESCAPED, BREAK = re.compile(_ESCAPED), re.compile(rf"(?:\r?\n|{_ESCAPED})[ \t]*")
+# A DER sequence starts with byte 30, an OpenSSH container with "openssh-key-v1".
+_FIRST = r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n))"
+DER_START = re.compile(_FIRST + "M[A-P][A-Za-z0-9+/_-]")
+OPENSSH_START = "b3BlbnNzaC1rZXktdjE"
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{30,}")
 
 
@@ -108,30 +111,120 @@ def is_private_key(data):
     return body is not None and body[0] in (0x02, 0x04) and body[2] - body[1] >= 8
 
 
-def is_openssh_key(data):
-    """The container's cipher, derivation, options, key count and keys have lengths that add up."""
+def openssh_size(data):
+    """Bytes of the container that `data` starts with, or None if it starts with none.
+
+    Its cipher, derivation, options, key count and keys have lengths that add up. Where
+    `data` ends too early, the bytes that are needed at least, as a negative number.
+    """
     magic = b"openssh-key-v1\0"
-    at = len(magic)
+    at, texts, count = len(magic), 0, None
+    if not data.startswith(magic[: len(data)]):
+        return None
+    # Three texts, the number of keys, that many public keys and the private part.
+    while count is None or texts < 4 + count:
+        if at + 4 > len(data):
+            return -(at + 4)
+        size, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+        if texts == 3 and count is None:
+            count = size
+            if not 1 <= count <= 16:
+                return None
+            continue
+        at, texts = at + size, texts + 1
+        if at > len(data):
+            return -at
+    return at
 
-    def text():
-        nonlocal at
-        size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + size > len(data):
-            return False
-        at += 4 + size
-        return True
 
-    if not data.startswith(magic) or not (text() and text() and text()):
-        return False
-    count = int.from_bytes(data[at : at + 4], "big")
-    at += 4
-    if not 1 <= count <= 16:
-        return False
-    return all(text() for _ in range(count)) and text() and at <= len(data)
+def der_size(head):
+    """Bytes of the sequence whose first bytes are `head`, if it begins with a version number."""
+    if len(head) < 9 or head[0] != 0x30:
+        return None
+    size, at = head[1], 2
+    if size & 0x80:
+        count = size & 0x7F
+        if not 1 <= count <= 4:
+            return None
+        size, at = int.from_bytes(head[2 : 2 + count], "big"), 2 + count
+    return at + size if head[at : at + 2] == b"\x02\x01" else None
+
+
+def encoded_run(text, start, size):
+    """The end of the first `size` encoded characters from `start` on, line breaks between them
+    not counted, and how many there are; fewer where the run ends."""
+    at, found = start, 0
+    while line := LINE.match(text, at, at + size - found):
+        found, at = found + line.end() - at, line.end()
+        if found == size:
+            break
+        between = BREAK.match(text, at)
+        if not between or not _encoded(text, between.end()):
+            break
+        at = between.end()
+    return at, found
+
+
+def _encoded(text, at):
+    """Whether an encoded character stands at a position."""
+    return LINE.match(text, at, at + 1) is not None
+
+
+def _encoded_chars(size):
+    return -(-size * 4 // 3)
+
+
+def _key_end(text, start, size):
+    """The end of a key of `size` bytes that is encoded from `start` on, and its bytes; or None."""
+    chars = _encoded_chars(size)
+    if chars > len(text) - start:
+        return None
+    end, found = encoded_run(text, start, chars)
+    if found < chars or _encoded(text, end):
+        return None
+    data = unbase64(text[start:end])
+    padding = -chars % 4
+    while padding and text.startswith("=", end):
+        end, padding = end + 1, padding - 1
+    return (end, data) if data is not None else None
 
 
-def _json_object(part):
-    data = unbase64(part)
+def der_spans(text):
+    """Spans of encoded private keys. A key's own length says where it ends, so text behind
+    it, or a word before it that looks like a beginning, does not matter."""
+    at = 0
+    while m := DER_START.search(text, at):
+        start, at = m.start(), m.start() + 1
+        head_end, found = encoded_run(text, start, 12)
+        head = unbase64(text[start:head_end]) if found == 12 else None
+        size = der_size(head) if head else None
+        key = _key_end(text, start, size) if size else None
+        if key and is_private_key(key[1]):
+            at = key[0]
+            yield "der", start, at
+
+
+def openssh_spans(text):
+    """Spans of encoded OpenSSH containers, whose lengths say where they end."""
+    at = 0
+    while (start := text.find(OPENSSH_START, at)) >= 0:
+        at, size = start + 1, 255
+        while size:
+            end, found = encoded_run(text, start, _encoded_chars(size))
+            # A single character more than whole groups holds no byte.
+            data = unbase64(text[start : end - (found % 4 == 1)])
+            needed = openssh_size(data) if data else None
+            key = _key_end(text, start, needed) if needed and needed > 0 else None
+            if key:
+                at = key[0]
+                yield "ssh", start, at
+            more = needed is not None and needed < 0 and found == _encoded_chars(size)
+            # What needs more than there is left ends here.
+            more = more and _encoded_chars(-needed) <= len(text) - start
+            size = max(-needed, 2 * size) if more else 0
+
+
+def _json_object(data):
     try:
         found = json.loads(data) if data else None
     except (ValueError, RecursionError):
@@ -139,35 +232,65 @@ def _json_object(part):
     return found if isinstance(found, dict) else None
 
 
-def token_length(run):
-    """Length of the signed token that the dotted run starts with; 0 if it starts with none.
+_SCAN = json.JSONDecoder()
 
-    Parts beyond the token's own, such as the empty one after a full stop, do not belong to it.
+
+def headers_in(part):
+    """(start, object) of every JSON object that is encoded from `start` to the end of `part`.
+
+    Starts four characters apart share one decoding, and each is read only as far as it is
+    JSON, so a long run of beginnings costs no more than its length.
     """
-    parts = run.split(".")
-    header = _json_object(parts[0])
-    if header is None or not isinstance(header.get("alg"), str):
+    decoded = {}
+    for m in HEADER.finditer(part):
+        start, kind = m.start(), (len(part) - m.start()) % 4
+        if kind not in decoded:
+            data = unbase64(part[start:])
+            good = data is not None and data.rstrip(b" \t\r\n").endswith(b"}")
+            decoded[kind] = (start, data, data.decode("latin-1")) if good else None
+        if decoded[kind] is None:
+            continue
+        first, data, letters = decoded[kind]
+        at = (start - first) // 4 * 3
+        if not OBJECT.match(letters, at):
+            continue
+        try:
+            _, end = _SCAN.raw_decode(letters, at)
+        except (ValueError, RecursionError):
+            continue
+        header = _json_object(data[at:]) if not letters[end:].strip(" \t\r\n") else None
+        if header is not None:
+            yield start, header
+
+
+def token_parts(header, parts):
+    """How many of `parts`, the first of which is the header's, make a signed token; 0 if none do."""
+    if not isinstance(header.get("alg"), str):
         return 0
     count = 5 if "enc" in header else 3
-    parts = parts[:count]
     if len(parts) < count:
         return 0
     if "enc" in header:
-        valid = all(unbase64(p) is not None for p in parts[1:])
-    else:
-        signed = header["alg"].lower() == "none" or bool(parts[2] and unbase64(parts[2]))
-        valid = signed and _json_object(parts[1]) is not None
-    return len(".".join(parts)) if valid else 0
+        return count if all(unbase64(p) is not None for p in parts[1:count]) else 0
+    signed = header["alg"].lower() == "none" or bool(parts[2] and unbase64(parts[2]))
+    return count if signed and _json_object(unbase64(parts[1])) is not None else 0
 
 
 def token_spans(text):
-    """Spans of signed tokens; a run that starts with none may hold one further on."""
-    at = 0
-    while m := JWT.search(text, at):
-        size = token_length(m[0])
-        if size:
-            yield "jwt", m.start(), m.start() + size
-        at = m.start() + (size or 1)
+    """Spans of signed tokens: three parts with dots between them, or five.
+
+    Parts beyond the token's own, such as the empty one after a full stop, do not belong to it.
+    """
+    for run in DOTTED.finditer(text):
+        parts, at, k = run[0].split("."), run.start(), 0
+        while k < len(parts) - 2:
+            count = 0
+            for start, header in headers_in(parts[k]):
+                if count := token_parts(header, parts[k : k + 5]):
+                    yield "jwt", at + start, at + len(".".join(parts[k : k + count]))
+                    break
+            for _ in range(max(1, count)):
+                at, k = at + len(parts[k]) + 1, k + 1
 
 
 def base_spans(text):
@@ -190,20 +313,9 @@ def base_spans(text):
 
 def confirmed_spans(text):
     """Spans whose decoded bytes parse as a token or a private key."""
-    found = []
-    if "." in text:
-        found += token_spans(text)
-    for kind, pattern, check in (("der", ENCODED, is_private_key), ("ssh", OPENSSH, is_openssh_key)):
-        if kind == "ssh" and "b3BlbnNzaC1rZXktdjE" not in text:
-            continue
-        for m in pattern.finditer(text):
-            # The last line may be the text that follows the key.
-            breaks = [b.start() for b in BREAK.finditer(m[0])]
-            for run in (m[0], *(m[0][:b] for b in breaks[-1:])):
-                data = unbase64(run)
-                if data and check(data):
-                    found.append((kind, m.start(), m.start() + len(run)))
-                    break
+    found = list(token_spans(text)) if "." in text else []
+    found += der_spans(text)
+    found += openssh_spans(text)
     for m in HEX_KEY.finditer(text):
         if len(m[0]) % 2 == 0 and is_private_key(bytes.fromhex(m[0])):
             found.append(("der", m.start(), m.end()))

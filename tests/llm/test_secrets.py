@@ -1,6 +1,8 @@
 import base64
 import hashlib
 import json
+import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -174,3 +176,83 @@ def test_token_headers_with_blanks(space, frame):
     secret = ".".join([url64(header.encode()), url64(b'{"sub":1}'), url64(b"s" * 32)])
     text = frame.format(secret)
     assert [text[a:b] for _, a, b in secrets.confirmed_spans(text)] == [secret]
+
+
+BOUND = re.compile(r"[A-Za-z0-9+/_-]")
+ENCODED = re.compile(r"[A-Za-z0-9+/_-]+(?:(?:\r?\n|(?:\\+r)?\\+n)[ \t]*[A-Za-z0-9+/_-]+)*=*")
+
+
+def brute_keys(text):
+    """Every start and end is tried, the first start and the last end first."""
+    at, out = 0, []
+    while at < len(text):
+        free = at == 0 or not BOUND.match(text[at - 1]) or text[:at].endswith("\\n")
+        for end in range(len(text), at, -1):
+            run = text[at:end]
+            if not ENCODED.fullmatch(run) or (not run.endswith("=") and BOUND.match(text[end : end + 1])):
+                continue
+            letters = "".join(secrets.LINE.findall(secrets.BREAK.sub(" ", run)))
+            data = secrets.unbase64(run) if run.count("=") <= -len(letters) % 4 else None
+            if data and (
+                (free and run[0] == "M" and secrets.is_private_key(data)) or secrets.openssh_size(data) == len(data)
+            ):
+                out.append((at, end))
+                break
+        at = out[-1][1] if out and out[-1][0] == at else at + 1
+    return out
+
+
+def brute_tokens(text):
+    at, out = 0, []
+    part = "[A-Za-z0-9_-]*"
+    while at < len(text):
+        for dots in (4, 2):
+            m = re.compile(rf"e(?:y[A-DI-L]|w[k-r0-3])[A-Za-z0-9_-]*(?:\.{part}){{{dots}}}").match(text, at)
+            parts = m[0].split(".") if m else []
+            header = secrets._json_object(secrets.unbase64(parts[0])) if m else None
+            if header is not None and secrets.token_parts(header, parts) == len(parts):
+                out.append((at, m.end()))
+                at = m.end() - 1
+                break
+        at += 1
+    return out
+
+
+SHORT_KEY = der(0x30, der(2, b"\x00") + der(0x30, bytes.fromhex("06032b6570")) + der(4, der(4, b"k" * 32)))
+SHORT_SSH = b"openssh-key-v1\0" + text_field(b"no") * 2 + text_field(b"") + (1).to_bytes(4, "big") + text_field(b"k" * 5) + text_field(b"p" * 9)
+PIECES = [
+    base64.b64encode(SHORT_KEY).decode(), wrapped(SHORT_KEY, 20), wrapped(SHORT_KEY, 30).replace("\n", "\\n"),
+    wrapped(SHORT_SSH, 24), base64.b64encode(SHORT_SSH).decode().rstrip("="), token({"alg": "A"}, {"s": 1}, b"sig"),
+    token({"alg": "none"}, {}, b""), "eyJ", "ewo", "MAA", "MC4C", "Menschenrechtskonvention", "MyVeryLongModuleName12",
+    "\n", " ", ".", "..", "=", "\\n", "x", "now", "Internationalization", "/", "-----",
+]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=7))
+def test_confirmed_spans_equal_brute_force(parts):
+    text = "".join(parts)
+    found = secrets.confirmed_spans(text)
+    assert sorted((a, b) for k, a, b in found if k != "jwt") == brute_keys(text)
+    assert [(a, b) for k, a, b in found if k == "jwt"] == brute_tokens(text)
+
+
+@pytest.mark.parametrize("frame", [
+    "Menschenrechtskonvention\n{}", "see MyVeryLongModuleName12\n{}", "{}\nInternationalization\nnow",
+    "MAINTENANCEMANUALS\nMIGRATION\n{}\nMore\nlines\nfollow", "{}\n{}",
+])
+@pytest.mark.parametrize("secret", [wrapped(RSA), wrapped(SSH, 70), base64.b64encode(EC).decode()])
+def test_words_around_a_key_do_not_hide_it(frame, secret):
+    text = frame.replace("{}", secret)
+    found = secrets.confirmed_spans(text)
+    assert {text[a:b] for _, a, b in found} == {secret} and len(found) == frame.count("{}")
+
+
+@pytest.mark.parametrize("text", [
+    "eyJ" * 350_000 + "..", "eyJ." * 260_000, "eyJhIjo" * 150_000 + "..", "ewogIC" * 170_000 + "fQ..x",
+    "MIIEpAIBAAKC\n" * 80_000, "M" * 1_000_000, "b3BlbnNzaC1rZXktdjEA" * 50_000, ("b3BlbnNzaC1rZXktdjEAAAAABG5v" + "\n") * 35_000,
+])
+def test_long_runs_take_little_time(text):
+    before = time.perf_counter()
+    assert [s for s in secrets.confirmed_spans(text) if s[0] != "hex"] == []
+    assert time.perf_counter() - before < 20
