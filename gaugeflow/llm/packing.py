@@ -1,10 +1,11 @@
 """Packing token sequences of bounded length by fitted length patterns.
 
 Pieces are counted by length; the histogram has at most `capacity` bins whatever
-the input. Patterns of one, two or three lengths that fill a sequence are
+the input. All patterns of two or three lengths that fill a sequence are
 enumerated, their repeat counts fitted to the histogram by non-negative least
 squares and rounded down; what is left is packed by best fit, again on the
-histogram. The plan is a bounded list of rank ranges per length. Pieces find their
+histogram. The fit keeps a set of active patterns, at most as many as there are
+lengths, so rounding takes little away. The plan is a bounded list of rank ranges per length. Pieces find their
 place by their rank among the pieces of their length, which every task numbers for
 itself and a table of sums puts in sequence, so no group of equal lengths ever
 meets in one task.
@@ -25,9 +26,10 @@ from gaugeflow.llm.token_ids import encoder
 from gaugeflow.session import written
 
 CAPACITY = 1024
-# Bounds the plan's enumeration, not the data: triples are thinned out evenly beyond it.
-MAX_TRIPLES = 20_000
-SWEEPS = 40
+# Patterns that may become active at once, and the gain of a sequence's share below which none does.
+JOINING = 128
+LEAST_GAIN = 0.5
+NOTHING = 1e-9
 
 
 def cut(length, capacity):
@@ -76,42 +78,88 @@ def token_pieces(docs: DataFrame, model, end_id, capacity=CAPACITY, id_col="doc_
 
 
 def patterns(lengths, capacity):
-    """Lengths that fill a sequence exactly: alone, in pairs and in threes."""
+    """All pairs and threes of lengths that fill a sequence exactly."""
     present = set(lengths)
-    found = [(a,) for a in lengths]
-    found += [(a, capacity - a) for a in lengths if a <= capacity - a and capacity - a in present]
-    threes = [
+    found = [(a, capacity - a) for a in lengths if a <= capacity - a and capacity - a in present]
+    return found + [
         (a, b, capacity - a - b)
         for i, a in enumerate(lengths)
         for b in lengths[i:]
         if capacity - a - b >= b and capacity - a - b in present
     ]
-    step = max(1, -(-len(threes) // MAX_TRIPLES))
-    return found + threes[::step]
 
 
-def fit_counts(found, histogram, capacity):
-    """Non-negative repeat counts by coordinate descent on the squared misfit.
+def active_counts(active, wanted, counts):
+    """Which columns of `active` stay, and their non-negative counts of least squared misfit.
 
-    A sequence that is not full costs its empty part, so lone lengths are used last.
+    Columns that would be negative leave at once; if that has not come to an end after a
+    few times, the counts go towards the solution only until the first reaches zero.
     """
-    left = {length: float(n) for length, n in histogram.items()}
-    counts = [0.0] * len(found)
-    norms = [Counter(p) for p in found]
-    costs = [(capacity - sum(p)) / capacity for p in found]
-    for _ in range(SWEEPS):
-        moved = 0.0
-        for k, parts in enumerate(norms):
-            slope = sum(left[a] * m for a, m in parts.items()) - costs[k] * 1e3
-            step = max(-counts[k], slope / sum(m * m for m in parts.values()))
-            if step:
-                counts[k] += step
-                moved = max(moved, abs(step))
-                for a, m in parts.items():
-                    left[a] -= step * m
-        if moved < 0.25:
+    kept, turns = np.arange(active.shape[1]), 0
+    while len(kept):
+        own = active[:, kept]
+        normal = own.T @ own
+        normal[np.diag_indices_from(normal)] += NOTHING
+        solved = np.linalg.solve(normal, own.T @ wanted)
+        bad, turns = solved <= NOTHING, turns + 1
+        if not bad.any():
+            return kept, solved
+        if turns <= 4:
+            counts, kept = solved[~bad], kept[~bad]
+            continue
+        share = np.where(bad, counts / np.maximum(counts - solved, NOTHING), 1.0)
+        counts = counts + min(1.0, share[bad].min()) * (solved - counts)
+        stays = ~(bad & (counts <= NOTHING))
+        stays[np.argmin(share)] = False
+        counts, kept = np.maximum(counts[stays], 0.0), kept[stays]
+    return kept, np.zeros(0)
+
+
+def fit_counts(found, histogram):
+    """(pattern, count) of non-negative least squares: patterns times counts against the histogram.
+
+    Patterns with the steepest gain become active, those of no length in common at once;
+    the counts of all active ones are then solved together. As soon as a round gains
+    nothing, fewer join, in the end one at a time.
+    """
+    lengths = sorted(histogram)
+    size, number = len(lengths), {a: i for i, a in enumerate(lengths)}
+    # The last row stands for the third length that a pair does not have.
+    parts = np.array([[*(number[a] for a in p), *[size] * (3 - len(p))] for p in found]).reshape(-1, 3)
+    wanted = np.array([histogram[a] for a in lengths], dtype=float)
+    same = (parts[:, :, None] == parts[:, None, :]) & (parts < size)[:, :, None]
+    norms = np.sqrt(same.sum(axis=(1, 2)))
+
+    def columns(chosen):
+        made = np.zeros((size + 1, len(chosen)))
+        np.add.at(made, (parts[chosen].ravel(), np.repeat(np.arange(len(chosen)), 3)), 1.0)
+        return made[:size]
+
+    chosen, counts, active = np.zeros(0, dtype=int), np.zeros(0), np.zeros((size, 0))
+    best, joining = (np.inf, chosen, counts), JOINING
+    while joining and len(found):
+        left = wanted - active @ counts
+        misfit = float(left @ left)
+        if misfit < best[0] * (1 - NOTHING):
+            best = (misfit, chosen, counts)
+        else:
+            joining //= 2
+        gain = np.append(left, 0.0)[parts].sum(axis=1) / norms
+        gain[chosen] = 0.0
+        taken, new = np.zeros(size + 1, dtype=bool), []
+        for j in np.argsort(-gain, kind="stable"):
+            if gain[j] <= LEAST_GAIN or len(new) >= joining:
+                break
+            if not taken[parts[j]].any():
+                new.append(j)
+                taken[parts[j]], taken[size] = True, False
+        if not new:
             break
-    return counts
+        chosen = np.append(chosen, new)
+        active = np.hstack([active, columns(np.array(new))])
+        stay, counts = active_counts(active, wanted, np.append(counts, np.zeros(len(new))))
+        chosen, active = chosen[stay], active[:, stay]
+    return [(found[j], float(n)) for j, n in zip(*best[1:])]
 
 
 def best_fit(histogram, capacity):
@@ -142,15 +190,14 @@ def plan(histogram, capacity=CAPACITY):
     The pieces of a length take a range's ranks in turn: `per` neighbours of equal
     length share a sequence.
     """
-    left = Counter({a: n for a, n in histogram.items() if a < capacity})
-    found = patterns(sorted(left), capacity)
-    counts = fit_counts(found, left, capacity)
+    left = Counter({a: n for a, n in histogram.items() if a < capacity and n})
     chosen = []
-    for k in sorted(range(len(found)), key=lambda k: (len(found[k]) == 1, -counts[k], found[k])):
-        parts = Counter(found[k])
-        repeats = min(int(counts[k] + 1e-6), *(left[a] // m for a, m in parts.items()))
-        if repeats > 0 and sum(found[k]) == capacity:
-            chosen.append((found[k], repeats))
+    fitted = fit_counts(patterns(sorted(left), capacity), left)
+    for pattern, count in sorted(fitted, key=lambda f: (-f[1], f[0])):
+        parts = Counter(pattern)
+        repeats = min(int(count + 1e-6), *(left[a] // m for a, m in parts.items()))
+        if repeats > 0:
+            chosen.append((pattern, repeats))
             for a, m in parts.items():
                 left[a] -= m * repeats
     chosen += best_fit(left, capacity)

@@ -114,3 +114,44 @@ def test_sequences_hold_their_pieces(spark, hard):
     for r in packed.collect():
         part = whole[r.sequence_id][4 * r.offset : 4 * (r.offset + r.length)]
         assert part == bytes(r.ids) and zlib.crc32(part) == r.ids_crc32
+
+
+def counted(lengths, capacity=1024):
+    """Pieces by length, as the operator cuts them."""
+    return Counter(length for n in lengths for _, length in packing.cut(int(n), capacity))
+
+
+def test_all_patterns_of_a_full_histogram_are_candidates():
+    found = packing.patterns(range(1, 1024), 1024)
+    assert set(map(len, found)) == {2, 3} and all(sum(p) == 1024 and list(p) == sorted(p) for p in found)
+    # Partitions of n into two parts, and into three: the nearest whole number to n * n / 12.
+    assert len(set(found)) == len(found) == 512 + round(1024**2 / 12)
+
+
+@pytest.mark.parametrize("count,middle,most", [(20_000, 5.5, 8), (300_000, 5.5, 12), (10_000, 6.5, 4)])
+def test_fitted_patterns_make_most_sequences(count, middle, most):
+    lengths = np.clip(np.random.default_rng(1).lognormal(middle, 1.0, count).astype(int), 1, None)
+    histogram = counted(lengths)
+    fitted = packing.fit_counts(packing.patterns(sorted(set(histogram) - {1024}), 1024), {a: n for a, n in histogram.items() if a < 1024})
+    assert len(fitted) <= len(histogram) and all(n > 0 for _, n in fitted)
+    assert len({p for p, _ in fitted}) == len(fitted)
+    sequences = packing.plan(histogram)[1]
+    rest = sequences - histogram[1024]
+    assert sum(int(n) for _, n in fitted) > 0.85 * rest
+    assert sequences <= -(-sum(a * n for a, n in histogram.items()) // 1024) + most
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fit_has_the_least_misfit(seed):
+    """No pattern's count can be changed to a smaller misfit."""
+    rng = random.Random(seed)
+    histogram = {a: rng.randrange(1, 500) for a in rng.sample(range(1, 40), 20)}
+    found = packing.patterns(sorted(histogram), 40)
+    fitted = dict(packing.fit_counts(found, histogram))
+    left = Counter(histogram)
+    for p, n in fitted.items():
+        for a in p:
+            left[a] -= n
+    for p in found:
+        slope = sum(left[a] for a in p)
+        assert slope <= 2 and (p not in fitted or abs(slope) < 1e-3)
