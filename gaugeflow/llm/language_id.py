@@ -99,7 +99,7 @@ def fit(rows: DataFrame, grams=GRAMS, per_language=SAMPLE_PER_LANGUAGE) -> Model
     if not n_docs:
         return None
     idf = inverse_frequencies(n_docs, frequencies)
-    sample = bounded_sample(rows, "id", "lang", per_language)
+    sample = bounded_sample(rows, ["id", "text"], "lang", per_language)
     found = gathered(sparse_counts(sample, grams, "id", "lang"))
     languages = sorted({r.label for r in found})
     if not languages:
@@ -136,7 +136,7 @@ def probabilities(model: Model, texts, grams=GRAMS):
 
 
 def predict(
-    docs: DataFrame, model: Model | None, text_col="text", added=("lang_pred", "score")
+    docs: DataFrame, model: Model | None, text_col="text", added=("lang_pred", "score"), grams=GRAMS
 ) -> DataFrame:
     """All columns of `docs` with the language and its score; `und` and 0.0 without a letter or a model.
 
@@ -155,7 +155,7 @@ def predict(
             known = np.array([own is not None and has_letter(t) for t in texts], dtype=bool)
             labels, scores = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
             if known.any():
-                p = probabilities(own, [t for t, k in zip(texts, known) if k])
+                p = probabilities(own, [t for t, k in zip(texts, known) if k], grams)
                 labels[known] = np.array(own.languages, dtype=object)[p.argmax(axis=1)]
                 scores[known] = p.max(axis=1)
             yield pa.RecordBatch.from_arrays(
@@ -180,16 +180,18 @@ def accepted(
     return scored.where(good).drop("_lang_pred", "_lang_score")
 
 
-def identify(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang") -> DataFrame:
+def identify(
+    docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", grams=GRAMS
+) -> DataFrame:
     """id, held_out, lang_pred and score of every row, by a model learned from the same rows.
 
     Null and letterless texts are `und` with score 0.0. A null id is not held out
-    (null) and teaches nothing. Repeated rows give repeated results and count as
-    often in the frequencies. An empty table gives an empty result.
+    (null) and teaches nothing. Repeated rows give repeated results, count as often in
+    the frequencies and are in the sample once. An empty table gives an empty result.
     """
-    model = fit(learnable(docs, id_col, text_col, lang_col))
+    model = fit(learnable(docs, id_col, text_col, lang_col), grams)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    scored = predict(own, model)
+    scored = predict(own, model, grams=grams)
     return scored.select(
         F.col("id").alias(id_col), held_out("id").alias("held_out"), "lang_pred", "score"
     )

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm.blocks import blocks
 from gaugeflow.llm.scale import mapped
+from gaugeflow.session import written
 
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
 TEXT_BYTES = 1 << 19
+# Rows of all labels together that a classifier may be fitted on, in expectation.
+SAMPLE_ROWS = 12_000
 
 
 class Grams:
@@ -92,22 +95,24 @@ def inverse_frequencies(n_docs, frequencies):
     return np.where(frequencies >= min(2, max(1, n_docs)), idf, 0.0)
 
 
-def bounded_sample(rows: DataFrame, id_col, label_col, per_label, max_labels=1000) -> DataFrame:
-    """About `per_label` rows of each label, chosen by a hash of the id, or all of a rare label.
+def bounded_sample(rows: DataFrame, own, label_col, per_label, most=SAMPLE_ROWS) -> DataFrame:
+    """About `per_label` different rows of each label, or all of a rare one; `most` rows in all.
 
-    The hash cuts at per_label / (rows of the label), so the expected size is the
-    bound and a re-run chooses the same rows. Labels past the `max_labels` most
-    frequent ones are not learned.
+    Rows are different if the columns `own` are; of equal ones with one label, one is in
+    the sample. A hash of these columns is cut at the quota over the label's different
+    rows (estimated within a few hundredths), so the expected size is the bound and a
+    re-run draws the same rows. Every label counts: if there are so many that the quotas
+    add up to more than `most`, the quota is halved until they do not.
     """
-    counted = rows.groupBy(label_col).agg(F.count("*").alias("_rows"))
-    counts = counted.orderBy(F.desc("_rows"), label_col).limit(max_labels).collect()
-    if not counts:
-        return rows.limit(0)
-    share = F.create_map(
-        *[F.lit(x) for row in counts for x in (row[0], min(1.0, per_label / row[1]))]
-    )
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    return rows.where(draw < F.element_at(share, F.col(label_col)))
+    drawn = rows.withColumn("_own", F.xxhash64(*own))
+    counted = drawn.groupBy(label_col).agg(F.approx_count_distinct("_own", 0.02).alias("_rows"))
+    counted = written(counted, "label-counts")
+    quotas = [per_label / 2**k for k in range(40)]
+    sums = counted.agg(*[F.sum(F.least(F.col("_rows"), F.lit(q))) for q in quotas]).first()
+    quota = next((q for q, n in zip(quotas, sums) if (n or 0) <= most), quotas[-1])
+    draw = F.pmod(F.xxhash64("_own", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    chosen = drawn.join(counted, label_col).where(draw * F.col("_rows") < quota)
+    return chosen.dropDuplicates(["_own", label_col]).select(*rows.columns)
 
 
 def sparse_counts(

@@ -35,6 +35,7 @@ SAMPLE_PER_CLASS = 1_000
 DIMENSIONS = 48
 NEIGHBOURS = 15
 SHARPNESS = 4.0
+STEP = 1e-5
 THRESHOLD = 0.3
 BLOCK_ROWS = 256
 # Weight of the repetition terms against a row of n-grams, which has length one.
@@ -87,8 +88,10 @@ def fit(docs: DataFrame, labels: DataFrame, grams=GRAMS, per_class=SAMPLE_PER_CL
     """The space from docs (id, text) and labels (id, label of 0 or 1); None without labelled texts."""
     known = labels.where("id IS NOT NULL AND label IN (0, 1)").where(~held_out("id"))
     known = known.groupBy("id").agg(F.min("label").alias("label"))
-    sample = bounded_sample(known, "id", "label", per_class)
+    # Both tables are bounded by the sample: at most its ids, and one text of each.
+    sample = bounded_sample(known, ["id"], "label", per_class)
     texts = docs.where("id IS NOT NULL AND text IS NOT NULL").join(F.broadcast(sample), "id")
+    texts = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     found = gathered(sparse_counts(texts, grams, "id", "label", extra=repetition))
     if not found:
         return None
@@ -107,14 +110,20 @@ def fit(docs: DataFrame, labels: DataFrame, grams=GRAMS, per_class=SAMPLE_PER_CL
 def vote(space: Space, counts, repeats, k=NEIGHBOURS):
     """Share of label 1 among the k most similar labelled texts, weighted by similarity.
 
-    A text without any known feature gets the prior. Equally similar neighbours are
-    all as good: the block product decides, the same way in every run.
+    A text without any known feature gets the prior. Similarities count in steps of
+    STEP, which are wider than what rounding in a block product changes; of equally
+    similar neighbours the first in the sample's order are taken.
     """
     vectors = unit(weighted(counts, space.idf, repeats) @ space.axes)
-    similar = vectors @ space.vectors.T
-    k = min(k, similar.shape[1])
-    near = np.argpartition(-similar, k - 1, axis=1)[:, :k]
-    weight = np.maximum(np.take_along_axis(similar, near, axis=1), 0.0) ** SHARPNESS
+    steps = np.rint(vectors @ space.vectors.T / STEP).astype(np.int64)
+    size = steps.shape[1]
+    k = min(k, size)
+    # One number for both: the steps, then the place from the end.
+    ranked = steps * size + np.arange(size - 1, -1, -1)
+    near = np.argpartition(-ranked, k - 1, axis=1)[:, :k]
+    near.sort(axis=1)
+    similar = np.take_along_axis(steps, near, axis=1) * STEP
+    weight = np.maximum(similar, 0.0) ** SHARPNESS
     total = weight.sum(axis=1)
     share = (weight * space.labels[near]).sum(axis=1) / np.where(total > 0, total, 1.0)
     return np.where(total > 0, np.clip(share, 0.0, 1.0), space.prior)
@@ -134,8 +143,8 @@ def score(
     `labels` has the same id column and `label_col`. Null and empty texts have no
     letters to compare and get the score that blank text gets; without any
     learnable label every score is 0.0. A null id is not held out (null) and
-    teaches nothing; of several labels for one id the smallest counts. Other
-    columns are never inputs.
+    teaches nothing; of several labels for one id the smallest counts, of several
+    texts for one id the one of least hash teaches. Other columns are never inputs.
     """
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
