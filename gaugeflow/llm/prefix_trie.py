@@ -26,7 +26,7 @@ from gaugeflow.session import written
 
 # A subtree belongs to the top if its rows may be over this share of all, and over LEAST_ROWS.
 TOP_SHARE = 1000
-LEAST_ROWS = 10_000
+LEAST_ROWS = 256
 BAND = 1 << 16
 DIGEST_BYTES = 1 << 16
 KEY = ["depth", "k1", "k2"]
