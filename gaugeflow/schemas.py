@@ -62,3 +62,24 @@ EVENTS = _struct(
     value=T.DoubleType(),
     props=T.StringType(),
 )
+
+# What `traffic.Landing` adds to the readings that it lands.
+LANDING_MARKS = _struct(
+    level=T.IntegerType(),
+    others=T.ArrayType(T.IntegerType()),
+    late=T.BooleanType(),
+    landed=T.LongType(),
+)
+
+# One file of a keyed store that a commit adds or removes.
+FILE_ACTION = _struct(
+    action=T.StringType(),
+    path=T.StringType(),
+    part=T.StringType(),
+    seq=T.LongType(),
+    version=T.LongType(),
+    run=T.StringType(),
+    batch_id=T.LongType(),
+    n=T.LongType(),
+    buckets=T.ArrayType(T.IntegerType()),
+)

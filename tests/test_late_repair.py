@@ -1,0 +1,229 @@
+import os
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeflow.operators.joins import interval_join
+from gaugeflow.schemas import READING, WINDOW_DOCUMENT
+from gaugeflow.sinks.keyed_store import KeyedStore
+from gaugeflow.sinks.writers import read_store
+from gaugeflow.streaming import jobs, one_pass, repair, traffic
+
+BASE = datetime(2025, 1, 1)
+SCHEMA = "obs_key string, arrival_ts timestamp, x double, y double, id long"
+
+
+def readings(seed, count, seconds, keys="abc"):
+    rng = random.Random(seed)
+    out = []
+    for k in range(count):
+        values = rng.choice([(1.0 * k, None), (None, 2.0 * k), (3.0 * k, 5.0 * k), (None, None)])
+        key = rng.choice(keys) if rng.random() < 0.97 else None
+        moment = None if rng.random() < 0.01 else BASE + timedelta(milliseconds=rng.randrange(seconds * 1000))
+        out.append((key, moment, *values, k))
+    return out
+
+
+def land(spark, rows, folder, steps, schema=SCHEMA):
+    """Files in the given order of rows, one after the other."""
+    os.makedirs(folder, exist_ok=True)
+    size = -(-len(rows) // steps)
+    for step in range(steps):
+        part = f"{folder}/../part-{step}"
+        spark.createDataFrame(rows[step * size : (step + 1) * size], schema).coalesce(1).write.parquet(part)
+        (name,) = [f for f in os.listdir(part) if f.endswith(".parquet")]
+        os.rename(f"{part}/{name}", f"{folder}/{step:03d}.parquet")
+        os.utime(f"{folder}/{step:03d}.parquet", (1_700_000_000 + step,) * 2)
+
+
+def run(stream, checkpoint, sink):
+    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+
+
+def collected(stream, checkpoint):
+    out = []
+    run(stream, checkpoint, lambda df, batch_id: out.extend(df.collect()))
+    return out
+
+
+def pairs(rows, lower, upper):
+    left = [(k, t, x) for k, t, x, _, _ in rows if None not in (k, t, x)]
+    right = [(k, t, y) for k, t, _, y, _ in rows if None not in (k, t, y)]
+    return sorted(
+        (k, x, y) for k, t, x in left for j, u, y in right
+        if j == k and timedelta(seconds=lower) <= u - t <= timedelta(seconds=upper)
+    )
+
+
+def source(session, folder, schema=SCHEMA):
+    return session.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@pytest.mark.parametrize("lower,upper,seed", [(-5, 5, 0), (0, 2.5, 1), (-30, -1, 2)])
+def test_random_orders_equal_the_batch_join(spark, tmp_path, lower, upper, seed):
+    rows = readings(seed, 900, 300)
+    land(spark, rows, f"{tmp_path}/in", 3)
+    session = jobs.state_session(spark, partitions=2)
+    marked = one_pass.one_pass(source(session, f"{tmp_path}/in"), "x", "y", lower=lower, upper=upper, max_delay="1 hour")
+    found = collected(marked, f"{tmp_path}/ck")
+    assert {r.kind for r in found} == {"pair"}
+    assert sorted((r.obs_key, r.v1, r.v2) for r in found) == pairs(rows, lower, upper)
+    df = spark.createDataFrame(rows, SCHEMA)
+    one = df.where("x IS NOT NULL").select("obs_key", F.col("arrival_ts").alias("t1"), F.col("x").alias("v1"))
+    two = df.where("y IS NOT NULL").select("obs_key", F.col("arrival_ts").alias("t2"), F.col("y").alias("v2"))
+    batch = interval_join(one, two, ["obs_key"], lower=lower, upper=upper)
+    micros = batch.select("obs_key", F.unix_micros("t1"), "v1", F.unix_micros("t2"), "v2")
+    assert sorted((r.obs_key, r.t1, r.v1, r.t2, r.v2) for r in found) == sorted(tuple(r) for r in micros.collect())
+
+
+def test_plan_has_one_scan(spark, tmp_path, capfd):
+    land(spark, readings(0, 10, 10), f"{tmp_path}/in", 1)
+    session = jobs.state_session(spark, partitions=2)
+    # The last batch is then the one with data, whose plan is shown.
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    marked = one_pass.one_pass(source(session, f"{tmp_path}/in"), "x", "y")
+    query = marked.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    query.awaitTermination()
+    capfd.readouterr()
+    query.explain()
+    plan = capfd.readouterr().out
+    assert plan.count("FileScan parquet") == 1 and plan.count("!TransformWithState") == 1
+
+
+def test_late_rows_come_out_and_pairs_are_those_on_time(spark, tmp_path):
+    rows = readings(4, 1200, 1200)
+    land(spark, rows, f"{tmp_path}/in", 4)
+    session = jobs.state_session(spark, partitions=2)
+    marked = one_pass.one_pass(source(session, f"{tmp_path}/in"), "x", "y", max_delay="2 minutes")
+    found = collected(marked, f"{tmp_path}/ck")
+    late = Counter((r.obs_key, r.v1, r.v2) for r in found if r.kind == "late")
+    on_time, newest = [], None
+    for step in range(4):
+        part = rows[step * 300 : (step + 1) * 300]
+        behind = newest - timedelta(minutes=2) if newest else None
+        on_time += [r for r in part if r[1] and (behind is None or r[1] >= behind)]
+        newest = max([r[1] for r in part if r[1]] + ([newest] if newest else []))
+    # Spark keeps watermarks in whole milliseconds, as the rows are.
+    sides = [(k, v, s) for k, t, x, y, i in rows if k and t for s, v in enumerate((x, y)) if v is not None]
+    kept = Counter((k, v, s) for k, t, x, y, i in on_time if k for s, v in enumerate((x, y)) if v is not None)
+    expected = Counter((k, v, None) if s == 0 else (k, None, v) for k, v, s in (Counter(sides) - kept).elements())
+    late = Counter({(k, None if a != a else a, None if b != b else b): n for (k, a, b), n in late.items()})
+    assert len(late) > 300 and late == expected
+    assert sorted((r.obs_key, r.v1, r.v2) for r in found if r.kind == "pair") == pairs(on_time, -5, 5)
+
+
+@pytest.mark.parametrize("rows_per_part,seed", [(1, 0), (7, 1), (40, 2)])
+def test_levels_that_change_give_the_same_pairs(spark, tmp_path, rows_per_part, seed):
+    """Keys are cut more and less from batch to batch; hot ones are, and no pair is lost or doubled."""
+    rng = random.Random(seed)
+    rows = [r for step, count in enumerate((40, 400, 10, 250, 60))
+            for r in readings(10 * seed + step, count, 120, rng.choice(["aaab", "abbb", "aabbcd"]))]
+    sizes = [40, 400, 10, 250, 60]
+    os.makedirs(f"{tmp_path}/in")
+    at = 0
+    for step, size in enumerate(sizes):
+        spark.createDataFrame(rows[at : at + size], SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/p{step}")
+        (name,) = [f for f in os.listdir(f"{tmp_path}/p{step}") if f.endswith(".parquet")]
+        os.rename(f"{tmp_path}/p{step}/{name}", f"{tmp_path}/in/{step}.parquet")
+        os.utime(f"{tmp_path}/in/{step}.parquet", (1_700_000_000 + step,) * 2)
+        at += size
+    session = jobs.state_session(spark, partitions=2)
+    landing = traffic.Landing(f"{tmp_path}/root", delay_seconds=3600, rows_per_part=rows_per_part)
+    run(source(session, f"{tmp_path}/in"), f"{tmp_path}/ck1", landing)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    landed = traffic.landed_readings(session, f"{tmp_path}/root", schema)
+    levels = spark.read.parquet(f"{tmp_path}/root/readings/*").select("obs_key", "level", "others").distinct().collect()
+    assert len({r.level for r in levels}) > 1 and any(r.others for r in levels)
+    found = collected(one_pass.one_pass(landed, "x", "y", max_delay="1 hour"), f"{tmp_path}/ck2")
+    assert sorted((r.obs_key, r.v1, r.v2) for r in found if r.kind == "pair") == pairs(rows, -5, 5)
+    # A batch that is run again leaves what has landed.
+    before = sorted(os.listdir(f"{tmp_path}/root/readings/batch-000000001"))
+    landing(spark.createDataFrame(rows[40:440], SCHEMA), 1)
+    assert sorted(os.listdir(f"{tmp_path}/root/readings/batch-000000001")) == before
+    with pytest.raises(RuntimeError):
+        landing(spark.createDataFrame(rows[:5], SCHEMA), 9)
+
+
+def test_only_the_hot_minute_is_cut(spark):
+    """Cold keys are not copied; state of the summary and of the table is bounded."""
+    rows = [("hot", BASE + timedelta(milliseconds=k), 1.0, None, k) for k in range(3000)]
+    rows += [(f"cold{k}", BASE + timedelta(seconds=k), 1.0, 2.0, k) for k in range(500)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = traffic.summaries(df, ["obs_key"], "arrival_ts", kept=20).collect()
+    assert len(found) <= 20 and found[0].obs_key == "hot" and found[0].n > 2500
+    table = traffic.Traffic(5_000_000, 600_000_000, rows_per_part=500)
+    decided = table.decide([((r.obs_key,), r.n, r.first, r.last) for r in found])
+    assert decided == {("hot",): (3, [])}
+    sides = one_pass.sided(df.withColumns({
+        "level": F.when(F.col("obs_key") == "hot", 3).otherwise(0), "others": F.array().cast("array<int>"), "late": F.lit(False)
+    }), ["obs_key"], "arrival_ts", "x", "y")
+    copies = one_pass.dealt(sides, ["obs_key"], "arrival_ts")
+    counts = {r.obs_key: r for r in copies.groupBy("obs_key").agg(F.count("*").alias("n"), F.countDistinct("node").alias("nodes")).collect()}
+    assert counts["hot"].n == 3000 and counts["hot"].nodes == 8
+    assert all(r.n == 2 and r.nodes == 1 for k, r in counts.items() if k != "hot")
+    # Once everything is behind the watermark, the key is forgotten.
+    table.close(max(r.last for r in found))
+    assert ("hot",) in table.live
+    table.close(max(r.last for r in found) + 700_000_000)
+    assert table.live == {} and traffic.Traffic(1, 1).load(table.dump()).newest == table.newest
+
+
+def test_frequent_keys_are_never_missed():
+    rng = random.Random(0)
+    for _ in range(50):
+        counts, true = {}, Counter()
+        for _ in range(20):
+            for _ in range(200):
+                key = (rng.choice(["a", "b"]) if rng.random() < 0.3 else f"k{rng.randrange(500)}",)
+                true[key] += 1
+                counts[key] = (counts.get(key, (0,))[0] + 1, 0, 0)
+            counts = traffic.frequent(counts, 16)
+            assert len(counts) <= 16
+        assert all(k in counts for k, n in true.items() if n > 4000 / 17)
+        assert all(n[0] <= true[k] for k, n in counts.items())
+
+
+def wide(rows):
+    return [(k, t, t, x, y) for k, t, x, y, _ in rows]
+
+
+def documents(frame):
+    columns = ["window_start", "window_end", "avg_timestamp", "avg_temperature", "avg_precipitation", "record_count"]
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in frame.select(columns).collect())
+
+
+def test_shuffled_replay_ends_with_the_batch_result(spark, tmp_path):
+    """Delays far beyond what is allowed: the stream drops nothing for good."""
+    rows = wide(readings(9, 1500, 3600, "abcdefgh"))
+    land(spark, rows, f"{tmp_path}/in", 5, READING)
+    session = jobs.state_session(spark, partitions=2)
+    landing = traffic.Landing(f"{tmp_path}/root", delay_seconds=300, rows_per_part=20)
+    run(source(session, f"{tmp_path}/in", READING), f"{tmp_path}/ck1", landing)
+    landed = traffic.landed_readings(session, f"{tmp_path}/root", READING, files_per_batch=1)
+    empty = spark.createDataFrame([], landed.schema)
+    empty.write.parquet(f"{tmp_path}/beat")
+    beats = session.readStream.schema(landed.schema).parquet(f"{tmp_path}/beat")
+    marked = one_pass.one_pass(
+        landed.unionByName(beats), "temperature", "precipitation", max_delay="5 minutes", size_seconds=120
+    )
+    store = KeyedStore(spark, f"{tmp_path}/store", ["window_start"], WINDOW_DOCUMENT)
+    sink = repair.windows_and_late(store.sink("stream"), f"{tmp_path}/late", run="stream")
+    jobs.replay(marked, [sink], f"{tmp_path}/ck2", lambda: jobs.heartbeat(
+        session, f"{tmp_path}/beat", landed.schema, obs_key="z", arrival_ts="2999-01-01 00:00:00", temperature=0))
+    late = read_store(spark, f"{tmp_path}/late")
+    history = spark.read.parquet(f"{tmp_path}/root/readings/*")
+    batch = repair.repaired_windows(history, repair.touched_windows(
+        history.select("obs_key", F.unix_micros("arrival_ts").alias("t1"), F.lit(None).cast("long").alias("t2")).dropna(subset=["t1"])))
+    before = documents(store.read())
+    assert late.count() > 400 and before != documents(batch)
+    repair.repair(store, late, history, "repair-1")
+    assert documents(store.read()) == documents(batch)
+    repair.repair(store, late, history, "repair-1")
+    assert documents(store.read()) == documents(batch)
+    assert store.read().count() == store.read().select("window_start").distinct().count()
+    repair.repair(store, late.limit(0), history, "repair-2")
+    assert documents(store.read()) == documents(batch)
