@@ -262,6 +262,19 @@ ORACLES = {
     "tumbling_window_by_sums": _PAIR_WINDOWS,
     "stream_window_agg": _PAIR_WINDOWS,
     "stream_message_windows": _MESSAGE_WINDOWS,
+    "stream_late_repair": _MESSAGE_WINDOWS,
+    "stream_one_pass_pairs": _pairs(HOUR, 300) + f"SELECT obs_key, {_PAIR_COLUMNS} FROM j",
+    "keyed_store_upserts": _WINDOWS_BY_TYPE,
+    "wallclock_closed_windows": f"""
+        SELECT event_type, CAST(count(*) AS BIGINT) AS record_count, {_mean('value')} AS avg_value
+        FROM events GROUP BY 1""",
+    "window_quantiles": """
+        SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(value) AS n,
+               round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.95), 6) AS p95
+        FROM events WHERE value IS NOT NULL GROUP BY 1, 2
+        UNION ALL
+        SELECT 'all', 'all', count(value), round(quantile_cont(value, 0.5), 6), round(quantile_cont(value, 0.95), 6)
+        FROM events WHERE value IS NOT NULL""",
     "tumbling_window_by_key": _WINDOWS_BY_TYPE,
     "window_mean_timestamp": f"""
         SELECT {_bounds('ts')}, {_mean('value')} AS avg_v1, count(*) AS record_count,

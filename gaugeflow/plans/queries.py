@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions import messages, scoring
 from gaugeflow.functions.times import minute_key, minute_text, parse_time, second_text
-from gaugeflow.operators import extracts, forecast, joined_windows, parsing, reports, series
+from gaugeflow.operators import extracts, forecast, joined_windows, parsing, quantiles, reports, series
 from gaugeflow.operators.joins import paired_readings
 from gaugeflow.operators.windows import bounds_as_text, gaps, tumbling_agg, window_documents
 from gaugeflow.plans import batch
@@ -23,11 +23,12 @@ from gaugeflow.plans.inputs import (
     user_days,
     with_nulls,
 )
-from gaugeflow.schemas import EVENTS, TOPIC_RECORD, WINDOW_DOCUMENT
+from gaugeflow.schemas import EVENTS, READING, TOPIC_RECORD, WINDOW_DOCUMENT
 from gaugeflow.session import scratch_path
 from gaugeflow.sinks import writers
+from gaugeflow.sinks.keyed_store import KeyedStore
 from gaugeflow.sources import csv_files, tables, topics
-from gaugeflow.streaming import jobs, wallclock
+from gaugeflow.streaming import jobs, one_pass, repair, traffic, wallclock
 
 # The events carry values far above the default threshold of the score.
 SCORE_THRESHOLD = 50.0
@@ -236,6 +237,17 @@ def window_mean_timestamp(spark, sf_dir):
     return _as_report(windows.withColumn("mean_obs", millis("mean_obs")))
 
 
+@query
+def window_quantiles(spark, sf_dir):
+    """Median and 95th percentile per day and type, and of all rows as one group."""
+    shares = {"median": 0.5, "p95": 0.95}
+    use = events(spark, sf_dir)
+    daily = quantiles.window_quantiles(use, "ts", "value", shares, "1 day", ["event_type"])
+    shown = daily.select("event_type", F.date_format("window_start_ts", "yyyy-MM-dd").alias("day"), "n", *shares)
+    whole = quantiles.quantiles(use.withColumn("event_type", F.lit("all")), ["event_type"], "value", shares)
+    return rounded(shown.unionByName(whole.withColumn("day", F.lit("all"))), *shares)
+
+
 @query
 def gap_detection(spark, sf_dir):
     found = gaps(events(spark, sf_dir), "ts", 12 * 3600, keys=("user_id",))
@@ -291,8 +303,8 @@ def stream_window_agg(spark, sf_dir):
     return _as_report(writers.stored_documents(spark, store))
 
 
-def _land_in_time_order(records, folder, steps=3):
-    """Write records as files that a stream reads one after the other, oldest first."""
+def _in_time_order(records, steps=3):
+    """The records in parts, oldest first."""
     low, high = records.agg(F.min("timestamp"), F.max("timestamp")).first()
     for step in range(steps):
         part = records
@@ -300,7 +312,13 @@ def _land_in_time_order(records, folder, steps=3):
             part = part.where(F.col("timestamp") >= low + (high - low) * step / steps)
         if step < steps - 1:
             part = part.where(F.col("timestamp") < low + (high - low) * (step + 1) / steps)
-        part.coalesce(1).write.mode("append").parquet(folder)
+        yield part
+
+
+def _shuffled(records, steps=3):
+    """The records in parts without any order in time."""
+    for step in range(steps):
+        yield records.where(F.pmod(F.xxhash64("offset"), F.lit(steps)) == step)
 
 
 @query
@@ -308,22 +326,98 @@ def stream_message_windows(spark, sf_dir):
     work = scratch_path(spark, "stream-messages")
     landed, beat, store = f"{work}/landed", f"{work}/heartbeat", f"{work}/store"
     session = jobs.state_session(spark)
-    session.createDataFrame([], TOPIC_RECORD).write.parquet(beat)
-    _land_in_time_order(metric_messages(spark, sf_dir), landed)
-    streams = [topics.read_record_files(session, path, files_per_batch=1) for path in (landed, beat)]
+    for folder in (beat, landed):
+        session.createDataFrame([], TOPIC_RECORD).write.parquet(folder)
+    streams = [topics.read_record_files(session, path) for path in (landed, beat)]
     windows = jobs.message_windows(streams[0].unionByName(streams[1]))
+    sink = writers.window_store(store, "window_date")
+    # Each part lands in as many files as it has tasks, and is read before the next one lands.
+    for part in _in_time_order(metric_messages(spark, sf_dir)):
+        part.write.mode("append").parquet(landed)
+        jobs.replay(windows, [sink], f"{work}/checkpoint")
 
     def beat_once():
         body = '{"time":"2999-01-01T00:00","temperature_2m":0,"precipitation":0}'
         jobs.heartbeat(session, beat, TOPIC_RECORD, value=body, timestamp="2999-01-01 00:00:00")
 
-    sink = writers.window_store(store, "window_date")
     jobs.replay(windows, [sink], f"{work}/checkpoint", beat_once)
-    stored = writers.stored_documents(spark, store, WINDOW_DOCUMENT).drop("processed_at")
-    shown = stored.drop("window_start_ts", "window_date")
+    return _documents_report(writers.stored_documents(spark, store, WINDOW_DOCUMENT))
+
+
+def _documents_report(documents):
+    shown = documents.drop("processed_at", "window_start_ts", "window_date")
     return rounded_means(shown, "avg_temperature", "avg_precipitation")
 
 
+@query
+def stream_one_pass_pairs(spark, sf_dir):
+    """Both metrics in one stream, joined by one stateful operator."""
+    session = jobs.state_session(spark)
+    work = scratch_path(spark, "one-pass")
+    stream = _events_stream(session, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def metric(kind):
+        return F.when(F.col("event_type") == kind, F.col("value"))
+
+    readings = stream.select(
+        hour_key("ts").alias("obs_key"), F.col("ts").alias("arrival_ts"), metric("click").alias("x"), metric("view").alias("y")
+    )
+    marked = one_pass.one_pass(readings, "x", "y", lower=-300, upper=300)
+    jobs.start(marked, [writers.window_store(f"{work}/pairs")], f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
+    return _pairs_in_millis(one_pass.pairs_of(writers.read_store(spark, f"{work}/pairs")))
+
+
+@query
+def stream_late_repair(spark, sf_dir):
+    """Messages far out of order: what comes behind the watermark is kept, and its windows repaired."""
+    session = jobs.state_session(spark)
+    work = scratch_path(spark, "late-repair")
+    topic, landed, beat = f"{work}/topic", f"{work}/landed", f"{work}/heartbeat"
+    session.createDataFrame([], TOPIC_RECORD).write.parquet(topic)
+    readings, _ = parsing.parse_messages(topics.read_record_files(session, topic))
+    readings = readings.select(*READING.names)
+    landing = traffic.Landing(landed, rows_per_part=1_000)
+    for part in _shuffled(metric_messages(spark, sf_dir)):
+        part.write.mode("append").parquet(topic)
+        jobs.start(readings, [landing], f"{work}/topic-checkpoint", {"availableNow": True}).awaitTermination()
+    stream = traffic.landed_readings(session, landed, READING)
+    session.createDataFrame([], stream.schema).write.parquet(beat)
+    beats = topics.read_record_files(session, beat, stream.schema)
+    marked = one_pass.one_pass(stream.unionByName(beats), "temperature", "precipitation", size_seconds=120)
+    store = KeyedStore(spark, f"{work}/store", ["window_start"], WINDOW_DOCUMENT)
+    sink = repair.windows_and_late(store.sink(), f"{work}/late")
+    jobs.replay(
+        marked, [sink], f"{work}/checkpoint",
+        lambda: jobs.heartbeat(
+            session, beat, stream.schema, obs_key="end", arrival_ts="2999-01-01 00:00:00", temperature=0, precipitation=0
+        ),
+    )
+    late = writers.read_store(spark, f"{work}/late", f"{repair.LATE_ROW}, run STRING, batch_id LONG")
+    history = traffic.landed_readings(spark, landed, READING, streaming=False)
+    repair.repair(store, late, history, "repair")
+    return _documents_report(store.read())
+
+
+@query
+def keyed_store_upserts(spark, sf_dir):
+    """Windows written by two runs, one of them twice, with a compaction in between."""
+    def windows(rows):
+        keyed = rows.withColumn("obs_key", minute_text("ts"))
+        return window_documents(tumbling_agg(keyed, "ts", {"avg_v1": "value"}, keys=("event_type",), latest="obs_key"))
+
+    use = events(spark, sf_dir)
+    early, whole = windows(use.where(F.col("event_id") % 3 != 0)), windows(use)
+    store = KeyedStore(spark, scratch_path(spark, "keyed-store"), ["event_type", "window_start"], whole.schema)
+    store.upsert(early, 0, "first")
+    store.upsert(whole.where("event_type <> 'click'"), 0, "second")
+    store.compact()
+    # A batch that is run again does not get ahead of what came after it.
+    store.upsert(early, 0, "first")
+    store.upsert(whole.where("event_type = 'click'"), 1, "second")
+    shown = store.read().drop("processed_at", "window_start_ts", "window_date")
+    return rounded_means(shown, "avg_v1")
+
+
 @query
 def wallclock_window_agg(spark, sf_dir):
     """The windows depend on the clock; their totals per key do not."""
@@ -345,6 +439,26 @@ def wallclock_window_agg(spark, sf_dir):
     return rounded_means(totals, "avg_value")
 
 
+@query
+def wallclock_closed_windows(spark, sf_dir):
+    """Windows that the clock closes, each stored once; their totals per key do not depend on it."""
+    session = jobs.state_session(spark)
+    work = scratch_path(spark, "closed")
+    closed = wallclock.closed_windows(_events_stream(session, sf_dir), "event_type", "value", "ts", size_seconds=1, salts=2)
+
+    query = jobs.start(
+        closed, [writers.window_store(f"{work}/store")], f"{work}/checkpoint", {"processingTime": "1 second"}, "update"
+    )
+    wallclock.until_closed(query)
+    parts = writers.read_store(spark, f"{work}/store", f"{wallclock.CLOSED_SCHEMA}, run STRING, batch_id LONG")
+    windows = wallclock.merge_closed(parts)
+    rows = F.sum("record_count")
+    totals = windows.groupBy(F.col("series_key").alias("event_type")).agg(
+        rows.alias("record_count"), (F.sum(F.col("avg_metric") * F.col("record_count")) / rows).alias("avg_value")
+    )
+    return rounded_means(totals, "avg_value")
+
+
 # ---------------------------------------------------------- queries over tables
 
 

@@ -1,5 +1,7 @@
 """Windows on the wall clock of the job instead of an arrival column."""
 
+import time
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,6 +111,24 @@ def closed_windows(
     )
 
 
+def until_closed(query, poll=0.5):
+    """Waits until a query of `closed_windows` over bounded input has closed every window, then stops it.
+
+    A query with timers always has another batch to run, so it does not end by itself. It
+    is done after a trigger without input that left no state.
+    """
+    try:
+        while query.isActive:
+            last = query.lastProgress
+            if last and not last["numInputRows"] and not sum(s["numRowsTotal"] for s in last["stateOperators"]):
+                break
+            time.sleep(poll)
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+
+
 def closed_pair_windows(pairs: DataFrame, size_seconds=120, salts=8) -> DataFrame:
     """Closed windows of joined pairs `(keys, t1, v1, t2, v2)`, all pairs as one series.
 
