@@ -8,7 +8,10 @@ weights over the sum of the larger ones. An item is found where it reaches `THRE
 
 1. Only windows that start with a shingle of the item, or end the document, are looked at.
    Nothing is lost: moving a window on to its next such shingle drops none of the shared
-   ones, and all windows of an item have the same size.
+   ones, and all windows of an item have the same size. An item of fewer than five words
+   is one shingle, so its windows are runs of as many words that are equal to it; the
+   first one in a document is enough. A bitmap of the items' shingles sorts out most of a
+   document's before any of them becomes a row.
 2. Those windows and the items get 64-bit fingerprints (for each bit the majority of the
    shingle hashes). Fingerprints are cut into eight blocks; any two within 23 bits of each
    other differ by two bits or fewer in some block, so items are indexed under every block
@@ -31,6 +34,8 @@ from gaugeflow.session import written
 
 SHINGLE = 5
 THRESHOLD = 0.8
+# Bytes of the bitmap that sorts out a document's shingles.
+PLACES = 1 << 20
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 LAST_ID = (1 << 63) - 1
@@ -113,23 +118,56 @@ def document_rows(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFram
     )
 
 
+def shingle_hashes(words, n):
+    """Hashes of every run of n words; none if there are fewer."""
+    every = F.transform(
+        F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.xxhash64(F.slice(words, i, n))
+    )
+    return F.when(F.size(words) >= n, every)
+
+
+def known_places(postings: DataFrame):
+    """A test whether a hash may be among `postings`: one byte for each of PLACES remainders."""
+    there = postings.select(F.pmod("gram", F.lit(PLACES)).cast("int").alias("place")).distinct().collect()
+    bitmap = bytearray(PLACES)
+    for row in there:
+        bitmap[row.place] = 1
+    bitmap, one = F.lit(bytes(bitmap)), F.lit(b"\x01")
+    return lambda h: F.substring(bitmap, F.pmod(h, F.lit(PLACES)).cast("int") + 1, F.lit(1)) == one
+
+
 def candidate_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
     """(owner, row, start, size, words) of windows that share a first or a last-window shingle."""
     postings = items.select(
         F.explode(F.array_distinct(grams_of(F.col("words"), F.xxhash64))).alias("gram"), "size"
     )
     postings = written(postings.groupBy("gram").agg(F.collect_set("size").alias("sizes")), "grams")
+    # One number for each size of short items, and at most PLACES for the rest.
+    short = sorted(r.size for r in items.where(F.col("size") < SHINGLE).select("size").distinct().collect())
+    known = known_places(postings)
     postings = counted_broadcast(postings, 4 * F.size("sizes"))
     worded = rows.select("owner", "row", words_of(F.col("text")).alias("words"))
-    placed = worded.select(
-        "owner",
-        "row",
-        F.size("words").alias("n"),
-        F.posexplode(grams_of(F.col("words"), F.xxhash64)).alias("at", "gram"),
-    )
+
+    def places(n):
+        """Place, length and hash of the runs of n words; what no item has goes at once."""
+        hashes = F.coalesce(shingle_hashes(F.col("words"), n), F.array().cast("array<bigint>"))
+        every = F.transform(
+            hashes, lambda h, i: F.struct(i.alias("at"), F.lit(n).alias("length"), h.alias("gram"))
+        )
+        return F.filter(every, lambda x: known(x.gram))
+
+    runs = F.concat(*map(places, [*short, SHINGLE]))
+    placed = worded.select("owner", "row", F.size("words").alias("n"), F.explode(runs).alias("p"))
+    placed = placed.select("owner", "row", "n", "p.*")
     hits = placed.join(postings, "gram").select(
-        "owner", "row", "at", "n", F.explode("sizes").alias("size")
+        "owner", "row", "at", "n", "length", "gram", F.explode("sizes").alias("size")
     )
+    hits = hits.where(F.col("length") == F.least("size", F.lit(SHINGLE)))
+    if short:
+        # Equal runs are equally similar, so only the first of each counts.
+        first = hits.where(F.col("size") < SHINGLE).groupBy("owner", "row", "n", "length", "gram", "size")
+        first = first.agg(F.min("at").alias("at")).select(*hits.columns)
+        hits = hits.where(F.col("size") >= SHINGLE).unionByName(first)
     start = F.greatest(F.lit(0), F.least(F.col("at"), F.col("n") - F.col("size")))
     # A text has no more windows than shingles, for each size among the items.
     starts = hits.groupBy("owner", "row").agg(
@@ -220,9 +258,9 @@ def leaked_items(
 
     One row for each pair of a contaminated document and an item; equal items are one,
     under their smallest id. Of equally similar windows it is the first that starts with
-    a shingle of an item of that size, or the last window of the document. Null, empty and wordless texts and items match nothing;
-    texts of fewer than five words match only items with the same words. Null ids of
-    documents stay null; repeated rows are reported once.
+    a shingle of an item of that size, or the last window of the document. Null, empty and
+    wordless texts and items match nothing; items of fewer than five words match the same
+    words in a row, anywhere. Null ids of documents stay null; repeated rows are reported once.
     """
     found = contaminations(docs, benchmark, id_col, item_col=item_col, **columns)
     return found.select(

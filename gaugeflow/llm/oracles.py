@@ -120,7 +120,7 @@ WITH d AS (
 ), ig AS (
   SELECT item_id, size, gram, count(*) AS n
   FROM (SELECT item_id, size, array_to_string(list_slice(w, i, i + 4), ' ') AS gram
-        FROM items, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i))
+        FROM items, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i) WHERE size >= 5)
   GROUP BY ALL
 ), total AS (
   SELECT item_id, size, sum(n) AS n FROM ig GROUP BY ALL
@@ -138,6 +138,11 @@ WITH d AS (
 ), scored AS (
   SELECT rid, item_id, size, s, CAST(shared AS DOUBLE) / CAST(grams + total.n - shared AS DOUBLE) AS similarity
   FROM shared JOIN total USING (item_id, size)
+  UNION ALL
+  SELECT rid, item_id, size, s, 1.0 AS similarity
+  FROM (SELECT rid, i - 1 AS s, list_slice(w, i, i + n - 1) AS part
+        FROM d, unnest(range(1, 5)) AS v(n), unnest(range(1, len(w) - n + 2)) AS u(i))
+    JOIN items ON items.w = part
 )
 SELECT doc_id, item_id, max(similarity) AS similarity,
   CAST(arg_min(s, (-similarity, s)) AS BIGINT) AS start, CAST(size AS BIGINT) AS n_words

@@ -38,7 +38,7 @@ from gaugeflow.llm.blocks import (
     word_hashes,
     words,
 )
-from gaugeflow.llm.scale import mapped
+from gaugeflow.llm.scale import counted_broadcast, mapped
 from gaugeflow.session import written
 
 WINDOW = 13
@@ -48,17 +48,20 @@ REMEMBERED = 50_000
 SEND_BYTES = 1 << 20
 # What a task gathers before it sends; larger loads compress better.
 FLUSH_BYTES = 48 << 20
-# Sub-buckets are a fraction of a shuffle partition; a task looks at one at a time.
+# A task looks at one sub-bucket of about this many windows at a time, and at a few in turn.
+SUB_WINDOWS = 1 << 20
 SUBS_PER_PARTITION = 4
 CHUNK_WINDOWS = 1 << 19
-# A minimiser is hot from this many windows on, estimated from one in SAMPLE texts.
+# Windows are estimated from one in SAMPLE texts. A minimiser is hot from HOT_WINDOWS on, or
+# from one in MOST_HOT of all windows, so that there are never more than MOST_HOT of them.
 HOT_WINDOWS = 1 << 18
+MOST_HOT = 1 << 21
 SAMPLE = 64
 LAST_ID = (1 << 63) - 1
 _ZSTD = zstandard.ZstdCompressor(level=6)
 
 _SENT = "sub int, settled boolean, load binary"
-_RANGES = "owner bigint, row int, first int, windows int"
+_RANGES = "owner bigint, row bigint, first int, windows int"
 
 
 def super_kmers(hashes, before, n, m):
@@ -119,9 +122,8 @@ def _unpacked(load):
     """owner, row, first, windows, and the strings' bytes and offsets."""
     data = zstandard.ZstdDecompressor().decompress(load)
     count, strings = np.frombuffer(data, np.int64, 2).tolist()
-    owner = np.frombuffer(data, np.int64, count, 16)
-    at, out = 16 + 8 * count, [owner]
-    for size in (count, count, count, strings):
+    at, out = 16 + 16 * count, [np.frombuffer(data, np.int64, count, 16 + 8 * count * k) for k in (0, 1)]
+    for size in (count, count, strings):
         out.append(np.frombuffer(data, np.int32, size, at))
         at += 4 * size
     offsets = np.r_[0, np.cumsum(out.pop(), dtype=np.int64)]
@@ -148,7 +150,7 @@ def _settled(sent, keys, owner):
 
 def _part(owner, row, first, windows, strings=()):
     sizes = np.array([len(x) + 1 for x in strings], dtype=np.int32)
-    columns = [owner.astype(np.int64), *(x.astype(np.int32) for x in (row, first, windows)), sizes]
+    columns = [*(x.astype(np.int64) for x in (owner, row)), *(x.astype(np.int32) for x in (first, windows)), sizes]
     return *columns, b"".join([x for string in strings for x in (string, b" ")])
 
 
@@ -177,15 +179,16 @@ def minimiser_counts(batches, n, m):
         )
 
 
-def hot_minimisers(rows: DataFrame, n, m):
-    """Sorted minimisers of about HOT_WINDOWS windows or more; at most one for each so many windows."""
-    some = rows.where(F.pmod(F.xxhash64("owner", "row"), F.lit(SAMPLE)) == 0)
+def measured(rows: DataFrame, n, m):
+    """The number of windows, and the sorted minimisers that are hot, both estimated from the sample."""
+    some = rows.where(F.pmod(F.xxhash64("owner", "row", "text"), F.lit(SAMPLE)) == 0)
     counts = mapped(
         some.select("text"), lambda batches: minimiser_counts(batches, n, m), "minimiser bigint, windows bigint"
     )
-    hot = counts.groupBy("minimiser").agg(F.sum("windows").alias("windows"))
-    hot = hot.where(F.col("windows") * SAMPLE >= HOT_WINDOWS).select("minimiser").collect()
-    return np.sort(np.array([r.minimiser for r in hot], dtype=np.int64).view(np.uint64))
+    counts = written(counts.groupBy("minimiser").agg((F.sum("windows") * SAMPLE).alias("windows")), "minimisers")
+    total = counts.agg(F.sum("windows")).first()[0] or 0
+    hot = counts.where(F.col("windows") >= max(HOT_WINDOWS, total // MOST_HOT)).select("minimiser").toArrow()
+    return total, np.sort(hot["minimiser"].to_numpy().astype(np.int64).view(np.uint64))
 
 
 def send(batches, n, m, subs, hot=()):
@@ -240,7 +243,7 @@ def send(batches, n, m, subs, hot=()):
 
 def _ranges(owner, row, first, windows):
     found = runs(owner, row, first, windows)
-    kinds = (np.int64, np.int32, np.int32, np.int32)
+    kinds = (np.int64, np.int64, np.int32, np.int32)
     return pa.RecordBatch.from_arrays(
         [pa.array(x.astype(k)) for x, k in zip(found, kinds)],
         names=["owner", "row", "first", "windows"],
@@ -301,10 +304,11 @@ def keep_words(text, found, n):
 
 def repeated_ranges(rows: DataFrame, n=WINDOW, m=MINIMISER) -> DataFrame:
     """(owner, row, found) of rows (owner, row, text): the runs of repeating windows, as an array."""
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    subs = SUBS_PER_PARTITION * partitions
-    hot = hot_minimisers(rows, n, m)
-    sent = mapped(rows, lambda batches: send(batches, n, m, subs, hot), _SENT)
+    context = rows.sparkSession.sparkContext
+    total, found = measured(rows, n, m)
+    partitions = max(context.defaultParallelism, -(-total // (SUB_WINDOWS * SUBS_PER_PARTITION)))
+    subs, hot = SUBS_PER_PARTITION * partitions, context.broadcast(found)
+    sent = mapped(rows, lambda batches: send(batches, n, m, subs, hot.value), _SENT)
     dealt = sent.repartition(partitions, "sub").sortWithinPartitions("sub")
     found = mapped(dealt, lambda batches: compare(batches, n), _RANGES)
     # A text's ranges are fewer than its words.
@@ -323,13 +327,13 @@ def drop_repeats(docs: DataFrame, id_col="doc_id", text_col="text", n=WINDOW, m=
     """
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("owner"),
-        # Tells rows with the same id apart.
-        F.hash(text).alias("row"),
-        text.alias("text"),
-    )
+    owner = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("owner")
+    rows = docs.select(F.col(id_col).alias("id"), owner, text.alias("text"))
+    # Rows of one id are told apart by a hash of the text; all others need none.
+    several = rows.groupBy("owner").agg(F.count("*").alias("n")).where("n > 1")
+    several = counted_broadcast(written(several.select("owner", F.lit(True).alias("_several")), "owners"))
+    row = F.when(F.col("_several"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    rows = rows.join(several, "owner", "left").withColumn("row", row).drop("_several")
     # As large as the repeats in the corpus, so it is joined by shuffle at any size.
     ranges = written(repeated_ranges(rows.select("owner", "row", "text"), n, m), "ranges")
 

@@ -95,13 +95,14 @@ def leaks(docs, items, least=0.8):
         w = item_words(t)
         for words, i in named.items():
             size, own = len(words), bag(list(words))
-            best = (0.0, 0)
-            if not set(bag(w)) & set(own):
+            best, run = (0.0, 0), min(5, size)
+            # A window without one of the item's shingles has similarity 0.
+            if not any(tuple(w[j : j + run]) in own for j in range(len(w) - run + 1)):
                 continue
             for s in range(max(1, len(w) - size + 1)):
                 other = bag(w[s : s + size] if len(w) > size else w)
                 value = sum((own & other).values()) / sum((own | other).values())
-                named_here = s >= len(w) - size or tuple(w[s : s + 5]) in of_size[size]
+                named_here = s >= len(w) - size or tuple(w[s : s + min(5, size)]) in of_size[size]
                 best = max(best, (value, -s if named_here else -len(w)))
             if best[0] >= least:
                 out[d, i] = (round(best[0], 9), -best[1])

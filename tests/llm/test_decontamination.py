@@ -99,3 +99,22 @@ def test_no_python_in_the_plan(spark, small, docs):
     items = spark.read.parquet(f"{small}/benchmark.parquet")
     plan = decontamination.leaked_items(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_short_items_are_found_inside_documents(spark):
+    """The first place of the same words in a row, in documents of any length."""
+    items = spark.createDataFrame(
+        [(1, "alpha beta gamma"), (2, "beta"), (3, "one two three four"), (4, "x y"), (5, "a b c d e f")],
+        "item_id long, text string",
+    )
+    rows = [
+        (10, "say alpha beta gamma to the other nine words here"), (11, "Alpha, beta; GAMMA!"), (12, "alpha beta"),
+        (13, "beta " * 3000 + "x y x y"), (14, "one two three four"), (15, "zero one two three four five"),
+        (16, "alpha gamma beta"), (17, "y x"), (18, "a b c d e f x y"), (None, "x y"), (19, "x"), (20, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(docs, items)
+    assert got == brute.leaks(rows, items_of(items))
+    assert got[10, 1] == (1.0, 1) and got[13, 4] == (1.0, 3000) and got[13, 2] == (1.0, 0) and (12, 1) not in got
+    kept = {r.doc_id for r in decontamination.without_leaks(docs, items).collect()}
+    assert kept == {17, 19, 20}

@@ -117,5 +117,15 @@ def test_hot_minimisers_change_nothing(spark, monkeypatch):
     rows = around_a_phrase() + [(1000 + k, " ".join(f"p{j}" for j in range(30 + k % 3))) for k in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     keyed = df.select(F.col("doc_id").alias("owner"), F.hash("text").alias("row"), "text")
-    assert len(substring_dedup.hot_minimisers(keyed, 13, 4)) > 1
+    assert len(substring_dedup.measured(keyed, 13, 4)[1]) > 1
     assert as_sorted(result(df).collect()) == as_sorted(expected(rows))
+
+
+def test_rows_whose_short_hashes_are_equal_stay_apart(spark):
+    """Two texts without an id and with one 32-bit hash: only the one that repeats loses words."""
+    tail = " ".join(f"t{k}" for k in range(14))
+    texts = spark.range(400_000).selectExpr(f"concat('u', id, ' v', id, ' {tail} x', id) AS text")
+    texts = texts.withColumn("h", F.hash("text"))
+    pair = texts.groupBy("h").agg(F.collect_list("text").alias("t")).where("size(t) > 1").first().t
+    df = spark.createDataFrame([(1, pair[0]), (None, pair[0]), (None, pair[1])], "doc_id long, text string")
+    assert as_sorted(result(df).collect()) == as_sorted(expected(pairs(df)))
