@@ -1,12 +1,15 @@
 """WARC archives: writing pages with revisits, and a reader that salvages damaged files.
 
-Writing is Spark's text writer with the record end as line separator, so commits,
-retries and remote stores work as for any table. Reading checks every record: header,
-block length, record end and the digests it declares. After a failed check it looks for the
-next gzip member or version line whose record passes, recovers what follows, and logs
-the bytes between as quarantined.
+Writing is Spark's text writer, so commits, retries and remote stores work as for any
+table. Its rows are bundles of records of about BUNDLE_BYTES, and a file has at most
+BUNDLES_PER_FILE of them, so files are bounded by bytes, not by records. With gzip every
+record is a member of its own. Reading checks every record: header, block length, record
+end and the digests it declares. After a failed check it looks for the next gzip member or
+version line whose record passes, recovers what follows, and logs the bytes between as
+quarantined; of a damaged member, what was unpacked before the damage is looked at too.
 """
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -24,12 +27,15 @@ VERSION = "WARC/1.0\r\n"
 RECORD_END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 LEAST_SHARED_BYTES = 100
-RECORDS_PER_FILE = 10_000
+BUNDLE_BYTES, BUNDLES_PER_FILE = 16 << 20, 12
 DATE = "1970-01-01T00:00:00Z"
 ID = "urn:x-page:"
 
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
+# A member ends with the length of its contents, whose last byte is nearly always zero.
+_EMPTY_MEMBER, _MEMBER_END = gzip.compress(b"", mtime=0), b"\0"
+_INFLATE_BYTES = 1 << 16
 _DIGESTS = {"sha256": hashlib.sha256, "sha1": hashlib.sha1, "md5": hashlib.md5}
 
 
@@ -88,12 +94,47 @@ def archive_records(
     return joined.withColumn("block", block).select(F.concat(head, "block").alias("record"))
 
 
+def bundles(records: DataFrame, compression=None) -> DataFrame:
+    """Rows of whole records of about BUNDLE_BYTES, without the end that the writer puts after them."""
+    end = RECORD_END.encode()
+
+    def one_member(record):
+        member = gzip.compress(record + end, compresslevel=6, mtime=0)
+        return member if member.endswith(_MEMBER_END) else member + _EMPTY_MEMBER
+
+    def joined(held):
+        if compression:
+            return b"".join(held)[: -len(_MEMBER_END)]
+        return end.join(held)
+
+    def bundle(batches):
+        held, size = [], 0
+        for batch in batches:
+            for record in batch.column(0):
+                data = record.as_buffer().to_pybytes()
+                held.append(one_member(data) if compression else data)
+                size += len(held[-1])
+                if size > BUNDLE_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array([joined(held)], pa.binary())], names=["data"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([joined(held)], pa.binary())], names=["data"])
+
+    return mapped(records.select(F.col("record").cast("binary")), bundle, "data binary")
+
+
 def write_archives(pages: DataFrame, path, compression=None, **columns):
-    """Archives of at most RECORDS_PER_FILE records in the folder `path`, plain or gzip."""
-    writer = archive_records(pages, **columns).write.option("lineSep", RECORD_END)
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    """Archives of about BUNDLE_BYTES * BUNDLES_PER_FILE bytes in the folder `path`, plain or gzip.
+
+    A longer record is a bundle of its own.
+    """
+    if compression not in (None, "gzip"):
+        raise ValueError(f"unknown compression {compression!r}")
+    rows = bundles(archive_records(pages, **columns), compression)
+    # The text writer puts the bytes down as they are, and the separator behind each row.
+    separator = _MEMBER_END.decode() if compression else RECORD_END
+    writer = rows.select(F.col("data").cast("string").alias("value")).write.option("lineSep", separator)
+    writer.option("maxRecordsPerFile", BUNDLES_PER_FILE).text(path)
 
 
 def digest_matches(declared, data):
@@ -153,34 +194,60 @@ def http_parts(block):
 
 
 def inflate(data, at):
-    """The gzip member at `at` as (end, bytes), or the reason why it cannot be read."""
-    stream = zlib.decompressobj(wbits=31)
-    try:
-        out = stream.decompress(memoryview(data)[at:])
-    except zlib.error:
-        return "bad member"
-    if not stream.eof:
-        return "cut member"
-    return len(data) - len(stream.unused_data), out
+    """The gzip member at `at` as (end, bytes, None), or (None, bytes before the fault, reason)."""
+    stream, view, parts = zlib.decompressobj(wbits=31), memoryview(data), []
+    step = _INFLATE_BYTES
+    while not stream.eof:
+        if at >= len(data):
+            return None, b"".join(parts), "cut member"
+        piece, before = view[at : at + step], stream.copy()
+        try:
+            parts.append(stream.decompress(piece))
+        except zlib.error:
+            if step == 1:
+                return None, b"".join(parts), "bad member"
+            # What comes out before the fault is found in smaller steps.
+            stream, step = before, step // 16
+            continue
+        at += len(piece)
+    return at - len(stream.unused_data), b"".join(parts), None
+
+
+class Marks:
+    """Where the next gzip member or version line may begin; each mark is searched for once."""
+
+    def __init__(self, data):
+        self.data, self.next = data, {_GZIP: -1, b"WARC/1.": -1}
+
+    def after(self, at, member=False):
+        """The nearest mark from `at` on; with `member`, that of a member if there is one."""
+        for mark, found in self.next.items():
+            if found is not None and found < at:
+                found = self.data.find(mark, at)
+                self.next[mark] = found if found >= 0 else None
+        if member and self.next[_GZIP] is not None:
+            return self.next[_GZIP]
+        return min((p for p in self.next.values() if p is not None), default=len(self.data))
 
 
 def salvage(data):
     """Records (offset, end, headers, block, None) and gaps (offset, end, None, None, reason).
 
     Offsets are those in the file; records of one gzip member share the member's.
-    Every byte belongs to a record, an intact member or a gap.
+    Every byte belongs to a record, an intact member or a gap; records that were unpacked
+    from a damaged member have its offset and no length, and lie in a gap.
     """
-    at, lost, reason = 0, None, None
+    at, lost, reason, marks = 0, None, None, Marks(data)
     while at < len(data):
-        found = []
+        found, rescued, problem = [], [], None
         if data.startswith(_GZIP, at):
-            member = inflate(data, at)
-            if isinstance(member, str):
-                problem = member
-            else:
-                end, inner = member
-                found = [(at, end, *r[2:]) for r in salvage(inner)]
+            end, inner, problem = inflate(data, at)
+            inside = [r for r in salvage(inner)]
+            if problem is None:
+                found = [(at, end, *r[2:]) for r in inside]
                 problem = None if found or not inner else "no record"
+            else:
+                rescued = [(at, at, *r[2:]) for r in inside if r[2] is not None]
         else:
             record = parse_record(data, at)
             problem = record if isinstance(record, str) else None
@@ -194,10 +261,11 @@ def salvage(data):
             yield from found
             at = end
             continue
+        yield from rescued
         if lost is None:
             lost, reason = at, problem
-        after = [p for p in (data.find(_GZIP, at + 1), data.find(b"WARC/1.", at + 1)) if p >= 0]
-        at = min(after, default=len(data))
+        # What stands uncompressed in a member that has been looked at is not looked at again.
+        at = marks.after(at + 1, member=bool(rescued))
     if lost is not None:
         yield lost, len(data), None, None, reason
 

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,10 +123,57 @@ def test_damaged_members():
     good, gaps = summary(b"".join([*members[:2], bytes(broken), *members[3:]]))
     start = len(members[0]) + len(members[1])
     assert good == list("0134") and gaps == [(start, start + len(broken), "bad member")]
+    # What was unpacked before the cut is still looked at.
     good, gaps = summary(b"".join(members)[:-6])
+    assert good == list("01234") and gaps == [(sum(map(len, members[:4])), sum(map(len, members)) - 6, "cut member")]
+    good, gaps = summary(b"".join(members)[: -len(members[4]) // 2])
     assert good == list("0123") and gaps[0][2] == "cut member"
 
 
+def test_records_before_the_damage_of_a_long_member():
+    texts = [hashlib.sha512(bytes([k])).hexdigest().encode() * 9 for k in range(50)]
+    for level in (0, 6):
+        member = bytearray(gzip.compress(b"".join(record(t, k) for k, t in enumerate(texts)), compresslevel=level))
+        middle = len(member) // 2
+        good, gaps = summary(bytes(member[:middle]) + b"\0\xff" * 9 + bytes(member[middle:]) + gzip.compress(RECORDS[0]))
+        assert len(good) >= 20 and good[-1] == "0" and len(set(good)) >= len(good) - 1
+        assert gaps == [(0, len(member) + 18, "bad member")]
+
+
+@pytest.mark.parametrize("compression", [None, "gzip"])
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch, compression):
+    """Large pages: files of few bundles; one flipped byte costs one record."""
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 40_000)
+    monkeypatch.setattr(warc, "BUNDLES_PER_FILE", 3)
+    rows = [(k, "u", hashlib.sha512(bytes([k % 256, k // 256])).hexdigest() * (60 + k % 50)) for k in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"), compression)
+    files = sorted((tmp_path / "w").glob("part-*"))
+    assert len(files) > (1 if compression else 3) and max(f.stat().st_size for f in files) < 3 * 40_000 + 60_000
+    out = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    assert {r.payload.decode() for r in out} == {h for _, _, h in rows} and all(r.reason is None for r in out)
+    data = bytearray(files[0].read_bytes())
+    whole = sum(h is not None for _, _, h, _, _ in warc.salvage(bytes(data)))
+    for at in range(500, len(data), len(data) // 7):
+        hurt = bytes(data[:at]) + bytes([data[at] ^ 0xFF]) + bytes(data[at + 1 :])
+        assert sum(h is not None for _, _, h, _, _ in warc.salvage(hurt)) >= whole - 1
+
+
+def test_a_record_of_many_megabytes(spark, tmp_path):
+    """The length at the end of its member does not end with a zero."""
+    df = spark.createDataFrame([(1, "u", "x" * (17 << 20)), (2, "u", "small")], "page_id long, url string, html string")
+    warc.write_archives(df.coalesce(1), str(tmp_path / "w"), "gzip")
+    out = warc.read_archives(spark, str(tmp_path / "w"), keep_payload=False).collect()
+    assert sorted((r.payload_bytes, r.reason) for r in out) == [(5, None), (17 << 20, None)]
+
+
+def test_marks_are_searched_for_once():
+    data = b"WARC/1.0\r\nContent-Length: 1\r\n" * 60_000 + b"\x1f\x8b\x08" * 20_000
+    before = time.perf_counter()
+    assert summary(data)[0] == []
+    assert time.perf_counter() - before < 10
+
+
 def test_every_byte_is_accounted_for():
     data = bytearray(b"".join([*RECORDS, *(gzip.compress(r) for r in RECORDS)]))
     for at in range(0, len(data), 37):
