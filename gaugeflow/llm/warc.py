@@ -154,19 +154,22 @@ def parse_record(data, at):
     version = _VERSION_LINE.match(data, at)
     if not version:
         return "no version line"
-    head_end = data.find(b"\r\n\r\n", version.end() - 2)
-    if head_end < 0:
-        return "cut header"
-    headers = {}
-    for line in data[version.end() : head_end].decode("utf-8", "replace").split("\r\n"):
-        key, colon, value = line.partition(":")
+    headers, at = {}, version.end()
+    while True:
+        line_end = data.find(b"\r\n", at)
+        if line_end < 0:
+            return "cut header"
+        if line_end == at:
+            break
+        # The first line that cannot belong to a header ends the search.
+        key, colon, value = data[at:line_end].decode("utf-8", "replace").partition(":")
         if not colon:
             return "bad header"
-        headers[key.strip().lower()] = value.strip()
+        headers[key.strip().lower()], at = value.strip(), line_end + 2
     size = headers.get("content-length", "")
     if not (size.isascii() and size.isdigit()):
         return "bad length"
-    first = head_end + 4
+    first = line_end + 2
     last = first + int(size)
     if last > len(data):
         return "cut block"
