@@ -49,8 +49,8 @@ SEND_BYTES = 1 << 20
 # What a task gathers before it sends; larger loads compress better.
 FLUSH_BYTES = 48 << 20
 # A task looks at one sub-bucket of about this many windows at a time, and at a few in turn.
-SUB_WINDOWS = 1 << 20
-SUBS_PER_PARTITION = 4
+SUB_WINDOWS = 1 << 19
+SUBS_PER_PARTITION = 8
 CHUNK_WINDOWS = 1 << 19
 # Windows are estimated from one in SAMPLE texts. A minimiser is hot from HOT_WINDOWS on, or
 # from one in MOST_HOT of all windows, so that there are never more than MOST_HOT of them.
