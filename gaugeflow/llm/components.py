@@ -6,17 +6,25 @@ from pyspark.sql import functions as F
 from gaugeflow.session import cut_lineage
 
 
+def _least(edges: DataFrame, node, other) -> DataFrame:
+    """(node, m): the least neighbour of every node, by partial minima.
+
+    It is written first: a join with it then shuffles both sides for itself, and adaptive
+    execution can split the rows of a hub among tasks, since this side has one row for it.
+    """
+    return cut_lineage(edges.groupBy(node).agg(F.min(other).alias("m")))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node hands its larger neighbours to the least node it knows, itself included."""
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct()
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").distinct()
+    # Nodes without a smaller neighbour know none less than themselves: no row, no change.
+    least = _least(edges, "b", "a").withColumnRenamed("b", "a")
+    return edges.join(least, "a", "left").select(F.coalesce("m", "a").alias("a"), "b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node hands its smaller neighbours and itself to the least of them."""
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+    least = _least(edges, "b", "a")
     joined = edges.join(least, "b")
     hooked = joined.where("a > m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return hooked.union(least.select(F.col("m").alias("a"), "b")).distinct()
