@@ -5,7 +5,8 @@ from collections import defaultdict
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,11 @@ DIALECT = {
 }
 
 
+def quotes_in(text):
+    """Number of quotes, counted in bytes, as the text may be in any one-byte encoding."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
+
+
 def describe_files(spark: SparkSession, path) -> DataFrame:
     """(file, encoding, header, multi_line) per file.
 
@@ -29,7 +35,7 @@ def describe_files(spark: SparkSession, path) -> DataFrame:
     line has an odd number of quotes, so that a value goes on in the next. Reads the files
     as raw lines, split and aggregated like any text scan; no file is loaded whole.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = quotes_in("value")
     first = F.col("_metadata.file_block_start") == 0
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -58,15 +64,20 @@ def header_names(header, encoding):
     return next(csv.reader([text.rstrip("\r")]), [])
 
 
-def read_csv(spark: SparkSession, path, schema, encoding=None) -> DataFrame:
+def read_csv(spark: SparkSession, path, schema, encoding=None, multi_line=None) -> DataFrame:
     """The columns of `schema` (DDL text or a type) by name; other columns are ignored.
 
     A file without one of the columns is an error. Files that agree in encoding, header
     and line ends are read together; if all do, by `path` itself, otherwise by their
-    names, which Spark lists on the driver as well. A file with line ends inside values
-    is read in one task. `encoding` overrides what the files look like.
+    names, which Spark lists on the driver as well. Line ends inside values are found by
+    counting quotes, split by split; only two-byte files are one task's work each.
+    `encoding` overrides what the files look like; with `multi_line` as well nothing is
+    looked at but the first line, which all files then share.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if encoding and multi_line is not None:
+        first = _lines(spark, path).where("split = 0").select("line").first()
+        return _read(spark, path, wanted, encoding, first.line, multi_line) if first else spark.createDataFrame([], wanted)
     described = describe_files(spark, path)
     if encoding:
         described = described.withColumn("encoding", F.lit(encoding))
@@ -92,14 +103,83 @@ def _read(spark, paths, wanted, encoding, header, multi_line):
         raise ValueError(f"no column {missing} among {names}")
     kinds = {f.name: f.dataType for f in wanted.fields}
     # Columns that are not wanted may repeat a name.
-    inside = [
+    inside = T.StructType([
         T.StructField(name, kinds[name])
         if name in kinds and names.index(name) == i
         else T.StructField(f"_{i}", T.StringType())
         for i, name in enumerate(names)
-    ]
-    reader = spark.read.schema(T.StructType(inside)).options(**DIALECT).option("encoding", encoding)
+    ])
+    chosen = [f.name for f in wanted.fields]
+    if multi_line and not encoding.upper().startswith("UTF-16"):
+        parsed = F.from_csv("record", inside.simpleString(), {k: str(v).lower() for k, v in DIALECT.items()} | {"header": "false"})
+        return whole_records(spark, paths, encoding).select(parsed.alias("r")).select(*[f"r.`{c}`" for c in chosen])
+    reader = spark.read.schema(inside).options(**DIALECT).option("encoding", encoding)
     # Only the multi-line reader finds line ends in two-byte text.
-    if multi_line or encoding.upper().startswith("UTF-16"):
+    if encoding.upper().startswith("UTF-16"):
         reader = reader.option("multiLine", True)
-    return reader.csv(paths).select(*[f.name for f in wanted.fields])
+    return reader.csv(paths).select(*chosen)
+
+
+def _lines(spark, paths):
+    """Raw lines (split at \\n only) with the file and the first byte of their split."""
+    return spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.col("value").cast("binary").alias("line"),
+    )
+
+
+def whole_records(spark, paths, encoding="UTF-8") -> DataFrame:
+    """(record): the text of every record but the headers; values may hold line ends.
+
+    A line end belongs to a value if an odd number of quotes stands before it. Each split
+    counts its quotes; the parities of a file's splits, added up in order, tell every split
+    whether it begins inside a value, so all splits of a file are read by tasks of their
+    own. Only the lines of records that go over several lines are brought together. Quotes
+    are taken to be written as `DIALECT` says: around values, and doubled inside them.
+    """
+    lines = _lines(spark, paths)
+    odd = lines.groupBy("file", "split").agg((F.sum(quotes_in(F.col("line").cast("string"))) % 2).alias("odd"))
+    # One row per split, as the driver lists them when it plans the scan.
+    opened, before = {}, {}
+    for row in odd.orderBy("file", "split").collect():
+        opened[row.file, row.split] = before.get(row.file, 0)
+        before[row.file] = (before.get(row.file, 0) + row.odd) % 2
+    codec = "utf-8-sig" if encoding.upper() == "UTF-8" else encoding
+
+    def pieces(batches):
+        """Whole records, and pieces of those that go over several lines, with their place."""
+        here, inside, number = None, 0, 0
+        for batch in batches:
+            out = []
+            for file, split, line in zip(*(batch.column(c).to_pylist() for c in ("file", "split", "line"))):
+                if (file, split) != here:
+                    here, number = (file, split), 0
+                    inside = opened[here]
+                    first = split == 0
+                number += 1
+                began, inside = inside, (inside + line.count(b'"')) % 2
+                head, first = first, first and bool(inside)
+                if not began and not inside:
+                    if not head:
+                        out.append((line.decode(codec).removesuffix("\r"), file, None, None, None))
+                else:
+                    # A header over several lines begins in the first split, before line 1.
+                    out.append((line.decode(codec), file, split, number, not began))
+            columns = list(zip(*out)) or [()] * 5
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["text", "file", "split", "number", "starts"]
+            )
+
+    made = lines.mapInArrow(pieces, "text STRING, file STRING, split LONG, number LONG, starts BOOLEAN")
+    whole = made.where("split IS NULL").select(F.col("text").alias("record"))
+    order = Window.partitionBy("file").orderBy("split", "number")
+    parts = made.where("split IS NOT NULL").withColumn("record_no", F.sum(F.col("starts").cast("long")).over(order))
+    joined = parts.groupBy("file", "record_no").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("split", "number", "text"))), lambda p: p.text), "\n").alias("record"),
+        F.min(F.struct("split", "number")).alias("at"),
+    )
+    # The header is the record that begins with the first line of a file.
+    rest = joined.where("at.split > 0 OR at.number > 1").select(F.regexp_replace("record", "\r$", "").alias("record"))
+    return whole.where("record <> ''").unionByName(rest)

@@ -1,3 +1,5 @@
+import csv
+import random
 from datetime import datetime
 
 import pytest
@@ -213,3 +215,36 @@ def test_cluster_without_shared_folder_is_an_error():
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Cluster())
+
+
+def quoted_rows(seed, count):
+    rng = random.Random(seed)
+    parts = ["a", "é", ",", '"', '""', "\n", "\r\n", "\r", " ", "long text " * 9, "\n\n", ""]
+    return [(k, "".join(rng.choice(parts) for _ in range(rng.randrange(6))), k * 2) for k in range(count)]
+
+
+@pytest.mark.parametrize("ending,encoding,seed", [("\n", "UTF-8", 0), ("\r\n", "UTF-8", 1), ("\n", "ISO-8859-1", 2)])
+def test_one_large_quoted_file_is_many_tasks(spark, tmp_path, ending, encoding, seed):
+    """Splits begin anywhere, also inside values; the records are those of the multi-line reader."""
+    rows = quoted_rows(seed, 1500)
+    with open(tmp_path / "big.csv", "w", encoding=encoding, newline="") as file:
+        writer = csv.writer(file, lineterminator=ending, quoting=csv.QUOTE_ALL if seed == 1 else csv.QUOTE_MINIMAL)
+        writer.writerow(["n", "t", "m"])
+        writer.writerows(rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        records = csv_files.whole_records(spark, str(tmp_path / "big.csv"), encoding)
+        assert csv_files._lines(spark, str(tmp_path / "big.csv")).rdd.getNumPartitions() > 15
+        assert records.count() == 1500
+        back = csv_files.read_csv(spark, str(tmp_path / "big.csv"), "n INT, m INT, t STRING")
+        found = {r.n: (r.t or "", r.m) for r in back.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    # A carriage return alone ends no line here, as in the writer.
+    assert found == {n: (t, m) for n, t, m in rows}
+    named = csv_files.read_csv(spark, str(tmp_path / "big.csv"), "m INT, n INT", encoding, multi_line=True)
+    assert sorted(map(tuple, named.collect())) == [(m, n) for n, _, m in rows]
