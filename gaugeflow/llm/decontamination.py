@@ -34,8 +34,8 @@ from gaugeflow.session import written
 
 SHINGLE = 5
 THRESHOLD = 0.8
-# Bytes of the bitmap that sorts out a document's shingles.
-PLACES = 1 << 20
+# Bytes of the bitmap that sorts out a document's shingles, sixteen for each of an item's at best.
+MOST_PLACES = 1 << 20
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 LAST_ID = (1 << 63) - 1
@@ -127,13 +127,14 @@ def shingle_hashes(words, n):
 
 
 def known_places(postings: DataFrame):
-    """A test whether a hash may be among `postings`: one byte for each of PLACES remainders."""
-    there = postings.select(F.pmod("gram", F.lit(PLACES)).cast("int").alias("place")).distinct().collect()
-    bitmap = bytearray(PLACES)
+    """A test whether a hash may be among `postings`: one byte for each remainder, MOST_PLACES at most."""
+    places = min(MOST_PLACES, 1 << max(12, (16 * postings.count()).bit_length()))
+    there = postings.select(F.pmod("gram", F.lit(places)).cast("int").alias("place")).distinct().collect()
+    bitmap = bytearray(places)
     for row in there:
         bitmap[row.place] = 1
     bitmap, one = F.lit(bytes(bitmap)), F.lit(b"\x01")
-    return lambda h: F.substring(bitmap, F.pmod(h, F.lit(PLACES)).cast("int") + 1, F.lit(1)) == one
+    return lambda h: F.substring(bitmap, F.pmod(h, F.lit(places)).cast("int") + 1, F.lit(1)) == one
 
 
 def candidate_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def candidate_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
         F.explode(F.array_distinct(grams_of(F.col("words"), F.xxhash64))).alias("gram"), "size"
     )
     postings = written(postings.groupBy("gram").agg(F.collect_set("size").alias("sizes")), "grams")
-    # One number for each size of short items, and at most PLACES for the rest.
+    # One number for each size of short items, and at most MOST_PLACES for the rest.
     short = sorted(r.size for r in items.where(F.col("size") < SHINGLE).select("size").distinct().collect())
     known = known_places(postings)
     postings = counted_broadcast(postings, 4 * F.size("sizes"))
