@@ -127,6 +127,33 @@ def holdout_metrics(
     )
 
 
+def backtest_linear(
+    df: DataFrame, key="series_key", step=STEP_SECONDS, horizon=HORIZON, every=HORIZON, least=10, ties=()
+) -> DataFrame:
+    """Errors of the linear model at many origins: per series and `trained`, the number of rows fitted.
+
+    The first `least` rows of a series are fitted, then `every` more each time; each model is
+    tested on the up to `horizon` rows that follow. The sums behind a model run along with
+    the rows, so an origin costs one solution and no further scan; a row meets the models
+    of the rows before it in the same sorted window. Origins without a row behind them
+    have no result.
+    """
+    indexed = series_index(df, key, "ds", ties)
+    order = Window.partitionBy(key).orderBy("idx")
+    terms = {name: term.over(order) for name, term in _linear_terms(step).items()}
+    fitted = indexed.withColumns(terms).fillna(0.0, ["slope"])
+    rows = F.col("idx") + 1
+    origin = (rows >= least) & ((rows - least) % every == 0)
+    model = F.when(origin, F.struct(rows.alias("trained"), "slope", "t_mean", "y_mean"))
+    before = F.collect_list("_model").over(order.rowsBetween(-horizon, -1))
+    tested = fitted.withColumn("_model", model).withColumn("_models", before)
+    each = tested.select(key, "ds", "y", F.explode("_models").alias("_m")).select(key, "ds", "y", "_m.*")
+    miss = F.col("y") - linear_value(step=step)
+    return each.groupBy(key, "trained").agg(
+        F.count("*").alias("held_out"), F.avg(F.abs(miss)).alias("mae"), F.sqrt(F.avg(miss * miss)).alias("rmse")
+    )
+
+
 def _future(model, key, step, periods, origin):
     start = {"last": "last_ds", "train_end": "train_end"}[origin]
     return future_frame(model, start, step, periods).withColumn("is_future", F.lit(True))

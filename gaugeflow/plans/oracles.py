@@ -358,6 +358,17 @@ ORACLES = {
                round(avg(abs(y - (y_mean + slope * (t - t_mean)))), 6) AS mae,
                round(sqrt(avg((y - (y_mean + slope * (t - t_mean))) ** 2)), 6) AS rmse
         FROM s JOIN m USING (series_key) WHERE idx >= train_size GROUP BY 1""",
+    "backtest_linear": """
+        WITH d AS (SELECT event_type AS series_key, date_trunc('hour', ts)::TIMESTAMP AS ds, avg(value) AS y FROM events GROUP BY 1, 2),
+        t AS (SELECT *, epoch_us(ds) / 3600000000.0::DOUBLE AS t,
+                     row_number() OVER (PARTITION BY series_key ORDER BY ds) AS i FROM d),
+        o AS (SELECT series_key, i AS trained FROM t WHERE i >= 24 AND (i - 24) % 12 = 0),
+        m AS (SELECT series_key, trained, coalesce(regr_slope(y, t), 0) AS slope, avg(t) AS t_mean, avg(y) AS y_mean
+              FROM o JOIN t USING (series_key) WHERE i <= trained GROUP BY 1, 2)
+        SELECT series_key, trained, count(*) AS held_out,
+               round(avg(abs(y - (y_mean + slope * (t - t_mean)))), 6) AS mae,
+               round(sqrt(avg((y - (y_mean + slope * (t - t_mean))) ** 2)), 6) AS rmse
+        FROM m JOIN t USING (series_key) WHERE i > trained AND i <= trained + 24 GROUP BY 1, 2""",
     "trend_slope": """
         WITH d AS (SELECT CAST(user_id AS VARCHAR) AS series_key, date_trunc('day', ts)::TIMESTAMP AS ds,
                           avg(value) AS y FROM events GROUP BY 1, 2),

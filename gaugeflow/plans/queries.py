@@ -703,6 +703,14 @@ def holdout_metrics(spark, sf_dir):
     return rounded(forecast.holdout_metrics(user_days(spark, sf_dir), **DAILY), "mae", "rmse")
 
 
+@query
+def backtest_linear(spark, sf_dir):
+    """Hourly series, tested at an origin every twelve hours."""
+    series_ = type_hours(spark, sf_dir)
+    errors = forecast.backtest_linear(series_, step=3600, horizon=24, every=12, least=24)
+    return rounded(errors, "mae", "rmse")
+
+
 @query
 def trend_slope(spark, sf_dir):
     model = forecast.fit_linear(user_days(spark, sf_dir), step=DAY)

@@ -206,3 +206,26 @@ def test_null_keys_are_one_series(spark, model):
         for c in (False, True)
     )
     assert len(one) == 60 + 40 + 2 * 30 and one == two
+
+
+@pytest.mark.parametrize("horizon,every,least", [(30, 30, 10), (5, 3, 2), (7, 20, 1)])
+def test_backtest_equals_refits(spark, horizon, every, least):
+    """Every origin against a model fitted anew from the rows before it."""
+    df = make(spark, LENGTHS)
+    rows = {}
+    for r in df.orderBy("ds").collect():
+        rows.setdefault(r.series_key, []).append(((r.ds - BASE).total_seconds() / STEP, r.y))
+    expected = {}
+    for name, points in rows.items():
+        for trained in range(least, len(points), every):
+            t, y = np.array(points[:trained]).T
+            slope = 0.0 if trained == 1 else np.polyfit(t - t.mean(), y, 1)[0]
+            ahead = np.array(points[trained : trained + horizon])
+            miss = ahead[:, 1] - (y.mean() + slope * (ahead[:, 0] - t.mean()))
+            expected[name, trained] = (len(ahead), abs(miss).mean(), np.sqrt((miss**2).mean()))
+    out = forecast.backtest_linear(df, step=STEP, horizon=horizon, every=every, least=least).collect()
+    assert {(r.series_key, r.trained) for r in out} == set(expected)
+    for r in out:
+        held, mae, rmse = expected[r.series_key, r.trained]
+        assert r.held_out == held
+        assert np.allclose((r.mae, r.rmse), (mae, rmse), rtol=1e-7, atol=1e-9)
