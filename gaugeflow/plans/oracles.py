@@ -283,6 +283,7 @@ ORACLES = {
     "wallclock_window_agg": f"""
         SELECT event_type, CAST(count(*) AS BIGINT) AS record_count, {_mean('value')} AS avg_value
         FROM events GROUP BY 1""",
+    "stream_live_gaps": _gaps("events", "ts", "user_id", 43_200_000_000),
     "gap_detection": _gaps("events", "ts", "user_id", 43_200_000_000),
     "gap_detection_orders": _gaps("orders", "o_orderdate", "o_orderpriority", 86_400_000_000),
     "group_mean_by_dim": f"""

@@ -28,7 +28,7 @@ from gaugeflow.session import scratch_path
 from gaugeflow.sinks import writers
 from gaugeflow.sinks.keyed_store import KeyedStore
 from gaugeflow.sources import csv_files, tables, topics
-from gaugeflow.streaming import jobs, one_pass, repair, traffic, wallclock
+from gaugeflow.streaming import absence, jobs, one_pass, repair, traffic, wallclock
 
 # The events carry values far above the default threshold of the score.
 SCORE_THRESHOLD = 50.0
@@ -459,6 +459,19 @@ def wallclock_closed_windows(spark, sf_dir):
     return rounded_means(totals, "avg_value")
 
 
+@query
+def stream_live_gaps(spark, sf_dir):
+    """Gaps per user, found as the events arrive."""
+    session = jobs.state_session(spark)
+    work = scratch_path(spark, "live-gaps")
+    stream = _events_stream(session, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    found = absence.live_gaps(stream, "ts", 12 * 3600, ["user_id"])
+    sink = writers.window_store(f"{work}/store")
+    wallclock.until_idle(jobs.start(found, [sink], f"{work}/checkpoint", {"processingTime": "1 second"}, "update"))
+    stored = writers.read_store(spark, f"{work}/store", f"{found.schema.toDDL()}, run STRING, batch_id LONG")
+    return _gap_report(stored.where(F.col("kind") == absence.CLOSED).drop("kind", "run", "batch_id"))
+
+
 # ---------------------------------------------------------- queries over tables
 
 

@@ -111,17 +111,18 @@ def closed_windows(
     )
 
 
-def until_closed(query, poll=0.5):
-    """Waits until a query of `closed_windows` over bounded input has closed every window, then stops it.
+def until_idle(query, poll=0.5, closed=False):
+    """Waits until a query with timers over bounded input has read all of it, then stops it.
 
-    A query with timers always has another batch to run, so it does not end by itself. It
-    is done after a trigger without input that left no state.
+    Such a query always has another batch to run, so it does not end by itself. It is done
+    after a trigger without input; with `closed`, one that left no state either.
     """
     try:
         while query.isActive:
             last = query.lastProgress
-            if last and not last["numInputRows"] and not sum(s["numRowsTotal"] for s in last["stateOperators"]):
-                break
+            if last and not last["numInputRows"]:
+                if not closed or not sum(s["numRowsTotal"] for s in last["stateOperators"]):
+                    break
             time.sleep(poll)
     finally:
         query.stop()
@@ -129,6 +130,11 @@ def until_closed(query, poll=0.5):
         raise query.exception()
 
 
+def until_closed(query, poll=0.5):
+    """`until_idle` for `closed_windows`: every window has been closed."""
+    until_idle(query, poll, closed=True)
+
+
 def closed_pair_windows(pairs: DataFrame, size_seconds=120, salts=8) -> DataFrame:
     """Closed windows of joined pairs `(keys, t1, v1, t2, v2)`, all pairs as one series.
 
