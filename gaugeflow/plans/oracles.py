@@ -105,17 +105,19 @@ def _whole_forecast(origin, history):
 
 
 _T = f"{SCORE_THRESHOLD}::DOUBLE"
-_ANALYSIS = _MODEL + _ahead("last_ds") + f"""
-    , a AS (SELECT series_key, avg(yhat) AS p, max(yhat) AS q, regr_slope(yhat, step_no) AS r,
-                   string_agg(printf('%.6f', yhat), ',' ORDER BY ds) AS predictions
-            FROM f GROUP BY 1),
-    z AS (SELECT *, least(100.0::DOUBLE, greatest(0.0::DOUBLE,
+_SCORE = f"""least(100.0::DOUBLE, greatest(0.0::DOUBLE,
               CASE WHEN p > {_T} THEN 40.0::DOUBLE WHEN p > {_T} * 0.7::DOUBLE THEN 25.0::DOUBLE
                    ELSE p / {_T} * 20 END
             + CASE WHEN q > {_T} * 1.5::DOUBLE THEN 30.0::DOUBLE WHEN q > {_T} THEN 20.0::DOUBLE
                    ELSE q / {_T} * 15 END
             + CASE WHEN r > 0.001::DOUBLE THEN 30.0::DOUBLE WHEN r > 0 THEN 15.0::DOUBLE
-                   ELSE 0.0::DOUBLE END)) AS score,
+                   ELSE 0.0::DOUBLE END))"""
+
+_ANALYSIS = _MODEL + _ahead("last_ds") + f"""
+    , a AS (SELECT series_key, avg(yhat) AS p, max(yhat) AS q, regr_slope(yhat, step_no) AS r,
+                   string_agg(printf('%.6f', yhat), ',' ORDER BY ds) AS predictions
+            FROM f GROUP BY 1),
+    z AS (SELECT *, {_SCORE} AS score,
           CASE WHEN r > 0 THEN '{RISING}' ELSE '{FALLING}' END AS trend_label FROM a),
     y AS (SELECT *, CASE WHEN score >= 55 THEN '{POSITIVE_DECISION}'
                          ELSE '{NEGATIVE_DECISION}' END AS decision FROM z)
@@ -283,6 +285,17 @@ ORACLES = {
     "wallclock_window_agg": f"""
         SELECT event_type, CAST(count(*) AS BIGINT) AS record_count, {_mean('value')} AS avg_value
         FROM events GROUP BY 1""",
+    "stream_live_scores": f"""
+        WITH i AS (SELECT event_type, value AS y,
+                          row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS i
+                   FROM events WHERE value IS NOT NULL AND ts IS NOT NULL),
+        a AS (SELECT event_type, count(*) AS n, avg(y) AS p, max(y) AS q, coalesce(regr_slope(y, -i), 0) AS r
+              FROM i WHERE i <= 30 GROUP BY 1),
+        z AS (SELECT *, {_SCORE} AS score FROM a)
+        SELECT event_type, CAST(n AS INTEGER) AS n, round(p, 6) AS mean, round(q, 6) AS peak, round(r, 6) AS trend,
+               round(score, 6) AS score,
+               CASE WHEN score >= 55 THEN '{POSITIVE_DECISION}' ELSE '{NEGATIVE_DECISION}' END AS decision
+        FROM z""",
     "stream_live_gaps": _gaps("events", "ts", "user_id", 43_200_000_000),
     "gap_detection": _gaps("events", "ts", "user_id", 43_200_000_000),
     "gap_detection_orders": _gaps("orders", "o_orderdate", "o_orderpriority", 86_400_000_000),

@@ -28,7 +28,7 @@ from gaugeflow.session import scratch_path
 from gaugeflow.sinks import writers
 from gaugeflow.sinks.keyed_store import KeyedStore
 from gaugeflow.sources import csv_files, tables, topics
-from gaugeflow.streaming import absence, jobs, one_pass, repair, traffic, wallclock
+from gaugeflow.streaming import absence, jobs, live_scores, one_pass, repair, traffic, wallclock
 
 # The events carry values far above the default threshold of the score.
 SCORE_THRESHOLD = 50.0
@@ -472,6 +472,20 @@ def stream_live_gaps(spark, sf_dir):
     return _gap_report(stored.where(F.col("kind") == absence.CLOSED).drop("kind", "run", "batch_id"))
 
 
+@query
+def stream_live_scores(spark, sf_dir):
+    """Score per event type from its newest thirty values, after the last micro-batch."""
+    session = jobs.state_session(spark)
+    work = scratch_path(spark, "live-scores")
+    stream = _events_stream(session, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    scores = live_scores.live_scores(stream, ["event_type"], "ts", "value", "event_id", threshold=SCORE_THRESHOLD)
+    sink = writers.window_store(f"{work}/store")
+    jobs.start(scores, [sink], f"{work}/checkpoint", {"availableNow": True}, "update").awaitTermination()
+    stored = writers.read_store(spark, f"{work}/store", f"{scores.schema.toDDL()}, run STRING, batch_id LONG")
+    newest = writers.latest_documents(stored, ["event_type"]).drop("newest_at")
+    return rounded(newest, "mean", "peak", "trend", "score")
+
+
 # ---------------------------------------------------------- queries over tables
 
 

@@ -7,7 +7,7 @@ QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # These run whole streaming jobs; the smaller tables show the same.
 SLOW = {
     "stream_window_agg", "stream_message_windows", "wallclock_window_agg", "forecast_additive", "stream_late_repair",
-    "stream_live_gaps", "stream_one_pass_pairs", "wallclock_closed_windows", "keyed_store_upserts",
+    "stream_live_gaps", "stream_live_scores", "stream_one_pass_pairs", "wallclock_closed_windows", "keyed_store_upserts",
 }
 TEXT = {name for name in QUERIES if name.startswith("op") or name == "pipeline"}
 
