@@ -111,14 +111,18 @@ def closed_windows(
     )
 
 
-def until_idle(query, poll=0.5, closed=False):
+def until_idle(query, poll=0.5, closed=False, seconds=1800):
     """Waits until a query with timers over bounded input has read all of it, then stops it.
 
     Such a query always has another batch to run, so it does not end by itself. It is done
-    after a trigger without input; with `closed`, one that left no state either.
+    after a trigger without input; with `closed`, one that left no state either. An error
+    if that has not happened after `seconds`.
     """
+    until = time.monotonic() + seconds
     try:
         while query.isActive:
+            if time.monotonic() > until:
+                raise TimeoutError(f"not idle after {seconds} seconds")
             last = query.lastProgress
             if last and not last["numInputRows"]:
                 if not closed or not sum(s["numRowsTotal"] for s in last["stateOperators"]):
