@@ -6,15 +6,18 @@ for each left row, how many right rows its band holds and what they sum to.
 Time is cut into cells as long as the band, so a band is the end of one cell and
 the beginning of the next: two running sums, one backwards, one forwards. Nothing
 is subtracted, so values outside a band cannot touch its sum. The pairs never
-exist: the work is one sort of the distinct arrival instants.
+exist: the work is one sort of the distinct arrival instants. Over streams a stateful
+operator does the same with what each micro-batch brings (`one_pass.window_means`).
 """
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.times import cell, micros_of
 from gaugeflow.operators.joins import paired_readings
 from gaugeflow.operators.windows import tumbling_agg
+from gaugeflow.streaming import one_pass
 
 _MARK, _POINT, _PROBE = -1, 0, 1
 _COUNTS = ("_rows2", "_values2", "_sum2")
@@ -33,19 +36,31 @@ def joined_window_agg(
     names=("avg_v1", "avg_v2"),
     method="sums",
     slices=None,
+    max_delay=None,
+    salts="auto",
 ) -> DataFrame:
     """Same result as `paired_readings` followed by `tumbling_agg` on the left arrival time.
 
     Inputs are single-metric frames `(keys, arrival_ts, value)`. Rows with a NULL key
     or time pair with nothing; a NULL value counts as a row but not in the mean; NaN and
     infinities spread over the windows of their pairs only. `method="pairs"` forms the
-    pairs instead. `slices` per cell are chosen by the busiest cell unless given.
+    pairs instead. `slices` per cell are chosen by the busiest cell unless given. Streams
+    need `max_delay`, the allowed delay, and take a number for `salts` to cut every key in
+    (1 otherwise); "pairs" takes both as `interval_join` does.
     """
     keys = list(keys)
+    streaming = left.isStreaming or right.isStreaming
+    if streaming and max_delay is None:
+        raise ValueError("a streaming interval join needs max_delay")
     if method == "pairs":
-        joined = paired_readings(left, right, lower, upper, keys=keys)
+        joined = paired_readings(left, right, lower, upper, max_delay, salts, keys=keys)
         metrics = {names[0]: "v1", names[1]: "v2"}
         return tumbling_agg(joined, "t1", metrics, size, latest=keys[0])
+    if streaming:
+        seconds = pd.Timedelta(size).total_seconds()
+        return one_pass.window_means(
+            left, right, keys, "arrival_ts", lower, upper, max_delay, seconds, names, 1 if salts == "auto" else salts
+        )
     left, right = (side.na.drop(subset=[*keys, "arrival_ts"]) for side in (left, right))
     low, high = micros_of(lower), micros_of(upper)
     width = high - low + 1

@@ -291,8 +291,7 @@ def stream_window_agg(spark, sf_dir):
     # The folder has to exist before the stream starts.
     session.createDataFrame([], EVENTS).write.parquet(beat)
     left, right = jobs.event_pairs(_typed_events_stream(session, sf_dir, beat), key=hour_key)
-    pairs = paired_readings(left, right, -300, 300, max_delay="10 minutes")
-    windows = tumbling_agg(pairs, "t1", {"avg_v1": "v1", "avg_v2": "v2"}, latest="obs_key")
+    windows = joined_windows.joined_window_agg(left, right, -300, 300, max_delay="10 minutes")
 
     def beat_once():
         for kind in ("click", "view"):
