@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from gaugeflow.functions.times import minute_text
-from gaugeflow.operators.joins import paired_readings
+from gaugeflow.operators.joined_windows import joined_window_agg
 from gaugeflow.operators.parsing import parse_messages, split_metric
-from gaugeflow.operators.windows import tumbling_agg, window_documents
+from gaugeflow.operators.windows import window_documents
 from gaugeflow.session import use_utc
 from gaugeflow.sinks.writers import fan_out
 
@@ -47,19 +47,22 @@ def message_windows(
 ) -> DataFrame:
     """Window documents of a topic carrying temperature and precipitation messages.
 
-    `salts` cuts the traffic of one minute into as many state keys (see `interval_join`).
+    Over a stream the pairs are never formed; `salts` cuts the traffic of one minute into as
+    many state keys (see `joined_window_agg`).
     """
     readings, _ = parse_messages(records, mode=mode)
-    pairs = paired_readings(
+    windows = joined_window_agg(
         split_metric(readings, "temperature"),
         split_metric(readings, "precipitation"),
         lower,
         upper,
-        max_delay if records.isStreaming else None,
-        salts,
+        size,
+        names=("avg_temperature", "avg_precipitation"),
+        method="sums" if records.isStreaming else "pairs",
+        max_delay=max_delay if records.isStreaming else None,
+        salts=salts,
     )
-    metrics = {"avg_temperature": "v1", "avg_precipitation": "v2"}
-    return window_documents(tumbling_agg(pairs, "t1", metrics, size, latest="obs_key"))
+    return window_documents(windows)
 
 
 def dead_letters(records: DataFrame, mode="strict") -> DataFrame:
