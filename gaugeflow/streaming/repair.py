@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.functions.times import cell, micros_of
-from gaugeflow.operators.joins import paired_readings
+from gaugeflow.operators.joined_windows import joined_window_agg
 from gaugeflow.operators.parsing import split_metric
-from gaugeflow.operators.windows import tumbling_agg, window_documents
+from gaugeflow.operators.windows import window_documents
 from gaugeflow.session import cut_lineage
 from gaugeflow.sinks.writers import store_batch
 from gaugeflow.streaming.one_pass import LATE, WINDOW
@@ -83,9 +83,8 @@ def repaired_windows(readings: DataFrame, touched: DataFrame, lower=-5, upper=5,
     near = F.explode(F.sequence(F.col("_n") + low // size, F.col("_n") + (size - 1 + high) // size))
     left = split_metric(inside.join(own, "_n", "left_semi"), "temperature")
     right = split_metric(inside.join(own.select(near.alias("_n")).distinct(), "_n", "left_semi"), "precipitation")
-    pairs = paired_readings(left, right, lower, upper)
-    metrics = {"avg_temperature": "v1", "avg_precipitation": "v2"}
-    windows = tumbling_agg(pairs, "t1", metrics, f"{size_seconds} seconds", latest="obs_key")
+    names = ("avg_temperature", "avg_precipitation")
+    windows = joined_window_agg(left, right, lower, upper, f"{size_seconds} seconds", names=names)
     return window_documents(windows)
 
 
