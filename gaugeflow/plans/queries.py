@@ -361,8 +361,9 @@ def stream_one_pass_pairs(spark, sf_dir):
     readings = stream.select(
         hour_key("ts").alias("obs_key"), F.col("ts").alias("arrival_ts"), metric("click").alias("x"), metric("view").alias("y")
     )
-    marked = one_pass.one_pass(readings, "x", "y", lower=-300, upper=300)
-    jobs.start(marked, [writers.window_store(f"{work}/pairs")], f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
+    marked = one_pass.one_pass(readings, "x", "y", lower=-300, upper=300, folded=True)
+    sink = writers.window_store(f"{work}/pairs", options=one_pass.BLOCK_STORE)
+    jobs.start(marked, [sink], f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
     return _pairs_in_millis(one_pass.pairs_of(writers.read_store(spark, f"{work}/pairs")))
 
 

@@ -22,19 +22,20 @@ def write_topic(messages: DataFrame, brokers, topic, streaming=False, checkpoint
     return shaped.write.format("kafka").options(**options).save()
 
 
-def store_batch(root: str, documents: DataFrame, batch_id: int, partition_by=None, run="batch") -> None:
+def store_batch(root: str, documents: DataFrame, batch_id: int, partition_by=None, run="batch", options=None) -> None:
     """Write one micro-batch of a run to its own folders, date first if `partition_by` is one.
 
     A replayed batch replaces its earlier attempt, so a restart leaves neither gaps nor
     duplicates. Batch numbers begin anew with every checkpoint; `run` keeps them apart.
+    `options` are those of the parquet writer.
     """
     stamped = documents.withColumns({"run": F.lit(f"run-{run}"), "batch_id": F.lit(batch_id)})
     folders = [*([partition_by] if partition_by else []), "run", "batch_id"]
     writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*folders).parquet(root)
+    writer.options(**(options or {})).partitionBy(*folders).parquet(root)
 
 
-def window_store(root: str, partition_by=None, run=None):
+def window_store(root: str, partition_by=None, run=None, options=None):
     """`store_batch` for `foreachBatch`; the run is the query's id, which its checkpoint keeps."""
 
     def write(documents, batch_id):
@@ -42,7 +43,7 @@ def window_store(root: str, partition_by=None, run=None):
         own = run or context.getLocalProperty("sql.streaming.queryId")
         if not own:
             raise RuntimeError("no streaming query here: name the run")
-        store_batch(root, documents, batch_id, partition_by, own)
+        store_batch(root, documents, batch_id, partition_by, own, options)
 
     return write
 

@@ -11,7 +11,10 @@ to all. Levels may change from one micro-batch to the next (see `traffic`): a ro
 visits the parts of every other level that the key's earlier rows are stored under, but is
 stored under its own level only, so every pair meets exactly once.
 
-Pairs are handed over in pieces of PAIRS_AT_ONCE. Windows do not need them: how many rows a
+Pairs are handed over in pieces of PAIRS_AT_ONCE, or folded: the left rows, the right rows
+and which of these each left row meets, in blocks of BLOCK_ROWS a side. A block stands for
+up to 250,000 pairs, so operator, stream and store hold little more than the rows, and
+`pairs_of` unfolds every pair where it is read. Windows do not need pairs: how many rows a
 band holds and what they sum to are two running sums, as in `joined_windows`, so their cost
 follows the rows. `window_means` gives the windows of two streams that way.
 
@@ -20,6 +23,8 @@ travels as a plain number, so late rows arrive; they join nothing and come out m
 for `repair` to deal with.
 """
 
+from itertools import islice
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,12 +33,25 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from gaugeflow.functions.times import micros_of
 
-PAIR, LATE, WINDOW = "pair", "late", "window"
+PAIR, FOLDED, LATE, WINDOW = "pair", "folded", "late", "window"
 LATE_ROWS = "late_rows"
 # A key is cut in 2**MOST_LEVEL parts at most.
 MOST_LEVEL = 10
 # Pairs that a task holds at once, unless one row meets more.
 PAIRS_AT_ONCE = 100_000
+# Rows of either side in a block of folded pairs, and the columns of such a block: the rows of
+# both sides, and for every left row the first of those right rows that it meets, and how many.
+BLOCK_ROWS = 500
+BLOCK = {
+    "times1": "ARRAY<BIGINT>", "values1": "ARRAY<DOUBLE>", "from2": "ARRAY<INT>", "many2": "ARRAY<INT>",
+    "times2": "ARRAY<BIGINT>", "values2": "ARRAY<DOUBLE>",
+}
+# Blocks that the operator hands over at once.
+BLOCKS_AT_ONCE = 50
+# For a store of blocks: a reader holds a row group, or 4,096 rows, of all its columns at once.
+BLOCK_STORE = {"parquet.block.row.count.limit": "256"}
+# Tasks that unfold blocks, for every core: blocks of a hot key are dealt out.
+UNFOLDING_TASKS = 4
 # Rows are stored in cells of a minute at least: every cell is a call to the state store.
 LEAST_CELL = 60_000_000
 # Timers that one batch sets for the cells of a key.
@@ -105,6 +123,27 @@ def band_pairs(left, right, low, high, most=None):
         begin = end
 
 
+def band_blocks(left, right, low, high, most=None):
+    """The pairs of `band_pairs` in blocks of at most `most` (BLOCK_ROWS) rows a side.
+
+    A block is: positions in left, for each of these the first right row that it meets (counted
+    from the start of the block's) and how many it meets, and the slice of right.
+    """
+    most = most or BLOCK_ROWS
+    order = np.argsort(left, kind="stable")
+    first = np.searchsorted(right, left[order] + low, "left")
+    last = np.searchsorted(right, left[order] + high, "right")
+    order, first, last = (x[last > first] for x in (order, first, last))
+    for begin in range(0, len(order), most):
+        own, a, b = (x[begin : begin + most] for x in (order, first, last))
+        for start in range(int(a[0]), int(b[-1]), most):
+            end = min(start + most, int(b[-1]))
+            one, past = np.maximum(a, start), np.minimum(b, end)
+            met = past > one
+            if met.any():
+                yield own[met], (one - start)[met], (past - one)[met], slice(start, end)
+
+
 def band_sums(left, right, values, known, low, high):
     """For every left row: the right rows in its band, those that are known, and the sum of these.
 
@@ -306,6 +345,22 @@ class OnePass(StatefulProcessor):
         pass
 
 
+class FoldedPairs(OnePass):
+    """Blocks of pairs; late rows are those of OnePass."""
+
+    def frame(self, key, size, kind, **columns):
+        return super().frame(key, size, kind, **{**{c: [None] * size for c in BLOCK}, **columns})
+
+    def pairs(self, key, left, right):
+        found = band_blocks(left[0], right[0], self.low, self.high)
+        while some := list(islice(found, BLOCKS_AT_ONCE)):
+            blocks = [
+                (left[0][a], left[1][a], first.astype(np.int32), many.astype(np.int32), right[0][b], right[1][b])
+                for a, first, many, b in some
+            ]
+            yield self.frame(key, len(blocks), FOLDED, **{c: list(column) for c, column in zip(BLOCK, zip(*blocks))})
+
+
 class WindowSums(OnePass):
     """The windows of rows that may be without a value; of late rows only their number (no window)."""
 
@@ -328,7 +383,7 @@ class WindowSums(OnePass):
 
 def one_pass(
     readings: DataFrame, left, right, keys=("obs_key",), time="arrival_ts", lower=-5, upper=5,
-    max_delay="10 minutes", size_seconds=None,
+    max_delay="10 minutes", size_seconds=None, folded=False,
 ) -> DataFrame:
     """A stream of marked rows out of a stream of readings with the metrics `left` and `right`.
 
@@ -338,6 +393,9 @@ def one_pass(
     v2 of its pairs and their record_count, once, when the watermark has passed. A window
     comes in parts, all in the same micro-batch. Times are microseconds. A reading with
     both metrics is on both sides; one without either is dropped.
+
+    With `folded`, rows `folded` with the columns BLOCK stand for the pairs, many each.
+    `pairs_of` gives the pairs of either form.
     """
     keys = list(keys)
     watermarked = sided(readings, keys, time, left, right).withWatermark(time, max_delay)
@@ -345,15 +403,33 @@ def one_pass(
     kinds = {f.name: f.dataType.simpleString() for f in readings.schema}
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
     schema = f"kind STRING, {schema}, t1 BIGINT, v1 DOUBLE, t2 BIGINT, v2 DOUBLE, window_start BIGINT, record_count BIGINT"
+    if folded:
+        schema = ", ".join([schema, *[f"{c} {kind}" for c, kind in BLOCK.items()]])
     size = micros_of(size_seconds) if size_seconds else None
-    processor = OnePass(keys, micros_of(lower), micros_of(upper), size)
+    processor = (FoldedPairs if folded else OnePass)(keys, micros_of(lower), micros_of(upper), size)
     return copies.groupBy(*keys, "level", "node").transformWithStateInPandas(processor, schema, "append", "eventTime")
 
 
+def unfolded(blocks: DataFrame, keys=("obs_key",)) -> DataFrame:
+    """Every pair of folded ones (keys, t1, v1, t2, v2), one after the other: no task holds them.
+
+    The blocks are dealt out evenly first, as those of a key come from one task.
+    """
+    tasks = UNFOLDING_TASKS * blocks.sparkSession.sparkContext.defaultParallelism
+    lefts = F.inline(F.arrays_zip("times1", "values1", "from2", "many2")).alias("t1", "v1", "_from", "_many")
+    rows = blocks.select(*keys, *BLOCK).repartition(tasks).select(*keys, "times2", "values2", lefts)
+    met = rows.withColumn("_at", F.explode(F.sequence("_from", F.col("_from") + F.col("_many") - 1)))
+    return met.select(*keys, "t1", "v1", F.get("times2", "_at").alias("t2"), F.get("values2", "_at").alias("v2"))
+
+
 def pairs_of(marked: DataFrame, keys=("obs_key",)) -> DataFrame:
-    """The pairs of a micro-batch or of stored rows, with times as timestamps."""
+    """The pairs of a micro-batch or of stored rows, folded or not, with times as timestamps."""
+    if set(BLOCK) <= set(marked.columns):
+        pairs = unfolded(marked.where(F.col("kind") == FOLDED), keys)
+    else:
+        pairs = marked.where(F.col("kind") == PAIR)
     times = [F.timestamp_micros(t).alias(t) for t in ("t1", "t2")]
-    return marked.where(F.col("kind") == PAIR).select(*keys, times[0], "v1", times[1], "v2")
+    return pairs.select(*keys, times[0], "v1", times[1], "v2")
 
 
 def window_means(
