@@ -12,9 +12,9 @@ visits the parts of every other level that the key's earlier rows are stored und
 stored under its own level only, so every pair meets exactly once.
 
 Pairs are handed over in pieces of PAIRS_AT_ONCE, or folded: the left rows, the right rows
-and which of these each left row meets, in blocks of BLOCK_ROWS a side. A block stands for
-up to 250,000 pairs, so operator, stream and store hold little more than the rows, and
-`pairs_of` unfolds every pair where it is read. Windows do not need pairs: how many rows a
+and which of these each left row meets, in blocks of BLOCK_ROWS a side. A block of a crowd
+stands for up to 250,000 pairs with 1,000 rows, so stream and store hold little beside the
+pairs, and `pairs_of` unfolds every pair where it is read. Windows do not need pairs: how many rows a
 band holds and what they sum to are two running sums, as in `joined_windows`, so their cost
 follows the rows. `window_means` gives the windows of two streams that way.
 
